@@ -36,6 +36,7 @@ def build_session(app: str = "lotledger", master: str | None = None) -> SparkSes
         builder = (
             builder.master(master)
             .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
             .config("spark.sql.shuffle.partitions", cores)
             .config("spark.driver.memory", os.environ.get("LOTLEDGER_DRIVER_MEMORY", "8g"))
         )
