@@ -2,6 +2,9 @@
 
 Everything is one pass of expressions over ``captures``; only the distributions and the
 choice among a URL's attempts shuffle, and those shuffle labels, never bodies.
+
+Marker chains are bound to the lowered text: it is computed once per page, and a filter
+pushed below a label cannot multiply the chain in generated code.
 """
 
 from __future__ import annotations
@@ -15,47 +18,47 @@ from ..functions import urls as U
 from . import jsonmine
 
 
-def is_blocked(body: Column, low: Column, status: Column) -> Column:
+def _marked(text: Column, markers: str) -> Column:
+    return F.coalesce(X.bind(F.lower(text), lambda low: M.has_any(low, markers)), F.lit(False))
+
+
+def is_blocked(body: Column, status: Column) -> Column:
     """Blocking status, a missing or short page, or a challenge marker."""
     return (
         F.coalesce(status.isin(V.BLOCKED_STATUS), F.lit(False))
         | (F.coalesce(F.length(body), F.lit(0)) < V.MIN_PAGE_CHARS)
-        | M.has_any(low, V.BLOCKED_MARKERS)
+        | _marked(body, V.BLOCKED_MARKERS)
     )
 
 
 def with_blocked(df: DataFrame) -> DataFrame:
-    df = df.withColumn("_low", F.lower("body"))
-    blocked = is_blocked(F.col("body"), F.col("_low"), F.col("status"))
-    return df.withColumn("blocked", blocked).drop("_low")
+    return df.withColumn("blocked", is_blocked(F.col("body"), F.col("status")))
 
 
 def host_platform(url: Column, cname: Column) -> Column:
     blob = F.lower(F.concat(U.host(url), F.lit(" "), F.coalesce(cname, F.lit(""))))
-    return M.first_label(blob, V.HOST_SIGNATURES)
+    return X.bind(blob, lambda low: M.first_label(low, V.HOST_SIGNATURES))
 
 
 def with_page_platform(df: DataFrame, label: str = "page_platform", whole: bool = False) -> DataFrame:
     """First page signature that hits: plain captures are read up to 200,000
     characters, rendered ones whole."""
     text = F.col("body") if whole else F.left("body", F.lit(V.SIGNATURE_CHARS))
-    return (
-        df.withColumn("_low", F.lower(text))
-        .withColumn(label, M.first_label(F.col("_low"), V.HTML_SIGNATURES))
-        .drop("_low")
+    return df.withColumn(
+        label, X.bind(F.lower(text), lambda low: M.first_label(low, V.HTML_SIGNATURES))
     )
 
 
 def with_builder(df: DataFrame, label: str = "builder") -> DataFrame:
     """Site builder by plain substrings of the lowered page."""
-    low = F.col("_low")
-    tests = []
-    for words, name in V.BUILDER_MARKERS:
-        hit = low.contains(words[0])
-        for word in words[1:]:
-            hit = hit | low.contains(word)
-        tests.append(F.when(hit, F.lit(name)))
-    return df.withColumn("_low", F.lower("body")).withColumn(label, F.coalesce(*tests)).drop("_low")
+
+    def chain(low: Column) -> Column:
+        return F.coalesce(*[
+            F.when(M.has_any(low, "|".join(w.replace(".", r"\.") for w in words)), F.lit(name))
+            for words, name in V.BUILDER_MARKERS
+        ])
+
+    return df.withColumn(label, X.bind(F.lower("body"), chain))
 
 
 def fingerprint(captures: DataFrame, rendered: DataFrame | None = None) -> DataFrame:
@@ -151,11 +154,10 @@ def cascade_layers(
     body = F.left("body", F.lit(V.CASCADE_CHARS))
     seen = (
         captures.withColumn("_body", body)
-        .withColumn("_low", F.lower("_body"))
         .select(
             F.col("dealer_url").alias("url"), "status", "error",
-            M.has_any(F.col("_low"), V.CHALLENGE_MARKERS).alias("challenge"),
-            M.has_any(F.col("_low"), V.PARKED_MARKERS).alias("parked"),
+            _marked(F.col("_body"), V.CHALLENGE_MARKERS).alias("challenge"),
+            _marked(F.col("_body"), V.PARKED_MARKERS).alias("parked"),
             embedded_signal(F.col("_body")).alias("embedded"),
         )
     )
@@ -241,10 +243,9 @@ def recovery_stats(relabelled: DataFrame) -> DataFrame:
 
 def rendered_triage(captures: DataFrame) -> DataFrame:
     """Rendered pages: still blocked, vehicles visible, or no signal."""
-    df = captures.withColumn("_low", F.lower("body"))
-    blocked = is_blocked(F.col("body"), F.col("_low"), F.col("status")) | F.col("error").isNotNull()
-    vehicles = F.col("body").rlike(V.VIN_IN_TEXT) | M.has_any(F.col("_low"), V.RENDERED_VEHICLE_MARKERS)
-    return df.select(
+    blocked = is_blocked(F.col("body"), F.col("status")) | F.col("error").isNotNull()
+    vehicles = F.col("body").rlike(V.VIN_IN_TEXT) | _marked(F.col("body"), V.RENDERED_VEHICLE_MARKERS)
+    return captures.select(
         F.col("dealer_url").alias("url"),
         F.when(blocked, "antibot_real").when(vehicles, "L3_navegacion")
         .otherwise("L3_sin_senal").alias("layer2"),
