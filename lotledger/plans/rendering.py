@@ -83,7 +83,8 @@ CARD_MARKUP = {
     "carsforsale": f"""
       '<div class="vehicle-snapshot"><a href="/details/used-' || yr || '-' || lower(make) || '-' || lower(model) || '/' || id || '"><img src="/c/' || id || '.jpg"></a>' ||
       '<h3><a href="/details/used-' || yr || '-' || lower(make) || '-' || lower(model) || '/' || id || '">' || yr || ' ' || make || ' ' || model || ' Limited</a></h3>' ||
-      '<p>Price ' || {PRICE_TEXT} || '</p><p>' || format_number(miles, 0) || ' mi</p><p>Transmission Automatic Drivetrain FWD</p></div>'""",
+      '<p>Price ' || {PRICE_TEXT} || '</p><p>' || case when id % 13 = 0 then '' else format_number(miles, 0) || ' mi' end || '</p><p>Transmission Automatic Drivetrain FWD</p>' ||
+      '<script type="application/ld+json">{{"@type":"Vehicle","offers":{{"price":' || (price + 1) || '}}}}</script></div>'""",
     "generic": f"""
       '<article><a href="/car/' || id || '"><img data-src="/g/' || id || '.jpg"></a><h2>' || yr || ' ' || make || ' ' || model || '</h2><p>' ||
       {PRICE_TEXT} || ' - ' || format_number(miles, 0) || ' miles</p>' || case when id % 5 = 0 then '' else '<p>VIN ' || vin || '</p>' end || '</article>'""",
