@@ -119,10 +119,11 @@ def array_members(text: Column, path: Column, parent: Column) -> Column:
 
 def truthy(value: Column) -> Column:
     """The VARIANT where a script would call it true, else NULL."""
-    text = value.cast("string")
-    empty = text.isin("", "0", "false") & ~F.schema_of_variant(value).isin("STRING")
-    empty = empty | (text == "") | F.is_variant_null(value)
-    return F.when(value.isNotNull() & ~empty, value)
+    def kept(v: Column) -> Column:
+        empty = F.to_json(v).isin('""', "0", "false", "null")
+        return F.when(v.isNotNull() & ~empty, v)
+
+    return bind(value, kept)
 
 
 def at(value: Column, path: str) -> Column:

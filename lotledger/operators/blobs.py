@@ -71,7 +71,12 @@ def json_literals(text: str | None) -> list[str]:
 
 
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-def script_literals(scripts: pd.Series) -> pd.Series:
+def _script_literals(scripts: pd.Series) -> pd.Series:
     return scripts.map(
         lambda texts: [json_literals(t) for t in texts] if texts is not None else []
     )
+
+
+# Declared nondeterministic so that the optimizer never copies or moves the call: every
+# page's scripts cross to Python exactly once.
+script_literals = _script_literals.asNondeterministic()

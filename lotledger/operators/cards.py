@@ -20,6 +20,7 @@ from ..functions import urls as U
 from ..schemas import VEHICLE_COLUMNS, VEHICLE_TYPES
 from . import normalize as N
 from .keyed import first_by, join_on_hot_keys
+from .rows import explode_rows
 
 PAGE_KEYS = ["capture_id", "run_id", "dealer_url", "page_ord"]
 _YEAR = r"\b((?:19|20)\d{2})\b"
@@ -34,16 +35,25 @@ def attr(markup: Column, name: str) -> Column:
     return X.first_match(markup, rf"""(?is)\s{name}\s*=\s*["']([^"']*)["']""")
 
 
+_PAGE_END = r"(?is)(?:<footer\b|</main>|</body>|</html>).*$"
+
+
 def segments(captures: DataFrame, opening: str, keep: list[str] = PAGE_KEYS) -> DataFrame:
-    """``keep..., card_ord, seg``: one row per card, in page order.
+    """``keep..., card_ord, seg, tag, text``: one row per card, in page order.
 
-    ``opening`` is a regex for the card's opening tag, from its '<'.
+    ``opening`` is a regex for the card's opening tag, from its '<'. ``tag`` is that tag,
+    ``text`` the segment's visible text.
     """
-    parts = F.split("body", f"(?={opening})")
-    parts = F.filter(parts, lambda s: s.rlike("^" + opening))
-    rows = captures.select(*keep, F.posexplode(parts).alias("card_ord", "_part"))
-    seg = F.regexp_replace("_part", r"(?is)(?:<footer\b|</main>|</body>|</html>).*$", "")
-    return rows.select(*keep, "card_ord", seg.alias("seg"))
+    parts = F.filter(F.split("body", f"(?={opening})"), lambda s: s.rlike("^" + opening))
+
+    def piece(part: Column) -> Column:
+        return X.bind(F.regexp_replace(part, _PAGE_END, ""), lambda seg: F.struct(
+            seg.alias("seg"), F.regexp_extract(seg, "^<[^>]*>", 0).alias("tag"),
+            X.visible_text(seg).alias("text"),
+        ))
+
+    rows = explode_rows(captures, keep, F.transform(parts, piece), "card_ord", "_c")
+    return rows.select(*keep, "card_ord", "_c.seg", "_c.tag", "_c.text")
 
 
 def class_tag(pattern: str) -> str:
@@ -54,10 +64,6 @@ def class_tag(pattern: str) -> str:
 _DATA_VIN = r"<[a-zA-Z][a-zA-Z0-9]*\s[^>]*data-vin="
 
 
-def _with_text(df: DataFrame) -> DataFrame:
-    return df.withColumn("text", X.visible_text(F.col("seg")))
-
-
 def _anchor_href(seg: Column, part: str) -> Column:
     """href of the first link whose href matches ``part``."""
     return X.first_match(seg, rf"""(?is)<a\b[^>]*\bhref\s*=\s*["']([^"']*(?:{part})[^"']*)["']""")
@@ -83,7 +89,6 @@ def dws_cards(captures: DataFrame) -> DataFrame:
     df = df.withColumns({
         "title": X.visible_text(F.regexp_extract("seg", r"(?is)^<([a-z0-9]+)\b[^>]*>.*?</\1\s*>", 0)),
         "href": X.first_match(F.col("seg"), r"""(?is)<a\b[^>]*\bhref\s*=\s*["']([^"']*)["']"""),
-        "text": X.visible_text(F.col("seg")),
     })
     steps = F.filter(F.split("href", "/"), lambda s: s != "")
 
@@ -94,8 +99,9 @@ def dws_cards(captures: DataFrame) -> DataFrame:
         inner = F.regexp_extract(
             "seg", rf"(?is)dws-vehicle-field-{name}(?![\w-])[^>]*>(.*?)(?:</(?:div|li|td|p)\b|<[^>]*dws-vehicle-field-|$)", 1
         )
-        # only the first word counts as the label
-        return F.trim(F.regexp_replace(X.visible_text(inner), r"^[A-Za-z /]+?\s", ""))
+        # only the first word counts as the label; a missing element is NULL, not empty
+        value = F.trim(F.regexp_replace(X.visible_text(inner), r"^[A-Za-z /]+?\s", ""))
+        return F.when(F.col("seg").rlike(rf"dws-vehicle-field-{name}(?![\w-])"), value)
 
     return _cards(df, {
         "vin": field("vin"),
@@ -110,8 +116,7 @@ def dws_cards(captures: DataFrame) -> DataFrame:
 
 
 def dealersync_cards(captures: DataFrame) -> DataFrame:
-    df = _with_text(segments(captures, _DATA_VIN))
-    df = df.withColumn("tag", F.regexp_extract("seg", "^<[^>]*>", 0))
+    df = segments(captures, _DATA_VIN)
     df = df.withColumn("title", F.coalesce(attr(F.col("tag"), "data-vehicle-title"), F.lit("")))
     rest = F.concat(
         F.regexp_extract("title", rf"(?s)^(.*?){_YEAR}(.*)$", 1),
@@ -134,7 +139,7 @@ def dealersync_cards(captures: DataFrame) -> DataFrame:
 
 
 def dealr_cards(captures: DataFrame) -> DataFrame:
-    df = _with_text(segments(captures, class_tag(r"(?<![\w-])dealr-inventory-vehicle(?![\w-])")))
+    df = segments(captures, class_tag(r"(?<![\w-])dealr-inventory-vehicle(?![\w-])"))
     df = df.withColumn("href", _anchor_href(F.col("seg"), "inventory/|/vehicle"))
     slug = F.get(F.filter(F.split("href", "/"), lambda s: s.rlike(r"^(19|20)\d{2}-")), 0)
     df = df.withColumn("slug", F.split(F.coalesce(slug, F.lit("")), "-"))
@@ -161,11 +166,8 @@ def dealr_cards(captures: DataFrame) -> DataFrame:
 
 
 def overfuel_cards(captures: DataFrame) -> DataFrame:
-    df = _with_text(segments(captures, _DATA_VIN))
-    df = df.withColumns({
-        "tag": F.regexp_extract("seg", "^<[^>]*>", 0),
-        "href": _anchor_href(F.col("seg"), "/inventory/"),
-    })
+    df = segments(captures, _DATA_VIN)
+    df = df.withColumn("href", _anchor_href(F.col("seg"), "/inventory/"))
     parts = F.split(F.coalesce(F.element_at(F.split("href", "/"), -1), F.lit("")), "-")
     ends_in_vin = F.element_at(parts, -1).rlike("(?i)" + V.VIN_PATTERN)
     df = df.withColumn(
@@ -203,7 +205,7 @@ def carsforsale_cards(captures: DataFrame) -> DataFrame:
     parts = F.filter(F.split("body", f"(?={opening})"), lambda s: s.rlike("^" + opening))
     parts = F.transform(parts, lambda s: F.struct(
         F.regexp_extract(F.regexp_extract(s, "^<a[^>]*>", 0), _CFS_LINK, 4).alias("id"),
-        F.regexp_replace(s, r"(?is)(?:<footer\b|</main>|</body>|</html>).*$", "").alias("seg"),
+        F.regexp_replace(s, _PAGE_END, "").alias("seg"),
     ))
     # a link to something else than a listing belongs to no card
     parts = F.filter(parts, lambda p: p["id"] != "")
@@ -211,15 +213,21 @@ def carsforsale_cards(captures: DataFrame) -> DataFrame:
         F.filter(JM.page_scripts(F.col("body")), JM.is_ld),
         lambda s: X.bind(F.try_parse_json(X.trimmed(s["text"])), _ld_prices),
     ))
-    rows = captures.select(*PAGE_KEYS, parts.alias("_parts"), prices.alias("_prices"))
-    cards = X.bind(F.col("_parts"), lambda ps: F.transform(
-        F.array_distinct(F.transform(ps, lambda p: p["id"])),
-        lambda i: F.struct(i.alias("id"), F.array_join(F.transform(
-            F.filter(ps, lambda p: p["id"] == i), lambda p: p["seg"]), " ").alias("seg")),
+
+    def whole(i: Column, ps: Column) -> Column:
+        mine = F.transform(F.filter(ps, lambda p: p["id"] == i), lambda p: p["seg"])
+        return X.bind(F.array_join(mine, " "), lambda seg: F.struct(
+            i.alias("id"), seg.alias("seg"), X.visible_text(seg).alias("text"),
+            _anchor_href(seg, "/details/").alias("href"),
+        ))
+
+    cards = X.bind(parts, lambda ps: F.transform(
+        F.array_distinct(F.transform(ps, lambda p: p["id"])), lambda i: whole(i, ps)
     ))
-    rows = rows.select(*PAGE_KEYS, "_prices", F.posexplode(cards).alias("card_ord", "_c"))
-    df = _with_text(rows.select(*PAGE_KEYS, "card_ord", "_prices", "_c.id", "_c.seg"))
-    df = df.withColumn("href", _anchor_href(F.col("seg"), "/details/"))
+    rows = captures.select(*PAGE_KEYS, "body", prices.alias("_prices"))
+    df = explode_rows(rows, [*PAGE_KEYS, "_prices"], cards, "card_ord", "_c").select(
+        *PAGE_KEYS, "card_ord", "_prices", "_c.id", "_c.seg", "_c.text", "_c.href"
+    )
     df = df.withColumns({
         "y": _group(F.col("href"), _CFS_LINK),
         "mk": X.first_match(F.col("href"), _CFS_LINK, 2),
@@ -318,11 +326,10 @@ def _free_text_fields(text: Column) -> dict[str, Column]:
 
 
 def _candidates(captures: DataFrame, opening: str) -> DataFrame:
-    df = _with_text(segments(captures, opening, [*PAGE_KEYS, "page_url"]))
+    df = segments(captures, opening, [*PAGE_KEYS, "page_url"])
     df = df.filter(F.length("text").between(20, 3000))
-    tag = F.regexp_extract("seg", "^<[^>]*>", 0)
     df = df.withColumn("vin", F.coalesce(
-        attr(tag, "data-vin"), F.nullif(F.regexp_extract("text", V.VIN_IN_TEXT, 0), F.lit(""))
+        attr(F.col("tag"), "data-vin"), F.nullif(F.regexp_extract("text", V.VIN_IN_TEXT, 0), F.lit(""))
     ))
     df = df.filter(F.col("vin").isNotNull() | F.col("text").rlike(V.YEAR_MAKE_MODEL))
     href = X.first_match(F.col("seg"), r"""(?is)<a\b[^>]*\bhref\s*=\s*["']([^"']*)["']""")
@@ -404,20 +411,20 @@ def wide_cards(captures: DataFrame) -> DataFrame:
 
 def anchored_vins(captures: DataFrame) -> DataFrame:
     """Vehicles around VINs in the page's text, keyed by VIN."""
-    df = captures.withColumn("_text", X.visible_text(F.col("body")))
     vins = F.array_distinct(F.filter(
-        F.regexp_extract_all("_text", F.lit(V.VIN_IN_TEXT), F.lit(0)), sane_vin
+        F.regexp_extract_all(X.visible_text(F.col("body")), F.lit(V.VIN_IN_TEXT), F.lit(0)), sane_vin
     ))
-    found = F.transform(vins, lambda v: F.struct(
-        v.alias("vin"),
-        F.substring(
-            F.col("body"), F.greatest(F.locate(v, F.col("body")) - 1000, F.lit(1)), F.lit(2017)
-        ).alias("window"),
-    ))
-    rows = df.select(*PAGE_KEYS, "page_url", F.posexplode(found).alias("_i", "_v"))
-    # the window may start or end inside a tag
-    window = F.regexp_replace(F.col("_v.window"), r"^[^<>]*>|<[^<>]*$", "")
-    rows = rows.withColumns({"_w": window, "_t": X.visible_text(window)})
+
+    def around(vin: Column) -> Column:
+        start = F.greatest(F.position(vin, F.col("body")) - 1000, F.lit(1))
+        cut = F.substring(F.col("body"), start, F.lit(2017))
+        # the window may start or end inside a tag
+        return X.bind(F.regexp_replace(cut, r"^[^<>]*>|<[^<>]*$", ""), lambda w: F.struct(
+            vin.alias("vin"), w.alias("window"), X.visible_text(w).alias("text")
+        ))
+
+    rows = explode_rows(captures, [*PAGE_KEYS, "page_url"], F.transform(vins, around), "_i", "_v")
+    rows = rows.withColumns({"_w": F.col("_v.window"), "_t": F.col("_v.text")})
     href = X.first_match(F.col("_w"), r"""(?is)<a\b[^>]*\bhref\s*=\s*["']([^"']*)["']""")
     return rows.select(
         *PAGE_KEYS, F.col("_v.vin").alias("_key"),

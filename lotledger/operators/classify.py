@@ -16,6 +16,7 @@ from ..functions import markers as M
 from ..functions import text as X
 from ..functions import urls as U
 from . import jsonmine
+from .rows import explode_rows
 
 
 def _marked(text: Column, markers: str) -> Column:
@@ -265,7 +266,7 @@ def vendor_mentions(captures: DataFrame) -> DataFrame:
     content = X.first_match(tag, r"""(?i)\bcontent\s*=\s*["']([^"']*)["']""")
     generator = F.concat(F.lit("gen:"), F.get(F.split(content, r"[\s\d]"), 0))
     names = F.concat(domains, F.array_compact(F.array(generator)))
-    return captures.select("capture_id", F.explode(names).alias("vendor"))
+    return explode_rows(captures, ["capture_id"], names, "_i", "vendor").drop("_i")
 
 
 def vendor_tally(captures: DataFrame) -> DataFrame:

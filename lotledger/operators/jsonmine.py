@@ -15,6 +15,7 @@ from ..functions import text as X
 from ..functions import urls as U
 from .blobs import script_literals
 from .keyed import first_by
+from .rows import explode_rows, settle
 
 _VEHICLE_ARRAY_DEPTH = 8
 _LD_LEVELS = 6
@@ -291,7 +292,7 @@ def embedded_records(captures: DataFrame, keep: list[str]) -> DataFrame:
             x["i"].alias("pos"), x["s"]["text"].alias("text"),
         ),
     ))
-    df = df.withColumn("_ld", ld_records(ld_texts))
+    df = settle(df, [*keep, "_scripts"], {"_ld": ld_records(ld_texts)})
     df = df.select(
         *keep, "_ld",
         F.when(F.size("_ld") == 0, ranked).otherwise(F.slice(ranked, 1, 0)).alias("_ranked"),
@@ -307,7 +308,7 @@ def embedded_records(captures: DataFrame, keep: list[str]) -> DataFrame:
         ),
         lambda x: F.size(x["raws"]) > 0,
     )
-    df = df.withColumn("_script", F.get(found, 0))
+    df = settle(df, [*keep, "_ld"], {"_script": F.get(found, 0)})
     from_ld = F.size("_ld") > 0
     best = F.when(from_ld, F.struct(
         F.lit(V.SOURCE_LD).alias("source"), F.lit(0).alias("priority"), F.col("_ld").alias("raws")
@@ -316,14 +317,15 @@ def embedded_records(captures: DataFrame, keep: list[str]) -> DataFrame:
         F.when(F.col("_script.rank") < 2, 1).otherwise(2).alias("priority"),
         F.col("_script.raws").alias("raws"),
     ))
-    return df.withColumn("_best", best).select(
-        *keep, "_best.source", "_best.priority", F.posexplode("_best.raws").alias("ord", "raw")
+    df = settle(df, keep, {"_best": best}).withColumns(
+        {"source": F.col("_best.source"), "priority": F.col("_best.priority")}
     )
+    return explode_rows(df, [*keep, "source", "priority"], F.col("_best.raws"), "ord", "raw")
 
 
 def response_records(responses: DataFrame, keep: list[str]) -> DataFrame:
     """``keep..., ord, raw`` of every vehicle array in JSON responses."""
-    return responses.select(*keep, F.posexplode(vehicle_records(F.col("body"))).alias("ord", "raw"))
+    return explode_rows(responses, keep, vehicle_records(F.col("body")), "ord", "raw")
 
 
 # --- platform responses ----------------------------------------------------------
@@ -332,8 +334,9 @@ def cars_commerce_listings(responses: DataFrame) -> DataFrame:
     """Listings of Cars Commerce answers as card columns: the last listing per VIN wins,
     at the place of the first."""
     listed = _list_at(F.try_parse_json("body"), "$.data.listings")
-    rows = responses.filter(F.col("page_url").rlike("(?i)" + V.CARS_COMMERCE_URL)).select(
-        "run_id", "dealer_url", "page_ord", F.posexplode(listed).alias("card_ord", "_v")
+    rows = explode_rows(
+        responses.filter(F.col("page_url").rlike("(?i)" + V.CARS_COMMERCE_URL)),
+        ["run_id", "dealer_url", "page_ord"], listed, "card_ord", "_v",
     )
 
     def text(path: str) -> Column:
@@ -400,6 +403,6 @@ def answer_records(answers: DataFrame) -> DataFrame:
         F.col("_t").startswith("["),
         F.transform(J.array_members(F.col("_t"), J.root_path(), none), lambda n: n["text"]),
     ).otherwise(F.array("_t"))
-    return parsed.select("dealer_url", F.posexplode(rows).alias("ord", "raw")).withColumn(
+    return explode_rows(parsed, ["dealer_url"], rows, "ord", "raw").withColumn(
         "origin", U.origin(F.col("dealer_url"))
     )

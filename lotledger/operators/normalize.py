@@ -14,6 +14,7 @@ from ..functions import text as X
 from ..functions import urls as U
 from ..schemas import VEHICLE_COLUMNS
 from .keyed import first_by, top_per_group
+from .rows import settle
 
 _ENTRY = "struct<text:string,kind:string>"
 _NESTED_LEVELS = 4
@@ -200,8 +201,9 @@ def normalize_vehicles(
 ) -> DataFrame:
     """Replace the raw JSON column by the 23 vehicle columns. No row is dropped."""
     keep = [c for c in df.columns if c != raw]
-    picked = with_alias_maps(df, raw).select(
-        *keep, raw, picked_values(F.col("_exact"), F.col("_suffix")).alias("_picked")
+    picked = settle(
+        with_alias_maps(df, raw), [*keep, raw],
+        {"_picked": picked_values(F.col("_exact"), F.col("_suffix"))},
     )
     values = {}
     for i, field in enumerate(V.FIELD_ALIASES):
@@ -219,7 +221,7 @@ def normalize_vehicles(
 
 def finish_fields(df: DataFrame, base: str, run_year: int) -> DataFrame:
     """VIN, year, condition and URL rules on typed columns."""
-    df = df.withColumns({
+    df = settle(df, df.columns, {
         "_url": U.resolve(F.col("url"), F.col(base)),
         "_image": U.resolve(F.col("image_url"), F.col(base)),
     })

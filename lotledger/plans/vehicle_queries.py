@@ -377,7 +377,7 @@ def n2(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", X.to_float(text).alias("x"))
 
 
-@query("n3_to_str", """select doc_id, md5(left(text,500)) as digest from (select doc_id, trim(text, E' \\t\\n\\r\\u00a0') as text from documents) where text <> ''""")
+@query("n3_to_str", """select doc_id, md5(left(text,500)) as digest from (select doc_id, trim(text, E' \\t\\n\\r') as text from documents) where text <> ''""")
 def n3(spark, sf):
     padded = F.concat(F.lit("  \t"), F.col("text"), F.lit("\n "))
     return table(spark, sf, "documents").select(
@@ -412,7 +412,7 @@ def n7(spark, sf):
     return N.normalize_vehicles(docs).select("doc_id", F.length("raw_json").cast("bigint").alias("n_chars"))
 
 
-@query("n8_normalize_vehicle", FV + """ select id, vin, stock as stock_number, make, model, yr as year, miles as mileage, cast(price as double) as price from f""")
+@query("n8_normalize_vehicle", FV + """ select id, vin, stock as stock_number, make, model, yr as year, case when id % 4 = 1 then null else miles end as mileage, cast(price as double) as price from f""")
 def n8(spark, sf):
     return N.normalize_vehicles(R8.raw_records(spark, sf)).select(
         "id", "vin", "stock_number", "make", "model", "year", "mileage", "price"

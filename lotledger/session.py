@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     # Rank-limit filters (first row per key, top 2000 per dealer) are cut on the map
     # side up to this rank, so a hot key ships at most `rank` rows per map task.
     "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
+    # Parsing costs far more per byte than a scan: let small shuffles keep all cores busy.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # Bodies are wide rows: keep input splits small.
     "spark.sql.files.maxPartitionBytes": str(64 << 20),
 }
