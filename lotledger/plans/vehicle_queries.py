@@ -13,6 +13,7 @@ from ..operators import classify as C
 from ..operators import jsonmine as JM
 from ..operators import normalize as N
 from ..operators import reports as R
+from ..operators.rows import settle
 from . import rendering as R8
 from .page_queries import FINGER, marked
 from .registry import query
@@ -272,10 +273,10 @@ def j5(spark, sf):
 @query("j6_script_literals", FV + " select dealer_url, page_ord, 1 as literals, count(*) as vins from f group by all")
 def j6(spark, sf):
     scripts = F.transform(JM.page_scripts(F.col("body")), lambda s: s["text"])
-    found = F.flatten(JM.script_literals(F.filter(scripts, JM.could_hold_vehicles)))
-    return R8.state_pages(spark, sf).select("dealer_url", "page_ord", scripts.alias("_x"), "body").select(
-        "dealer_url", "page_ord", found.alias("_l")
-    ).select(
+    pages = settle(R8.state_pages(spark, sf), ["dealer_url", "page_ord"], {
+        "_t": F.filter(scripts, JM.could_hold_vehicles)
+    }).withColumn("_b", JM.script_literals(F.col("_t")))
+    return pages.withColumn("_l", F.flatten("_b")).select(
         "dealer_url", "page_ord", F.size("_l").alias("literals"),
         F.regexp_count(F.array_join("_l", ""), F.lit('"vin"')).cast("bigint").alias("vins"),
     )
