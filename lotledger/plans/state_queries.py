@@ -442,7 +442,7 @@ def _job(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     dealer = F.xxhash64("url")
     vehicles = _as_batch(messages.select(
         dealer.alias("dealer_id"), "run_id", "ord",
-        F.concat(F.lit("FX1GB"), F.lpad((F.col("amount") * 100).cast("bigint").cast("string"), 12, "0")).alias("vin"),
+        F.concat(F.lit("FX1GB"), F.lpad(F.round(F.col("amount") * 100).cast("bigint").cast("string"), 12, "0")).alias("vin"),
         F.col("amount").alias("price"), F.lit("api").alias("source_strategy"),
     )).withColumn("seen_at", F.to_timestamp("run_id"))
     results = messages.select(
@@ -492,7 +492,7 @@ def t2b(spark, sf):
     return spark.read.parquet(f"{root}/out")
 
 
-@query("t3_incremental_upsert", GOOD + " select url, 'FX1GB' || lpad(cast(cast(value*100 as bigint) as varchar),12,'0') as vin, min(run_id) as first_seen_run, max(run_id) as last_seen_run from g group by all")
+@query("t3_incremental_upsert", GOOD + " select url, 'FX1GB' || lpad(cast(cast(round(value*100) as bigint) as varchar),12,'0') as vin, min(run_id) as first_seen_run, max(run_id) as last_seen_run from g group by all")
 def t3(spark, sf):
     worker = _worked(spark, sf)
     urls = table(spark, sf, "events").select(F.expr("'https://d' || user_id || '.example.com'").alias("url")).distinct()
