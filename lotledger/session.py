@@ -40,6 +40,7 @@ def build_session(app: str = "lotledger", master: str | None = None) -> SparkSes
             .config("spark.ui.enabled", "false")
             .config("spark.ui.showConsoleProgress", "false")
             .config("spark.sql.shuffle.partitions", cores)
+            .config("spark.python.sql.dataFrameDebugging.enabled", "false")
             .config("spark.driver.memory", os.environ.get("LOTLEDGER_DRIVER_MEMORY", "8g"))
         )
     return configure(builder.getOrCreate())

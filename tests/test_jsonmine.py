@@ -1,6 +1,5 @@
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from lotledger.operators import jsonmine as JM
@@ -31,7 +30,7 @@ def brute(obj, path=(), depth=0):
     return found
 
 
-@pytest.mark.parametrize("doc", [
+DOCUMENTS = [
     [CAR, CAR],
     {"z": [CAR], "a": [CAR, {"x": 1}]},
     [dict(CAR, options=[{"Make": 1, "model_name": 2, "Trim": 3}])],
@@ -43,9 +42,14 @@ def brute(obj, path=(), depth=0):
     {"a": {"b": {"c": {"d": {"e": {"f": {"g": {"h": {"i": [CAR]}}}}}}}}},
     [[CAR], [CAR]],
     {},
-])
-def test_vehicle_arrays_match_a_plain_search(spark, doc):
-    assert arrays(spark, doc) == brute(doc)
+]
+
+
+def test_vehicle_arrays_match_a_plain_search(spark):
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(DOCUMENTS)], "i int, t string")
+    rows = df.select("i", JM.vehicle_arrays(F.col("t")).alias("h")).collect()
+    got = {r["i"]: [tuple(h["path"]) for h in r["h"]] for r in rows}
+    assert [got[i] for i in range(len(DOCUMENTS))] == [brute(d) for d in DOCUMENTS]
 
 
 def test_unparsable_document_yields_nothing(spark):

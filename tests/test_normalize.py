@@ -2,7 +2,6 @@
 
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from lotledger.operators import normalize as N
@@ -43,7 +42,7 @@ def test_document_order_not_alphabetical(spark):
     assert v["price"] == 1.0
 
 
-@pytest.mark.parametrize("record, field, expected", [
+FIELD_CASES = [
     ({"brand": {"name": "Q"}}, "make", None),
     ({"mileage": 52000.0}, "mileage", 52000),
     ({"mileage": "52000.0"}, "mileage", 520000),
@@ -60,9 +59,14 @@ def test_document_order_not_alphabetical(spark):
     ({"images": ["/a.png", "/b.png"]}, "image_url", "https://d.com/a.png"),
     ({"price": 1e10}, "price", 1e10),
     ({"make": "  Ford ﻿"}, "make", "Ford"),
-])
-def test_vehicle_field(spark, record, field, expected):
-    assert vehicle(spark, record)[field] == expected
+]
+
+
+def test_vehicle_fields(spark):
+    rows = [(i, json.dumps(r), "https://d.com") for i, (r, _, _) in enumerate(FIELD_CASES)]
+    df = spark.createDataFrame(rows, "i int, raw string, origin string")
+    got = {r["i"]: r for r in N.normalize_vehicles(df).collect()}
+    assert [got[i][f] for i, (_, f, _) in enumerate(FIELD_CASES)] == [e for _, _, e in FIELD_CASES]
 
 
 def test_first_suffix_key_wins_even_when_empty(spark):
