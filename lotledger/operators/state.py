@@ -7,11 +7,13 @@ neither side of the join ever holds a key twice.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import urls as U
 from ..schemas import VEHICLE_COLUMNS
-from .keyed import first_by
+from .keyed import first_by, join_on_hot_keys
 
 _KEY = ["dealer_id", "vehicle_key"]
 _SEEN = ["first_seen_run", "last_seen_run", "first_seen_at", "last_seen_at"]
@@ -113,13 +115,6 @@ def fold_batch(batch: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _again(folded: DataFrame) -> DataFrame:
-    """A folded row as input of the next fold."""
-    return folded.withColumnsRenamed({"last_run": "run_id", "last_at": "seen_at"}).drop(
-        "first_run", "first_at"
-    )
-
-
 def _model_key() -> Column:
     """make|model|year|url, where make, model and year are all there."""
     full = (
@@ -129,12 +124,17 @@ def _model_key() -> Column:
     return F.when(full, F.concat_ws("|", "make", "model", "year", F.coalesce("url", F.lit(""))))
 
 
+def _last_known(column: str) -> Column:
+    return F.expr(f"max_by({column}, ord) FILTER (WHERE {column} IS NOT NULL)").alias(column)
+
+
 def resolve_without_vin(state: DataFrame, batch: DataFrame) -> DataFrame:
-    """Fold rows without VIN and give each its ``vehicle_key``.
+    """Give each row without VIN its ``vehicle_key``.
 
     A row belongs to the known vehicle with its stock number, else to the one with its
-    make, model, year and URL, else it is new; new rows meet by the same two keys. Rows
-    are folded by stock first, then by the second key, in one pass: rows that only meet
+    make, model, year and URL, else it is new; new rows meet by the same two keys. The
+    decision is made once per stock number and once per model key, on small tables, and
+    joined back to the rows by salted key. Rows meet in one pass: those that only meet
     through a chain of changing stock numbers may end up apart.
     """
     old = state.filter("vin is null").withColumn("_model", _model_key())
@@ -142,29 +142,43 @@ def resolve_without_vin(state: DataFrame, batch: DataFrame) -> DataFrame:
         F.min("vehicle_key").alias("_target")
     )
     has_stock = F.coalesce(F.col("stock_number"), F.lit("")) != ""
-    stocked = _again(fold_batch(batch.filter(has_stock), ["dealer_id", "stock_number"]))
-    stocked = stocked.join(by_stock, ["dealer_id", "stock_number"], "left")
-    bare = batch.filter(~has_stock).withColumn("_target", F.lit(None).cast("string"))
-    columns = ["dealer_id", *VEHICLE_COLUMNS, "source_strategy", "run_id", "seen_at", "rows", "ord", "_target"]
-    both = stocked.select(columns).unionByName(bare.select(columns)).withColumn("_model", _model_key())
-    anchors = (
-        old.select("dealer_id", "_model", F.col("vehicle_key").alias("_anchor"))
-        .unionByName(both.filter("_target is not null").select(
-            "dealer_id", "_model", F.col("_target").alias("_anchor")))
+    stocked = batch.filter(has_stock)
+    bare = batch.filter(~has_stock).withColumn("_model", _model_key())
+    groups = (
+        stocked.groupBy("dealer_id", "stock_number").agg(
+            *[_last_known(c) for c in ("make", "model", "year", "url")],
+            F.min_by("run_id", "ord").alias("_run"),
+        )
+        .withColumn("_model", _model_key())
+        .join(by_stock, ["dealer_id", "stock_number"], "left")
+        .select("dealer_id", "stock_number", "_model", "_run", "_target")
+    )
+    no_key, no_run = F.lit(None).cast("string").alias("_key"), F.lit(None).cast("string").alias("_run")
+    by_model = (
+        old.select("dealer_id", "_model", F.col("vehicle_key").alias("_key"), no_run)
+        .unionByName(groups.select("dealer_id", "_model", F.col("_target").alias("_key"), "_run"))
+        .unionByName(bare.select("dealer_id", "_model", no_key, F.col("run_id").alias("_run")))
         .filter("_model is not null")
-        .groupBy("dealer_id", "_model").agg(F.min("_anchor").alias("_anchor"))
-    )
-    joined = both.join(anchors, ["dealer_id", "_model"], "left")
-    fresh = F.concat_ws(
-        ":", F.lit("new"), "run_id",
-        F.coalesce(
-            F.concat(F.lit("m:"), F.col("_model")), F.concat(F.lit("s:"), F.col("stock_number")),
-            F.concat(F.lit("r:"), F.col("ord").cast("string")),
+        .groupBy("dealer_id", "_model").agg(F.min("_key").alias("_key"), F.min("_run").alias("_run"))
+        .select("dealer_id", "_model", F.coalesce(
+            "_key", F.concat_ws(":", F.lit("new"), "_run", F.lit("m"), "_model")).alias("_by_model"))
+    )
+    stock_keys = groups.join(by_model, ["dealer_id", "_model"], "left").select(
+        "dealer_id", "stock_number",
+        F.coalesce("_target", "_by_model", F.concat_ws(":", F.lit("new"), "_run", F.lit("s"), "stock_number"))
+        .alias("vehicle_key"),
+    )
+    alone = F.concat_ws(":", F.lit("new"), "run_id", F.lit("r"), F.col("ord").cast("string"))
+    columns = [*batch.columns, "vehicle_key"]
+    parts = [
+        join_on_hot_keys(stocked, stock_keys, ["dealer_id", "stock_number"], ["ord"]),
+        join_on_hot_keys(
+            bare.filter("_model is not null"), by_model.withColumnRenamed("_by_model", "vehicle_key"),
+            ["dealer_id", "_model"], ["ord"],
         ),
-    )
-    return joined.withColumn("vehicle_key", F.coalesce("_target", "_anchor", fresh)).drop(
-        "_target", "_anchor", "_model"
-    )
+        bare.filter("_model is null").withColumn("vehicle_key", alone),
+    ]
+    return reduce(DataFrame.unionByName, [p.select(columns) for p in parts])
 
 
 def merge_vehicles(state: DataFrame, batch: DataFrame) -> DataFrame:

@@ -58,6 +58,17 @@ def test_two_key_chain_in_one_batch_is_one_row(spark):
     assert counts(merged) == (1, 1)
 
 
+def test_interleaved_rows_keep_batch_order(spark):
+    merged = ST.merge_vehicles(empty_state(spark), batch(
+        spark, dict(stock="S", price=1.0, **CAR), dict(price=2.0, **CAR), dict(stock="S", price=3.0, **CAR)))
+    assert [(r["price"], r["batch_rows"]) for r in merged.collect()] == [(3.0, 3)]
+
+
+def test_two_new_stock_numbers_of_one_model_meet(spark):
+    merged = ST.merge_vehicles(empty_state(spark), batch(spark, dict(stock="S1", **CAR), dict(stock="S2", **CAR)))
+    assert [r["stock_number"] for r in merged.collect()] == ["S2"]
+
+
 def test_url_is_part_of_the_second_key(spark):
     merged = ST.merge_vehicles(empty_state(spark), batch(spark, dict(url="/1", **CAR), dict(url="/2", **CAR), dict(**CAR)))
     assert merged.count() == 3
