@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import work_folder
+
 PAGE_CARDS = 60  # cards per rendered listing page
 
 
@@ -93,6 +95,13 @@ CARD_MARKUP = {
 }
 
 
+def stored(captures: DataFrame) -> DataFrame:
+    """Captures as a written table, which is what the operators meet in real use."""
+    path = work_folder(captures.sparkSession, "captures")
+    captures.write.parquet(path)
+    return captures.sparkSession.read.parquet(path)
+
+
 def listing_pages(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     """Rendered listing pages of one kind of markup."""
     return pages_of(vehicles(spark, sf), CARD_MARKUP[kind])

@@ -14,6 +14,7 @@ from ..operators import jsonmine as JM
 from ..operators import normalize as N
 from ..operators import reports as R
 from ..operators.rows import settle
+from . import inventory_run as IR
 from . import rendering as R8
 from .page_queries import FINGER, marked
 from .registry import query
@@ -110,7 +111,7 @@ def x8(spark, sf):
 
 @query("x9_wide_cards", FV + f""" select dealer_url, {VIN5} as vin, make, model, yr as year, miles as mileage, {PRICE} as price, dealer_url || '/car/' || cast(id as varchar) as url from f""")
 def x9(spark, sf):
-    cards = CA.wide_cards(R8.listing_pages(spark, sf, "generic"))
+    cards = CA.wide_cards(R8.stored(R8.listing_pages(spark, sf, "generic")))
     return CA.cards_to_vehicles(cards).select(
         "dealer_url", "vin", "make", "model", "year", "mileage", "price", "url"
     )
@@ -118,7 +119,7 @@ def x9(spark, sf):
 
 @query("x9_vin_anchored", FV + " select dealer_url, vin, make, model, yr as year, dealer_url || '/car/' || cast(id as varchar) as url from f")
 def x9b(spark, sf):
-    cards = CA.wide_cards(R8.listing_pages(spark, sf, "anchored"))
+    cards = CA.wide_cards(R8.stored(R8.listing_pages(spark, sf, "anchored")))
     return CA.cards_to_vehicles(cards).select("dealer_url", "vin", "make", "model", "year", "url")
 
 
@@ -142,14 +143,14 @@ def x10(spark, sf):
 
 @query("x11_page_yield", PAGES2 + " select dealer_url, page_ord, cards, new_keys from pp")
 def x11(spark, sf):
-    pages = _twice(R8.listing_pages(spark, sf, "dealr"))
+    pages = R8.stored(_twice(R8.listing_pages(spark, sf, "dealr")))
     return CA.page_yield(CA.dealr_cards(pages), "dealr", pages).drop("run_id")
 
 
 @query("x12_pagination_cut", PAGES2 + """, last as (select dealer_url, min(page_ord) filter (where new_keys = 0 or cards < 50) as l from pp group by dealer_url)
   select pp.dealer_url, page_ord, cards from pp join last using (dealer_url) where page_ord <= l""")
 def x12(spark, sf):
-    pages = _twice(R8.listing_pages(spark, sf, "dealr"))
+    pages = R8.stored(_twice(R8.listing_pages(spark, sf, "dealr")))
     cut = CA.cut_pagination(CA.dealr_cards(pages), "dealr", pages)
     return cut.groupBy("dealer_url", "page_ord").agg(F.count("*").alias("cards"))
 
@@ -191,7 +192,7 @@ def x13b(spark, sf):
         })
         for label, kind in kinds.items()
     ])
-    return CA.platform_vehicles(pages).groupBy("dealer_url", "platform").agg(F.count("*").alias("vehicles"))
+    return CA.platform_vehicles(R8.stored(pages)).groupBy("dealer_url", "platform").agg(F.count("*").alias("vehicles"))
 
 
 def _page_vehicles(records: DataFrame) -> DataFrame:
@@ -207,7 +208,7 @@ _CARD = ["run_id", "dealer_url", "page_ord", "card_ord"]
   union all select distinct dealer_url, null, make, model, yr, 'used' from f where id % 5 = 0""")
 def x14(spark, sf):
     embedded = _page_vehicles(JM.embedded_records(R8.ld_pages(spark, sf), ["run_id", "dealer_url", "page_ord"]))
-    cards = CA.cards_to_vehicles(CA.wide_cards(R8.listing_pages(spark, sf, "generic")))
+    cards = CA.cards_to_vehicles(CA.wide_cards(R8.stored(R8.listing_pages(spark, sf, "generic"))))
     columns = [*_CARD, *V.FIELD_ALIASES]
     merged = CA.merge_wide_path(embedded.select(columns), cards.select(columns))
     return merged.select(
@@ -221,7 +222,7 @@ def x14(spark, sf):
 def x15(spark, sf):
     odd = F.regexp_extract("dealer_url", r"d(\d+)\.", 1).cast("int") % 2
     responses = _page_vehicles(JM.response_records(R8.json_pages(spark, sf), ["run_id", "dealer_url", "page_ord"]))
-    cards = CA.cards_to_vehicles(CA.wide_cards(R8.listing_pages(spark, sf, "generic")))
+    cards = CA.cards_to_vehicles(CA.wide_cards(R8.stored(R8.listing_pages(spark, sf, "generic"))))
     columns = [*_CARD, *V.FIELD_ALIASES]
     merged = CA.merge_rendered(
         responses.select(columns).withColumn("base_ord", F.lit(1)),
@@ -459,3 +460,30 @@ def n11(spark, sf):
 def r5(spark, sf):
     cards = CA.dealersync_cards(R8.listing_pages(spark, sf, "dealersync"))
     return R.field_coverage(CA.cards_to_vehicles(cards))
+
+
+# --- a whole run ----------------------------------------------------------------------------
+def _mixed_captures(spark, sf):
+    """Five kinds of dealer, by dealer number: platform cards, JSON answers, JSON-LD, free
+    cards, and pages without any vehicle."""
+    kind = F.regexp_extract("dealer_url", r"d(\d+)\.", 1).cast("int") % 5
+    pages = [
+        R8.listing_pages(spark, sf, "dealersync"), R8.json_pages(spark, sf), R8.ld_pages(spark, sf),
+        R8.listing_pages(spark, sf, "generic"),
+        R8.listing_pages(spark, sf, "generic").withColumn("body", F.repeat(F.lit("<p>nothing here</p>"), 100)),
+    ]
+    parts = [
+        p.filter(kind == i).withColumn("platform", F.lit("DealerSync" if i == 0 else None).cast("string"))
+        for i, p in enumerate(pages)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("e2e_inventory_run", FV + """, n as (select *, cast(substr(dealer_url, 10, position('.' in dealer_url) - 10) as int) % 5 as kind from f),
+  c as (select dealer_url, kind, count(*) filter (where kind in (0, 3) or page_ord = 0) as n from n group by all)
+  select dealer_url as url, case kind when 0 then 'DealerSync' when 1 then 'api' when 2 then 'embedded' when 3 then 'navigate' else 'none' end as strategy_used,
+   case when kind = 4 then 'failed' else 'ok' end as status, cast(case when kind = 4 then 0 else n end as int) as vehicles_found from c""")
+def e2e(spark, sf):
+    captures = R8.stored(_mixed_captures(spark, sf))
+    vehicles = IR.run_layers(spark, captures)
+    return IR.ledger_rows(vehicles, captures).select("url", "strategy_used", "status", "vehicles_found")
