@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import sql, warc_derivatives
+from . import budget_mix, link_trust, sql, warc_derivatives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,3 +34,28 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     pages = _table(spark, sf, "pages")
     responses = warc_derivatives.responses_of_pages(pages, "2024-01-01T00:00:00Z")
     return warc_derivatives.derivatives(responses, ["page_id"])
+
+
+# (verdict, host, path): fixed values of the query.
+RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@_query("op7_link_trust", sql.LINK_TRUST)
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "rule_verdict string, rule_host string, rule_path string")
+    return link_trust.judge_pages(_table(spark, sf, "pages"), rules)
+
+
+@_query("op8_budget_mix")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    mix = budget_mix.decide(_table(spark, sf, "documents"), [1, 2, 3])
+    return mix.select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("size") * F.col("copies")).alias("taken"), "source", "copies",
+    )

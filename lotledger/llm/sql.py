@@ -65,3 +65,58 @@ select page_id, record_type, record_id, refers_to, target_uri, date, content_typ
     'Content-Length: ' || content_length) || {_NL} || {_NL} || block || {_NL} || {_NL} as record
 from n
 """
+
+
+def _rounds(n: int) -> str:
+    """One table per round of the spread, s0 to sn."""
+    steps = []
+    for i in range(n):
+        steps.append(f"""s{i + 1} as (
+  select kind, host, sum(score) as score from (
+    select kind, host, score from s0
+    union all
+    select m.kind, m.target_host, s.score * m.share from moves m join s{i} s on s.kind = m.kind and s.host = m.source_host
+  ) group by all
+)""")
+    return ",\n".join(steps)
+
+
+LINK_TRUST = rf"""
+with rules(v, h, p) as (
+  values ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+    ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), pg as (
+  select page_id, html,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+  from pages
+), fits as (
+  select u.host, u.path, r.h || r.p as rule, r.v,
+    row_number() over (partition by u.host, u.path order by length(r.h || r.p) desc, length(r.h) desc, r.v desc) as k
+  from (select distinct host, path from pg) u
+  join rules r on (u.host = r.h or ends_with(u.host, '.' || r.h)) and starts_with(u.path, r.p)
+), ruled as (
+  select pg.page_id, pg.host, pg.path, f.rule, f.v
+  from pg left join (select * from fits where k = 1) f on f.host = pg.host and f.path = pg.path
+), seeds as (
+  select host, avg(case when v = 'allow' then 1.0 else 0.0 end) as trust, avg(case when v = 'block' then 1.0 else 0.0 end) as distrust
+  from ruled where host <> '' group by host
+), s0 as (
+  select 'trust' as kind, host, trust as score from seeds union all select 'distrust', host, distrust from seeds
+), edges as (
+  select source, target, count(*) as links from (
+    select host as source, translate(unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']?(?:[a-z][a-z0-9+.\-]*:)?//([^/"''\s>?#]+)', 1)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as target
+    from pg
+  ) where source <> '' and source <> target group by all
+), moves as (
+  select 'trust' as kind, source as source_host, target as target_host, 0.85 * links / sum(links) over (partition by source) as share from edges
+  union all
+  select 'distrust', target, source, 0.85 * links / sum(links) over (partition by target) from edges
+), {_rounds(16)}, verdicts as (
+  select host, case when sum(case when kind = 'distrust' then score else -score end) >= 0.5 then 'block' else 'allow' end as by_host
+  from s16 group by host
+)
+select r.page_id, r.host, r.path, r.rule, coalesce(r.v, h.by_host, 'allow') as verdict
+from ruled r left join verdicts h on h.host = r.host
+"""
