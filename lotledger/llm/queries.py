@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import budget_mix, link_trust, sql, warc_derivatives
+from . import budget_mix, langid, link_trust, nbest_pieces, sql, warc_derivatives
+from .common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,3 +60,26 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "size", "source_size", "target",
         (F.col("size") * F.col("copies")).alias("taken"), "source", "copies",
     )
+
+
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def language_model(docs: DataFrame):
+    """Learned from the rows whose crc32 of the id is not 0 mod 5."""
+    return langid.train(docs.filter(id_remainder(F.col("doc_id"), 5) != 0))
+
+
+@_query("op1_language_id")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    said = langid.predicted(F.col("text"), language_model(docs))
+    return docs.select(
+        "doc_id", F.coalesce(id_remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        said.alias("said"),
+    ).select("doc_id", "held_out", F.col("said.lang").alias("lang_pred"), F.col("said.score").alias("score"))
+
+
+@_query("op4_nbest_pieces")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return nbest_pieces.encode(_table(spark, sf, "documents"), nbest_pieces.load_vocabulary(PIECE_MODEL), n=4)
