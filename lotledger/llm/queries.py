@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import budget_mix, langid, link_trust, nbest_pieces, sql, warc_derivatives
+from . import budget_mix, langid, link_trust, nbest_pieces, permutation_index, sql, toxicity, warc_derivatives
 from .common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,24 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
 @_query("op4_nbest_pieces")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return nbest_pieces.encode(_table(spark, sf, "documents"), nbest_pieces.load_vocabulary(PIECE_MODEL), n=4)
+
+
+@_query("op6_toxicity")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    labels = _table(spark, sf, "labels").filter(id_remainder(F.col("doc_id"), 4) != 2)
+    model = toxicity.train(docs, labels)
+    held_out = F.coalesce(id_remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    scored = docs.select(
+        "doc_id", held_out.alias("held_out"), "lang",
+        toxicity.toxicity_score(F.col("text"), model).alias("score"),
+    )
+    return scored.select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        toxicity.is_toxic(F.col("score"), F.col("lang"), model).alias("flagged"),
+    )
+
+
+@_query("op3_permutation_index")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return permutation_index.nearest(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
