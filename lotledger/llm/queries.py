@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import budget_mix, langid, link_trust, nbest_pieces, permutation_index, sql, toxicity, warc_derivatives
+from . import budget_mix, langid, link_trust, nbest_pieces, permutation_index, sorted_projection, sql, toxicity, warc_derivatives
 from .common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,8 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @_query("op3_permutation_index")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     return permutation_index.nearest(_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@_query("op9_sorted_projection", sql.NEAR_VECTORS)
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return sorted_projection.near_duplicates(_table(spark, sf, "embeddings"))

@@ -120,3 +120,25 @@ with rules(v, h, p) as (
 select r.page_id, r.host, r.path, r.rule, coalesce(r.v, h.by_host, 'allow') as verdict
 from ruled r left join verdicts h on h.host = r.host
 """
+
+
+NEAR_VECTORS = """
+with recursive v as (
+  select vec_id, cast(embedding as double[]) as e from embeddings
+  where embedding is not null and len(embedding) > 0
+    and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+    and list_bool_or(list_transform(embedding, lambda x: coalesce(x <> 0, false)))
+), n as (
+  select vec_id, e, sqrt(list_inner_product(e, e)) as size from v
+), links as (
+  select a.vec_id as a, b.vec_id as b from n a join n b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_inner_product(a.e, b.e) / (a.size * b.size) >= 0.9
+), reach(vec_id, hit) as (
+  select vec_id, vec_id from embeddings
+  union
+  select r.vec_id, l.b from reach r join links l on l.a = r.hit
+)
+select r.vec_id, cast((select count(*) from links l where l.a = r.vec_id) as bigint) as n_links,
+  min(r.hit) as component_id, min(r.hit) = r.vec_id as kept
+from reach r group by r.vec_id
+"""
