@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import budget_mix, langid, link_trust, nbest_pieces, permutation_index, sorted_projection, sql, toxicity, warc_derivatives
+from . import budget_mix, jaccard_join, langid, link_trust, nbest_pieces, permutation_index, sorted_projection, sql, toxicity, warc_derivatives
 from .common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,8 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @_query("op9_sorted_projection", sql.NEAR_VECTORS)
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return sorted_projection.near_duplicates(_table(spark, sf, "embeddings"))
+
+
+@_query("op2_jaccard_join")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.similar_documents(_table(spark, sf, "documents"))
