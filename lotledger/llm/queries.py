@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import budget_mix, jaccard_join, langid, link_trust, nbest_pieces, permutation_index, sorted_projection, sql, toxicity, warc_derivatives
+from . import budget_mix, fuzzy_lines, jaccard_join, langid, link_trust, nbest_pieces, permutation_index, sorted_projection, sql, toxicity, warc_derivatives
 from .common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,9 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @_query("op2_jaccard_join")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.similar_documents(_table(spark, sf, "documents"))
+
+
+@_query("op5_fuzzy_lines")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return fuzzy_lines.dedup_lines(docs)
