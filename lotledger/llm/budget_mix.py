@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import free_name, settled, word_count
+from .common import by_size, free_name, settled, word_count
 
 SLICES = 256
 
@@ -195,13 +195,13 @@ def decide(
 def mixed(docs: DataFrame, weights: list[float], **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; all columns are kept.
 
-    Rows that repeat an id share the id's first decisions: an id counts once, at its first
-    source and size.
+    Rows that repeat an id are all taken as often as the one of them that is taken most.
     """
-    copies = decide(docs.dropDuplicates(["doc_id"]), weights, **options)
     id_, n = free_name(docs, "mix_id"), free_name(docs, "mix_copies")
-    taken = copies.filter("copies > 0").select(F.col("doc_id").alias(id_), F.col("copies").alias(n))
+    taken = decide(docs, weights, **options).groupBy(F.col("doc_id").alias(id_)).agg(
+        F.max("copies").alias(n)
+    ).filter(F.col(n) > 0)
     return (
-        docs.join(taken, F.col("doc_id").eqNullSafe(F.col(id_)))
+        docs.join(by_size(settled(taken, "mix-taken")), F.col("doc_id").eqNullSafe(F.col(id_)))
         .withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))).select(*docs.columns)
     )

@@ -69,3 +69,15 @@ def free_name(df: DataFrame, wish: str) -> str:
     while wish.lower() in taken:
         wish = "_" + wish
     return wish
+
+
+# Rows of a few numbers up to which a side may be broadcast: some 50 MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def by_size(small: DataFrame) -> DataFrame:
+    """A written table of ids and numbers, marked for broadcast if its rows are few enough.
+
+    Beyond the limit the join is left to a shuffle of both sides.
+    """
+    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small

@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import free_name, settled
+from .common import by_size, free_name, settled
 from .components import star_components
 
 WORDS = 5
@@ -26,8 +26,6 @@ SIGNATURE = 2048
 FAN = 8
 BLOCK = 1024
 PIECE = 1 << 20
-# Ids up to this many may be broadcast (8 bytes each); more are joined by shuffle.
-BROADCAST_IDS = 4_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -429,18 +427,19 @@ def texts_of(docs: DataFrame, firsts: DataFrame, postings: DataFrame) -> DataFra
     need = settled(
         postings.select("fp").distinct().join(firsts, "fp").select("fp", F.col("first").alias("id")), "jaccard-need"
     )
-    small = need.count() <= BROADCAST_IDS
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(
-        F.broadcast(need) if small else need, F.expr("doc_id <=> id")
-    ).select("fp", "text")
-    return rows
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    # Rows that repeat an id would repeat the text, or bring another one.
+    return rows.join(by_size(need), F.expr("doc_id <=> id")).select("fp", "text")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its component, each id once; columns as they were."""
-    once = docs.dropDuplicates(["doc_id"])
+    """The rows of ``docs`` whose doc_id names its component, each id once; columns as they were.
+
+    Documents without a shingle, and one of those with a null id, stay.
+    """
+    judged = settled(similar_documents(docs).select("doc_id", "component_id"), "jaccard-judged")
+    repeated = not judged.groupBy("doc_id").count().filter("count > 1").isEmpty()
     id_ = free_name(docs, "similar_id")
-    kept = similar_documents(once).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias(id_)
-    )
-    return once.join(kept, F.col("doc_id").eqNullSafe(F.col(id_)), "left_semi").select(*docs.columns)
+    gone = judged.filter("doc_id <> component_id").select(F.col("doc_id").alias(id_)).distinct()
+    kept = docs.join(by_size(settled(gone, "jaccard-gone")), F.col("doc_id") == F.col(id_), "left_anti")
+    return kept.dropDuplicates(["doc_id"]) if repeated else kept
