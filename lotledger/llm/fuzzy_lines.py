@@ -11,6 +11,7 @@ SHINGLE = 8
 ROWS, BANDS = 3, 8
 PLACES = 1 << 31
 LAST = (1 << 63) - 1
+CROWD = 64
 # Up to so many documents' dropped line numbers may be broadcast; more are joined by shuffle.
 BROADCAST_DOCS = 200_000
 
@@ -120,12 +121,24 @@ def grouped(posted: DataFrame, named: DataFrame | None) -> DataFrame:
     )
 
 
+def open_buckets(now: DataFrame, turn: int) -> DataFrame:
+    """The rows of buckets with more than one component, their leader and their number."""
+    flip = F.xxhash64(F.lit(turn))
+    mixed = now.groupBy("band").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"),
+        F.min(F.col("line").bitwiseXOR(flip)).bitwiseXOR(flip).alias("leader"),
+    ).filter("low <> high").select("band", "leader", "members")
+    return now.join(mixed, "band")
+
+
 def link_lines(docs: DataFrame, posted: DataFrame, signed: DataFrame, similarity: float) -> DataFrame | None:
     """``node, component`` of the linked lines; None without a link.
 
     In rounds, every line of a bucket that is not yet one component is compared with the
-    bucket's leader, so a bucket of many copies gives one pair per line and round. When a
-    round links nothing, all pairs left across components of a bucket are compared.
+    bucket's leader, so a bucket of many copies gives one pair per line and round. After the
+    first round, only buckets of over ``CROWD`` lines take part; rounds end when fewer than
+    a quarter of their pairs link. Then all pairs left across components of a bucket are
+    compared.
     """
     crowded = posted.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
     posted = settled(posted.join(crowded, "band", "left_semi"), "line-posted")
@@ -134,25 +147,26 @@ def link_lines(docs: DataFrame, posted: DataFrame, signed: DataFrame, similarity
     edges = named = None
     turn = 0
     while True:
-        now = grouped(posted, named)
-        flip = F.xxhash64(F.lit(turn))
-        mixed_bands = now.groupBy("band").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"),
-            F.min(F.col("line").bitwiseXOR(flip)).bitwiseXOR(flip).alias("leader"),
-        ).filter("low <> high").select("band", "leader")
-        mixed = settled(now.join(mixed_bands, "band"), "line-mixed")
-        pairs = mixed.filter("line <> leader").select(
-            F.col("leader").alias("a"), F.col("line").alias("b"), "component"
-        ).distinct()
+        mixed = settled(open_buckets(grouped(posted, named), turn), "line-mixed")
+        # After the first round only crowded buckets are worth a round of their own.
+        tried = mixed.filter("line <> leader") if turn == 0 else mixed.filter(f"line <> leader and members > {CROWD}")
+        pairs = tried.select(F.col("leader").alias("a"), F.col("line").alias("b"), "component").distinct()
         if named is not None:
             own = named.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
             pairs = pairs.join(own, "a", "left").filter(F.coalesce("of_a", "a") != F.col("component"))
-        found = settled(verified(pairs.select("a", "b"), texts, similarity), "line-links")
-        if found.isEmpty():
+        chosen = settled(pairs.select("a", "b"), "line-chosen")
+        asked = chosen.count()
+        if asked == 0:
             break
-        edges = found if edges is None else settled(edges.unionAll(found), "line-edges")
-        named = settled(star_components(edges, "line-rounds"), "line-named")
+        found = settled(verified(chosen, texts, similarity), "line-links")
+        linked = found.count()
+        if linked:
+            edges = found if edges is None else settled(edges.unionAll(found), "line-edges")
+            named = settled(star_components(edges, "line-rounds"), "line-named")
         turn += 1
+        if linked < asked / 4:
+            mixed = settled(open_buckets(grouped(posted, named), turn), "line-mixed") if linked else mixed
+            break
     side = lambda x, c: mixed.select("band", F.col("line").alias(x), F.col("component").alias(c))
     rest = side("a", "of_a").join(side("b", "of_b"), "band").filter("a < b and of_a <> of_b").select("a", "b").distinct()
     last = settled(verified(rest, texts, similarity), "line-last")
