@@ -31,7 +31,10 @@ def star_components(edges: DataFrame, name: str = "components") -> DataFrame:
         both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         name,
     )
-    seen = None
+    state = lambda t: t.agg(
+        F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
+    ).first()
+    seen = state(now)
     while True:
         facing = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _pull(facing, "b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -46,14 +49,11 @@ def star_components(edges: DataFrame, name: str = "components") -> DataFrame:
             .select("e.*").filter("a <> b").distinct()
         )
         after = settled(small, name)
-        state = after.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
-        ).first()
+        before, seen = seen, state(after)
         forget(now)
         now = after
-        if seen == state:
+        if seen == before:
             break
-        seen = state
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

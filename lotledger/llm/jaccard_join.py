@@ -25,6 +25,7 @@ SLICES = 64
 SIGNATURE = 2048
 FAN = 8
 BLOCK = 1024
+CROWD = 64
 PIECE = 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -285,6 +286,30 @@ def spread(nodes: np.ndarray, tree: Tree, level: int) -> np.ndarray:
     return nodes[:, None] * FAN + np.arange(FAN)
 
 
+def signed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and signatures leave room for a link."""
+    side = lambda x: sets.select(F.col("fp").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+    rows = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            count = batch.num_rows
+            if not count:
+                continue
+            nodes = []
+            for n, bits in (("n_a", "bits_a"), ("n_b", "bits_b")):
+                n = batch.column(n).to_numpy()
+                bits = np.frombuffer(b"".join(batch.column(bits).to_pylist()), dtype=np.uint64).reshape(count, -1)
+                slack = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+                nodes.append((n, n, slack, bits, np.full(count, -1)))
+            ok = may_link(nodes[0], np.arange(count), nodes[1], np.arange(count))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(batch.column(c).to_numpy()[ok]) for c in ("a", "b")], ["a", "b"]
+            )
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def tree_pairs(members: DataFrame) -> DataFrame:
     """Distinct pairs (a, b) that may link across components; ``members``: token, fp, n, bits, component.
 
@@ -347,6 +372,16 @@ def grouped(postings: DataFrame, named: DataFrame | None) -> DataFrame:
     )
 
 
+def open_blocks(blocks: DataFrame, turn: int) -> DataFrame:
+    """The postings of blocks with more than one component, their leader and their number."""
+    flip = F.xxhash64(F.lit(turn))
+    mixed = blocks.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"),
+        F.min(F.col("fp").bitwiseXOR(flip)).bitwiseXOR(flip).alias("leader"),
+    ).filter("low <> high").select("token", "leader", "members")
+    return blocks.join(mixed, "token")
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` (doc_id, text).
 
@@ -363,8 +398,9 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     their shingles; sets that link meet under one of them. 3. In rounds, the sets of a block
     that are not yet in one component choose the block leader they share most postings
     with, and the pair is verified: groups of copies, however large, become one component
-    with one pair per set and round. 4. Once a round finds no link, signature trees give all
-    pairs left across components, and they are verified. Blocks within one component are
+    with one pair per set and round; after the first round, only blocks of over ``CROWD`` sets
+    take part, and rounds end when fewer than a quarter of their pairs link. 4. Signature
+    trees give all pairs left across components, and they are verified. Blocks within one component are
     done and never expanded.
     """
     counts = shingle_counts(docs)
@@ -382,28 +418,31 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     edges = named = None
     turn = 0
     while True:
-        blocks = settled(grouped(postings, named), "jaccard-blocks")
-        open_ = blocks.groupBy("token").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"),
-            F.min(F.col("fp").bitwiseXOR(F.xxhash64(F.lit(turn)))).bitwiseXOR(F.xxhash64(F.lit(turn))).alias("leader"),
-        ).filter("low <> high").select("token", "leader")
-        mixed = settled(blocks.join(open_, "token"), "jaccard-open")
-        votes = mixed.filter("fp <> leader").groupBy("fp", "leader", "component").agg(F.count("*").alias("votes"))
+        mixed = settled(open_blocks(grouped(postings, named), turn), "jaccard-open")
+        # After the first round only crowded blocks are worth a round of their own.
+        tried = mixed.filter("fp <> leader") if turn == 0 else mixed.filter(f"fp <> leader and members > {CROWD}")
+        votes = tried.groupBy("fp", "leader", "component").agg(F.count("*").alias("votes"))
         if named is not None:
             own = named.select(F.col("node").alias("leader"), F.col("component").alias("of_leader"))
             votes = votes.join(own, "leader", "left").filter(
                 F.col("component") != F.coalesce("of_leader", "leader")
             )
         best = F.row_number().over(Window.partitionBy("fp").orderBy(F.desc("votes"), "leader"))
-        chosen = votes.withColumn("place", best).filter("place = 1").select(
+        chosen = settled(signed_pairs(votes.withColumn("place", best).filter("place = 1").select(
             F.col("leader").alias("a"), F.col("fp").alias("b")
-        )
-        found = settled(verified(settled(chosen, "jaccard-chosen"), texts), "jaccard-links")
-        if found.isEmpty():
+        ), one), "jaccard-chosen")
+        asked = chosen.count()
+        if asked == 0:
             break
-        edges = found if edges is None else settled(edges.unionAll(found), "jaccard-edges")
-        named = settled(star_components(edges, "jaccard-rounds"), "jaccard-named")
+        found = settled(verified(chosen, texts), "jaccard-links")
+        linked = found.count()
+        if linked:
+            edges = found if edges is None else settled(edges.unionAll(found), "jaccard-edges")
+            named = settled(star_components(edges, "jaccard-rounds"), "jaccard-named")
         turn += 1
+        if linked < asked / 4:
+            mixed = settled(open_blocks(grouped(postings, named), turn), "jaccard-open") if linked else mixed
+            break
     rest = mixed.select("token", "fp", "component").join(one.select("fp", "n", "bits"), "fp")
     last = settled(verified(settled(tree_pairs(rest), "jaccard-pairs"), texts), "jaccard-last")
     if edges is not None or not last.isEmpty():

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import settled
+from .common import settled, shared_folder
 
 BLOCK = 4096
 
@@ -151,7 +151,7 @@ def nearest(
     index = settled(build_index(clean, chosen, -(-width["n"] // BLOCK)), "ann-index")
     queries = clean.filter(is_query)
     rounds = max(1, -(-queries.count() // chunk))
-    found = None
+    folder, found = shared_folder(spark, "ann-found"), None
     for i in range(rounds):
         part = queries.filter(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(rounds)) == i)
         part = part.orderBy("vec_id").collect()
@@ -159,7 +159,8 @@ def nearest(
             ids = np.array([r["vec_id"] for r in part], dtype=np.int64)
             vecs = np.array([r["vec"] for r in part], dtype=float)
             hits = search_blocks(index, ids, vecs, chosen, k, share)
-            found = hits if found is None else found.unionAll(hits)
+            hits.write.mode("append").parquet(folder)
+            found = spark.read.schema(hits.schema).parquet(folder)
     if found is None:
         return spark.createDataFrame([], shape)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
