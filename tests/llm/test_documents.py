@@ -228,6 +228,7 @@ def every_segmentation(unit, v):
 
 def test_nbest_against_every_segmentation(vocabulary):
     encoder = nbest_pieces.Encoder(vocabulary, 5)
+    encoder.FEW = 0
     for text in ("the inning", "a  b", "üben wir", "▁x", "x", " lead", "tail ", "ab \U0001f600c"):
         units = nbest_pieces.UNITS.findall(" " + text)
         encoder.prepare(set(units))
@@ -245,6 +246,7 @@ def test_nbest_against_every_segmentation(vocabulary):
 
 def test_long_words_agree_with_the_array_viterbi(vocabulary):
     encoder, word = nbest_pieces.Encoder(vocabulary, 2), " " + "reallylong" * 9
+    encoder.FEW = 0
     encoder.prepare({word, word[:40]})
     for unit in (word, word[:40]):
         full = nbest_pieces.lattice_nbest(unit, vocabulary, 2)
