@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import free_name, settled
 from .components import star_components
@@ -16,6 +16,10 @@ CROWD = 64
 BROADCAST_DOCS = 200_000
 
 
+def seat_of(key: Column, place: Column) -> Column:
+    return (key.cast("decimal(20,0)") * F.lit(PLACES) + place).cast("decimal(31,0)")
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """``key, place, line, seat``: the lines with text, stripped of blanks at both ends.
 
@@ -25,7 +29,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
     return docs.select(key.alias("key"), F.posexplode(F.split("text", "\n")).alias("place", "line")).select(
         "key", "place", F.btrim("line", F.lit(" \t\r")).alias("line"),
-        (F.col("key").cast("decimal(20,0)") * F.lit(PLACES) + F.col("place")).cast("decimal(31,0)").alias("seat"),
+        seat_of(F.col("key"), F.col("place")).alias("seat"),
     ).filter("line <> ''")
 
 
@@ -49,14 +53,20 @@ def signatures(lines: DataFrame) -> DataFrame:
     distinct = lines.select(*line_keys(F.col("line")), "line", "seat").groupBy("h1", "h2").agg(
         F.max("line").alias("line"), F.min("seat").alias("seat"), F.count("*").alias("n")
     )
-    windows = distinct.select("h1", "h2", "seat", "n", F.col("line").cast("binary").alias("raw")).select(
-        "h1", "h2", "seat", "n", "raw", F.explode_outer(shingle_starts(F.octet_length("raw"))).alias("start")
-    ).select("h1", "h2", "seat", "n", F.xxhash64(F.substring("raw", F.col("start"), F.lit(SHINGLE))).alias("h"))
+    # The seat travels as two numbers, which are far cheaper to fold than a decimal.
+    keyed = distinct.select(
+        "h1", "h2", "n", F.expr(f"cast(pmod(seat, {PLACES}) as int)").alias("place"),
+        F.expr(f"cast((seat - pmod(seat, {PLACES})) div {PLACES} as bigint)").alias("key"),
+        F.col("line").cast("binary").alias("raw"),
+    )
+    windows = keyed.select(
+        "h1", "h2", "n", "place", "key", "raw", F.explode(shingle_starts(F.octet_length("raw"))).alias("start")
+    ).select("h1", "h2", "n", "place", "key", F.xxhash64(F.substring("raw", F.col("start"), F.lit(SHINGLE))).alias("h"))
     windows = windows.withColumn("part", F.shiftrightunsigned("h", 1) % (ROWS * BANDS))
     return windows.groupBy("h1", "h2").agg(
-        F.first("seat").alias("seat"), F.first("n").alias("n"),
+        F.max("n").alias("n"), F.max("place").alias("place"), F.max("key").alias("key"),
         *[F.min(F.when(F.col("part") == i, F.col("h"))).alias(f"m{i}") for i in range(ROWS * BANDS)],
-    )
+    ).withColumn("seat", seat_of(F.col("key"), F.col("place"))).drop("key", "place")
 
 
 def bands(signed: DataFrame) -> DataFrame:
@@ -167,12 +177,32 @@ def link_lines(docs: DataFrame, posted: DataFrame, signed: DataFrame, similarity
         if linked < asked / 4:
             mixed = settled(open_buckets(grouped(posted, named), turn), "line-mixed") if linked else mixed
             break
-    side = lambda x, c: mixed.select("band", F.col("line").alias(x), F.col("component").alias(c))
-    rest = side("a", "of_a").join(side("b", "of_b"), "band").filter("a < b and of_a <> of_b").select("a", "b").distinct()
-    last = settled(verified(rest, texts, similarity), "line-last")
-    if not last.isEmpty():
-        edges = last if edges is None else edges.unionAll(last)
-        named = settled(star_components(edges, "line-last-round"), "line-named")
+    side = lambda x: mixed.select("band", F.col("line").alias(x), F.col("component").alias(f"of_{x}"))
+    both = side("a").join(side("b"), "band").filter("a < b and of_a <> of_b")
+    rest = settled(both.groupBy("a", "b").agg(F.count("*").alias("shared")), "line-rest")
+    # The pair with the most buckets in common speaks for its two components first; the
+    # others are compared only if their components are still apart.
+    for first in (True, False):
+        apart = rest.select("a", "b", "shared")
+        for x in ("a", "b"):
+            if named is None:
+                apart = apart.withColumn(f"of_{x}", F.col(x))
+            else:
+                own = named.select(F.col("node").alias(x), F.col("component").alias("c"))
+                apart = apart.join(own, x, "left").withColumn(f"of_{x}", F.coalesce("c", x)).drop("c")
+        apart = apart.filter("of_a <> of_b")
+        if first:
+            best = Window.partitionBy(F.least("of_a", "of_b"), F.greatest("of_a", "of_b")).orderBy(F.desc("shared"), "a", "b")
+            asked_first = settled(
+                apart.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("a", "b"), "line-first"
+            )
+            pairs = asked_first
+        else:
+            pairs = apart.select("a", "b").join(asked_first, ["a", "b"], "left_anti")
+        found = settled(verified(pairs, texts, similarity), "line-last")
+        if not found.isEmpty():
+            edges = found if edges is None else settled(edges.unionAll(found), "line-edges")
+            named = settled(star_components(edges, "line-last-round"), "line-named")
     return named
 
 
