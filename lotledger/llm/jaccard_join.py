@@ -22,7 +22,7 @@ WORDS = 5
 NUM, DEN = 4, 5
 SKETCH_BITS = 18
 SLICES = 64
-SIGNATURE = 2048
+SIGNATURE = 1024
 FAN = 8
 BLOCK = 1024
 CROWD = 64
@@ -311,13 +311,14 @@ def signed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def tree_pairs(members: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) that may link across components; ``members``: token, fp, n, bits, component.
+    """Distinct pairs (a, b) that may link across components; ``members``: token, members (of the block), fp, n, bits, component.
 
     A block is the sets of one token. Blocks of over ``BLOCK`` sets are cut into slices; a
-    task gets two slices, builds a tree on each and traverses both.
+    task gets two slices, builds a tree on each and traverses both. Blocks of up to ``FAN``
+    sets are one leaf node; all leaf nodes of a batch are looked through at once.
     """
-    sizes = members.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("slices"))
-    cut = members.join(sizes, "token").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("slices")).cast("int"))
+    slices = F.ceil(F.col("members") / BLOCK).cast("int")
+    cut = members.withColumn("slices", slices).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("slices")).cast("int"))
     dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).select(
         "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         "own", "fp", "n", "bits", "component",
@@ -343,8 +344,17 @@ def tree_pairs(members: DataFrame) -> DataFrame:
         fp, n, own, group = (table.column(c).to_numpy() for c in ("fp", "n", "own", "component"))
         i_, j_ = table.column("i").to_numpy(), table.column("j").to_numpy()
         bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), dtype=np.uint64).reshape(len(fp), -1)
-        found = []
-        for start, end in zip(np.append(0, change), np.append(change, len(fp))):
+        starts, ends = np.append(0, change).astype(np.int64), np.append(change, len(fp)).astype(np.int64)
+        leaf = (ends - starts <= FAN) & (i_[starts] == j_[starts])
+        slack = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+        level, found = (n, n, slack, bits, group), []
+        for size in range(2, FAN + 1):
+            x, y = np.triu_indices(size, 1)
+            first = starts[leaf & (ends - starts == size)][:, None]
+            x, y = (first + x).ravel(), (first + y).ravel()
+            ok = may_link(level, x, level, y)
+            found.append(np.stack([fp[x[ok]], fp[y[ok]]], axis=1))
+        for start, end in zip(starts[~leaf], ends[~leaf]):
             rows = np.arange(start, end)
             itself = i_[start] == j_[start]
             sides = [rows] if itself else [rows[own[rows] == i_[start]], rows[own[rows] == j_[start]]]
@@ -408,12 +418,16 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     firsts = settled(
         sets.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("first")), "jaccard-firsts"
     )
-    # One row per set; rows that repeat an id and a set are equal, so any of them will do.
+    # One row per set; rows that repeat an id and a set are equal and do no harm.
+    small = by_size(firsts)
     one = sets.join(
-        firsts.select(F.col("fp").alias("f"), "first"), F.expr("fp = f and doc_id <=> first"), "left_semi"
-    ).dropDuplicates(["fp"])
+        small.select(F.col("fp").alias("f"), "first"), F.expr("fp = f and doc_id <=> first"), "left_semi"
+    )
+    if small is firsts:
+        one = settled(one, "jaccard-one")
     postings = settled(shared_postings(one), "jaccard-postings")
-    texts = settled(texts_of(docs, firsts, postings), "jaccard-texts")
+    repeated = not sets.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    texts = settled(texts_of(docs, firsts, postings, repeated), "jaccard-texts")
 
     edges = named = None
     turn = 0
@@ -443,7 +457,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         if linked < asked / 4:
             mixed = settled(open_blocks(grouped(postings, named), turn), "jaccard-open") if linked else mixed
             break
-    rest = mixed.select("token", "fp", "component").join(one.select("fp", "n", "bits"), "fp")
+    rest = mixed.select("token", "members", "fp", "component").join(one.select("fp", "n", "bits"), "fp")
     last = settled(verified(settled(tree_pairs(rest), "jaccard-pairs"), texts), "jaccard-last")
     if edges is not None or not last.isEmpty():
         edges = last if edges is None else edges.unionAll(last)
@@ -461,14 +475,29 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-def texts_of(docs: DataFrame, firsts: DataFrame, postings: DataFrame) -> DataFrame:
-    """``fp, text`` of the sets that share a posting, from one document of each."""
+def texts_of(docs: DataFrame, firsts: DataFrame, postings: DataFrame, repeated: bool) -> DataFrame:
+    """``fp, text`` of the sets that share a posting, from one document of each.
+
+    Where ids repeat, a text is taken only if it has the set of that fingerprint.
+    """
     need = settled(
         postings.select("fp").distinct().join(firsts, "fp").select("fp", F.col("first").alias("id")), "jaccard-need"
     )
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    # Rows that repeat an id would repeat the text, or bring another one.
-    return rows.join(by_size(need), F.expr("doc_id <=> id")).select("fp", "text")
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(
+        by_size(need), F.expr("doc_id <=> id")
+    ).select("fp", "text")
+    if not repeated:
+        return rows
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            sets = [shingler.shingles(t.as_py()) for t in batch.column(1)]
+            yield batch.filter(pa.array([
+                len(s) > 0 and fingerprint(s) == f for s, f in zip(sets, batch.column(0).to_pylist())
+            ], pa.bool_()))
+
+    return rows.mapInArrow(own, "fp long, text binary").groupBy("fp").agg(F.max("text").alias("text"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
