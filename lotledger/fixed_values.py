@@ -82,7 +82,6 @@ LAYER_ORDER = [
     "L0_extractor", "L0_pendiente", "L1_api", "L2_embebido", "L3_navegacion",
     "antibot", "recuperable", "descartado",
 ]
-GENERIC_TAG = "genérico"
 SEED_TAGS = [
     "DealerCenter", "DealerCarSearch", "DealerSync", "Dealr.cloud", "OverFuel",
     "DealerInspire", "Dealer.com", "CarsForSale.com",
@@ -139,26 +138,11 @@ VENDOR_NOISE = (
 )
 
 # --- fixed values: limits --------------------------------------------------------
-SIGNATURE_CHARS = 200_000
-CASCADE_CHARS = 250_000
-API_CHARS = 200_000
-CLEAN_CHARS = 120_000
 MIN_PAGE_CHARS = 1_500
 SPA_MIN_PAGE_CHARS = 2_000
 SPA_BIG_PAGE_CHARS = 8_000
-SCRIPT_MAX_CHARS = 3_000_000
-BLOB_MAX_CHARS = 2_000_000
-BLOB_MIN_CHARS = 200
-BLOBS_PER_SCRIPT = 5
-JSON_BODY_MIN, JSON_BODY_MAX = 100, 5_000_000
-RAW_JSON_CHARS = 20_000
-TEXT_FIELD_CHARS = 500
 MAX_PAGES = 15
-WIDE_MAX_PAGES = 3
 MAX_VEHICLES = 2_000
-GENERIC_CARDS_PER_PAGE = 500
-WIDE_CARDS_PER_PAGE = 1_000
-MAX_ATTEMPTS = 15
 SHORT_PAGE = {"dealr": 50, "overfuel": 25, "carsforsale": 24}
 
 # --- fixed values: paths ---------------------------------------------------------
@@ -168,8 +152,6 @@ INVENTORY_PATHS = [
     "/inventario", "/vehiculos", "/usados", "/autos", "/searchused.aspx",
     "/used-vehicles-for-sale", "/VehicleSearchResults",
 ]
-WIDE_PATHS = ["/inventory", "/used-inventory", "/used-cars"]
-RENDER_BASE_PATHS = ["/inventory", "/used-vehicles", "/used-inventory"]
 API_PATHS = [
     "/api/inventory", "/api/vehicles", "/api/inventory/search",
     "/apis/widget/INVENTORY_LISTING_DEFAULT_AUTO_ALL:inventory-data-bus1/getInventory",
@@ -191,7 +173,6 @@ QUOTED_API_PATH = (
     r"""["'](/[a-z0-9_\-/.]*(?:inventory|vehicles|inventario|vehiculos)[a-z0-9_\-/.?=&]*)["']"""
 )
 ASSET_PATH = r"\.(css|js|png|jpe?g|svg|webp|gif)(\?|$)"
-QUOTED_PATHS_KEPT = 10
 ASSET_URL = r"\.(png|jpe?g|svg|woff)"
 LINK_WORDS = [
     "inventory", "inventario", "used", "usados", "vehicles", "vehiculos",

@@ -46,6 +46,11 @@ def visible_text(markup: Column) -> Column:
     return F.trim(spaced(bare))
 
 
+def at_most(text: Column, limit: int | None) -> Column:
+    """The first ``limit`` characters; the whole text without a limit."""
+    return text if limit is None else F.left(text, F.lit(limit))
+
+
 def to_int(text: Column) -> Column:
     """Keep digits and '-', read the leading integer: '12.5' is 125.
 

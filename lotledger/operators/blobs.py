@@ -15,8 +15,6 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F, types as T
 
-from ..fixed_values import BLOB_MAX_CHARS, BLOB_MIN_CHARS, BLOBS_PER_SCRIPT, SCRIPT_MAX_CHARS
-
 # Executors get these few functions with the job and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -38,7 +36,7 @@ def _balanced(text: str, start: int) -> str | None:
     opening = text[start]
     closing = "}" if opening == "{" else "]"
     depth, quoted = 0, False
-    for token in _TOKEN.finditer(text, start, start + BLOB_MAX_CHARS):
+    for token in _TOKEN.finditer(text, start):
         mark = token.group()
         if mark == '"':
             quoted = not quoted
@@ -53,20 +51,24 @@ def _balanced(text: str, start: int) -> str | None:
     return None
 
 
-def json_literals(text: str | None) -> list[str]:
-    """The whole script if it is JSON, else up to five literals after an '='."""
-    if not text or len(text) > SCRIPT_MAX_CHARS:
+def json_literals(text: str | None, most: int | None = None) -> list[str]:
+    """The whole script if it is JSON, else the literals after an '=' (the first ``most``)."""
+    if not text:
         return []
     whole = text.strip()
     if whole[:1] in "{[" and _is_json(whole):
         return [whole]
     found: list[str] = []
+    closed = 0  # what lies inside a literal that is taken is not looked at again
     for match in _ASSIGNED.finditer(text):
-        if len(found) >= BLOBS_PER_SCRIPT:
+        if most is not None and len(found) >= most:
             break
+        if match.end() <= closed:
+            continue
         literal = _balanced(text, match.end() - 1)
-        if literal and len(literal) > BLOB_MIN_CHARS and _is_json(literal):
+        if literal and _is_json(literal):
             found.append(literal)
+            closed = match.end() - 1 + len(literal)
     return found
 
 

@@ -11,13 +11,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import fixed_values as V
 from ..functions import markers as M
 from ..functions import text as X
 from ..functions import urls as U
 from ..schemas import VEHICLE_COLUMNS, VEHICLE_TYPES
+from ..sources.captures import json_responses
+from . import jsonmine as JM
 from . import normalize as N
 from .keyed import first_by, join_on_hot_keys
 from .rows import explode_rows
@@ -325,9 +327,10 @@ def _free_text_fields(text: Column) -> dict[str, Column]:
     }
 
 
-def _candidates(captures: DataFrame, opening: str) -> DataFrame:
+def _candidates(captures: DataFrame, opening: str, chars: tuple[int, int] | None) -> DataFrame:
     df = segments(captures, opening, [*PAGE_KEYS, "page_url"])
-    df = df.filter(F.length("text").between(20, 3000))
+    if chars is not None:
+        df = df.filter(F.length("text").between(*chars))
     df = df.withColumn("vin", F.coalesce(
         attr(F.col("tag"), "data-vin"), F.nullif(F.regexp_extract("text", V.VIN_IN_TEXT, 0), F.lit(""))
     ))
@@ -342,26 +345,29 @@ def _page_key() -> Column:
     return X.null_safe_key(*[F.col(c) for c in ("year", "make", "model", "url")])
 
 
-def generic_cards(captures: DataFrame) -> DataFrame:
-    """Anything that looks like a vehicle card; first per key, at most 500 per page."""
-    df = _candidates(captures, _GENERIC_OPENING)
+def generic_cards(
+    captures: DataFrame, most: int | None = None, chars: tuple[int, int] | None = None
+) -> DataFrame:
+    """Anything that looks like a vehicle card; first per key.
+
+    Where given: at most ``most`` per page, with a text of ``chars`` characters.
+    """
+    df = _candidates(captures, _GENERIC_OPENING, chars)
     cards = _cards(df, {
         "vin": F.col("vin"), **_free_text_fields(F.col("text")),
         "url": F.col("url"), "image": F.col("image"),
     })
     keyed = cards.withColumn("_key", F.coalesce("vin", _page_key()))
     unique = first_by(keyed, ["capture_id", "_key"], [F.col("card_ord")]).drop("_key")
-    rank = F.row_number().over(_page_window())
-    return unique.withColumn("_rank", rank).filter(
-        F.col("_rank") <= V.GENERIC_CARDS_PER_PAGE
-    ).drop("_rank")
-
+    return _first_of_page(unique, most)
 
-def _page_window():
-    from pyspark.sql import Window
 
+def _first_of_page(cards: DataFrame, most: int | None) -> DataFrame:
+    if most is None:
+        return cards
     # bounded by the cards of one page
-    return Window.partitionBy("capture_id").orderBy("card_ord")
+    rank = F.row_number().over(Window.partitionBy("capture_id").orderBy("card_ord"))
+    return cards.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank")
 
 
 def sane_vin(vin: Column) -> Column:
@@ -382,13 +388,15 @@ def merge_fill(cards: DataFrame, keys: list[str], fields: list[str], order: list
 _WIDE_FIELDS = ["vin", "year", "make", "model", "price", "mileage", "condition", "url", "image_url"]
 
 
-def wide_cards(captures: DataFrame) -> DataFrame:
+def wide_cards(
+    captures: DataFrame, most: int | None = None, chars: tuple[int, int] | None = None
+) -> DataFrame:
     """More tags, VIN sanity, merge-fill per key, then VINs in text no card holds.
 
     The VIN-anchored pass reads 1,000 characters of markup on both sides of the VIN
-    instead of climbing the element tree.
+    instead of climbing the element tree. ``most`` and ``chars`` as in ``generic_cards``.
     """
-    df = _candidates(captures, _WIDE_OPENING)
+    df = _candidates(captures, _WIDE_OPENING, chars)
     vin = F.when(sane_vin(F.col("vin")), F.col("vin"))
     cards = _cards(df, {
         "vin": vin, **_free_text_fields(F.col("text")), "condition": F.lit("used"),
@@ -405,19 +413,23 @@ def wide_cards(captures: DataFrame) -> DataFrame:
     known = merged.select("capture_id", F.col("_key"))
     extra = loose.join(known, ["capture_id", "_key"], "left_anti").select(merged.columns)
     both = merged.unionByName(extra).drop("_key")
-    rank = F.row_number().over(_page_window())
-    return both.withColumn("_rank", rank).filter(F.col("_rank") <= V.WIDE_CARDS_PER_PAGE).drop("_rank")
+    return _first_of_page(both, most)
 
 
 def anchored_vins(captures: DataFrame) -> DataFrame:
     """Vehicles around VINs in the page's text, keyed by VIN."""
+    # The place of a VIN is sought in the page without scripts, styles and comments, and
+    # not inside tags, unless it stands in tags only.
+    captures = captures.withColumn("_shown", F.regexp_replace(
+        "body", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " "
+    ))
     vins = F.array_distinct(F.filter(
         F.regexp_extract_all(X.visible_text(F.col("body")), F.lit(V.VIN_IN_TEXT), F.lit(0)), sane_vin
     ))
 
     def around(vin: Column) -> Column:
-        start = F.greatest(F.position(vin, F.col("body")) - 1000, F.lit(1))
-        cut = F.substring(F.col("body"), start, F.lit(2017))
+        start = F.greatest(F.position(vin, F.col("_shown")) - 1000, F.lit(1))
+        cut = F.substring(F.col("_shown"), start, F.lit(2017))
         # the window may start or end inside a tag
         return X.bind(F.regexp_replace(cut, r"^[^<>]*>|<[^<>]*$", ""), lambda w: F.struct(
             vin.alias("vin"), w.alias("window"), X.visible_text(w).alias("text")
@@ -506,8 +518,6 @@ def cut_pagination(cards: DataFrame, platform: str, pages: DataFrame | None = No
 def cut_announced_total(pages: DataFrame) -> DataFrame:
     """Cars Commerce pages ``(run_id, dealer_url, page_ord, new_keys, total)`` up to the
     one that reaches the announced total. A dealer has at most 15 pages."""
-    from pyspark.sql import Window
-
     before = Window.partitionBy("run_id", "dealer_url").orderBy("page_ord").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -546,9 +556,9 @@ def cards_to_vehicles(cards: DataFrame, run_year: int = 2024) -> DataFrame:
         elif VEHICLE_TYPES[name] == "double":
             values[name] = X.to_float(value)
         else:
-            values[name] = F.left(X.trimmed(value), F.lit(V.TEXT_FIELD_CHARS))
+            values[name] = X.trimmed(value)
     raw = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    values["raw_json"] = F.left(raw, F.lit(V.RAW_JSON_CHARS))
+    values["raw_json"] = raw
     typed = cards.select(
         *keep, U.origin(F.col("dealer_url")).alias("origin"),
         *[values[c].alias(c) for c in VEHICLE_COLUMNS],
@@ -556,6 +566,12 @@ def cards_to_vehicles(cards: DataFrame, run_year: int = 2024) -> DataFrame:
     return N.finish_fields(typed, "origin", run_year)
 
 
+def _from_records(records: DataFrame, run_year: int) -> DataFrame:
+    rows = records.withColumnRenamed("ord", "card_ord").withColumn("origin", U.origin(F.col("dealer_url")))
+    return N.normalize_vehicles(rows, run_year=run_year)
+
+
+# Platforms whose listings stand in the page's markup, as cards.
 EXTRACTORS = {
     "dws": lambda caps: merge_layouts(cut_pagination(dws_cards(caps), "dws", caps)),
     "dealersync": dealersync_cards,
@@ -567,20 +583,31 @@ EXTRACTORS = {
 }
 
 
+# Platforms whose listings come as JSON responses, as vehicles.
+RESPONSE_EXTRACTORS = {
+    "dealerinspire": lambda caps, year: cards_to_vehicles(JM.cars_commerce_listings(caps), year),
+    "dealercom": lambda caps, year: _from_records(JM.dealercom_records(caps), year),
+}
+
+
 def platform_vehicles(captures: DataFrame, run_year: int = 2024) -> DataFrame:
-    """Route captures by ``platform`` label and run every card extractor.
+    """Route captures by ``platform`` label and run every extractor.
 
     Returns deduped vehicles with ``platform``; routing is a column, so each extractor
     scans only its own pages.
     """
     routed = captures.withColumn("extractor", extractor_for(F.col("platform")))
-    labels = routed.select("run_id", "dealer_url", "platform", "extractor").distinct()
+    # Two labels of one extractor are one platform: the smallest label names it.
+    labels = routed.groupBy("run_id", "dealer_url", "extractor").agg(F.min("platform").alias("platform"))
     parts = []
     for name, job in EXTRACTORS.items():
         cards = job(routed.filter(F.col("extractor") == name))
         parts.append(
             cards_to_vehicles(cards, run_year).drop("capture_id").withColumn("extractor", F.lit(name))
         )
+    for name, job in RESPONSE_EXTRACTORS.items():
+        found = job(json_responses(routed.filter(F.col("extractor") == name)), run_year)
+        parts.append(found.withColumn("extractor", F.lit(name)).select(parts[0].columns))
     every = reduce(DataFrame.unionByName, parts)
     unique = N.dedupe_vehicles(every, ["run_id", "dealer_url", "extractor"], ["page_ord", "card_ord"])
     return join_on_hot_keys(
@@ -592,7 +619,7 @@ def merge_wide_path(embedded: DataFrame, cards: DataFrame) -> DataFrame:
     """Embedded vehicles of each page first, cards last; first per VIN, else per
     year, make and model."""
     both = embedded.withColumn("_late", F.lit(0)).unionByName(cards.withColumn("_late", F.lit(1)))
-    return _first_per(both, F.concat_ws("|", "year", "make", "model"),
+    return _first_per(both, X.null_safe_key(*[F.col(c) for c in ("year", "make", "model")]),
                       [F.col("_late"), F.col("page_ord"), F.col("card_ord")]).drop("_late")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as V
 from ..functions import urls as U
-from .keyed import join_on_hot_keys
+from .keyed import join_on_hot_keys, sized
 
 OWNER = ["run_id", "dealer_url"]
 
@@ -40,9 +40,12 @@ def winning_vehicles(vehicles: DataFrame, won: DataFrame, spread: list[str]) ->
 
 
 def unsolved(captures: DataFrame, solved: DataFrame) -> DataFrame:
-    """Captures of dealers no cheaper layer has solved: what a costly layer still reads."""
-    keys = solved.select(*OWNER).distinct()
-    return join_on_hot_keys(captures, keys, OWNER, ["capture_id"], "left_anti")
+    """Captures of dealers no cheaper layer has solved: what a costly layer still reads.
+
+    The keys are marked for broadcast while they are few, so that bodies stay where they lie.
+    """
+    keys = sized(solved.select(*OWNER).distinct())
+    return captures.join(keys, OWNER, "left_anti")
 
 
 def first_hit(vehicles: DataFrame, place: str, spread: list[str], owner: list[str] = OWNER) -> DataFrame:
@@ -52,15 +55,14 @@ def first_hit(vehicles: DataFrame, place: str, spread: list[str], owner: list[st
     return kept.filter(F.col(place) == F.col("_least")).drop("_least")
 
 
-def traces(layers: DataFrame) -> DataFrame:
-    """Per run and dealer the attempts in order, up to and including the winner.
+def traces(layers: DataFrame, attempts: int | None = None) -> DataFrame:
+    """Per run and dealer the layers tried in order, up to and including the winner.
 
-    A dealer has at most six layers, so the list is short.
+    A dealer has at most six layers, so the list is short. Of a layer's attempts all are
+    kept, or the first ``attempts`` where that is given.
     """
-    entry = F.struct(
-        "prio", "strategy", "ok", "reason",
-        F.slice("attempts", 1, V.MAX_ATTEMPTS).alias("attempts"),
-    )
+    kept = F.col("attempts") if attempts is None else F.slice("attempts", 1, attempts)
+    entry = F.struct("prio", "strategy", "ok", "reason", kept.alias("attempts"))
     hit = F.when(F.col("ok") & (F.col("n") > 0), F.col("prio"))
     listed = layers.groupBy(*OWNER).agg(
         F.sort_array(F.collect_list(entry)).alias("_all"), F.min(hit).alias("_win")

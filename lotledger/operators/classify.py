@@ -16,7 +16,8 @@ from ..functions import markers as M
 from ..functions import text as X
 from ..functions import urls as U
 from . import jsonmine
-from .rows import explode_rows
+from .keyed import first_by
+from .rows import explode_rows, settle
 
 
 def _marked(text: Column, markers: str) -> Column:
@@ -41,10 +42,11 @@ def host_platform(url: Column, cname: Column) -> Column:
     return X.bind(blob, lambda low: M.first_label(low, V.HOST_SIGNATURES))
 
 
-def with_page_platform(df: DataFrame, label: str = "page_platform", whole: bool = False) -> DataFrame:
-    """First page signature that hits: plain captures are read up to 200,000
-    characters, rendered ones whole."""
-    text = F.col("body") if whole else F.left("body", F.lit(V.SIGNATURE_CHARS))
+def with_page_platform(
+    df: DataFrame, label: str = "page_platform", limit: int | None = None
+) -> DataFrame:
+    """First page signature that hits, in the whole page or its first ``limit`` characters."""
+    text = X.at_most(F.col("body"), limit)
     return df.withColumn(
         label, X.bind(F.lower(text), lambda low: M.first_label(low, V.HTML_SIGNATURES))
     )
@@ -62,26 +64,40 @@ def with_builder(df: DataFrame, label: str = "builder") -> DataFrame:
     return df.withColumn(label, X.bind(F.lower("body"), chain))
 
 
+def _order(captures: DataFrame) -> list[Column]:
+    """Page and attempt of a capture; 0 where the table has no such column."""
+    return [
+        F.col(c) if c in captures.columns else F.lit(0).alias(c) for c in ("page_ord", "attempt")
+    ]
+
+
+def first_capture(labels: DataFrame) -> DataFrame:
+    """One row per ``url``: the one of the first page and attempt. Labels, no bodies."""
+    return first_by(labels, ["url"], [F.col("page_ord"), F.col("attempt")]).drop("page_ord", "attempt")
+
+
 def fingerprint(captures: DataFrame, rendered: DataFrame | None = None) -> DataFrame:
     """One row per URL: ``url, platform, via, cname``.
 
-    ``captures`` holds the plain capture of each URL. ``rendered`` holds the rendered
+    ``captures`` holds plain captures; of several of one URL the first counts. ``rendered`` holds the rendered
     capture of the URLs that needed one; passing None means no rendering was done.
     """
-    first = (
+    first = first_capture(
         captures.withColumn("host_label", host_platform(F.col("dealer_url"), F.col("cname")))
         .transform(with_page_platform, "html_label")
         .select(
             F.col("dealer_url").alias("url"), "cname", "host_label", "html_label",
             (F.col("error").isNotNull() | F.col("status").isNull() | (F.col("status") >= 400))
             .alias("needs_render"),
+            *_order(captures),
         )
     )
     if rendered is not None:
-        second = with_page_platform(rendered, "label", whole=True).select(
+        second = first_capture(with_page_platform(rendered, "label").select(
             F.col("dealer_url").alias("url"),
             F.when(F.col("error").isNull(), F.coalesce("label", F.lit(V.LABEL_UNKNOWN))).alias("rendered"),
-        )
+            *_order(rendered),
+        ))
         first = first.join(second, "url", "left")
         render_label = F.coalesce("rendered", F.lit(V.LABEL_UNREACHABLE))
         render_via = F.when(F.col("rendered").isNull(), "browser-error").otherwise("browser")
@@ -111,9 +127,10 @@ def distribution(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("pct", X.rounded_share(F.col("n"), total)).orderBy(F.desc("n"), label)
 
 
-def spa_likelihood(captures: DataFrame) -> DataFrame:
-    """Per dealer: template markers, many detail links, or one big page."""
-    pages = captures.filter(F.length("body") >= V.SPA_MIN_PAGE_CHARS)
+def spa_likelihood(captures: DataFrame, least: int = V.SPA_MIN_PAGE_CHARS) -> DataFrame:
+    """Per dealer: template markers, many detail links, or one big page. By definition,
+    pages of fewer than ``least`` characters say nothing."""
+    pages = captures.filter(F.length("body") >= least)
     marks = F.col("body").rlike("(?i)" + V.SPA_MARKERS) | (
         F.regexp_count("body", F.lit("(?i)" + V.DETAIL_LINK)) >= 6
     )
@@ -130,8 +147,8 @@ def embedded_signal(body: Column) -> Column:
     return F.coalesce(jsonmine.ld_inventory_signal(body) | state | many, F.lit(False))
 
 
-def api_signal(body: Column) -> Column:
-    text = F.left(body, F.lit(V.API_CHARS))
+def api_signal(body: Column, limit: int | None = None) -> Column:
+    text = X.at_most(body, limit)
     return F.coalesce(
         text.rlike(r"^\s*[\[{]") & (F.regexp_count(text, F.lit(r'(?i)"vin"\s*:')) >= 2),
         F.lit(False),
@@ -149,17 +166,20 @@ def api_answers(json_captures: DataFrame) -> DataFrame:
 
 
 def cascade_layers(
-    platform_map: DataFrame, captures: DataFrame, json_captures: DataFrame | None = None
+    platform_map: DataFrame, captures: DataFrame, json_captures: DataFrame | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
-    """``url, platform, layer``: the layer that would solve each dealer."""
-    body = F.left("body", F.lit(V.CASCADE_CHARS))
-    seen = (
-        captures.withColumn("_body", body)
+    """``url, platform, layer``: the layer that would solve each dealer, one row per row of
+    the map. Of several captures of a URL the first counts; a URL without a capture is
+    ``sin_captura`` unless its label alone decides."""
+    seen = first_capture(
+        captures.withColumn("_body", X.at_most(F.col("body"), limit))
         .select(
             F.col("dealer_url").alias("url"), "status", "error",
             _marked(F.col("_body"), V.CHALLENGE_MARKERS).alias("challenge"),
             _marked(F.col("_body"), V.PARKED_MARKERS).alias("parked"),
             embedded_signal(F.col("_body")).alias("embedded"),
+            F.lit(True).alias("captured"), *_order(captures),
         )
     )
     joined = platform_map.join(seen, "url", "left")
@@ -170,14 +190,15 @@ def cascade_layers(
     label, error = F.col("platform"), F.col("error")
     dead = F.when(error == "timeout", "recuperable").otherwise("descartado")
     probed = (
-        F.when(error.isNotNull(), dead)
+        F.when(F.col("captured").isNull(), "sin_captura")
+        .when(error.isNotNull(), dead)
         .when(F.col("status").isin(V.BLOCKED_STATUS) | F.col("challenge"), "antibot")
         .when(F.col("parked"), "descartado")
         .when(F.col("embedded"), "L2_embebido")
         .when(F.col("has_api"), "L1_api")
         .otherwise("L3_navegacion")
     )
-    again = F.when(error.isNotNull(), dead).when(F.col("status") >= 400, "antibot").otherwise("recuperable")
+    again = F.when(F.col("captured").isNull(), "sin_captura").when(error.isNotNull(), dead).when(F.col("status") >= 400, "antibot").otherwise("recuperable")
     layer = (
         F.when(label.isin(V.READY_LABELS), "L0_extractor")
         .when(label.isin(V.KNOWN_PENDING_LABELS), "L0_pendiente")
@@ -202,26 +223,28 @@ def layer_distribution(layers: DataFrame) -> DataFrame:
     )
 
 
-def relabel_blocked(platform_map: DataFrame, attempts: DataFrame, max_attempts: int = 2) -> DataFrame:
+def relabel_blocked(
+    platform_map: DataFrame, attempts: DataFrame, max_attempts: int | None = None
+) -> DataFrame:
     """Blocked rows of the map take the label of a newer capture.
 
-    The first attempt with a real label wins; else the last attempt decides.
+    The first attempt with a real label wins; else the last attempt decides. Attempts
+    after ``max_attempts`` are not looked at, where that is given. Attempts are labelled
+    where they lie; only labels are joined.
     """
     targets = platform_map.filter(F.col("platform").isin(V.BLOCKED_LABELS)).select("url")
-    tried = (
-        attempts.filter(F.col("attempt") <= max_attempts)
-        .join(targets.withColumnRenamed("url", "dealer_url"), "dealer_url", "left_semi")
-        .transform(with_page_platform, "label", True)
-        .withColumn("_usable", F.coalesce(F.length("body"), F.lit(0)) > V.MIN_PAGE_CHARS)
-    )
+    labelled = attempts if max_attempts is None else attempts.filter(F.col("attempt") <= max_attempts)
+    labelled = settle(labelled.transform(with_page_platform, "label"), ["dealer_url", "attempt"], {
+        "label": F.col("label"),
+        "_usable": F.coalesce(F.length("body"), F.lit(0)) > V.MIN_PAGE_CHARS,
+    })
+    tried = labelled.join(targets.withColumnRenamed("url", "dealer_url"), "dealer_url", "left_semi")
     real = F.col("_usable") & F.col("label").isNotNull() & ~F.col("label").isin(V.INCONCLUSIVE_LABELS)
-    last = F.when(
-        F.col("_usable") & (F.col("attempt") == max_attempts),
-        F.coalesce("label", F.lit(V.LABEL_UNKNOWN)),
-    )
+    usable = F.when(F.col("_usable"), F.coalesce("label", F.lit(V.LABEL_UNKNOWN)))
+    last = F.struct("attempt", usable.alias("label"))
     outcome = tried.groupBy(F.col("dealer_url").alias("url")).agg(
         F.min(F.when(real, F.struct("attempt", "label"))).alias("hit"), F.max(last).alias("last")
-    ).select("url", F.coalesce("hit.label", "last").alias("found"))
+    ).select("url", F.coalesce("hit.label", "last.label").alias("found"))
     joined = platform_map.join(outcome, "url", "left")
     blocked = F.col("platform").isin(V.BLOCKED_LABELS)
     return joined.select(
@@ -283,8 +306,8 @@ def visible_vins(body: Column) -> Column:
     return F.array_distinct(F.filter(found, lambda v: v.rlike("[0-9]") & v.rlike("[A-Z]")))
 
 
-def clean_html(body: Column) -> Column:
-    """Text and links only, cut at 120,000 characters."""
+def clean_html(body: Column, limit: int | None = None) -> Column:
+    """Text and links only; at most ``limit`` characters where that is given."""
     out = body
     for pattern in (
         r"(?is)<script.*?</script>", r"(?is)<style.*?</style>", r"(?is)<svg.*?</svg>",
@@ -292,7 +315,7 @@ def clean_html(body: Column) -> Column:
     ):
         out = F.regexp_replace(out, pattern, " ")
     out = F.regexp_replace(out, r"(?U)\s{2,}", " ")
-    return F.left(F.btrim(out, F.lit(X.SCRIPT_BLANKS)), F.lit(V.CLEAN_CHARS))
+    return X.at_most(F.btrim(out, F.lit(X.SCRIPT_BLANKS)), limit)
 
 
 def seed_tag(label: Column) -> Column:

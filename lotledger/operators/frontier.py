@@ -60,8 +60,9 @@ def candidate_pages(seeds: DataFrame, paths: list[str] = V.INVENTORY_PATHS) -> D
     return _exploded(seeds, pages, "page_url", "page_ord")
 
 
-def candidate_endpoints(captures: DataFrame) -> DataFrame:
-    """Builder endpoints, up to ten inventory paths quoted in the page, then guesses."""
+def candidate_endpoints(captures: DataFrame, quoted_paths: int | None = None) -> DataFrame:
+    """Builder endpoints, inventory paths quoted in the page (the first ``quoted_paths``,
+    where that is given), then guesses."""
     base = U.origin(F.col("dealer_url"))
     own = F.coalesce(
         *[
@@ -71,9 +72,9 @@ def candidate_endpoints(captures: DataFrame) -> DataFrame:
         F.array().cast("array<string>"),
     )
     quoted = F.regexp_extract_all("body", F.lit("(?i)" + V.QUOTED_API_PATH), F.lit(1))
-    quoted = F.slice(
-        F.array_distinct(F.filter(quoted, lambda p: ~p.rlike(V.ASSET_PATH))), 1, V.QUOTED_PATHS_KEPT
-    )
+    quoted = F.array_distinct(F.filter(quoted, lambda p: ~p.rlike(V.ASSET_PATH)))
+    if quoted_paths is not None:
+        quoted = F.slice(quoted, 1, quoted_paths)
     guesses = F.array(*[F.lit(p) for p in V.API_PATHS])
     urls = F.transform(F.concat(own, quoted, guesses), lambda p: F.concat(base, p))
     rows = captures.select("dealer_url", F.array_distinct(urls).alias("_urls"))
@@ -132,9 +133,8 @@ def first_link_by_text(links: DataFrame, platform: str) -> DataFrame:
     return hits.groupBy("dealer_url", "page_url").agg(F.min_by("href", "pos").alias("href"))
 
 
-def pagination_frontier(listings: DataFrame, platform: str) -> DataFrame:
-    """Listing pages 1..15 of a platform (3 on the wide path)."""
-    last = V.WIDE_MAX_PAGES if platform == "wide" else V.MAX_PAGES
+def pagination_frontier(listings: DataFrame, platform: str, last: int) -> DataFrame:
+    """Listing pages 1 to ``last`` of a platform."""
     pages = listings.withColumn("page", F.explode(F.sequence(F.lit(1), F.lit(last))))
     url = F.col("url")
     if platform == "dws":

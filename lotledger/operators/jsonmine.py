@@ -18,7 +18,6 @@ from .keyed import first_by
 from .rows import explode_rows, settle
 
 _VEHICLE_ARRAY_DEPTH = 8
-_LD_LEVELS = 6
 
 
 # --- scripts -------------------------------------------------------------------
@@ -103,8 +102,11 @@ def ld_record(item: Column) -> Column:
 def ld_records(texts: Column) -> Column:
     """Vehicle records of JSON-LD texts, in page order.
 
-    Item lists and graphs are followed six levels deep.
+    Item lists and graphs are followed as deep as they are named in the text.
     """
+    levels = F.coalesce(F.array_max(F.transform(
+        texts, lambda t: F.regexp_count(t, F.lit("@graph|itemListElement"))
+    )), F.lit(0)) + 1
     open_type = "array<struct<path:array<int>,item:variant>>"
     done_type = "array<struct<path:array<int>,raw:string>>"
     start = F.flatten(F.transform(
@@ -165,7 +167,7 @@ def ld_records(texts: Column) -> Column:
     first = F.struct(
         start.cast(open_type).alias("open"), F.array().cast(done_type).alias("done")
     ).cast(f"struct<open:{open_type},done:{done_type}>")
-    done = F.aggregate(F.sequence(F.lit(0), F.lit(_LD_LEVELS)), first, level, lambda a: a["done"])
+    done = F.aggregate(F.sequence(F.lit(0), levels), first, level, lambda a: a["done"])
     return F.transform(F.array_sort(done), lambda d: d["raw"])
 
 
@@ -374,9 +376,19 @@ def cars_commerce_listings(responses: DataFrame) -> DataFrame:
     return folded.select("run_id", "dealer_url", "_at.page_ord", "_at.card_ord", "_c.*")
 
 
+def announced_totals(responses: DataFrame) -> DataFrame:
+    """``run_id, dealer_url, total``: the number of vehicles Cars Commerce answers announce."""
+    said = F.try_variant_get(F.try_parse_json("body"), "$.data.total_vehicle_count", "int")
+    return (
+        responses.filter(F.col("page_url").rlike("(?i)" + V.CARS_COMMERCE_URL))
+        .select("run_id", "dealer_url", said.alias("total"))
+        .groupBy("run_id", "dealer_url").agg(F.max("total").alias("total"))
+    )
+
+
 def dealercom_records(responses: DataFrame) -> DataFrame:
-    """Records of Dealer.com inventory answers; first per VIN, else uuid, else the
-    record's first 80 characters."""
+    """Records of Dealer.com inventory answers; first per VIN, else uuid, else per
+    whole record."""
     rows = response_records(
         responses.filter(F.col("page_url").rlike("(?i)" + V.DEALERCOM_URL)),
         ["run_id", "dealer_url", "page_ord"],
@@ -386,7 +398,7 @@ def dealercom_records(responses: DataFrame) -> DataFrame:
     key = F.coalesce(
         F.nullif(F.try_element_at("_m", F.lit("vin")), F.lit("")),
         F.nullif(F.try_element_at("_m", F.lit("uuid")), F.lit("")),
-        F.left("raw", F.lit(80)),
+        F.sha2("raw", 256),
     )
     keyed = rows.withColumn("_key", key).drop("_m")
     return first_by(

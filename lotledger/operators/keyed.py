@@ -33,6 +33,14 @@ def top_per_group(
     return sliced.drop("_slice")
 
 
+def sized(keys: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A table of short keys, marked for broadcast if it has at most ``most`` rows.
+
+    Beyond that the join shuffles both sides. ``keys`` should be cheap to count.
+    """
+    return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys
+
+
 def join_on_hot_keys(
     big: DataFrame,
     small: DataFrame,

@@ -197,9 +197,13 @@ _FLOAT_FIELDS = ("price", "msrp")
 
 
 def normalize_vehicles(
-    df: DataFrame, raw: str = "raw", base: str = "origin", run_year: int = 2024
+    df: DataFrame, raw: str = "raw", base: str = "origin", run_year: int = 2024,
+    text_chars: int | None = None, raw_chars: int | None = None,
 ) -> DataFrame:
-    """Replace the raw JSON column by the 23 vehicle columns. No row is dropped."""
+    """Replace the raw JSON column by the 23 vehicle columns. No row is dropped.
+
+    ``text_chars`` and ``raw_chars`` bound text fields and ``raw_json``, where given.
+    """
     keep = [c for c in df.columns if c != raw]
     picked = settle(
         with_alias_maps(df, raw), [*keep, raw],
@@ -213,8 +217,8 @@ def normalize_vehicles(
         elif field in _FLOAT_FIELDS:
             values[field] = X.to_float(entry["digits"])
         else:
-            values[field] = F.left(X.trimmed(entry["text"]), F.lit(V.TEXT_FIELD_CHARS))
-    values["raw_json"] = F.left(F.col(raw), F.lit(V.RAW_JSON_CHARS))
+            values[field] = X.at_most(X.trimmed(entry["text"]), text_chars)
+    values["raw_json"] = X.at_most(F.col(raw), raw_chars)
     typed = picked.select(*keep, *[values[c].alias(c) for c in VEHICLE_COLUMNS])
     return finish_fields(typed, base, run_year)
 
@@ -267,6 +271,8 @@ def normalize_many(
     return dedupe_vehicles(normalize_vehicles(df, raw, base, run_year), owner, order)
 
 
-def cap_vehicles(df: DataFrame, owner: list[str], order: list[str]) -> DataFrame:
-    """The first 2,000 vehicles per dealer (generic layers only)."""
-    return top_per_group(df, owner, order, V.MAX_VEHICLES)
+def cap_vehicles(
+    df: DataFrame, owner: list[str], order: list[str], most: int | None = V.MAX_VEHICLES
+) -> DataFrame:
+    """The first ``most`` vehicles per dealer, in order; all without a number."""
+    return df if most is None else top_per_group(df, owner, order, most)

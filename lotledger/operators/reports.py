@@ -13,11 +13,12 @@ def last_runs(runs: DataFrame, k: int = 10) -> DataFrame:
 
 
 def latest_run_results(runs: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Results of the run that started last, reasons cut at 90 characters."""
+    """Results of the run that started last in order of ``id``, reasons cut at 90 characters."""
     latest = runs.agg(F.max_by("id", F.struct("started_at", "id")).alias("run_id"))  # one row
-    return ledger.join(F.broadcast(latest), "run_id", "left_semi").withColumn(
+    results = ledger.join(F.broadcast(latest), "run_id", "left_semi").withColumn(
         "reason", F.left("reason", F.lit(90))
     )
+    return results.orderBy("id") if "id" in ledger.columns else results
 
 
 def dealer_counts(dealers: DataFrame, vehicles: DataFrame, k: int = 25) -> DataFrame:

@@ -197,8 +197,9 @@ def merge_vehicles(state: DataFrame, batch: DataFrame) -> DataFrame:
     keyed = with_vin.select(columns).unionByName(without.select(columns))
     fold = fold_batch(keyed, _KEY)
     fold = fold.select(*_KEY, *[F.col(c).alias(f"n_{c}") for c in fold.columns if c not in _KEY])
-    joined = state.select(STATE_COLUMNS).join(fold, _KEY, "full_outer")
-    is_new = F.col("last_seen_run").isNull()
+    known = state.select(*STATE_COLUMNS, F.lit(True).alias("_known"))
+    joined = known.join(fold, _KEY, "full_outer")
+    is_new = F.col("_known").isNull()
     return joined.select(
         *_KEY,
         *[F.coalesce(f"n_{c}", c).alias(c) for c in VEHICLE_COLUMNS],

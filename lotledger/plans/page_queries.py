@@ -227,7 +227,7 @@ def u10(spark, sf):
   from pages, range(1,16) t(n)""")
 def u11(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url")
-    return FR.pagination_frontier(pages, "dealr").select("page_id", "page", "page_url")
+    return FR.pagination_frontier(pages, "dealr", V.MAX_PAGES).select("page_id", "page", "page_url")
 
 
 @query("u12_resolve_url", """select p_partkey as id, case p_partkey % 5 when 0 then 'https://d.com/a/b' || p_partkey when 1 then 'https://d.com/x/' || p_partkey || '?q=1'
@@ -402,7 +402,7 @@ RELABEL = FINGER + f""", tries as (select dealer_url as url, 1 as attempt, case
   union all select dealer_url, 2, case when capture_id % 5 = 1 then '' else repeat('x',1600) end || case when capture_id % 2 = 0 then 'goxee' else '' end from m),
  lab as (select url, attempt, length(body) > 1500 as usable, {_chain('body', V.HTML_SIGNATURES)} as label from tries),
  o as (select url, arg_min(label, attempt) filter (where usable and label is not null and label not in {_in(V.INCONCLUSIVE_LABELS)}) as hit,
-   max(case when usable and attempt = 2 then coalesce(label,'{V.LABEL_UNKNOWN}') end) as last from lab group by url),
+   arg_max(case when usable then coalesce(label,'{V.LABEL_UNKNOWN}') else '{V.LABEL_UNREACHABLE}' end, attempt) as last from lab group by url),
  relabelled as (select f.url, case when f.platform in {_in(V.BLOCKED_LABELS)} then coalesce(o.hit, o.last, '{V.LABEL_UNREACHABLE}') else f.platform end as platform,
    case when f.platform in {_in(V.BLOCKED_LABELS)} then 'web-unlocker' else via end as via, f.platform as was from finger f left join o on o.url = f.url)"""
 
@@ -455,7 +455,7 @@ def c16(spark, sf):
 
 @query("c17_clean_html", """with a as (select page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,'(?is)<script.*?</script>',' ','g'),'(?is)<style.*?</style>',' ','g'),'(?is)<svg.*?</svg>',' ','g'),'(?s)<!--.*?-->',' ','g') as h from pages),
   b as (select page_id, regexp_replace(regexp_replace(h,'<(?:[^a/>][^>]*|a[^\\s>][^>]*|/[^a][^>]*)>',' ','g'),'\\s{2,}',' ','g') as h from a)
-  select page_id, md5(left(trim(h, E' \\t\\n\\r'),120000)) as digest, length(left(trim(h, E' \\t\\n\\r'),120000)) as n_chars from b""")
+  select page_id, md5(trim(h, E' \\t\\n\\r')) as digest, length(trim(h, E' \\t\\n\\r')) as n_chars from b""")
 def c17(spark, sf):
     return table(spark, sf, "pages").select("page_id", C.clean_html(F.col("html")).alias("t")).select(
         "page_id", F.md5("t").alias("digest"), F.length("t").cast("bigint").alias("n_chars")

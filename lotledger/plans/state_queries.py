@@ -262,7 +262,7 @@ LAYERS = f"""with e as (select *, {_DAY} as run_id, 'https://d' || cast(user_id
   ly as (select run_id, dealer_url, strategy, {_PRIO} as prio, count(*) filter (where value > 60) as n, count(*) as tries, strategy || ' ' || cast(count(*) as varchar) as reason from e group by run_id, dealer_url, strategy),
   w as (select run_id, dealer_url, min(prio) filter (where n > 0) as win_prio from ly group by run_id, dealer_url),
   won as (select w.run_id, w.dealer_url, w.win_prio, ly.strategy, ly.n, ly.reason from w left join ly on ly.run_id = w.run_id and ly.dealer_url = w.dealer_url and ly.prio = w.win_prio),
-  tr as (select ly.run_id, ly.dealer_url, string_agg('[' || strategy || '] ' || reason, ' || ' order by prio) as trace, count(*) as entries, max(least(tries * 9, 15)) as longest from ly join w using (run_id, dealer_url) where win_prio is null or prio <= win_prio group by ly.run_id, ly.dealer_url)"""
+  tr as (select ly.run_id, ly.dealer_url, string_agg('[' || strategy || '] ' || reason, ' || ' order by prio) as trace, count(*) as entries, max(tries * 9) as longest from ly join w using (run_id, dealer_url) where win_prio is null or prio <= win_prio group by ly.run_id, ly.dealer_url)"""
 
 
 def _strategies(spark: SparkSession, sf: str) -> DataFrame:
@@ -372,10 +372,10 @@ def r2(spark, sf):
     )
 
 
-@query("r3_dealer_counts", "select s_suppkey as id, s_name as name, coalesce(n, 0) as vehicles from supplier left join (select l_suppkey, count(*) as n from lineitem where l_returnflag = 'R' group by 1) on l_suppkey = s_suppkey order by vehicles desc, id limit 25")
+@query("r3_dealer_counts", "select s_suppkey as id, s_name as name, coalesce(n, 0) as vehicles from supplier left join (select l_suppkey, count(*) as n from lineitem group by 1) on l_suppkey = s_suppkey order by vehicles desc, id limit 25")
 def r3(spark, sf):
     dealers = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
-    rows = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_suppkey").alias("dealer_id"))
+    rows = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("dealer_id"))
     return R.dealer_counts(dealers, rows)
 
 

@@ -157,12 +157,13 @@ def x12(spark, sf):
 
 @query("x12_announced_total", FV + """, p as (select dealer_url, page_ord, count(*) as new_keys from f group by all),
   w as (select *, coalesce(sum(new_keys) over (partition by dealer_url order by page_ord rows between unbounded preceding and 1 preceding),0) as seen from p)
-  select dealer_url, page_ord, new_keys from w where seen < 70""")
+  select dealer_url, page_ord, new_keys from w where seen < 100""")
 def x12b(spark, sf):
     pages = R8.cars_commerce_pages(spark, sf)
     cards = JM.cars_commerce_listings(pages)
     fresh = cards.groupBy("run_id", "dealer_url", "page_ord").agg(F.count("*").alias("new_keys"))
-    return CA.cut_announced_total(fresh.withColumn("total", F.lit(70))).select(
+    totals = JM.announced_totals(pages)
+    return CA.cut_announced_total(fresh.join(totals, ["run_id", "dealer_url"])).select(
         "dealer_url", "page_ord", "new_keys"
     )
 
@@ -179,7 +180,7 @@ def x13(spark, sf):
     return labels.withColumn("extractor", CA.extractor_for(F.col("label")))
 
 
-@query("x13_routed_platforms", FV + f""" select dealer_url || '/' || p as dealer_url, p as platform, count(*) as vehicles from f, (values ('DealerSync'),('Dealr.cloud'),('OverFuel'),('DealerCenter'),('CarsForSale.com')) t(p)
+@query("x13_routed_platforms", FV + f""" select dealer_url || '/' || p as dealer_url, p as platform, count(*) as vehicles from f, (values ('DealerSync'),('Dealr.cloud'),('OverFuel'),('DealerCenter'),('CarsForSale.com'),('DealerInspire'),('Dealer.com')) t(p)
   where p <> 'Dealr.cloud' and p <> 'OverFuel' and p <> 'CarsForSale.com' or page_ord <= coalesce((select min(page_ord) from (select dealer_url as d, page_ord, count(*) as n from f group by all) q where q.d = f.dealer_url and n < case p when 'Dealr.cloud' then 50 when 'OverFuel' then 25 else 24 end), 1000)
   group by all""")
 def x13b(spark, sf):
@@ -192,6 +193,12 @@ def x13b(spark, sf):
         })
         for label, kind in kinds.items()
     ])
+    for label, json_pages in (("DealerInspire", R8.cars_commerce_pages), ("Dealer.com", R8.dealercom_pages)):
+        more = json_pages(spark, sf).withColumns({
+            "platform": F.lit(label), "capture_id": F.xxhash64("capture_id", F.lit(label)),
+            "dealer_url": F.concat("dealer_url", F.lit("/" + label)),
+        })
+        pages = pages.unionByName(more, allowMissingColumns=True)
     return CA.platform_vehicles(R8.stored(pages)).groupBy("dealer_url", "platform").agg(F.count("*").alias("vehicles"))
 
 
@@ -379,11 +386,11 @@ def n2(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", X.to_float(text).alias("x"))
 
 
-@query("n3_to_str", """select doc_id, md5(left(text,500)) as digest from (select doc_id, trim(text, E' \\t\\n\\r') as text from documents) where text <> ''""")
+@query("n3_to_str", """select doc_id, md5(text) as digest from (select doc_id, trim(text, E' \\t\\n\\r') as text from documents) where text <> ''""")
 def n3(spark, sf):
     padded = F.concat(F.lit("  \t"), F.col("text"), F.lit("\n "))
     return table(spark, sf, "documents").select(
-        "doc_id", F.md5(F.left(X.trimmed(padded), F.lit(V.TEXT_FIELD_CHARS))).alias("digest")
+        "doc_id", F.md5(X.trimmed(padded)).alias("digest")
     ).filter("digest is not null")
 
 
@@ -405,7 +412,7 @@ def n6(spark, sf):
     return table(spark, sf, "events").select("event_id", X.condition_rule(text).alias("condition"))
 
 
-@query("n7_raw_json", "select doc_id, least(length(text) + 8, 20000) as n_chars from (select doc_id, regexp_replace(text,'[^a-zA-Z ]','','g') as text from documents)")
+@query("n7_raw_json", "select doc_id, length(text) + 8 as n_chars from (select doc_id, regexp_replace(text,'[^a-zA-Z ]','','g') as text from documents)")
 def n7(spark, sf):
     docs = table(spark, sf, "documents").select(
         "doc_id", F.lit("https://d.com").alias("origin"),

@@ -33,15 +33,13 @@ def html_pages(captures: DataFrame) -> DataFrame:
     )
 
 
-def json_responses(captures: DataFrame) -> DataFrame:
-    """JSON responses of a usable size whose body parses as JSON.
-
-    """
-    size = F.length("body")
+def json_responses(captures: DataFrame, chars: tuple[int, int] | None = None) -> DataFrame:
+    """JSON responses whose body parses as JSON, of any size or of ``chars`` characters."""
+    fits = F.lit(True) if chars is None else F.length("body").between(*chars)
     return captures.filter(
         (F.col("status") < 400)
         & F.lower("content_type").contains("json")
         & ~F.col("page_url").rlike(V.ASSET_URL)
-        & (size >= V.JSON_BODY_MIN) & (size <= V.JSON_BODY_MAX)
+        & fits
         & F.try_parse_json("body").isNotNull()
     )

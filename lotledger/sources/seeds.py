@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``ord, line`` of a text file or folder.
 
-    ``ord`` grows with file, then place in the file: Spark numbers rows per split, so it
-    is used for order only, never as a key.
+    ``ord`` grows with file, then place in the file: path, start of the split, and the
+    number Spark gives the rows of a split. It is used for order only, never as a key.
     """
     return spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line")
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias("ord"),
+        F.col("value").alias("line"),
     )
 
 

@@ -81,10 +81,28 @@ def test_ld_fallbacks(spark):
 
 def test_literals_balance_brackets_and_strings():
     blob = json.dumps({"t": '}]"', "rows": [dict(CAR, note="x" * 200)]})
-    assert json_literals(f"var a = {blob}; b = [1,2];") == [blob]
+    assert json_literals(f"var a = {blob}; b = [1,2];") == [blob, "[1,2]"]
     assert json_literals("  " + blob + "\n") == [blob]
     assert json_literals("a = {broken " + "x" * 300) == []
-    assert json_literals(";".join(f"v{i} = {blob}" for i in range(9))) == [blob] * 5
+    assert json_literals(";".join(f"v{i} = {blob}" for i in range(9))) == [blob] * 9
+    assert json_literals(";".join(f"v{i} = {blob}" for i in range(9)), most=5) == [blob] * 5
+    assert json_literals('a = {"b": 1, "c": "x = [1]"}') == ['{"b": 1, "c": "x = [1]"}']
+
+
+def test_ld_is_followed_as_deep_as_it_goes(spark):
+    item = dict(CAR) | {"@type": "Car", "vin": "deep"}
+    for _ in range(12):
+        item = {"@type": "ItemList", "itemListElement": [{"item": item}]}
+    assert [r["vin"] for r in ld(spark, item)] == ["deep"]
+
+
+def test_distinct_dealercom_records_with_a_common_beginning_stay_apart(spark):
+    rows = [dict(CAR, vin="", uuid="", note="x" * 100, n=i) for i in (1, 2, 2)]
+    body = json.dumps({"pageInfo": {"trackingData": [{"note": "x" * 100, **r} for r in rows]}})
+    df = spark.createDataFrame(
+        [("r", "https://d.com", "https://d.com/getInventory", 0, body)],
+        "run_id string, dealer_url string, page_url string, page_ord int, body string")
+    assert JM.dealercom_records(df).count() == 2
 
 
 def test_ld_blocks_scripts_even_if_its_records_are_useless(spark):

@@ -78,8 +78,8 @@ def test_signature_order_decides(spark):
 
 def test_signatures_stop_at_200000_characters(spark):
     page = spark.range(1).select(F.concat(F.repeat(F.lit("x"), 200_000), F.lit("dealersync")).alias("body"))
-    assert C.with_page_platform(page, "p").first()["p"] is None
-    assert C.with_page_platform(page, "p", whole=True).first()["p"] == "DealerSync"
+    assert C.with_page_platform(page, "p", limit=200_000).first()["p"] is None
+    assert C.with_page_platform(page, "p").first()["p"] == "DealerSync"
 
 
 def test_clean_html_keeps_links_only(spark):
