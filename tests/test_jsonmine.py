@@ -14,42 +14,27 @@ def arrays(spark, doc):
     return [tuple(h["path"]) for h in df.select(JM.vehicle_arrays(F.col("t")).alias("h")).first()["h"]]
 
 
-def brute(obj, path=(), depth=0):
-    """The same search, spelled out for one document."""
-    words = ["vin", "make", "model", "year", "mileage", "odometer", "stocknumber", "stock_number", "price", "trim"]
-    if depth > 8 or not isinstance(obj, (dict, list)):
-        return []
-    found = []
-    kids = obj if isinstance(obj, list) else list(obj.values())
-    if isinstance(obj, list) and obj and all(isinstance(x, (dict, list)) for x in obj) and isinstance(obj[0], dict):
-        keys = [k.lower() for k in obj[0]]
-        if sum(any(w in k for k in keys) for w in words) >= 3:
-            found.append(path)
-    for i, kid in enumerate(kids):
-        found += brute(kid, (*path, i), depth + 1)
-    return found
-
-
+# A document and the places of its vehicle arrays, members counted from 0 at each level.
 DOCUMENTS = [
-    [CAR, CAR],
-    {"z": [CAR], "a": [CAR, {"x": 1}]},
-    [dict(CAR, options=[{"Make": 1, "model_name": 2, "Trim": 3}])],
-    [{"x": 1}, CAR],
-    [CAR, 5],
-    [CAR, None],
-    {"s": json.dumps([CAR])},
-    {"a": {"b": {"c": {"d": {"e": {"f": {"g": {"h": [CAR]}}}}}}}},
-    {"a": {"b": {"c": {"d": {"e": {"f": {"g": {"h": {"i": [CAR]}}}}}}}}},
-    [[CAR], [CAR]],
-    {},
+    ([CAR, CAR], [()]),
+    ({"z": [CAR], "a": [CAR, {"x": 1}]}, [(0,), (1,)]),
+    ([dict(CAR, options=[{"Make": 1, "model_name": 2, "Trim": 3}])], [(), (0, 3)]),
+    ([{"x": 1}, CAR], []),
+    ([CAR, 5], []),
+    ([CAR, None], []),
+    ({"s": json.dumps([CAR])}, []),
+    ({"a": {"b": {"c": {"d": {"e": {"f": {"g": {"h": [CAR]}}}}}}}}, [(0, 0, 0, 0, 0, 0, 0, 0)]),
+    ({"a": {"b": {"c": {"d": {"e": {"f": {"g": {"h": {"i": [CAR]}}}}}}}}}, []),
+    ([[CAR], [CAR]], [(0,), (1,)]),
+    ({}, []),
 ]
 
 
-def test_vehicle_arrays_match_a_plain_search(spark):
-    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(DOCUMENTS)], "i int, t string")
+def test_vehicle_arrays(spark):
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, (d, _) in enumerate(DOCUMENTS)], "i int, t string")
     rows = df.select("i", JM.vehicle_arrays(F.col("t")).alias("h")).collect()
     got = {r["i"]: [tuple(h["path"]) for h in r["h"]] for r in rows}
-    assert [got[i] for i in range(len(DOCUMENTS))] == [brute(d) for d in DOCUMENTS]
+    assert [got[i] for i in range(len(DOCUMENTS))] == [want for _, want in DOCUMENTS]
 
 
 def test_unparsable_document_yields_nothing(spark):
