@@ -31,7 +31,7 @@ def write_vendor_tally(df: DataFrame, path: str) -> None:
 
 # --- versioned snapshots -------------------------------------------------------------
 
-def _folders(spark: SparkSession, root: str, prefix: str) -> list[int]:
+def committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
     """Numbers of the committed ``<prefix>=<n>`` folders."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -48,13 +48,13 @@ def _folders(spark: SparkSession, root: str, prefix: str) -> list[int]:
 def write_snapshot(df: DataFrame, root: str) -> int:
     """Write the next version. A version counts once its commit marker is there, and
     no path that is being read is ever overwritten."""
-    version = max(_folders(df.sparkSession, root, "v"), default=0) + 1
+    version = max(committed(df.sparkSession, root, "v"), default=0) + 1
     df.write.mode("overwrite").parquet(f"{root}/v={version}")
     return version
 
 
 def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
-    versions = _folders(spark, root, "v")
+    versions = committed(spark, root, "v")
     if not versions:
         return None
     return spark.read.parquet(f"{root}/v={version or versions[-1]}")
@@ -83,7 +83,7 @@ class BatchLog:
         return [r[0] for r in df.select(self.bucket().alias("b")).distinct().collect()]
 
     def read(self, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
-        done = [n for n in _folders(self.spark, self.root, "batch") if before is None or n < before]
+        done = [n for n in committed(self.spark, self.root, "batch") if before is None or n < before]
         if not done:
             return self.spark.createDataFrame([], self.schema)
         rows = self.spark.read.option("basePath", self.root).schema(

@@ -8,13 +8,14 @@ by batch id, so a replayed batch writes the same rows to the same place.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import cascade, state
 from ..schemas import MESSAGE_SCHEMA, VEHICLE_TYPES
-from ..sources.sinks import BatchLog
+from ..sources.sinks import BatchLog, committed
 
 _VEHICLE_SCHEMA = ", ".join(
     ["dealer_id bigint", "vehicle_key string"]
@@ -67,8 +68,10 @@ class InventoryWorker:
         )
         self.ledger = BatchLog(spark, f"{root}/results", ["run_id", "url"], ["run_id"], _LEDGER_SCHEMA)
         self.runs = BatchLog(spark, f"{root}/runs", ["id"], ["id"], _RUN_SCHEMA)
+        self.base = 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch_id += self.base
         parsed = parse_messages(batch).persist()
         try:
             parsed.filter("not good").select("value").write.mode("overwrite").text(
@@ -104,7 +107,20 @@ class InventoryWorker:
         return cascade.with_upsert_counts(results, counts)
 
     def run_available(self, stream: DataFrame, checkpoint: str) -> None:
-        """Process everything that has arrived, then stop."""
+        """Process everything that has arrived, then stop.
+
+        A checkpoint that this root has not seen numbers its batches after all that are
+        there, so another stream, or one whose checkpoint was lost, never replaces rows; a
+        known checkpoint goes on with its own numbers. One stream at a time writes a root.
+        """
+        name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+        known = committed(self.spark, f"{self.root}/streams/{name}", "base")
+        if known:
+            self.base = known[-1]
+        else:
+            there = [n for log in (self.vehicles, self.ledger, self.runs) for n in committed(self.spark, log.root, "batch")]
+            self.base = max(there, default=-1) + 1
+            self.spark.range(1).write.parquet(f"{self.root}/streams/{name}/base={self.base}")
         query = (
             stream.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start()

@@ -81,3 +81,28 @@ def test_two_labels_of_one_extractor_do_not_double_vehicles(spark):
     labels = spark.createDataFrame([("r", "d", p) for p in ("DealerCenter", "DealerCarSearch")], "run_id string, dealer_url string, platform string")
     extractors = labels.select(CA.extractor_for(F.col("platform")).alias("e")).distinct()
     assert extractors.count() == 1
+
+
+def test_another_stream_on_the_same_root_keeps_what_is_there(spark, tmp_path):
+    from lotledger.streaming import worker as W
+
+    def job(messages):
+        results = messages.select(
+            "run_id", F.xxhash64("url").alias("dealer_id"), "url", F.lit("api").alias("strategy_used"),
+            F.lit("ok").alias("status"), F.lit(1).alias("vehicles_found"), F.lit(0).alias("vehicles_new"),
+            F.lit(0).alias("vehicles_updated"), F.lit(None).cast("string").alias("reason"),
+            F.monotonically_increasing_id().alias("ord"))
+        return results, None
+
+    root = str(tmp_path / "state")
+    worker = W.InventoryWorker(spark, root, job, F.to_timestamp(F.lit("2024-02-01 00:00:00")))
+    for stream, urls in (("one", ["a", "b"]), ("two", ["b", "c"])):
+        folder = tmp_path / stream
+        folder.mkdir()
+        for k, u in enumerate(urls):
+            (folder / f"{k}.txt").write_text('{"runId": "r", "url": "https://%s.com", "totalUrls": 3}\n' % u)
+        source = spark.readStream.option("maxFilesPerTrigger", 1).text(str(folder))
+        W.InventoryWorker(spark, root, job, worker.now).run_available(source, str(tmp_path / f"check-{stream}"))
+    rows = worker.ledger.read().collect()
+    assert sorted(r["url"] for r in rows) == ["https://a.com", "https://b.com", "https://c.com"]
+    assert worker.runs.read().first()["urls_ok"] == 3
