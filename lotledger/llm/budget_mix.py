@@ -68,9 +68,10 @@ def fit_lengths(
 ) -> tuple[int, np.ndarray]:
     """(copies every document gets, further documents per length) for one source.
 
-    Whole passes first; of the rest every length gives its proportional share, single
-    documents in seeded order bring the remainder below ``window`` words, and the knapsack
-    fills it. One more short document is taken if that ends nearer to the target.
+    Whole passes first. Of the rest all but ``window`` words are shared out: every length
+    gives its proportional part, single documents in seeded order bring the remainder down
+    to ``window`` words, and the knapsack fills it. One more short document is taken if that
+    ends nearer to the target.
     """
     extra = np.zeros(len(lengths), dtype=np.int64)
     total = int((lengths * counts).sum())
@@ -81,7 +82,7 @@ def fit_lengths(
     if copies == most or rest <= 0:
         return copies, extra
     word = np.flatnonzero(lengths > 0)
-    extra[word] = [int(c) * rest // total for c in counts[word]]
+    extra[word] = [int(c) * max(0, rest - window) // total for c in counts[word]]
     rest -= int((lengths * extra).sum())
     order = np.random.default_rng(seed).permutation(word)
     moved = True
@@ -95,7 +96,7 @@ def fit_lengths(
                 rest -= int(lengths[i])
                 moved = True
     if 0 < rest <= window:
-        open_ = word[(lengths[word] <= rest) & (extra[word] < counts[word])]
+        open_ = order[(lengths[order] <= rest) & (extra[order] < counts[order])]
         if len(open_):
             got = fill_budget(lengths[open_], (counts - extra)[open_], rest)
             extra[open_] += got

@@ -160,6 +160,17 @@ def test_lines_odd_rows(odd, none):
     assert fuzzy_lines.dedup_lines(none).count() == 0
 
 
+def best_gap(sizes, target):
+    """How far below ``target`` whole passes and one more copy of some documents come at best."""
+    total = sum(sizes)
+    copies = min(3, int(target // total)) if total else 0
+    sums = 1
+    for s in sizes if copies < 3 else []:
+        sums |= sums << s
+    rest = round(target - copies * total)
+    return next(g for g in range(rest + 1) if sums >> (rest - g) & 1)
+
+
 def test_mix_fits_the_targets(spark):
     rng = random.Random(8)
     rows = [(i, "w " * rng.choice([3, 5, 8, 13, 400]), "en", rng.choice("aaaaaabc")) for i in range(3000)]
@@ -363,6 +374,7 @@ def test_queries_against_brute_force(spark):
     taken = collections.Counter()
     for r in mix:
         taken[r["source"]] += r["taken"]
-    for r in mix:
         assert r["size"] == len(SPACE.findall(dict(docs)[r["doc_id"]])) and r["taken"] <= 3 * r["size"]
-        assert abs(taken[r["source"]] - r["target"]) <= 40
+    for s in taken:
+        own = [r for r in mix if r["source"] == s]
+        assert abs(taken[s] - own[0]["target"]) <= best_gap([r["size"] for r in own], own[0]["target"]) + 1

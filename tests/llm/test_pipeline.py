@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lotledger.llm import nbest_pieces
+from lotledger.llm.budget_mix import water_filled
 from odd_rows import ODD, documents
-from test_documents import SPACE, brute_components, brute_lines
+from test_documents import SPACE, best_gap, brute_components, brute_lines
 
 SF = "/root/testdata/sf0.001"
 
@@ -56,14 +57,15 @@ def test_similar_stage(outputs):
 
 def test_mix_stage(outputs):
     before, after = outputs[3]
-    words, size = collections.Counter(), collections.Counter()
+    words, own = collections.Counter(), collections.defaultdict(list)
     for r in before.collect():
-        size[r["source"]] += len(SPACE.findall(r["text"]))
+        own[r["source"]].append(len(SPACE.findall(r["text"])))
     for r in after.collect():
         words[r["source"]] += len(SPACE.findall(r["text"]))
-    total, weights = sum(size.values()), {s: (1, 2, 3)[k % 3] for k, s in enumerate(sorted(size))}
-    share = {s: total * w / sum(weights.values()) for s, w in weights.items()}
-    assert all(abs(words[s] - min(share[s], 3 * size[s])) <= 40 for s in size if share[s] <= 3 * size[s])
+    names = sorted(own)
+    targets = water_filled([sum(own[s]) for s in names], [(1, 2, 3)[k % 3] for k in range(len(names))], 3)
+    for s, target in zip(names, targets):
+        assert abs(words[s] - target) <= best_gap(own[s], target) + 1
     assert set(texts(after)) <= set(texts(before))
 
 
