@@ -25,7 +25,7 @@ SLICES = 64
 SIGNATURE = 1024
 FAN = 8
 BLOCK = 1024
-CROWD = 64
+CROWD = FAN
 PIECE = 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -326,7 +326,11 @@ def tree_pairs(members: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.Table] = []
+        made, many = [], 0  # pairs come up in many blocks: each is given once per half million
         for batch in batches:
+            if many > 500_000:
+                yield distinct(made)
+                made, many = [], 0
             if not batch.num_rows:
                 continue
             waiting.append(pa.Table.from_batches([batch]))
@@ -334,13 +338,20 @@ def tree_pairs(members: DataFrame) -> DataFrame:
             key = np.stack([table.column(c).to_numpy() for c in ("token", "i", "j")])
             change = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
             if len(change):
-                yield pairs_of(table.slice(0, change[-1]), change[:-1])
+                made.append(pairs_of(table.slice(0, change[-1]), change[:-1]))
+                many += len(made[-1])
                 table = table.slice(change[-1])
             waiting = [table]
         if waiting:
-            yield pairs_of(waiting[0], np.zeros(0, dtype=np.int64))
+            made.append(pairs_of(waiting[0], np.zeros(0, dtype=np.int64)))
+        if made:
+            yield distinct(made)
 
-    def pairs_of(table: pa.Table, change: np.ndarray) -> pa.RecordBatch:
+    def distinct(made: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.unique(np.concatenate(made), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    def pairs_of(table: pa.Table, change: np.ndarray) -> np.ndarray:
         fp, n, own, group = (table.column(c).to_numpy() for c in ("fp", "n", "own", "component"))
         i_, j_ = table.column("i").to_numpy(), table.column("j").to_numpy()
         bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), dtype=np.uint64).reshape(len(fp), -1)
@@ -365,8 +376,7 @@ def tree_pairs(members: DataFrame) -> DataFrame:
             x, y = traverse(trees[0], trees[-1], itself)
             found.append(np.stack([fp[sides[0][x]], fp[sides[-1][y]]], axis=1))
         pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
-        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        return np.unique(np.sort(pairs, axis=1), axis=0)
 
     return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(
         run, "a long, b long"
@@ -382,6 +392,17 @@ def grouped(postings: DataFrame, named: DataFrame | None) -> DataFrame:
     )
 
 
+def apart_pairs(pairs: DataFrame, named: DataFrame | None) -> DataFrame:
+    """``pair, low, high``: the pairs whose ends lie in different components, and these."""
+    ends = pairs.select(F.struct("a", "b").alias("pair"), F.col("a").alias("of_a"), F.col("b").alias("of_b"))
+    for end in ("of_a", "of_b") if named is not None else ():
+        own = named.select(F.col("node").alias(end), "component")
+        ends = ends.join(own, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    return ends.filter("of_a <> of_b").select(
+        "pair", F.least("of_a", "of_b").alias("low"), F.greatest("of_a", "of_b").alias("high")
+    )
+
+
 def open_blocks(blocks: DataFrame, turn: int) -> DataFrame:
     """The postings of blocks with more than one component, their leader and their number."""
     flip = F.xxhash64(F.lit(turn))
@@ -458,10 +479,21 @@ def similar_documents(docs: DataFrame) -> DataFrame:
             mixed = settled(open_blocks(grouped(postings, named), turn), "jaccard-open") if linked else mixed
             break
     rest = mixed.select("token", "members", "fp", "component").join(one.select("fp", "n", "bits"), "fp")
-    last = settled(verified(settled(tree_pairs(rest), "jaccard-pairs"), texts), "jaccard-last")
-    if edges is not None or not last.isEmpty():
-        edges = last if edges is None else edges.unionAll(last)
-        named = settled(star_components(edges, "jaccard-last-round"), "jaccard-named")
+    pairs = settled(tree_pairs(rest), "jaccard-pairs")
+    # One pair speaks for its two components first; the others are verified only if their
+    # components are still apart.
+    spoken = None
+    for _ in range(2):
+        apart = apart_pairs(pairs, named)
+        if spoken is None:
+            spoken = settled(apart.groupBy("low", "high").agg(F.min("pair").alias("pair")).select("pair.*"), "jaccard-spoken")
+            asked_now = spoken
+        else:
+            asked_now = apart.select("pair.*").join(spoken, ["a", "b"], "left_anti")
+        last = settled(verified(settled(asked_now, "jaccard-asked"), texts), "jaccard-last")
+        if not last.isEmpty():
+            edges = last if edges is None else settled(edges.unionAll(last), "jaccard-edges")
+            named = settled(star_components(edges, "jaccard-last-round"), "jaccard-named")
     classes = firsts.select("fp", "first") if named is None else firsts.join(
         named.withColumnRenamed("node", "fp"), "fp", "left"
     ).select("fp", "first", F.coalesce("component", "fp").alias("component"))
