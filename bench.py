@@ -25,7 +25,9 @@ HEADLINE = [
     "u7_candidate_endpoints",
     "x2_two_layout_merge",
     "x8_generic_cards",
+    "x9_wide_cards",
     "x12_pagination_cut",
+    "x13_routed_platforms",
     "j3_ld_projection",       # JSON-LD -> vehicles
     "j4_state_blobs",         # script state -> vehicles
     "j8_records_in_order",    # arrays in JSON responses
@@ -36,6 +38,8 @@ HEADLINE = [
     "m6_upsert_with_vin",     # 600k listings, two runs
     "m9_fold_batch",
     "r3_dealer_counts",
+    "t3_incremental_upsert",
+    "e2e_inventory_run",
 ]
 
 
