@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import free_name, settled
+from .common import by_size, free_name, settled
 from .components import star_components
 
 SHINGLE = 8
@@ -20,14 +20,37 @@ def seat_of(key: Column, place: Column) -> Column:
     return (key.cast("decimal(20,0)") * F.lit(PLACES) + place).cast("decimal(31,0)")
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
+def row_keys(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the key of each row as column ``name``.
+
+    Where every row has an id of its own, that is doc_id, or the largest long for a null
+    id. Else the rows' distinct (doc_id, hash of the text) are numbered in this order, null
+    ids last: only rows that repeat both an id and a text share a key.
+    """
+    id_ = F.col("doc_id").cast("long")
+    alone = F.coalesce(id_, F.lit(LAST))
+    if docs.groupBy(alone.alias("id")).count().filter("count > 1").isEmpty():
+        return docs.withColumn(name, alone)
+    of, hash_ = free_name(docs, "line_id"), free_name(docs, "line_hash")
+    known = docs.withColumn(of, id_).withColumn(hash_, F.xxhash64("text"))
+    order = [F.col("of").asc_nulls_last(), F.col("hash")]
+    pairs = known.select(F.col(of).alias("of"), F.col(hash_).alias("hash")).distinct()
+    numbered = settled(
+        pairs.repartitionByRange(*order).sortWithinPartitions(*order)
+        .select("of", "hash", F.monotonically_increasing_id().alias("number")), "line-rows",
+    ).select(*[F.col(c).alias(f"{name}_{c}") for c in ("of", "hash", "number")])
+    return known.join(
+        by_size(numbered), F.col(of).eqNullSafe(F.col(f"{name}_of")) & (F.col(hash_) == F.col(f"{name}_hash"))
+    ).select(*docs.columns, F.col(f"{name}_number").alias(name))
+
+
+def lines_of(docs: DataFrame, key: str) -> DataFrame:
     """``key, place, line, seat``: the lines with text, stripped of blanks at both ends.
 
-    ``key`` is doc_id, or the largest long for a null id. ``seat`` orders all lines by
-    document, then place in it.
+    ``key`` names the column of ``row_keys``. ``seat`` orders all lines by document, then
+    place in it.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    return docs.select(key.alias("key"), F.posexplode(F.split("text", "\n")).alias("place", "line")).select(
+    return docs.select(F.col(key).alias("key"), F.posexplode(F.split("text", "\n")).alias("place", "line")).select(
         "key", "place", F.btrim("line", F.lit(" \t\r")).alias("line"),
         seat_of(F.col("key"), F.col("place")).alias("seat"),
     ).filter("line <> ''")
@@ -101,7 +124,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return counted.filter(F.col("c.both") >= similarity * (F.col("c.x") + F.col("c.y") - F.col("c.both"))).select("a", "b")
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def texts_of(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     """``line, raw`` of the wanted lines (line, seat), read where each first stands.
 
     The seats of one document are put together first, so documents are not repeated.
@@ -112,14 +135,14 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     small = settled(seats, "line-wanted")
     lists = small.groupBy("key").agg(F.collect_list(F.struct("place", "line")).alias("wanted"))
     fits = lists.count() <= BROADCAST_DOCS
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"), "text")
+    keyed = docs.select(F.col(key).alias("key"), "text")
     found = keyed.join(F.broadcast(lists) if fits else lists, "key").select(
         F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w")
     ).select(
         F.col("w.line").alias("line"),
         F.btrim(F.get("lines", F.col("w.place")), F.lit(" \t\r")).cast("binary").alias("raw"),
     ).filter("raw is not null")
-    # Rows that repeat an id would repeat the line.
+    # Rows that repeat an id and a text would repeat the line.
     return found.groupBy("line").agg(F.max("raw").alias("raw"))
 
 
@@ -141,7 +164,7 @@ def open_buckets(now: DataFrame, turn: int) -> DataFrame:
     return now.join(mixed, "band")
 
 
-def link_lines(docs: DataFrame, posted: DataFrame, signed: DataFrame, similarity: float) -> DataFrame | None:
+def link_lines(docs: DataFrame, key: str, posted: DataFrame, signed: DataFrame, similarity: float) -> DataFrame | None:
     """``node, component`` of the linked lines; None without a link.
 
     In rounds, every line of a bucket that is not yet one component is compared with the
@@ -153,7 +176,7 @@ def link_lines(docs: DataFrame, posted: DataFrame, signed: DataFrame, similarity
     crowded = posted.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
     posted = settled(posted.join(crowded, "band", "left_semi"), "line-posted")
     wanted = posted.select("line").distinct().join(signed.select("line", "seat"), "line")
-    texts = settled(texts_of(docs, wanted), "line-texts")
+    texts = settled(texts_of(docs, key, wanted), "line-texts")
     edges = named = None
     turn = 0
     while True:
@@ -220,16 +243,19 @@ def dedup_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     Candidates come from 8 bands of 3 one-permutation MinHash values: a pair at 0.8 is found
     with a chance of 99.7 %, more similar ones more surely.
 
-    A null text stays null, a text of which all lines go becomes empty. Rows with a null id
-    count as one last document, rows that repeat an id as the same document: they are
-    stripped alike, so a line may stay once in each of them. Lines shorter than 8 bytes are
-    one window. Empty input gives no rows.
+    A null text stays null, a text of which all lines go becomes empty. Each row is a
+    document of its own, also with a null id (these come last) or an id that stands on
+    different texts (by hash of the text). Only rows that repeat both id and text are the
+    same document and stay alike. Lines shorter than 8 bytes are one window. Empty input
+    gives no rows.
     """
-    lines = lines_of(docs)
+    own, columns = free_name(docs, "line_row"), docs.columns
+    docs = row_keys(docs, own)
+    lines = lines_of(docs, own)
     signed = settled(
         signatures(lines).withColumn("line", F.monotonically_increasing_id()), "line-signatures"
     )
-    named = link_lines(docs, bands(signed), signed, similarity)
+    named = link_lines(docs, own, bands(signed), signed, similarity)
     firsts = signed.select("line", "h1", "h2", "seat", "n")
     if named is None:
         keepers = firsts.withColumn("keep", F.col("seat")).filter("n > 1")
@@ -249,16 +275,13 @@ def dedup_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     n_lines, n_dropped = free_name(docs, "n_lines"), free_name(docs, "n_dropped")
     fits = lists.count() <= BROADCAST_DOCS
     lists = lists.select(F.col("key").alias(key), F.col("places").alias(out))
-    joined = docs.join(
-        F.broadcast(lists) if fits else lists,
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col(key), "left",
-    )
+    joined = docs.join(F.broadcast(lists) if fits else lists, F.col(own) == F.col(key), "left")
     parts = F.split("text", "\n")
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col(out), i)), "\n")
     return joined.select(
         *[
             F.when(F.col(out).isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c)
-            for c in docs.columns
+            for c in columns
         ],
         F.coalesce(F.size(F.filter(parts, lambda x: F.btrim(x, F.lit(" \t\r")) != "")), F.lit(0)).alias(n_lines),
         F.coalesce(F.size(F.col(out)), F.lit(0)).alias(n_dropped),

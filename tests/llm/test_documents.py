@@ -160,6 +160,21 @@ def test_lines_odd_rows(odd, none):
     assert fuzzy_lines.dedup_lines(none).count() == 0
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    again, near = "the very same line stands here twice", "a line of which only one letter was changed x"
+    rows = [
+        (1, f"{near}\nfirst of all"), (None, f"{again}\nclean line A of nobody\n{again}"),
+        (None, "unique and clean B"), (None, f"{near[:-1]}y\nonly in C of nobody"),
+        (7, f"first of all\n{again}"), (7, "another text of seven\nlast words of seven"),
+    ]
+    out = fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = collections.Counter((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in out)
+    assert got == collections.Counter([
+        (1, rows[0][1], 2, 0), (None, "clean line A of nobody", 3, 2), (None, "unique and clean B", 1, 0),
+        (None, "only in C of nobody", 2, 1), (7, again, 2, 1), (7, rows[5][1], 2, 0),
+    ])
+
+
 def best_gap(sizes, target):
     """How far below ``target`` whole passes and one more copy of some documents come at best."""
     total = sum(sizes)

@@ -84,3 +84,10 @@ def test_stages_stand_odd_rows_and_no_rows(spark, tmp_path):
             out.withColumns({c: F.col(c).cast("string") for c, t in out.dtypes if t == "void"}).write.parquet(folder)
             docs = spark.read.parquet(folder)
         assert docs.count() >= (0 if not rows else 1)
+
+
+def test_line_stage_tells_rows_without_id_apart(spark):
+    again = "the very same line stands here again"
+    rows = [(None, "\n".join([again] * 3 + ["clean line of A"]), "en", "a"), (None, "clean and short B", "en", "a")]
+    left = corpus_pipeline.line_dedup(spark, documents(spark, rows), SF)
+    assert sorted(r["text"] for r in left.collect()) == ["clean and short B", f"{again}\nclean line of A"]
