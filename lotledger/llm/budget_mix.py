@@ -124,9 +124,7 @@ def source_targets(sizes: DataFrame, weights: list[float], most: float) -> DataF
     )
 
 
-def decide(
-    docs: DataFrame, weights: list[float], most: int = 3, window: int = 16384, seed: int = 17
-) -> DataFrame:
+def decide(docs: DataFrame, weights: list[float], **options) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies`` for every row of ``docs``.
 
     ``docs``: doc_id, text, source; other columns are not read. Size is the number of words,
@@ -138,11 +136,21 @@ def decide(
     Documents are counted by (source, exact length); one source's counts, never its
     documents, meet in a task. Which documents of a length are taken goes by a seeded hash
     of the id: hash slices are counted, and only the slice in which the last one falls is
-    ranked, so a length shared by a third of all rows is cut in ``SLICES``.
+    ranked, so a length shared by a third of all rows is cut in ``SLICES``. For a null id the
+    text is hashed in its place. ``options`` are those of ``decided_rows``.
     """
+    return decided_rows(docs, weights, **options).drop("row")
+
+
+def decided_rows(
+    docs: DataFrame, weights: list[float], most: int = 3, window: int = 16384, seed: int = 17
+) -> DataFrame:
+    """The columns of ``decide`` and ``row``, the hash of the row's text."""
     sized = settled(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("size")).withColumn(
-            "draw", F.xxhash64(F.lit(seed), "doc_id")
+        docs.select(
+            "doc_id", F.xxhash64("text").alias("row"), "source", word_count(F.col("text")).alias("size")
+        ).withColumn(
+            "draw", F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "row")).otherwise(F.xxhash64(F.lit(seed), "doc_id"))
         ), "mix-sizes",
     )
     counts = sized.groupBy("source", "size").agg(F.count("*").alias("n"))
@@ -180,9 +188,9 @@ def decide(
     slices = slices.withColumn("before", F.coalesce(F.sum("here").over(before), F.lit(0))).select(
         F.col("source").alias("of"), F.col("size").alias("length"), F.col("slice").alias("cut"), "here", "before")
     drawn = some.join(slices, F.expr("source <=> of and size = length and slice = cut")).drop("of", "length", "cut")
-    cols = ["doc_id", "source", "size", "source_size", "target"]
+    cols = ["doc_id", "row", "source", "size", "source_size", "target"]
     within = drawn.filter("before < extra and before + here > extra")
-    place = F.row_number().over(Window.partitionBy("source", "size", "slice").orderBy("draw", "doc_id"))
+    place = F.row_number().over(Window.partitionBy("source", "size", "slice").orderBy("draw", "doc_id", "row"))
     return (
         all_.filter("extra = 0 or extra = n")
         .select(*cols, (F.col("base") + F.when(F.col("extra") > 0, 1).otherwise(0)).alias("copies"))
@@ -196,13 +204,25 @@ def decide(
 def mixed(docs: DataFrame, weights: list[float], **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; all columns are kept.
 
-    Rows that repeat an id are all taken as often as the one of them that is taken most.
+    Every row has its own number of copies, also with a null id or an id that stands on
+    different texts. Rows that repeat id, source and text share the copies they got.
     """
-    id_, n = free_name(docs, "mix_id"), free_name(docs, "mix_copies")
-    taken = decide(docs, weights, **options).groupBy(F.col("doc_id").alias(id_)).agg(
-        F.max("copies").alias(n)
-    ).filter(F.col(n) > 0)
-    return (
-        docs.join(by_size(settled(taken, "mix-taken")), F.col("doc_id").eqNullSafe(F.col(id_)))
-        .withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))).select(*docs.columns)
+    id_, row, of = (free_name(docs, f"mix_{c}") for c in ("id", "row", "source"))
+    rows, low, more, n = (free_name(docs, f"mix_{c}") for c in ("rows", "low", "more", "copies"))
+    taken = settled(
+        decided_rows(docs, weights, **options)
+        .groupBy(F.col("doc_id").alias(id_), F.col("row").alias(row), F.col("source").alias(of)).agg(
+            F.count("*").alias(rows), F.min("copies").alias(low), F.sum("copies").alias(more)
+        ).withColumn(more, F.col(more) - F.col(rows) * F.col(low)), "mix-taken",
+    ).filter(F.col(low) + F.col(more) > 0)
+    both = docs.join(
+        by_size(taken), F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(row))
+        & F.col("source").eqNullSafe(F.col(of)),
     )
+    if taken.filter(F.col(rows) > 1).isEmpty():
+        counted = both.withColumn(n, F.col(low))
+    else:
+        # Copies of equal rows differ by one at most: the first ``more`` of them get it.
+        place = F.row_number().over(Window.partitionBy(id_, row, of).orderBy(F.to_json(F.struct(*docs.columns))))
+        counted = both.withColumn(n, F.col(low) + F.when(place <= F.col(more), 1).otherwise(0)).filter(F.col(n) > 0)
+    return counted.withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n).cast("long")))).select(*docs.columns)

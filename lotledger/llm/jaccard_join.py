@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import by_size, free_name, settled
+from .common import WORD, by_size, free_name, settled
 from .components import star_components
 
 WORDS = 5
@@ -122,7 +122,8 @@ def shingle_counts(docs: DataFrame) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """``doc_id, n, fp, prefix, bits`` per row: size, fingerprint, rarest shingles, signature.
+    """``doc_id, row, n, fp, prefix, bits`` per row: hash of the text, size, fingerprint, rarest
+    shingles, signature.
 
     The common order is by slot count, then hash: a shingle of a passage that many
     documents share comes last, so it is in the prefix of few. Rows without a shingle have
@@ -135,7 +136,7 @@ def shingle_sets(docs: DataFrame, counts: np.ndarray) -> DataFrame:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 n, fp, prefix, bits = [], [], [], []
-                for text in part.column(1):
+                for text in part.column(2):
                     s = shingler.shingles(text.as_buffer().to_pybytes() if text.is_valid else None)
                     n.append(len(s))
                     if not len(s):
@@ -146,12 +147,12 @@ def shingle_sets(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                     prefix.append(s[rare[: prefix_length(len(s))]].view(np.int64))
                     bits.append(signature(s).tobytes())
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.int64()),
+                    part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(fp, pa.int64()),
                     pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary()),
-                ], ["doc_id", "n", "fp", "prefix", "bits"])
+                ], ["doc_id", "row", "n", "fp", "prefix", "bits"])
 
-    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(
-        run, "doc_id long, n long, fp long, prefix array<long>, bits binary"
+    return docs.select("doc_id", F.xxhash64("text").alias("row"), F.col("text").cast("binary")).mapInArrow(
+        run, "doc_id long, row long, n long, fp long, prefix array<long>, bits binary"
     )
 
 
@@ -434,6 +435,19 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     trees give all pairs left across components, and they are verified. Blocks within one component are
     done and never expanded.
     """
+    sets, classes = set_components(docs)
+    if "component" not in classes.columns:
+        smallest = classes.select("fp", F.col("first").alias("smallest"))
+    else:
+        ids = classes.groupBy("component").agg(F.min("first").alias("smallest"))
+        smallest = classes.join(ids, "component").select("fp", "smallest")
+    return sets.select("doc_id", "n", "fp").join(smallest, "fp", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id")
+    )
+
+
+def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows' sets, and ``fp, first`` per set, with ``component`` if any two sets link."""
     counts = shingle_counts(docs)
     sets = settled(shingle_sets(docs, counts), "jaccard-sets")
     firsts = settled(
@@ -447,8 +461,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     if small is firsts:
         one = settled(one, "jaccard-one")
     postings = settled(shared_postings(one), "jaccard-postings")
-    repeated = not sets.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    texts = settled(texts_of(docs, firsts, postings, repeated), "jaccard-texts")
+    repeated = not sets.groupBy("doc_id", "row").count().filter("count > 1").isEmpty()
+    texts = settled(texts_of(docs, one, postings, repeated), "jaccard-texts")
 
     edges = named = None
     turn = 0
@@ -497,49 +511,53 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     classes = firsts.select("fp", "first") if named is None else firsts.join(
         named.withColumnRenamed("node", "fp"), "fp", "left"
     ).select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    if named is None:
-        smallest = classes.select("fp", F.col("first").alias("smallest"))
-    else:
-        ids = classes.groupBy("component").agg(F.min("first").alias("smallest"))
-        smallest = classes.join(ids, "component").select("fp", "smallest")
-    return sets.select("doc_id", "n", "fp").join(smallest, "fp", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id")
-    )
+    return sets, classes
 
 
-def texts_of(docs: DataFrame, firsts: DataFrame, postings: DataFrame, repeated: bool) -> DataFrame:
+def texts_of(docs: DataFrame, one: DataFrame, postings: DataFrame, repeated: bool) -> DataFrame:
     """``fp, text`` of the sets that share a posting, from one document of each.
 
-    Where ids repeat, a text is taken only if it has the set of that fingerprint.
+    A document is known by its id and the hash of its text.
     """
-    need = settled(
-        postings.select("fp").distinct().join(firsts, "fp").select("fp", F.col("first").alias("id")), "jaccard-need"
-    )
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(
-        by_size(need), F.expr("doc_id <=> id")
+    rows = one.groupBy("fp", F.col("doc_id").alias("id")).agg(F.min("row").alias("row"))
+    need = settled(postings.select("fp").distinct().join(rows, "fp").select("fp", "id", "row"), "jaccard-need")
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("hash")).join(
+        by_size(need), F.expr("doc_id <=> id and hash = row")
     ).select("fp", "text")
-    if not repeated:
-        return rows
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
-        for batch in batches:
-            sets = [shingler.shingles(t.as_py()) for t in batch.column(1)]
-            yield batch.filter(pa.array([
-                len(s) > 0 and fingerprint(s) == f for s, f in zip(sets, batch.column(0).to_pylist())
-            ], pa.bool_()))
-
-    return rows.mapInArrow(own, "fp long, text binary").groupBy("fp").agg(F.max("text").alias("text"))
+    return texts.groupBy("fp").agg(F.max("text").alias("text")) if repeated else texts
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its component, each id once; columns as they were.
+    """The first row of each component, by doc_id (null last), then hash of the text; columns as they were.
 
-    Documents without a shingle, and one of those with a null id, stay.
+    Rows are judged one by one: of an id that stands on different texts, or of rows with a
+    null id, each goes only with its own component. Of rows that repeat both id and text one
+    stays. Documents without a shingle stay; with a null id, each of them.
     """
-    judged = settled(similar_documents(docs).select("doc_id", "component_id"), "jaccard-judged")
-    repeated = not judged.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    id_ = free_name(docs, "similar_id")
-    gone = judged.filter("doc_id <> component_id").select(F.col("doc_id").alias(id_)).distinct()
-    kept = docs.join(by_size(settled(gone, "jaccard-gone")), F.col("doc_id") == F.col(id_), "left_anti")
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    sets, classes = set_components(docs)
+    rows = sets.select("doc_id", "row", "n", "fp")
+    known = rows.filter("n > 0")
+    if "component" in classes.columns:
+        known = known.join(classes.select("fp", "component"), "fp")
+    else:
+        known = known.withColumn("component", F.col("fp"))
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row")
+    first = known.groupBy("component").agg(F.min(place).alias("first"))
+    id_, row, rank = free_name(docs, "similar_id"), free_name(docs, "similar_row"), free_name(docs, "similar_rank")
+    gone = settled(
+        known.join(first, "component").filter(
+            ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row")))
+        ).select(F.col("doc_id").alias(id_), F.col("row").alias(row)).distinct(), "jaccard-gone",
+    )
+    kept = docs.join(
+        by_size(gone), F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(row)), "left_anti"
+    )
+    again = rows.filter("n > 0 or doc_id is not null").groupBy("doc_id", "row").count().filter("count > 1")
+    if again.isEmpty():
+        return kept
+    # Rows that repeat id and text may differ elsewhere: the choice goes by all they hold.
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.to_json(F.struct(*docs.columns)))
+    blank = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    return kept.filter(~blank).withColumn(rank, F.row_number().over(same)).filter(F.col(rank) == 1).select(
+        *docs.columns
+    ).unionAll(kept.filter(blank))

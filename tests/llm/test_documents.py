@@ -229,6 +229,28 @@ def test_knapsack_reaches_what_brute_force_reaches():
         assert int((got * lengths).sum()) == best
 
 
+def test_first_of_similar_rows_that_share_an_id(spark):
+    base = [f"w{k}" for k in range(40)]
+    near, other = " ".join(base), " ".join(base[:-1] + ["x"])
+    rows = [
+        (1, near), (2, other), (2, "a clean text that only shares its id with another"), (None, "nobody wrote this clean text here"),
+        (None, "and nobody wrote that other text there"), (None, near), (3, "said twice over and over again"),
+        (3, "said twice over and over again"), (None, None), (4, ""),
+    ]
+    kept = jaccard_join.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [rows[k] for k in (0, 2, 3, 4, 6, 8, 9)]
+    assert collections.Counter(tuple(r) for r in kept.collect()) == collections.Counter(want)
+
+
+def test_mix_takes_rows_that_share_an_id_one_by_one(spark):
+    rows = [(None if i % 2 else i % 14, f"t{i} " * (1 + i % 5), "en", "ab"[i % 3 == 0]) for i in range(90)]
+    df = documents(spark, rows + rows[:9])
+    words, target = collections.Counter(), {r["source"]: r["target"] for r in budget_mix.decide(df, [1, 3]).collect()}
+    for r in budget_mix.mixed(df, [1, 3]).collect():
+        words[r["source"]] += len(r["text"].split())
+    assert all(abs(words[s] - target[s]) <= 2 for s in target)
+
+
 def test_mix_odd_rows(odd, none):
     out = budget_mix.decide(odd, [1, 2, 3]).collect()
     assert len(out) == len(ODD) and {r["size"] for r in out if r["doc_id"] in (1, 2, 3)} == {0}
