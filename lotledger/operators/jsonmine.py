@@ -212,9 +212,9 @@ def could_hold_vehicles(text: Column) -> Column:
     return X.bind(F.lower(text), _key_words_in) >= 3
 
 
-def vehicle_arrays(text: Column) -> Column:
+def vehicle_arrays(text: Column, depth: int | None = _VEHICLE_ARRAY_DEPTH) -> Column:
     """``array<struct<path, raws>>``: arrays of objects whose first element's keys hold
-    three of the ten key words, down to depth 8, in discovery order."""
+    three of the ten key words, down to ``depth`` (all without a number), in discovery order."""
     node = "array<" + J.NODE + ">"
     hit = "array<struct<path:array<int>,raws:array<string>>>"
     opening = F.left(F.trim(text), F.lit(1))
@@ -263,19 +263,21 @@ def vehicle_arrays(text: Column) -> Column:
             ))).alias("hits"),
         ))
 
+    # No document is deeper than it has brackets; a round without an open member costs nothing.
+    last = F.regexp_count(text, F.lit(r"[\[{]")) if depth is None else F.lit(depth)
     return F.array_sort(F.aggregate(
-        F.sequence(F.lit(0), F.lit(_VEHICLE_ARRAY_DEPTH)), start, level, lambda a: a["hits"]
+        F.sequence(F.lit(0), F.coalesce(last, F.lit(0))), start, level, lambda a: a["hits"]
     ))
 
 
-def vehicle_records(text: Column) -> Column:
+def vehicle_records(text: Column, depth: int | None = _VEHICLE_ARRAY_DEPTH) -> Column:
     """All records of all vehicle arrays, concatenated in discovery order."""
-    return F.flatten(F.transform(vehicle_arrays(text), lambda h: h["raws"]))
+    return F.flatten(F.transform(vehicle_arrays(text, depth), lambda h: h["raws"]))
 
 
 # --- records of a page ---------------------------------------------------------
 
-def embedded_records(captures: DataFrame, keep: list[str]) -> DataFrame:
+def embedded_records(captures: DataFrame, keep: list[str], depth: int | None = _VEHICLE_ARRAY_DEPTH) -> DataFrame:
     """``keep..., source, priority, ord, raw``: the records of each page's best source.
 
     JSON-LD comes first, then the first state script that yields, then the first inline
@@ -305,7 +307,7 @@ def embedded_records(captures: DataFrame, keep: list[str]) -> DataFrame:
             F.arrays_zip(F.col("_ranked").alias("r"), F.col("_literals").alias("l")),
             lambda x: F.struct(
                 x["r"]["rank"].alias("rank"),
-                F.flatten(F.transform(x["l"], vehicle_records)).alias("raws"),
+                F.flatten(F.transform(x["l"], lambda t: vehicle_records(t, depth))).alias("raws"),
             ),
         ),
         lambda x: F.size(x["raws"]) > 0,
@@ -325,9 +327,9 @@ def embedded_records(captures: DataFrame, keep: list[str]) -> DataFrame:
     return explode_rows(df, [*keep, "source", "priority"], F.col("_best.raws"), "ord", "raw")
 
 
-def response_records(responses: DataFrame, keep: list[str]) -> DataFrame:
+def response_records(responses: DataFrame, keep: list[str], depth: int | None = _VEHICLE_ARRAY_DEPTH) -> DataFrame:
     """``keep..., ord, raw`` of every vehicle array in JSON responses."""
-    return explode_rows(responses, keep, vehicle_records(F.col("body")), "ord", "raw")
+    return explode_rows(responses, keep, vehicle_records(F.col("body"), depth), "ord", "raw")
 
 
 # --- platform responses ----------------------------------------------------------

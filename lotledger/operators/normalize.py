@@ -17,11 +17,11 @@ from .keyed import first_by, top_per_group
 from .rows import settle
 
 _ENTRY = "struct<text:string,kind:string>"
-_NESTED_LEVELS = 4
+_MEMBER_LEVELS = 5
 
 
-def flat_leaves(raw: Column) -> Column:
-    """All non-object members down to five levels, in document order."""
+def flat_leaves(raw: Column, levels: int | None = _MEMBER_LEVELS) -> Column:
+    """All non-object members down to ``levels`` levels, in document order; all without a number."""
     shape = f"struct<open:array<{J.NODE}>,leaves:array<{J.NODE}>>"
     top = J.object_members(raw, J.root_path(), F.lit(None).cast("string"), True)
     start = F.struct(top.alias("open"), J.no_nodes().alias("leaves")).cast(shape)
@@ -37,8 +37,10 @@ def flat_leaves(raw: Column) -> Column:
         kept = F.concat(acc["leaves"], leaves_of(acc["open"]))
         return F.struct(inner.alias("open"), kept.alias("leaves"))
 
+    # No document is deeper than it has braces; a round without an open object costs nothing.
+    rounds = F.regexp_count(raw, F.lit(r"\{")) if levels is None else F.lit(levels - 1)
     done = F.aggregate(
-        F.sequence(F.lit(1), F.lit(_NESTED_LEVELS)), start, descend,
+        F.sequence(F.lit(0), F.coalesce(rounds, F.lit(0))), start, lambda acc, i: F.when(i > 0, descend(acc, i)).otherwise(acc),
         lambda acc: F.concat(acc["leaves"], leaves_of(acc["open"])),
     )
     return F.array_sort(done)
@@ -272,7 +274,7 @@ def normalize_many(
 
 
 def cap_vehicles(
-    df: DataFrame, owner: list[str], order: list[str], most: int | None = V.MAX_VEHICLES
+    df: DataFrame, owner: list[str], order: list[str], most: int | None = None
 ) -> DataFrame:
     """The first ``most`` vehicles per dealer, in order; all without a number."""
     return df if most is None else top_per_group(df, owner, order, most)

@@ -29,10 +29,10 @@ def _mined(records: DataFrame, run_year: int) -> DataFrame:
     return N.normalize_vehicles(df, run_year=run_year)
 
 
-def _generic(vehicles: DataFrame) -> DataFrame:
-    """Dedupe, keep the first page that has vehicles, cap per dealer."""
+def _generic(vehicles: DataFrame, most: int | None) -> DataFrame:
+    """Dedupe, keep the first page that has vehicles, at most ``most`` per dealer."""
     unique = N.dedupe_vehicles(vehicles, [*K.OWNER, "page_ord"], _PLACE)
-    return N.cap_vehicles(K.first_hit(unique, "page_ord", ["card_ord"]), K.OWNER, _PLACE)
+    return N.cap_vehicles(K.first_hit(unique, "page_ord", ["card_ord"]), K.OWNER, _PLACE, most)
 
 
 def _named(vehicles: DataFrame, strategy: Column) -> DataFrame:
@@ -40,9 +40,12 @@ def _named(vehicles: DataFrame, strategy: Column) -> DataFrame:
     return named.withColumn("prio", K.priority(F.col("strategy"))).select(_COLUMNS)
 
 
-def run_layers(spark: SparkSession, captures: DataFrame, run_year: int = 2024) -> DataFrame:
+def run_layers(
+    spark: SparkSession, captures: DataFrame, run_year: int = 2024, most: int | None = None, depth: int | None = None
+) -> DataFrame:
     """Vehicles of each dealer's winning layer. ``captures`` carries the seed's
-    ``platform`` label (or NULL)."""
+    ``platform`` label (or NULL). ``most`` vehicles per dealer come from the generic layers,
+    from arrays down to ``depth``; all without a number."""
     keep = [*K.OWNER, "page_ord"]
 
     def platform(caps: DataFrame) -> DataFrame:
@@ -50,15 +53,15 @@ def run_layers(spark: SparkSession, captures: DataFrame, run_year: int = 2024) -
         return _named(found, F.concat(F.lit("platform:"), F.col("platform")))
 
     def api(caps: DataFrame) -> DataFrame:
-        return _named(_generic(_mined(JM.response_records(json_responses(caps), keep), run_year)), F.lit("api"))
+        return _named(_generic(_mined(JM.response_records(json_responses(caps), keep, depth), run_year), most), F.lit("api"))
 
     def embedded(caps: DataFrame) -> DataFrame:
-        return _named(_generic(_mined(JM.embedded_records(html_pages(caps), keep), run_year)), F.lit("embedded"))
+        return _named(_generic(_mined(JM.embedded_records(html_pages(caps), keep, depth), run_year), most), F.lit("embedded"))
 
     def navigate(caps: DataFrame) -> DataFrame:
         cards = CA.cards_to_vehicles(CA.generic_cards(html_pages(caps)), run_year)
         unique = N.dedupe_vehicles(cards, K.OWNER, _PLACE)
-        return _named(N.cap_vehicles(unique, K.OWNER, _PLACE), F.lit("navigate"))
+        return _named(N.cap_vehicles(unique, K.OWNER, _PLACE, most), F.lit("navigate"))
 
     def wide(caps: DataFrame) -> DataFrame:
         cards = CA.cards_to_vehicles(CA.wide_cards(html_pages(caps)), run_year)

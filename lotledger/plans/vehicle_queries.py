@@ -458,7 +458,7 @@ def n11(spark, sf):
     rows = table(spark, sf, "orders").select(
         F.col("o_orderstatus").alias("dealer"), F.col("o_orderkey").alias("id")
     )
-    return N.cap_vehicles(rows, ["dealer"], ["id"])
+    return N.cap_vehicles(rows, ["dealer"], ["id"], N.V.MAX_VEHICLES)
 
 
 @query("r5_field_coverage", FV + f""", v as (select {VIN5} as vin, {MILES} as mileage, {PRICE} as price, * exclude (vin, price) from f)

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from lotledger.operators import cards as CA
 from lotledger.operators import classify as C
+from lotledger.operators import jsonmine as JM
+from lotledger.operators import normalize as N
 from lotledger.operators import state as S
 from lotledger.schemas import VEHICLE_COLUMNS
 from lotledger.sources import seeds as SS
@@ -106,3 +108,19 @@ def test_another_stream_on_the_same_root_keeps_what_is_there(spark, tmp_path):
     rows = worker.ledger.read().collect()
     assert sorted(r["url"] for r in rows) == ["https://a.com", "https://b.com", "https://c.com"]
     assert worker.runs.read().first()["urls_ok"] == 3
+
+
+def test_no_vehicle_is_lost_to_a_limit(spark):
+    rows = spark.range(2500).selectExpr("'d' as dealer", "id")
+    assert N.cap_vehicles(rows, ["dealer"], ["id"]).count() == 2500
+    assert N.cap_vehicles(rows, ["dealer"], ["id"], 2000).count() == 2000
+
+
+def test_depths_end_when_nothing_is_open(spark):
+    car = '[{"vin": "1HGCM82633A004352", "make": "M", "model": "X", "price": 1, "year": 2020}]'
+    df = spark.createDataFrame([('{"a":' * 12 + car + "}" * 12, '{"a":' * 7 + '{"vin": "deep"}' + "}" * 7)], "t string, raw string")
+    got = df.select(
+        F.size(JM.vehicle_arrays(F.col("t"))).alias("rule"), F.size(JM.vehicle_arrays(F.col("t"), None)).alias("all"),
+        F.size(N.flat_leaves(F.col("raw"))).alias("five"), N.flat_leaves(F.col("raw"), None)["text"].alias("deep"),
+    ).first()
+    assert (got["rule"], got["all"], got["five"], got["deep"]) == (0, 1, 0, ["deep"])
