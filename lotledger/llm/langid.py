@@ -65,11 +65,33 @@ def ngram_counts(text: str) -> np.ndarray | None:
     return counts
 
 
+@dataclass(frozen=True)
+class SparseWeights:
+    """The weights that are not 0, by bucket: ``starts`` into ``classes`` and ``values``."""
+
+    starts: np.ndarray
+    classes: np.ndarray
+    values: np.ndarray
+    width: int
+
+    @classmethod
+    def of(cls, dense: np.ndarray) -> SparseWeights:
+        row, at = np.nonzero(dense)
+        starts = np.searchsorted(row, np.arange(len(dense) + 1))
+        return cls(starts, at.astype(np.int32), dense[row, at], dense.shape[1])
+
+    def logits(self, at: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """``x`` times the rows ``at``."""
+        first, n = self.starts[at], self.starts[at + 1] - self.starts[at]
+        place = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+        return np.bincount(self.classes[place], np.repeat(x, n) * self.values[place], self.width)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]
     idf: np.ndarray
-    weights: np.ndarray
+    weights: SparseWeights
     bias: np.ndarray
     temperature: float
 
@@ -78,7 +100,7 @@ class LanguageModel:
         if counts is None or not self.languages:
             return "und", 0.0
         at = np.flatnonzero(counts)
-        p = softmax((_scaled(counts[at], self.idf[at]) @ self.weights[at] + self.bias) / self.temperature)
+        p = softmax((self.weights.logits(at, _scaled(counts[at], self.idf[at])) + self.bias) / self.temperature)
         k = int(np.argmax(p))
         return self.languages[k], float(p[k])
 
@@ -139,26 +161,24 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def train(
     labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
-    sample_per_language: int = 500, max_languages: int = 100, seed: int = 11,
+    sample_per_language: int = 500, seed: int = 11,
 ) -> LanguageModel:
     """Learn from rows with a non-null ``lang``; ``key`` is only hashed, to draw the sample.
 
     Document frequencies are counted over all labelled rows with a letter. The classifier is
-    fitted on about ``sample_per_language`` rows of each of the ``max_languages`` most
-    frequent languages, drawn by hash; a quarter of them, never used in the fit, sets the
-    temperature. What reaches the driver is bounded by these two and the number of buckets.
+    fitted on about ``sample_per_language`` rows of each language, drawn by hash;
+    every language that labels a row is learned. A quarter of the drawn rows, never used in
+    the fit, sets the temperature. What reaches the driver is bounded by the rows per language,
+    the number of languages and the number of buckets; weights of 0 are not shipped.
     No labelled row gives a model without languages, which answers ``und``.
     """
     rows = labelled.select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")
     ).filter("text is not null and lang is not null")
-    found = (
-        rows.groupBy("lang").agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "lang").limit(max_languages).collect()
-    )
+    found = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     languages = tuple(sorted(r["lang"] for r in found))
     if not languages:
-        return LanguageModel((), np.zeros(0), np.zeros((0, 0)), np.zeros(0), 1.0)
+        return LanguageModel((), np.zeros(0), SparseWeights.of(np.zeros((0, 0))), np.zeros(0), 1.0)
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, seen = 0, np.zeros(BUCKETS, dtype=np.int64)
@@ -181,9 +201,9 @@ def train(
     idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
 
     drawn = F.pmod(F.xxhash64(F.lit(seed), "key", "text"), F.lit(1 << 30))
-    share = F.create_map(*[
-        x for r in found for x in (F.lit(r["lang"]), F.lit(int((1 << 30) * min(1.0, sample_per_language / r["n"]))))
-    ])[F.col("lang")]
+    share = labelled.sparkSession.createDataFrame(
+        [(r["lang"], int((1 << 30) * min(1.0, sample_per_language / r["n"]))) for r in found], "lang string, share long"
+    )
 
     def sparse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -196,22 +216,23 @@ def train(
             yield pd.DataFrame(kept, columns=["lang", "draw", "at", "counts"])
 
     sample = (
-        rows.withColumn("draw", drawn).filter(F.col("draw") <= share)
+        rows.withColumn("draw", drawn).join(F.broadcast(share), "lang").filter("draw <= share")
+        .select("key", "text", "lang", "draw")
         .orderBy("draw", "lang").limit(2 * sample_per_language * len(languages))
         .mapInPandas(sparse, "lang string, draw long, at array<int>, counts array<int>").collect()
     )
     sample.sort(key=lambda r: (r["draw"], r["lang"], r["at"]))
-    examples = []
+    examples, place = [], {name: i for i, name in enumerate(languages)}
     for r in sample:
         at = np.array(r["at"], dtype=np.int64)
         x = _scaled(np.array(r["counts"], dtype=float), idf[at])
-        examples.append((at, x, languages.index(r["lang"])))
+        examples.append((at, x, place[r["lang"]]))
     kept = [e for i, e in enumerate(examples) if i % 4 != 3]
     held = [e for i, e in enumerate(examples) if i % 4 == 3]
     weights, bias = fit_ftrl(kept, len(languages))
     logits = np.array([x @ weights[at] + bias for at, x, _ in held]).reshape(len(held), len(languages))
     temperature = fit_temperature(logits, np.array([c for _, _, c in held], dtype=np.int64))
-    return LanguageModel(languages, idf, weights, bias, temperature)
+    return LanguageModel(languages, idf, SparseWeights.of(weights), bias, temperature)
 
 
 def predicted(text: Column, model: LanguageModel) -> Column:

@@ -338,6 +338,22 @@ def test_ngrams_do_not_depend_on_pieces(monkeypatch):
         assert np.abs(cut - whole).sum() <= 0.35 * whole.sum() if piece == 7 else np.abs(cut - whole).sum() <= 0.2 * whole.sum()
 
 
+def test_every_labelled_language_is_learned(spark):
+    rng = random.Random(3)
+    words = {f"l{k:03}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(5)] for k in range(110)}
+    rows = [(i, " ".join(rng.choices(w, k=12)), name) for name, w in words.items() for i in range(5 if name == "l109" else 6)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == tuple(sorted(words))
+    assert model.predict(" ".join(words["l109"]))[0] == "l109"
+
+
+def test_sparse_weights_give_the_same_sums():
+    rng = np.random.default_rng(6)
+    dense = rng.normal(size=(50, 7)) * (rng.random((50, 7)) < 0.2)
+    at, x = np.array([0, 3, 17, 49]), rng.normal(size=4)
+    assert np.allclose(langid.SparseWeights.of(dense).logits(at, x), x @ dense[at])
+
+
 def test_ftrl_is_sparse_and_separates():
     rng = np.random.default_rng(0)
     rows = []
