@@ -111,6 +111,26 @@ def test_near_vectors_against_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(brute_links(rows, 0.9))
 
 
+def test_window_goes_on_across_pieces(spark, monkeypatch):
+    monkeypatch.setattr(sorted_projection, "PIECE", 4)
+    spread = [(i, [float(np.cos(i / 50)), float(np.sin(i / 50))]) for i in range(30)]
+    df = spark.createDataFrame(spread, "node long, vec array<double>")
+    codes = spark.createDataFrame([(0, i, i, i) for i in range(30)], "lot int, code long, node long, place long")
+    got = {tuple(r) for r in sorted_projection.window_pairs(codes, df, 3, 0.9).collect()}
+    assert got == {(i, j) for i in range(30) for j in range(i + 1, min(30, i + 4))}
+
+
+def test_crowded_lots_are_compared_across_components(spark, monkeypatch):
+    monkeypatch.setattr(sorted_projection, "BLOCK", 8)
+    group = [(i, [1.0, i / 1000]) for i in range(40)]
+    df = spark.createDataFrame(group + [(90, [1.0, 0.45]), (91, [0.0, 1.0])], "node long, vec array<double>")
+    codes = df.selectExpr("0 as lot", "node as code", "node", "node as place")
+    named = spark.createDataFrame([(i, 0) for i in range(40)], "node long, component long")
+    got = [tuple(r) for r in sorted_projection.crowded_pairs(codes, df, named, 4, 32, 0.9).collect()]
+    assert got and all(a < 40 and b == 90 for a, b in got)
+    assert sorted_projection.crowded_pairs(codes, df, named, 4, 64, 0.9) is None
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))] + [(i, i + 1) for i in range(1000, 1100)]
