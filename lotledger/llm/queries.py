@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import budget_mix, fuzzy_lines, jaccard_join, langid, link_trust, nbest_pieces, permutation_index, sorted_projection, sql, toxicity, warc_derivatives
+from . import budget_mix, filter_audit, fuzzy_lines, jaccard_join, langid, link_trust, nbest_pieces, permutation_index, piecewise_hash, sorted_projection, spelling_variants, sql, toxicity, warc_derivatives
 from .common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,18 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     return fuzzy_lines.dedup_lines(docs)
+
+
+@_query("op11_piecewise_hash")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return piecewise_hash.with_neighbours(_table(spark, sf, "documents"))
+
+
+@_query("op12_spelling_variants")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants.variants(_table(spark, sf, "documents"))
+
+
+@_query("op13_filter_audit", sql.FILTER_AUDIT)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))

@@ -142,3 +142,51 @@ select r.vec_id, cast((select count(*) from links l where l.a = r.vec_id) as big
   min(r.hit) as component_id, min(r.hit) = r.vec_id as kept
 from reach r group by r.vec_id
 """
+
+FILTER_AUDIT = r"""
+with w as (
+  select coalesce(source, '') as part, doc_id, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents
+), f as (
+  select part, doc_id, len(words) < 200 as a, 100 * len(list_distinct(words)) < 50 * len(words) as b,
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) as c,
+    regexp_matches(text, '[#$%&*|]') as d,
+    coalesce(min(doc_id) over (partition by text) < doc_id, false) as e
+  from w
+), m as (
+  select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+    (case when a then 'A' else '' end) || (case when b then 'B' else '' end) || (case when c then 'C' else '' end)
+      || (case when d then 'D' else '' end) || (case when e then 'E' else '' end) as fails
+  from f left join (
+    select doc_id as label_id, max(case when quality = 1 then 1 else 0 end) as good,
+      max(case when toxic = 1 then 1 else 0 end) as toxic
+    from labels group by doc_id
+  ) on doc_id = label_id
+), g as (
+  select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from m group by part, fails
+), l as (
+  select unnest(['A', 'B', 'C', 'D', 'E']) as x
+), o as (
+  select p.x || q.x || r.x || s.x || t.x as filter_order
+  from l p, l q, l r, l s, l t
+  where p.x not in (q.x, r.x, s.x, t.x) and q.x not in (r.x, s.x, t.x) and r.x not in (s.x, t.x) and s.x <> t.x
+), k as (
+  select filter_order, step, substr(filter_order, step, 1) as name, substr(filter_order, 1, step - 1) as before
+  from o, (select unnest([1, 2, 3, 4, 5]) as step)
+), r as (
+  select part, filter_order, step, name,
+    sum(case when translate(fails, before || name, '') = fails then n else 0 end) as kept,
+    sum(case when contains(fails, name) and translate(fails, before, '') = fails then n else 0 end) as removed,
+    sum(case when contains(fails, name) and translate(fails, before, '') <> fails then n else 0 end) as redundant,
+    sum(case when fails = name then n else 0 end) as unique_fails,
+    sum(case when contains(fails, name) and translate(fails, before, '') = fails then good else 0 end) as good_lost,
+    sum(case when contains(fails, name) and translate(fails, before, '') = fails then toxic else 0 end) as toxic_lost
+  from g, k group by part, filter_order, step, name
+)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+  cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+  cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+  cast(sum(removed) over (partition by part, name) as bigint) as shapley
+from r
+"""
