@@ -227,11 +227,52 @@ VIN_IN_TEXT = r"\b[A-HJ-NPR-Z0-9]{17}\b"
 YEAR_MAKE_MODEL = r"\b(19[5-9]\d|20[0-4]\d)\s+([A-Z][A-Za-z-]+)\s+([A-Za-z0-9-]+)"
 CARD_PRICE = r"\$\s?([\d,]{4,})"
 CARD_MILES = r"(?i)([\d,]{1,7})\s*(?:miles|mi\.?|km|kil[oó]metros)"
+VIN_LETTERS = "ABCDEFGHJKLMNPRSTUVWXYZ"
+
+# --- fixed values: elements that may be a card, and how far up a VIN's card is sought ---
+GENERIC_CARDS = {
+    "classes": ("vehicle", "inventory", "srp-", "listing"),
+    "tags": ("article",),
+    "tag_classes": {"li": "result"},
+}
+WIDE_CARDS = {
+    "classes": ("vehicle", "inventory", "srp", "listing", "card", "result", "item"),
+    "tags": ("article", "li", "tr"),
+    "tag_classes": {},
+}
+CARD_TEXT_CHARS = (20, 3000)
+CARD_ANCESTORS = 6
+
+# --- fixed values: HTML elements without an end tag, and end tags HTML lets out ---------
+VOID_TAGS = (
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr",
+)
+RAW_TEXT_TAGS = ("script", "style")
+FOREIGN_TAGS = ("svg", "path", "circle", "rect", "use", "line", "polygon", "polyline", "g")
+_TABLE = ("table", "template")
+_BLOCK_ENDS_P = ((("p",), ("td", "th", "caption", "button", "object", "table")),)
+IMPLIED_END_TAGS = {
+    "li": ((("li",), ("ul", "ol", "menu")),),
+    "dt": ((("dt", "dd"), ("dl",)),),
+    "dd": ((("dt", "dd"), ("dl",)),),
+    "td": ((("td", "th"), ("tr", *_TABLE)),),
+    "th": ((("td", "th"), ("tr", *_TABLE)),),
+    "tr": ((("td", "th"), _TABLE), (("tr",), _TABLE)),
+    "tbody": ((("td", "th"), _TABLE), (("tr",), _TABLE), (("thead", "tbody", "tfoot"), _TABLE)),
+    "tfoot": ((("td", "th"), _TABLE), (("tr",), _TABLE), (("thead", "tbody", "tfoot"), _TABLE)),
+    "option": ((("option",), ("select", "datalist")),),
+    **{tag: _BLOCK_ENDS_P for tag in (
+        "address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer", "form",
+        "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section",
+        "table", "ul",
+    )},
+}
 
 # --- fixed values: cascade layers and coverage -------------------------------------
 STRATEGY_PRIORITY = {
     "platform": 0, "api": 1, "embedded": 2, "navigate": 3, "unlocked": 4, "ai": 5,
 }
+LEDGER_ATTEMPTS = 15
 COVERAGE_FIELDS = [
     "vin", "year", "make", "model", "trim", "mileage", "price", "stock_number",
     "location", "url", "image_url",

@@ -5,10 +5,12 @@ segments are exploded once and every field is a regex on the segment, inside gen
 code. "Inside the card element" becomes "inside the segment": from the card's opening tag
 to the next card's, or to the page footer. A card nested in another therefore ends its
 parent's segment, and text after the last card up to the footer counts to that card.
+Generic and wide cards, whose elements nest freely, go by true containment (``elements``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -18,11 +20,13 @@ from ..functions import markers as M
 from ..functions import text as X
 from ..functions import urls as U
 from ..schemas import VEHICLE_COLUMNS, VEHICLE_TYPES
+from ..session import work_folder
 from ..sources.captures import json_responses
+from . import elements as E
 from . import jsonmine as JM
 from . import normalize as N
 from .keyed import first_by, join_on_hot_keys
-from .rows import explode_rows
+from .rows import explode_rows, settle
 
 PAGE_KEYS = ["capture_id", "run_id", "dealer_url", "page_ord"]
 _YEAR = r"\b((?:19|20)\d{2})\b"
@@ -40,24 +44,6 @@ def attr(markup: Column, name: str) -> Column:
 _PAGE_END = r"(?is)(?:<footer\b|</main>|</body>|</html>).*$"
 
 
-def segments(captures: DataFrame, opening: str, keep: list[str] = PAGE_KEYS) -> DataFrame:
-    """``keep..., card_ord, seg, tag, text``: one row per card, in page order.
-
-    ``opening`` is a regex for the card's opening tag, from its '<'. ``tag`` is that tag,
-    ``text`` the segment's visible text.
-    """
-    parts = F.filter(F.split("body", f"(?={opening})"), lambda s: s.rlike("^" + opening))
-
-    def piece(part: Column) -> Column:
-        return X.bind(F.regexp_replace(part, _PAGE_END, ""), lambda seg: F.struct(
-            seg.alias("seg"), F.regexp_extract(seg, "^<[^>]*>", 0).alias("tag"),
-            X.visible_text(seg).alias("text"),
-        ))
-
-    rows = explode_rows(captures, keep, F.transform(parts, piece), "card_ord", "_c")
-    return rows.select(*keep, "card_ord", "_c.seg", "_c.tag", "_c.text")
-
-
 def class_tag(pattern: str) -> str:
     """Opening tag with a class attribute that matches ``pattern``."""
     return rf"""<[a-zA-Z][a-zA-Z0-9]*\b[^>]*\bclass\s*=\s*["'][^"'>]*{pattern}[^"'>]*["']"""
@@ -80,22 +66,44 @@ def _group(text: Column, pattern: str) -> Column:
     return X.first_match(text, pattern)
 
 
-def _cards(df: DataFrame, fields: dict[str, Column], keep: list[str] = PAGE_KEYS) -> DataFrame:
-    return df.select(*keep, "card_ord", *[c.alias(n) for n, c in fields.items()])
+# --- platform cards ---------------------------------------------------------------
+
+# A platform is told by three functions: the pieces of a page (structs of id, seg, tag, text,
+# price), a few values read from a piece (title, href, words), and the card's fields. All
+# platforms fill the same structs, so a page of any platform is cut in one pass by its label.
 
+_PIECE = "array<struct<id:string,seg:string,tag:string,text:string,price:string>>"
+_VALUES = "struct<title:string,href:string,words:array<string>>"
 
-# --- platform cards ---------------------------------------------------------------
 
-def dws_cards(captures: DataFrame) -> DataFrame:
-    df = segments(captures, class_tag("dws-vehicle-listing-item-title"))
-    df = df.withColumns({
-        "title": X.visible_text(F.regexp_extract("seg", r"(?is)^<([a-z0-9]+)\b[^>]*>.*?</\1\s*>", 0)),
-        "href": X.first_match(F.col("seg"), r"""(?is)<a\b[^>]*\bhref\s*=\s*["']([^"']*)["']"""),
-    })
-    steps = F.filter(F.split("href", "/"), lambda s: s != "")
+def _pieces(opening: str) -> Column:
+    """The segments of a page from each opening tag to the next or the footer."""
+    parts = F.filter(F.split("body", f"(?={opening})"), lambda s: s.rlike("^" + opening))
+    none = F.lit(None).cast("string")
+    return F.transform(parts, lambda part: X.bind(F.regexp_replace(part, _PAGE_END, ""), lambda seg: F.struct(
+        none.alias("id"), seg.alias("seg"), F.regexp_extract(seg, "^<[^>]*>", 0).alias("tag"),
+        X.visible_text(seg).alias("text"), none.alias("price"),
+    ))).cast(_PIECE)
+
 
+def _values(title: Column | None = None, href: Column | None = None, words: Column | None = None) -> Column:
+    given = {"title": title, "href": href, "words": words}
+    return F.struct(*[
+        (F.lit(None) if c is None else c).alias(n) for n, c in given.items()
+    ]).cast(_VALUES)
+
+
+def _dws_values() -> Column:
+    href = X.first_match(F.col("seg"), r"""(?is)<a\b[^>]*\bhref\s*=\s*["']([^"']*)["']""")
+    return X.bind(href, lambda h: _values(
+        X.visible_text(F.regexp_extract("seg", r"(?is)^<([a-z0-9]+)\b[^>]*>.*?</\1\s*>", 0)),
+        h, F.filter(F.split(h, "/"), lambda s: s != ""),
+    ))
+
+
+def _dws_fields() -> dict[str, Column]:
     def from_href(i: int) -> Column:
-        return F.replace(F.get(steps, i), F.lit("-"), F.lit(" "))
+        return F.replace(F.get("words", i), F.lit("-"), F.lit(" "))
 
     def field(name: str) -> Column:
         inner = F.regexp_extract(
@@ -105,29 +113,30 @@ def dws_cards(captures: DataFrame) -> DataFrame:
         value = F.trim(F.regexp_replace(X.visible_text(inner), r"^[A-Za-z /]+?\s", ""))
         return F.when(F.col("seg").rlike(rf"dws-vehicle-field-{name}(?![\w-])"), value)
 
-    return _cards(df, {
+    return {
         "vin": field("vin"),
-        "stock_number": F.coalesce(F.nullif(field("stock-number"), F.lit("")), F.get(steps, 3)),
+        "stock_number": F.coalesce(F.nullif(field("stock-number"), F.lit("")), F.get("words", 3)),
         "make": from_href(1), "model": from_href(2),
         "year": _group(F.col("title"), _YEAR),
         "mileage": field("mileage"), "drivetrain": field("drivetrain"),
         "transmission": field("transmission"), "engine": field("engine"), "doors": field("door"),
         "price": _group(F.col("text"), r"(\$[\d,]{3,})"),
         "condition": F.lit("used"), "url": F.col("href"), "image_url": _image(F.col("seg")),
-    })
+    }
 
 
-def dealersync_cards(captures: DataFrame) -> DataFrame:
-    df = segments(captures, _DATA_VIN)
-    df = df.withColumn("title", F.coalesce(attr(F.col("tag"), "data-vehicle-title"), F.lit("")))
-    rest = F.concat(
-        F.regexp_extract("title", rf"(?s)^(.*?){_YEAR}(.*)$", 1),
-        F.regexp_extract("title", rf"(?s)^(.*?){_YEAR}(.*)$", 3),
-    )
-    rest = F.when(F.col("title").rlike(_YEAR), rest).otherwise(F.col("title"))
-    df = df.withColumn("words", F.split(F.trim(rest), r"\s+"))
+def _dealersync_values() -> Column:
+    def of(title: Column) -> Column:
+        parts = rf"(?s)^(.*?){_YEAR}(.*)$"
+        rest = F.concat(F.regexp_extract(title, parts, 1), F.regexp_extract(title, parts, 3))
+        return _values(title, words=F.split(F.trim(F.when(title.rlike(_YEAR), rest).otherwise(title)), r"\s+"))
+
+    return X.bind(F.coalesce(attr(F.col("tag"), "data-vehicle-title"), F.lit("")), of)
+
+
+def _dealersync_fields() -> dict[str, Column]:
     text = F.col("text")
-    return _cards(df, {
+    return {
         "vin": attr(F.col("tag"), "data-vin"),
         "stock_number": attr(F.col("tag"), "data-stock-no"),
         "make": F.get("words", 0), "model": F.get("words", 1),
@@ -137,25 +146,29 @@ def dealersync_cards(captures: DataFrame) -> DataFrame:
         "mileage": F.coalesce(_group(text, r"(?i)([\d,]{2,})\s+\d{1,2}\s*MPG"), _group(text, _MILES3)),
         "location": attr(F.col("tag"), "data-city"), "condition": F.lit("used"),
         "url": _anchor_href(F.col("seg"), "detail|/inventory/"), "image_url": _image(F.col("seg")),
-    })
+    }
 
 
-def dealr_cards(captures: DataFrame) -> DataFrame:
-    df = segments(captures, class_tag(r"(?<![\w-])dealr-inventory-vehicle(?![\w-])"))
-    df = df.withColumn("href", _anchor_href(F.col("seg"), "inventory/|/vehicle"))
-    slug = F.get(F.filter(F.split("href", "/"), lambda s: s.rlike(r"^(19|20)\d{2}-")), 0)
-    df = df.withColumn("slug", F.split(F.coalesce(slug, F.lit("")), "-"))
+def _dealr_values() -> Column:
+    def of(href: Column) -> Column:
+        slug = F.get(F.filter(F.split(href, "/"), lambda s: s.rlike(r"^(19|20)\d{2}-")), 0)
+        return _values(href=href, words=F.split(F.coalesce(slug, F.lit("")), "-"))
+
+    return X.bind(_anchor_href(F.col("seg"), "inventory/|/vehicle"), of)
+
+
+def _dealr_fields() -> dict[str, Column]:
     text = F.col("text")
 
     def labelled(label: str, stop: str) -> Column:
         return F.trim(_group(text, rf"(?i){label}\s+(.+?)\s+(?={stop})"))
 
-    slug_year = F.when(F.get("slug", 0).rlike(r"^(19|20)\d{2}$"), F.get("slug", 0))
-    return _cards(df, {
+    slug_year = F.when(F.get("words", 0).rlike(r"^(19|20)\d{2}$"), F.get("words", 0))
+    return {
         "vin": attr(F.col("seg"), "data-cg-vin"),
         "stock_number": _group(text, r"(?i)Stock\s+([A-Za-z0-9-]+)"),
-        "make": F.nullif(F.get("slug", 1), F.lit("")), "model": F.nullif(F.get("slug", 2), F.lit("")),
-        "trim": F.nullif(F.array_join(F.slice("slug", 4, 1000), " "), F.lit("")),
+        "make": F.nullif(F.get("words", 1), F.lit("")), "model": F.nullif(F.get("words", 2), F.lit("")),
+        "trim": F.nullif(F.array_join(F.slice("words", 4, 1000), " "), F.lit("")),
         "year": F.coalesce(slug_year, _group(text, _YEAR)),
         "mileage": _group(text, r"(?i)Mileage\s+([\d,]+)"),
         "drivetrain": _group(text, r"(?i)Drivetrain\s+([A-Za-z0-9]+)"),
@@ -164,45 +177,46 @@ def dealr_cards(captures: DataFrame) -> DataFrame:
         "engine": labelled("Engine", r"MPG|Mileage|Stock|Exterior|Interior|\$"),
         "price": _group(text, _PRICE3), "condition": F.lit("used"),
         "url": F.col("href"), "image_url": _image(F.col("seg")),
-    })
+    }
 
 
-def overfuel_cards(captures: DataFrame) -> DataFrame:
-    df = segments(captures, _DATA_VIN)
-    df = df.withColumn("href", _anchor_href(F.col("seg"), "/inventory/"))
-    parts = F.split(F.coalesce(F.element_at(F.split("href", "/"), -1), F.lit("")), "-")
-    ends_in_vin = F.element_at(parts, -1).rlike("(?i)" + V.VIN_PATTERN)
-    df = df.withColumn(
-        "parts", F.when(ends_in_vin, F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
-    )
+def _overfuel_values() -> Column:
+    def of(href: Column) -> Column:
+        parts = F.split(F.coalesce(F.element_at(F.split(href, "/"), -1), F.lit("")), "-")
+        return X.bind(parts, lambda p: _values(href=href, words=F.when(
+            F.element_at(p, -1).rlike("(?i)" + V.VIN_PATTERN), F.slice(p, F.lit(1), F.size(p) - 1)
+        ).otherwise(p)))
+
+    return X.bind(_anchor_href(F.col("seg"), "/inventory/"), of)
+
+
+def _overfuel_fields() -> dict[str, Column]:
     text = F.col("text")
     named = r"(?i)(?:No-haggle price|Sale Price|Our Price|Internet Price|Price)\s*\$\s?([\d,]{3,})"
-    return _cards(df, {
+    return {
         "vin": attr(F.col("tag"), "data-vin"),
         "stock_number": _group(text, r"(?i)Stock\s*#?\s*([A-Za-z0-9-]+)"),
         "make": F.coalesce(
-            F.nullif(F.get("parts", 1), F.lit("")),
+            F.nullif(F.get("words", 1), F.lit("")),
             _group(attr(F.col("tag"), "class"), r"(?i)make_([a-z0-9]+)"),
         ),
-        "model": F.nullif(F.get("parts", 2), F.lit("")),
-        "trim": F.nullif(F.array_join(F.slice("parts", 4, 1000), " "), F.lit("")),
-        "year": F.when(F.get("parts", 0).rlike(r"^(19|20)\d{2}$"), F.get("parts", 0)),
+        "model": F.nullif(F.get("words", 2), F.lit("")),
+        "trim": F.nullif(F.array_join(F.slice("words", 4, 1000), " "), F.lit("")),
+        "year": F.when(F.get("words", 0).rlike(r"^(19|20)\d{2}$"), F.get("words", 0)),
         "mileage": _group(text, r"(?i)([\d,]+)\s*miles"),
         "price": F.coalesce(_group(text, named), _group(text, V.CARD_PRICE)),
         "condition": F.lit("used"), "url": F.col("href"), "image_url": _image(F.col("seg")),
-    })
+    }
 
 
 _CFS_LINK = r"(?i)/details/(?:[a-z]+-)?(\d{4})-([a-z0-9]+)-([a-z0-9-]+?)/(\d+)"
 
 
-def carsforsale_cards(captures: DataFrame) -> DataFrame:
-    """One card per listing id: the text between its links and the next listing's.
+def _carsforsale_pieces() -> Column:
+    """One piece per listing id: the text between its links and the next listing's.
 
-    A card without a price takes the JSON-LD price at its own index on the page.
+    ``price`` is the JSON-LD price at the piece's own index on the page.
     """
-    from . import jsonmine as JM
-
     opening = r"""<a\b[^>]*\bhref\s*=\s*["'][^"'>]*/details/"""
     parts = F.filter(F.split("body", f"(?={opening})"), lambda s: s.rlike("^" + opening))
     parts = F.transform(parts, lambda s: F.struct(
@@ -216,47 +230,118 @@ def carsforsale_cards(captures: DataFrame) -> DataFrame:
         lambda s: X.bind(F.try_parse_json(X.trimmed(s["text"])), _ld_prices),
     ))
 
-    def whole(i: Column, ps: Column) -> Column:
-        mine = F.transform(F.filter(ps, lambda p: p["id"] == i), lambda p: p["seg"])
+    def whole(listing: Column, at: Column, ps: Column, shown: Column) -> Column:
+        mine = F.transform(F.filter(ps, lambda p: p["id"] == listing), lambda p: p["seg"])
         return X.bind(F.array_join(mine, " "), lambda seg: F.struct(
-            i.alias("id"), seg.alias("seg"), X.visible_text(seg).alias("text"),
-            _anchor_href(seg, "/details/").alias("href"),
+            listing.alias("id"), seg.alias("seg"), F.lit("").alias("tag"), X.visible_text(seg).alias("text"),
+            F.get(shown, at).alias("price"),
         ))
 
-    cards = X.bind(parts, lambda ps: F.transform(
-        F.array_distinct(F.transform(ps, lambda p: p["id"])), lambda i: whole(i, ps)
+    return X.bind(F.struct(parts.alias("parts"), prices.alias("prices")), lambda both: F.transform(
+        F.array_distinct(F.transform(both["parts"], lambda p: p["id"])),
+        lambda listing, at: whole(listing, at, both["parts"], both["prices"]),
+    )).cast(_PIECE)
+
+
+def _carsforsale_values() -> Column:
+    title = X.visible_text(F.regexp_extract(
+        "seg", r"""(?is)<(h[1-4]|[a-z0-9]+(?=[^>]*\bclass\s*=\s*["'][^"'>]*title))\b[^>]*>.*?</\1\s*>""", 0
     ))
-    rows = captures.select(*PAGE_KEYS, "body", prices.alias("_prices"))
-    df = explode_rows(rows, [*PAGE_KEYS, "_prices"], cards, "card_ord", "_c").select(
-        *PAGE_KEYS, "card_ord", "_prices", "_c.id", "_c.seg", "_c.text", "_c.href"
-    )
-    df = df.withColumns({
-        "y": _group(F.col("href"), _CFS_LINK),
-        "mk": X.first_match(F.col("href"), _CFS_LINK, 2),
-        "md": X.first_match(F.col("href"), _CFS_LINK, 3),
-        "title": X.visible_text(F.regexp_extract(
-            "seg", r"""(?is)<(h[1-4]|[a-z0-9]+(?=[^>]*\bclass\s*=\s*["'][^"'>]*title))\b[^>]*>.*?</\1\s*>""", 0
-        )),
-    })
+    return X.bind(_anchor_href(F.col("seg"), "/details/"), lambda href: _values(
+        title, href, F.array(*[X.first_match(href, _CFS_LINK, i) for i in (1, 2, 3)])
+    ))
+
+
+def _carsforsale_fields() -> dict[str, Column]:
+    y, mk, md = (F.get("words", i) for i in range(3))
     bare = F.regexp_replace(
-        F.col("title"), F.concat(F.lit(r"(?i)^\s*"), "y", F.lit(r"\s+"), "mk", F.lit(r"\s+")), F.lit("")
+        F.col("title"), F.concat(F.lit(r"(?i)^\s*"), y, F.lit(r"\s+"), mk, F.lit(r"\s+")), F.lit("")
     )
-    model = F.concat(F.lit("(?i)^(.*?)"), F.replace(F.col("md"), F.lit("-"), F.lit("[ -]")))
+    model = F.concat(F.lit("(?i)^(.*?)"), F.replace(md, F.lit("-"), F.lit("[ -]")))
     trim = F.trim(F.regexp_replace(bare, model, F.lit("$1")))
     text = F.col("text")
-    return _cards(df, {
-        "listing_id": F.col("id"), "year": F.col("y"),
-        "make": F.replace(F.col("mk"), F.lit("-"), F.lit(" ")),
-        "model": F.replace(F.col("md"), F.lit("-"), F.lit(" ")),
+    return {
+        "listing_id": F.col("id"), "year": y,
+        "make": F.replace(mk, F.lit("-"), F.lit(" ")),
+        "model": F.replace(md, F.lit("-"), F.lit(" ")),
         "trim": F.nullif(trim, F.lit("")),
-        "price": F.coalesce(_group(text, _PRICE3), F.get("_prices", F.col("card_ord"))),
+        "price": F.coalesce(_group(text, _PRICE3), "piece_price"),
         "mileage": _group(text, _MILES3),
         "transmission": _group(
             text, r"(?i)Transmission\s+([A-Za-z0-9 -]+?)(?=\s+(?:Drivetrain|Engine|Exterior|Fuel|VIN|$))"
         ),
         "drivetrain": _group(text, r"(?i)Drivetrain\s+([A-Za-z0-9]+)"),
         "condition": F.lit("used"), "url": F.col("href"), "image_url": _image(F.col("seg")),
-    })
+    }
+
+
+MARKUP = {
+    "dws": (lambda: _pieces(class_tag("dws-vehicle-listing-item-title")), _dws_values, _dws_fields),
+    "dealersync": (lambda: _pieces(_DATA_VIN), _dealersync_values, _dealersync_fields),
+    "dealr": (
+        lambda: _pieces(class_tag(r"(?<![\w-])dealr-inventory-vehicle(?![\w-])")), _dealr_values, _dealr_fields,
+    ),
+    "overfuel": (lambda: _pieces(_DATA_VIN), _overfuel_values, _overfuel_fields),
+    "carsforsale": (_carsforsale_pieces, _carsforsale_values, _carsforsale_fields),
+}
+
+
+def _by_platform(names: list[str], of: Callable[[str], Column]) -> Column:
+    return F.coalesce(*[F.when(F.col("extractor") == name, of(name)) for name in names])
+
+
+def platform_fields(names: list[str]) -> list[str]:
+    """All card fields of these platforms."""
+    return list(dict.fromkeys(f for name in names for f in MARKUP[name][2]()))
+
+
+def marked_cards(captures: DataFrame, names: list[str]) -> DataFrame:
+    """Cards of pages whose column ``extractor`` is one of ``names``, with all their fields.
+
+    The captures are read once, each page is cut by its own platform's markup, and every value
+    is read from a card once.
+    """
+    pages = captures.filter(F.col("extractor").isin(names))
+    keep = [*PAGE_KEYS, "extractor"]
+    rows = explode_rows(pages, keep, _by_platform(names, lambda n: MARKUP[n][0]()), "card_ord", "_c").select(
+        *keep, "card_ord", "_c.id", "_c.seg", "_c.tag", "_c.text", F.col("_c.price").alias("piece_price")
+    )
+    rows = settle(rows, rows.columns, {"_v": _by_platform(names, lambda n: MARKUP[n][1]())})
+    rows = rows.select("*", "_v.title", "_v.href", "_v.words")
+    every = platform_fields(names)
+
+    def card(name: str) -> Column:
+        own = MARKUP[name][2]()
+        return F.struct(*[own.get(f, F.lit(None)).cast("string").alias(f) for f in every])
+
+    return settle(rows, [*keep, "card_ord"], {"_f": _by_platform(names, card)}).select(
+        *keep, "card_ord", *[F.col("_f")[f].alias(f) for f in every]
+    )
+
+
+def _cards_of(captures: DataFrame, name: str) -> DataFrame:
+    return marked_cards(captures.withColumn("extractor", F.lit(name)), [name]).drop("extractor")
+
+
+def dws_cards(captures: DataFrame) -> DataFrame:
+    return _cards_of(captures, "dws")
+
+
+def dealersync_cards(captures: DataFrame) -> DataFrame:
+    return _cards_of(captures, "dealersync")
+
+
+def dealr_cards(captures: DataFrame) -> DataFrame:
+    return _cards_of(captures, "dealr")
+
+
+def overfuel_cards(captures: DataFrame) -> DataFrame:
+    return _cards_of(captures, "overfuel")
+
+
+def carsforsale_cards(captures: DataFrame) -> DataFrame:
+    """One card per listing id; without a price it takes the JSON-LD price at its index."""
+    return _cards_of(captures, "carsforsale")
 
 
 def _ld_prices(doc: Column) -> Column:
@@ -306,73 +391,16 @@ def enrich_from_details(cards: DataFrame, details: DataFrame) -> DataFrame:
 
 # --- generic cards ---------------------------------------------------------------
 
-_GENERIC_OPENING = (
-    r"(?i:<[a-z][a-z0-9]*\s[^>]*\bclass\s*=\s*[\"'][^\"'>]*(?:vehicle|inventory|srp-|listing)"
-    r"|<[a-z][a-z0-9]*\s[^>]*\bdata-(?:vin|vehicle)\b|<article\b"
-    r"|<li\s[^>]*\bclass\s*=\s*[\"'][^\"'>]*result)"
-)
-_WIDE_OPENING = (
-    r"(?i:<[a-z][a-z0-9]*\s[^>]*\bclass\s*=\s*[\"'][^\"'>]*(?:vehicle|inventory|srp|listing|card|result|item)"
-    r"|<[a-z][a-z0-9]*\s[^>]*\bdata-(?:vin|vehicle)\b|<article\b|<li\b|<tr\b)"
-)
-
-
-def _free_text_fields(text: Column) -> dict[str, Column]:
-    return {
-        "year": X.first_match(text, V.YEAR_MAKE_MODEL, 1),
-        "make": X.first_match(text, V.YEAR_MAKE_MODEL, 2),
-        "model": X.first_match(text, V.YEAR_MAKE_MODEL, 3),
-        "price": _group(text, V.CARD_PRICE),
-        "mileage": _group(text, V.CARD_MILES),
-    }
-
-
-def _candidates(captures: DataFrame, opening: str, chars: tuple[int, int] | None) -> DataFrame:
-    df = segments(captures, opening, [*PAGE_KEYS, "page_url"])
-    if chars is not None:
-        df = df.filter(F.length("text").between(*chars))
-    df = df.withColumn("vin", F.coalesce(
-        attr(F.col("tag"), "data-vin"), F.nullif(F.regexp_extract("text", V.VIN_IN_TEXT, 0), F.lit(""))
-    ))
-    df = df.filter(F.col("vin").isNotNull() | F.col("text").rlike(V.YEAR_MAKE_MODEL))
-    href = X.first_match(F.col("seg"), r"""(?is)<a\b[^>]*\bhref\s*=\s*["']([^"']*)["']""")
-    return df.withColumns({
-        "url": U.resolve(href, U.origin(F.col("page_url"))), "image": _image(F.col("seg")),
-    })
-
-
-def _page_key() -> Column:
-    return X.null_safe_key(*[F.col(c) for c in ("year", "make", "model", "url")])
-
-
 def generic_cards(
-    captures: DataFrame, most: int | None = None, chars: tuple[int, int] | None = None
+    captures: DataFrame, most: int | None = None, chars: tuple[int, int] | None = V.CARD_TEXT_CHARS
 ) -> DataFrame:
-    """Anything that looks like a vehicle card; first per key.
+    """Elements that look like a vehicle card; first per key of a page, in page order.
 
-    Where given: at most ``most`` per page, with a text of ``chars`` characters.
+    An element of another's class "vehicle" ends its parents' being cards. ``chars`` bounds
+    the text of a card, so that lists are none; at most ``most`` of a page, where given.
     """
-    df = _candidates(captures, _GENERIC_OPENING, chars)
-    cards = _cards(df, {
-        "vin": F.col("vin"), **_free_text_fields(F.col("text")),
-        "url": F.col("url"), "image": F.col("image"),
-    })
-    keyed = cards.withColumn("_key", F.coalesce("vin", _page_key()))
-    unique = first_by(keyed, ["capture_id", "_key"], [F.col("card_ord")]).drop("_key")
-    return _first_of_page(unique, most)
-
-
-def _first_of_page(cards: DataFrame, most: int | None) -> DataFrame:
-    if most is None:
-        return cards
-    # bounded by the cards of one page
-    rank = F.row_number().over(Window.partitionBy("capture_id").orderBy("card_ord"))
-    return cards.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank")
-
-
-def sane_vin(vin: Column) -> Column:
-    """A digit, a letter, and no character seven times in a row."""
-    return vin.rlike(r"[0-9]") & vin.rlike(r"[A-HJ-NPR-Z]") & ~vin.rlike(r"(.)\1{6}")
+    df = E.page_cards(captures, [*PAGE_KEYS, "page_url"], E.generic, chars, most)
+    return df.withColumn("url", U.resolve(F.col("url"), U.origin(F.col("page_url")))).drop("page_url")
 
 
 def merge_fill(cards: DataFrame, keys: list[str], fields: list[str], order: list[str]) -> DataFrame:
@@ -385,66 +413,23 @@ def merge_fill(cards: DataFrame, keys: list[str], fields: list[str], order: list
     return folded.select(*keys, *[F.col("_at")[c].alias(c) for c in order], *fields)
 
 
-_WIDE_FIELDS = ["vin", "year", "make", "model", "price", "mileage", "condition", "url", "image_url"]
-
-
 def wide_cards(
-    captures: DataFrame, most: int | None = None, chars: tuple[int, int] | None = None
+    captures: DataFrame, most: int | None = None, chars: tuple[int, int] | None = V.CARD_TEXT_CHARS
 ) -> DataFrame:
-    """More tags, VIN sanity, merge-fill per key, then VINs in text no card holds.
-
-    The VIN-anchored pass reads 1,000 characters of markup on both sides of the VIN
-    instead of climbing the element tree. ``most`` and ``chars`` as in ``generic_cards``.
-    """
-    df = _candidates(captures, _WIDE_OPENING, chars)
-    vin = F.when(sane_vin(F.col("vin")), F.col("vin"))
-    cards = _cards(df, {
-        "vin": vin, **_free_text_fields(F.col("text")), "condition": F.lit("used"),
-        "url": F.col("url"), "image_url": F.col("image"),
-    })
-    key = F.coalesce("vin", F.when(
-        F.col("year").isNotNull() & F.col("make").isNotNull(), _page_key()
-    ))
-    merged = merge_fill(
-        cards.withColumn("_key", key).filter("_key is not null"),
-        [*PAGE_KEYS, "_key"], _WIDE_FIELDS, ["card_ord"],
-    )
-    loose = anchored_vins(captures)
-    known = merged.select("capture_id", F.col("_key"))
-    extra = loose.join(known, ["capture_id", "_key"], "left_anti").select(merged.columns)
-    both = merged.unionByName(extra).drop("_key")
-    return _first_of_page(both, most)
+    """More elements, VIN sanity, cards of one key fill each other's gaps; then the elements
+    around VINs in text that no card holds. ``most`` and ``chars`` as in ``generic_cards``."""
+    return _wide_columns(E.page_cards(captures, [*PAGE_KEYS, "page_url"], E.wide, chars, most))
 
 
 def anchored_vins(captures: DataFrame) -> DataFrame:
-    """Vehicles around VINs in the page's text, keyed by VIN."""
-    # The place of a VIN is sought in the page without scripts, styles and comments, and
-    # not inside tags, unless it stands in tags only.
-    captures = captures.withColumn("_shown", F.regexp_replace(
-        "body", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " "
-    ))
-    vins = F.array_distinct(F.filter(
-        F.regexp_extract_all(X.visible_text(F.col("body")), F.lit(V.VIN_IN_TEXT), F.lit(0)), sane_vin
-    ))
+    """The vehicles around VINs in a page's text, whatever cards it has."""
+    return _wide_columns(E.page_cards(captures, [*PAGE_KEYS, "page_url"], E.anchored, None, None))
 
-    def around(vin: Column) -> Column:
-        start = F.greatest(F.position(vin, F.col("_shown")) - 1000, F.lit(1))
-        cut = F.substring(F.col("_shown"), start, F.lit(2017))
-        # the window may start or end inside a tag
-        return X.bind(F.regexp_replace(cut, r"^[^<>]*>|<[^<>]*$", ""), lambda w: F.struct(
-            vin.alias("vin"), w.alias("window"), X.visible_text(w).alias("text")
-        ))
 
-    rows = explode_rows(captures, [*PAGE_KEYS, "page_url"], F.transform(vins, around), "_i", "_v")
-    rows = rows.withColumns({"_w": F.col("_v.window"), "_t": F.col("_v.text")})
-    href = X.first_match(F.col("_w"), r"""(?is)<a\b[^>]*\bhref\s*=\s*["']([^"']*)["']""")
-    return rows.select(
-        *PAGE_KEYS, F.col("_v.vin").alias("_key"),
-        (F.col("_i") + 1_000_000).cast("int").alias("card_ord"), F.col("_v.vin").alias("vin"),
-        *[c.alias(n) for n, c in _free_text_fields(F.col("_t")).items()],
-        F.lit("used").alias("condition"),
-        U.resolve(href, U.origin(F.col("page_url"))).alias("url"),
-        _image(F.col("_w")).alias("image_url"),
+def _wide_columns(df: DataFrame) -> DataFrame:
+    return df.select(
+        *PAGE_KEYS, "card_ord", "vin", "year", "make", "model", "price", "mileage", F.lit("used").alias("condition"),
+        U.resolve(F.col("url"), U.origin(F.col("page_url"))).alias("url"), F.col("image").alias("image_url"),
     )
 
 
@@ -478,41 +463,69 @@ def first_listings(cards: DataFrame, platform: str) -> DataFrame:
     ).drop("_key")
 
 
-def page_yield(cards: DataFrame, platform: str, pages: DataFrame | None = None) -> DataFrame:
-    """Per listing page: its cards and the keys it is the first to show.
+_SERIES = ["run_id", "dealer_url", "extractor"]
+
+
+def page_yields(cards: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Per dealer, ``extractor`` and listing page: its ``cards`` and ``new_keys``, the keys it
+    is the first to show. ``cards`` carries ``_key``.
 
     ``pages`` lists the captured pages, so that a page without cards counts too.
     """
-    keyed = cards.withColumn("_key", listing_key(platform))
-    owner = ["run_id", "dealer_url"]
-    totals = keyed.groupBy(*owner, "page_ord").agg(F.count("*").alias("cards"))
+    totals = cards.groupBy(*_SERIES, "page_ord").agg(F.count("*").alias("cards"))
     if pages is not None:
-        every = pages.select(*owner, "page_ord").distinct()
-        totals = every.join(totals, [*owner, "page_ord"], "left").na.fill(0, ["cards"])
+        every = pages.select(*_SERIES, "page_ord").distinct()
+        totals = every.join(totals, [*_SERIES, "page_ord"], "left").na.fill(0, ["cards"])
     fresh = (
-        keyed.filter("_key is not null")
-        .groupBy(*owner, "_key").agg(F.min("page_ord").alias("page_ord"))
-        .groupBy(*owner, "page_ord").agg(F.count("*").alias("new_keys"))
+        cards.filter("_key is not null")
+        .groupBy(*_SERIES, "_key").agg(F.min("page_ord").alias("page_ord"))
+        .groupBy(*_SERIES, "page_ord").agg(F.count("*").alias("new_keys"))
     )
-    return totals.join(fresh, [*owner, "page_ord"], "left").na.fill(0, ["new_keys"])
+    return totals.join(fresh, [*_SERIES, "page_ord"], "left").na.fill(0, ["new_keys"])
+
+
+def last_pages(yields: DataFrame) -> DataFrame:
+    """Per dealer and extractor the page pagination stops at: the first without new keys or,
+    where the platform has a page size, the first short one. No such page, no row."""
+    short = F.coalesce(*[
+        F.when(F.col("extractor") == name, F.col("cards") < size) for name, size in V.SHORT_PAGE.items()
+    ], F.lit(False))
+    # The first page of an answered listing never ends it: its answer may come late.
+    dry = (F.col("new_keys") == 0) & ((F.col("extractor") != "dealercom") | (F.col("page_ord") > 0))
+    ends = yields.filter((dry | short) & F.col("extractor").isin(*LISTING_KEY, "dealercom"))
+    return ends.groupBy(*_SERIES).agg(F.min("page_ord").alias("_last"))
+
+
+def cut_pages(cards: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Rows (with ``_key``) up to the page pagination stops at. ``cards`` is read more than
+    once: it should be a written table."""
+    last = last_pages(page_yields(cards, pages))
+    joined = join_on_hot_keys(cards, last, _SERIES, ["page_ord", "_key"], "left")
+    return joined.filter(F.col("_last").isNull() | (F.col("page_ord") <= F.col("_last"))).drop("_last")
 
 
-def last_page(pages: DataFrame, platform: str) -> DataFrame:
-    """Per dealer the page pagination stops at: the first without new keys or, where the
-    platform has a page size, the first short one. No such page, no row."""
-    stop = F.col("new_keys") == 0
-    if platform in V.SHORT_PAGE:
-        stop = stop | (F.col("cards") < V.SHORT_PAGE[platform])
-    return pages.filter(stop).groupBy("run_id", "dealer_url").agg(F.min("page_ord").alias("_last"))
+def _tagged(df: DataFrame | None, platform: str) -> DataFrame | None:
+    return None if df is None else df.withColumn("extractor", F.lit(platform))
+
+
+def page_yield(cards: DataFrame, platform: str, pages: DataFrame | None = None) -> DataFrame:
+    """``page_yields`` of the cards of one platform."""
+    keyed = cards.withColumn("_key", listing_key(platform))
+    return page_yields(_tagged(keyed, platform), _tagged(pages, platform)).drop("extractor")
 
 
 def cut_pagination(cards: DataFrame, platform: str, pages: DataFrame | None = None) -> DataFrame:
-    """Cards up to the page pagination stops at."""
-    last = last_page(page_yield(cards, platform, pages), platform)
-    joined = join_on_hot_keys(
-        cards, last, ["run_id", "dealer_url"], ["capture_id", "card_ord"], "left"
-    )
-    return joined.filter(F.col("_last").isNull() | (F.col("page_ord") <= F.col("_last"))).drop("_last")
+    """Cards of one platform up to the page pagination stops at; they are written once."""
+    keyed = _written(_tagged(cards.withColumn("_key", listing_key(platform)), platform), "cards")
+    return cut_pages(keyed, _tagged(pages, platform)).drop("_key", "extractor")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a written table of the shared folder: parsed once, however often read."""
+    spark = df.sparkSession
+    path = work_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def cut_announced_total(pages: DataFrame) -> DataFrame:
@@ -539,13 +552,13 @@ def extractor_for(label: Column) -> Column:
 
 # --- to vehicles ----------------------------------------------------------------
 
-def cards_to_vehicles(cards: DataFrame, run_year: int = 2024) -> DataFrame:
+def cards_to_vehicles(cards: DataFrame, run_year: int = 2024, raw: Column | None = None) -> DataFrame:
     """Card columns to the 23 vehicle columns.
 
     The alias table knows ``image`` but not ``image_url``, so only cards that carry
-    ``image`` keep their picture.
+    ``image`` keep their picture. ``raw``: the card as JSON, all its columns by default.
     """
-    keep = [c for c in (*PAGE_KEYS, "card_ord") if c in cards.columns]
+    keep = [c for c in (*PAGE_KEYS, "extractor", "card_ord") if c in cards.columns]
     fields = [c for c in cards.columns if c not in keep]
     values: dict[str, Column] = {}
     for name in VEHICLE_COLUMNS:
@@ -557,8 +570,7 @@ def cards_to_vehicles(cards: DataFrame, run_year: int = 2024) -> DataFrame:
             values[name] = X.to_float(value)
         else:
             values[name] = X.trimmed(value)
-    raw = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    values["raw_json"] = raw
+    values["raw_json"] = _card_json(fields) if raw is None else raw
     typed = cards.select(
         *keep, U.origin(F.col("dealer_url")).alias("origin"),
         *[values[c].alias(c) for c in VEHICLE_COLUMNS],
@@ -566,53 +578,82 @@ def cards_to_vehicles(cards: DataFrame, run_year: int = 2024) -> DataFrame:
     return N.finish_fields(typed, "origin", run_year)
 
 
-def _from_records(records: DataFrame, run_year: int) -> DataFrame:
-    rows = records.withColumnRenamed("ord", "card_ord").withColumn("origin", U.origin(F.col("dealer_url")))
-    return N.normalize_vehicles(rows, run_year=run_year)
+def _card_json(fields: list[str]) -> Column:
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-# Platforms whose listings stand in the page's markup, as cards.
-EXTRACTORS = {
-    "dws": lambda caps: merge_layouts(cut_pagination(dws_cards(caps), "dws", caps)),
-    "dealersync": dealersync_cards,
-    "dealr": lambda caps: first_listings(cut_pagination(dealr_cards(caps), "dealr", caps), "dealr"),
-    "overfuel": lambda caps: first_listings(cut_pagination(overfuel_cards(caps), "overfuel", caps), "overfuel"),
-    "carsforsale": lambda caps: first_listings(
-        cut_pagination(carsforsale_cards(caps), "carsforsale", caps), "carsforsale"
-    ),
-}
+def markup_vehicles(routed: DataFrame, run_year: int) -> DataFrame:
+    """Vehicles of all platforms whose listings stand in the page's markup.
 
+    The captures are read once and their cards written once; pagination, layouts and detail
+    pages work on the written cards.
+    """
+    names = list(MARKUP)
+    detail = (F.col("extractor") == "carsforsale") & F.coalesce(F.col("page_url").rlike(_CFS_LINK), F.lit(False))
+    listing = routed.filter(~detail)
+    key = _by_platform(list(LISTING_KEY), listing_key)
+    cards = _written(marked_cards(listing, names).withColumn("_key", key), "platform-cards")
+    cut = cut_pages(cards, listing.filter(F.col("extractor").isin(names)))
+    fields = platform_fields(names)
+    layouts = merge_fill(
+        cut.filter("extractor = 'dws' and _key is not null"), [*_SERIES, "_key"], fields, ["page_ord", "card_ord"]
+    )
+    listed = cut.filter(F.col("extractor").isin(*LISTING_KEY) & (F.col("extractor") != "dws") & F.col("_key").isNotNull())
+    first = first_by(listed, [*_SERIES, "_key"], [F.col("page_ord"), F.col("card_ord")])
+    columns = [*_SERIES, "page_ord", "card_ord", *fields]
+    plain = cards.filter(~F.col("extractor").isin(*LISTING_KEY))
+    enriched = enrich_from_details(first.filter("extractor = 'carsforsale'"), routed.filter(detail))
+    every = reduce(DataFrame.unionByName, [part.select(columns) for part in (
+        layouts, plain, enriched, first.filter("extractor <> 'carsforsale'"),
+    )])
+    own = {n: [f for f in fields if f in MARKUP[n][2]() or n == "carsforsale" and f in ("vin", "stock_number")] for n in names}
+    return cards_to_vehicles(every, run_year, _by_platform(names, lambda n: _card_json(own[n])))
+
+
+def _announced(responses: DataFrame, run_year: int) -> DataFrame:
+    """Cars Commerce answers up to the page that reaches the announced total."""
+    owner = ["run_id", "dealer_url"]
+    rows = _written(JM.cars_commerce_rows(responses), "answered-cards")
+    fresh = (
+        rows.groupBy(*owner, "vin").agg(F.min("page_ord").alias("page_ord"))
+        .groupBy(*owner, "page_ord").agg(F.count("*").alias("new_keys"))
+    )
+    pages = responses.select(*owner, "page_ord").distinct().join(fresh, [*owner, "page_ord"], "left")
+    kept = cut_announced_total(
+        pages.na.fill(0, ["new_keys"]).join(JM.announced_totals(responses), owner, "left")
+    ).select(*owner, "page_ord")
+    return cards_to_vehicles(JM.last_listings(rows.join(kept, [*owner, "page_ord"], "left_semi")), run_year)
 
-# Platforms whose listings come as JSON responses, as vehicles.
-RESPONSE_EXTRACTORS = {
-    "dealerinspire": lambda caps, year: cards_to_vehicles(JM.cars_commerce_listings(caps), year),
-    "dealercom": lambda caps, year: _from_records(JM.dealercom_records(caps), year),
-}
 
+def _answered(responses: DataFrame, run_year: int, depth: int | None) -> DataFrame:
+    """Dealer.com answers up to the first later page that shows no new record."""
+    rows = _written(_tagged(JM.dealercom_rows(responses, depth), "dealercom"), "answered-records")
+    cut = cut_pages(rows, _tagged(responses, "dealercom")).drop("extractor")
+    records = JM.first_records(cut).withColumnRenamed("ord", "card_ord")
+    return N.normalize_vehicles(records.withColumn("origin", U.origin(F.col("dealer_url"))), run_year=run_year)
 
-def platform_vehicles(captures: DataFrame, run_year: int = 2024) -> DataFrame:
+
+def platform_vehicles(captures: DataFrame, run_year: int = 2024, depth: int | None = None) -> DataFrame:
     """Route captures by ``platform`` label and run every extractor.
 
-    Returns deduped vehicles with ``platform``; routing is a column, so each extractor
-    scans only its own pages.
+    Returns deduped vehicles with ``platform``. Vehicle arrays of answers are sought down to
+    ``depth``, at any depth without a number.
     """
     routed = captures.withColumn("extractor", extractor_for(F.col("platform")))
     # Two labels of one extractor are one platform: the smallest label names it.
-    labels = routed.groupBy("run_id", "dealer_url", "extractor").agg(F.min("platform").alias("platform"))
-    parts = []
-    for name, job in EXTRACTORS.items():
-        cards = job(routed.filter(F.col("extractor") == name))
-        parts.append(
-            cards_to_vehicles(cards, run_year).drop("capture_id").withColumn("extractor", F.lit(name))
-        )
-    for name, job in RESPONSE_EXTRACTORS.items():
-        found = job(json_responses(routed.filter(F.col("extractor") == name)), run_year)
-        parts.append(found.withColumn("extractor", F.lit(name)).select(parts[0].columns))
-    every = reduce(DataFrame.unionByName, parts)
-    unique = N.dedupe_vehicles(every, ["run_id", "dealer_url", "extractor"], ["page_ord", "card_ord"])
-    return join_on_hot_keys(
-        unique, labels, ["run_id", "dealer_url", "extractor"], ["page_ord", "card_ord"]
-    )
+    labels = routed.groupBy(*_SERIES).agg(F.min("platform").alias("platform"))
+    answers = lambda name: json_responses(routed.filter(F.col("extractor") == name))
+    found = {
+        None: markup_vehicles(routed, run_year),
+        "dealerinspire": _announced(answers("dealerinspire"), run_year),
+        "dealercom": _answered(answers("dealercom"), run_year, depth),
+    }
+    columns = [*_SERIES, "page_ord", "card_ord", *VEHICLE_COLUMNS]
+    every = reduce(DataFrame.unionByName, [
+        (df if name is None else df.withColumn("extractor", F.lit(name))).select(columns) for name, df in found.items()
+    ])
+    unique = N.dedupe_vehicles(every, _SERIES, ["page_ord", "card_ord"])
+    return join_on_hot_keys(unique, labels, _SERIES, ["page_ord", "card_ord"])
 
 
 def merge_wide_path(embedded: DataFrame, cards: DataFrame) -> DataFrame:

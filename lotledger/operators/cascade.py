@@ -6,8 +6,6 @@ winner is decided on the layer rows and joined to the vehicles by salted key.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as V
@@ -104,15 +102,19 @@ def result_rows(layers: DataFrame, worker_id: str = "spark") -> DataFrame:
     )
 
 
-def invalid_seed_rows(seeds: DataFrame, run_id: str, worker_id: str = "spark") -> DataFrame:
-    """Seeds no dealer can be made of become failed rows, not lost rows."""
+def invalid_seed_rows(seeds: DataFrame, run_id: str | None = None, worker_id: str = "spark") -> DataFrame:
+    """Seeds no dealer can be made of become failed rows, not lost rows.
+
+    The run is ``run_id`` or, without one, the column of this name.
+    """
+    run = F.col("run_id") if run_id is None else F.lit(run_id)
     why = F.concat(F.lit("URL inválida: "), F.col("url"))
     trace = F.array(F.struct(
         F.lit("setup").alias("strategy"), F.lit(False).alias("ok"), why.alias("reason"),
         F.array().cast("array<string>").alias("attempts"),
     ))
     return seeds.filter(~U.is_web_url(F.col("url"))).select(
-        F.lit(run_id).alias("run_id"), F.lit(None).cast("bigint").alias("dealer_id"), "url",
+        run.alias("run_id"), F.lit(None).cast("bigint").alias("dealer_id"), "url",
         F.lit("none").alias("strategy_used"), trace.alias("strategies_tried"),
         F.lit("failed").alias("status"), F.lit(0).alias("vehicles_found"),
         F.lit(0).alias("vehicles_new"), F.lit(0).alias("vehicles_updated"), why.alias("reason"),
@@ -130,7 +132,3 @@ def with_upsert_counts(results: DataFrame, counts: DataFrame) -> DataFrame:
         })
         .drop("inserted", "updated")
     )
-
-
-def all_layers(*parts: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

@@ -334,9 +334,8 @@ def response_records(responses: DataFrame, keep: list[str], depth: int | None =
 
 # --- platform responses ----------------------------------------------------------
 
-def cars_commerce_listings(responses: DataFrame) -> DataFrame:
-    """Listings of Cars Commerce answers as card columns: the last listing per VIN wins,
-    at the place of the first."""
+def cars_commerce_rows(responses: DataFrame) -> DataFrame:
+    """Every listing with a VIN in Cars Commerce answers, as card columns."""
     listed = _list_at(F.try_parse_json("body"), "$.data.listings")
     rows = explode_rows(
         responses.filter(F.col("page_url").rlike("(?i)" + V.CARS_COMMERCE_URL)),
@@ -369,7 +368,12 @@ def cars_commerce_listings(responses: DataFrame) -> DataFrame:
         text("mechanical.engine").alias("engine"),
         F.nullif(text("vdp_url"), F.lit("")).alias("url"),
         text("media.images[0]").alias("image_url"),
-    ).filter("vin is not null and vin <> ''")
+    )
+    return cards.filter("vin is not null and vin <> ''")
+
+
+def last_listings(cards: DataFrame) -> DataFrame:
+    """The last listing per VIN, at the place of the first."""
     fields = [c for c in cards.columns if c not in ("run_id", "dealer_url", "page_ord", "card_ord")]
     place = F.struct("page_ord", "card_ord")
     folded = cards.groupBy("run_id", "dealer_url", F.col("vin").alias("_vin")).agg(
@@ -378,6 +382,10 @@ def cars_commerce_listings(responses: DataFrame) -> DataFrame:
     return folded.select("run_id", "dealer_url", "_at.page_ord", "_at.card_ord", "_c.*")
 
 
+def cars_commerce_listings(responses: DataFrame) -> DataFrame:
+    return last_listings(cars_commerce_rows(responses))
+
+
 def announced_totals(responses: DataFrame) -> DataFrame:
     """``run_id, dealer_url, total``: the number of vehicles Cars Commerce answers announce."""
     said = F.try_variant_get(F.try_parse_json("body"), "$.data.total_vehicle_count", "int")
@@ -388,12 +396,12 @@ def announced_totals(responses: DataFrame) -> DataFrame:
     )
 
 
-def dealercom_records(responses: DataFrame) -> DataFrame:
-    """Records of Dealer.com inventory answers; first per VIN, else uuid, else per
-    whole record."""
+def dealercom_rows(responses: DataFrame, depth: int | None = _VEHICLE_ARRAY_DEPTH) -> DataFrame:
+    """Every record of Dealer.com inventory answers with its ``_key``: VIN, else uuid, else
+    the whole record."""
     rows = response_records(
         responses.filter(F.col("page_url").rlike("(?i)" + V.DEALERCOM_URL)),
-        ["run_id", "dealer_url", "page_ord"],
+        ["run_id", "dealer_url", "page_ord"], depth,
     )
     members = F.from_json("raw", "map<string,string>")
     rows = rows.withColumn("_m", members)
@@ -402,12 +410,20 @@ def dealercom_records(responses: DataFrame) -> DataFrame:
         F.nullif(F.try_element_at("_m", F.lit("uuid")), F.lit("")),
         F.sha2("raw", 256),
     )
-    keyed = rows.withColumn("_key", key).drop("_m")
+    return rows.withColumn("_key", key).drop("_m")
+
+
+def first_records(keyed: DataFrame) -> DataFrame:
     return first_by(
         keyed, ["run_id", "dealer_url", "_key"], [F.col("page_ord"), F.col("ord")]
     ).drop("_key")
 
 
+def dealercom_records(responses: DataFrame, depth: int | None = _VEHICLE_ARRAY_DEPTH) -> DataFrame:
+    """Records of Dealer.com inventory answers, the first per key."""
+    return first_records(dealercom_rows(responses, depth))
+
+
 def answer_records(answers: DataFrame) -> DataFrame:
     """Model answers: code fences off, parsed, a lone object counts as a list of one."""
     bare = F.trim(X.spaced(F.regexp_replace("text", "```json|```", "")))

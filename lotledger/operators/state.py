@@ -99,6 +99,39 @@ def refresh_runs(runs: DataFrame, ledger: DataFrame, now: Column) -> DataFrame:
     )
 
 
+def result_sums(results: DataFrame) -> DataFrame:
+    """``id, results, ok, failed, found`` of ledger rows: sums that add up over batches."""
+    return results.groupBy(F.col("run_id").alias("id")).agg(
+        F.count("*").alias("results"), F.count_if(F.col("status") == "ok").alias("ok"),
+        F.count_if(F.col("status") == "failed").alias("failed"),
+        F.sum(F.coalesce("vehicles_found", F.lit(0))).alias("found"),
+    )
+
+
+def roll_up(runs: DataFrame, opened: DataFrame, added: DataFrame, now: Column) -> DataFrame:
+    """Runs after a batch, from what the batch adds: no earlier ledger row is read.
+
+    ``runs`` carries ``results``, the number of results so far, ``opened`` is as in
+    ``ensure_runs``, ``added`` the ``result_sums`` of newly recorded rows.
+    """
+    sums = runs.select("id", F.col("results").alias("_results"))
+    joined = (
+        ensure_runs(runs, opened).join(sums, "id", "left").join(added, "id", "left")
+        .na.fill(0, ["_results", "results", "ok", "failed", "found"])
+        .withColumn("_results", F.col("_results") + F.col("results"))
+    )
+    closes = (F.col("_results") >= F.col("total_urls")) & (F.col("total_urls") > 0)
+    touched = F.col("results") > 0
+    return joined.select(
+        "id", "started_at", F.when(closes & touched, now).otherwise(F.col("finished_at")).alias("finished_at"),
+        "total_urls", (F.col("urls_ok") + F.col("ok")).cast("int").alias("urls_ok"),
+        (F.col("urls_failed") + F.col("failed")).cast("int").alias("urls_failed"),
+        (F.col("total_vehicles") + F.col("found")).cast("int").alias("total_vehicles"),
+        F.when(closes & touched, "finished").otherwise(F.col("status")).alias("status"),
+        F.col("_results").alias("results"),
+    )
+
+
 # --- vehicles ---------------------------------------------------------------------
 
 def fold_batch(batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -181,9 +214,19 @@ def resolve_without_vin(state: DataFrame, batch: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [p.select(columns) for p in parts])
 
 
-def merge_vehicles(state: DataFrame, batch: DataFrame) -> DataFrame:
+def run_tally(keyed: DataFrame) -> DataFrame:
+    """``dealer_id, vehicle_key, tally``: how many rows of each run a vehicle got.
+
+    Two steps of partial aggregation; the map of a vehicle has one entry per run of the batch.
+    """
+    per_run = keyed.groupBy(*_KEY, "run_id").agg(F.sum("rows").alias("n"))
+    entry = F.struct("run_id", "n")
+    return per_run.groupBy(*_KEY).agg(F.map_from_entries(F.collect_list(entry)).alias("tally"))
+
+
+def merge_vehicles(state: DataFrame, batch: DataFrame, tally: bool = False) -> DataFrame:
     """State after the batch, plus ``batch_rows`` (rows of the batch on this vehicle,
-    NULL if untouched) and ``is_new``.
+    NULL if untouched), ``is_new`` and, if asked for, ``tally`` (rows of the batch by run).
 
     ``batch``: ``dealer_id``, the 23 vehicle columns, ``source_strategy, run_id, seen_at,
     ord``; ``ord`` is the order the rows are applied in. A new value never erases an old
@@ -196,6 +239,8 @@ def merge_vehicles(state: DataFrame, batch: DataFrame) -> DataFrame:
     columns = [*_KEY, *VEHICLE_COLUMNS, "source_strategy", "run_id", "seen_at", "rows", "ord"]
     keyed = with_vin.select(columns).unionByName(without.select(columns))
     fold = fold_batch(keyed, _KEY)
+    if tally:
+        fold = fold.join(run_tally(keyed), _KEY)
     fold = fold.select(*_KEY, *[F.col(c).alias(f"n_{c}") for c in fold.columns if c not in _KEY])
     known = state.select(*STATE_COLUMNS, F.lit(True).alias("_known"))
     joined = known.join(fold, _KEY, "full_outer")
@@ -209,6 +254,22 @@ def merge_vehicles(state: DataFrame, batch: DataFrame) -> DataFrame:
         F.coalesce("first_seen_at", "n_first_at").alias("first_seen_at"),
         F.coalesce("n_last_at", "last_seen_at").alias("last_seen_at"),
         F.col("n_rows").alias("batch_rows"), is_new.alias("is_new"),
+        *([F.col("n_tally").alias("tally")] if tally else []),
+    )
+
+
+def upsert_counts_by_run(merged: DataFrame) -> DataFrame:
+    """``run_id, dealer_id, inserted, updated`` of vehicles merged with their tally.
+
+    The first row of a new vehicle inserts, in the run that saw it first; each further row
+    updates, in its own run.
+    """
+    rows = merged.filter("tally is not null").select(
+        "dealer_id", "is_new", "first_seen_run", F.explode("tally").alias("run_id", "n")
+    )
+    fresh = (F.col("is_new") & (F.col("run_id") == F.col("first_seen_run"))).cast("bigint")
+    return rows.groupBy("run_id", "dealer_id").agg(
+        F.sum(fresh).alias("inserted"), F.sum(F.col("n") - fresh).alias("updated")
     )
 
 

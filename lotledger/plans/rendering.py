@@ -90,6 +90,14 @@ CARD_MARKUP = {
     "generic": f"""
       '<article><a href="/car/' || id || '"><img data-src="/g/' || id || '.jpg"></a><h2>' || yr || ' ' || make || ' ' || model || '</h2><p>' ||
       {PRICE_TEXT} || ' - ' || format_number(miles, 0) || ' miles</p>' || case when id % 5 = 0 then '' else '<p>VIN ' || vin || '</p>' end || '</article>'""",
+    # a card in a wrapper of the same class, longer than a thousand characters of markup
+    "nested": f"""
+      '<div class="vehicle-wrap"><p>Sponsored 1999 Wrong Car for $1,111</p><div class="vehicle-inner"><a href="/car/' || id || '"><img data-src="/n/' || id || '.jpg"></a><h2>' || yr || ' ' || make || ' ' || model || '</h2><p>' ||
+      {PRICE_TEXT} || ' - ' || format_number(miles, 0) || ' miles</p>' || repeat('<p class="note">&nbsp;note</p>', 100) || case when id % 5 = 0 then '' else '<p>VIN ' || vin || '</p>' end || '</div></div>'""",
+    # the VIN stands in an attribute long before its card, and at the far end of it
+    "attribute": f"""
+      '<p><img alt="' || vin || '"></p>' || repeat('<br>', 600) || '<section><h2>' || yr || ' ' || make || ' ' || model || ' </h2><a href="/car/' || id || '">more</a>' ||
+      repeat('<i>note</i> ', 150) || '<div><div><b>VIN: ' || vin || '</b></div></div></section>'""",
     "anchored": f"""
       '<section><a href="/car/' || id || '">more</a><p>' || yr || ' ' || make || ' ' || model || '</p><p>VIN: ' || vin || '</p></section>' || repeat('<br>', 300)""",
 }

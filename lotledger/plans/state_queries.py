@@ -317,6 +317,12 @@ def k4(spark, sf):
     return K.first_hit(rows, "sub", ["event_id"], ["user_id"]).select("event_id", "sub")
 
 
+@query("k5_trace_text", LAYERS + """ select ly.run_id, ly.dealer_url, '[' || string_agg('{"strategy":"' || strategy || '","ok":' || case when n > 0 then 'true' else 'false' end || ',"reason":"' || reason || '","attempts":["try"' || repeat(',"try"', cast(least(tries * 9, 15) - 1 as int)) || ']}', ',' order by prio) || ']' as strategies_tried
+  from ly join w using (run_id, dealer_url) where win_prio is null or prio <= win_prio group by ly.run_id, ly.dealer_url""")
+def k5b(spark, sf):
+    return K.traces(_layers(spark, sf), V.LEDGER_ATTEMPTS).select("run_id", "dealer_url", F.to_json("strategies_tried").alias("strategies_tried"))
+
+
 @query("k5_trace", LAYERS + " select run_id, dealer_url, entries, longest from tr")
 def k5(spark, sf):
     longest = F.array_max(F.transform("strategies_tried", lambda t: F.size(t["attempts"])))
@@ -418,11 +424,23 @@ def s6(spark, sf):
     return SK.read_snapshot(spark, root).groupBy("dealer_id").agg(F.count("*").alias("n"))
 
 
+@query("s6_stored_rows", LISTINGS + " select dealer_id, vin, run_id, source_strategy, ord from li")
+def s6b(spark, sf):
+    """The rows themselves come back from the newest version, the older one stays readable."""
+    root = work_folder(spark, "table")
+    rows = listings(spark, sf).select("dealer_id", "vin", "run_id", "source_strategy", "ord")
+    first = SK.write_snapshot(rows.filter("run_id = 'r1'"), root)
+    SK.write_snapshot(SK.read_snapshot(spark, root, first).unionByName(rows.filter("run_id = 'r2'")), root)
+    return SK.read_snapshot(spark, root)
+
+
 # --- streaming --------------------------------------------------------------------------------
-def _message_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """``events.parquet`` as a message stream; error events are broken messages."""
+def _message_stream(spark: SparkSession, sf: str, folder: str | None = None) -> DataFrame:
+    """``events.parquet``, or the events of a folder, as a message stream; error events are
+    broken messages."""
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    reader = spark.readStream.schema(schema)
+    raw = reader.parquet(folder) if folder else reader.option("pathGlobFilter", "events.parquet").parquet(sf)
     day = F.date_format("ts", "yyyy-MM-dd")
     body = F.to_json(F.struct(
         day.alias("runId"), F.expr("'https://d' || user_id || '.example.com'").alias("url"),
@@ -453,10 +471,17 @@ def _job(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return results, vehicles
 
 
+BATCHES = 3
+
+
 def _worked(spark: SparkSession, sf: str, replay: bool = False) -> W.InventoryWorker:
+    """The events delivered in three batches, by event number."""
     root = work_folder(spark, "stream")
     worker = W.InventoryWorker(spark, root, _job, F.to_timestamp(F.lit("2024-02-01 00:00:00")))
-    worker.run_available(_message_stream(spark, sf), f"{root}/checkpoint")
+    for number in range(BATCHES):
+        part = table(spark, sf, "events").filter(F.col("event_id") % BATCHES == number)
+        part.write.mode("append").parquet(f"{root}/source")
+        worker.run_available(_message_stream(spark, sf, f"{root}/source"), f"{root}/checkpoint")
     if replay:  # the same messages delivered again, as a second stream of batches
         again = W.InventoryWorker(spark, root, _job, worker.now)
         again.run_available(_message_stream(spark, sf), f"{root}/checkpoint-again")
@@ -501,6 +526,13 @@ def t3(spark, sf):
     ).select("url", "vin", "first_seen_run", "last_seen_run")
 
 
+@query("t3_counts_per_run", GOOD + f""", r as (select run_id, url, event_id % {BATCHES} as part, row_number() over (partition by url, cast(round(value*100) as bigint) order by event_id % {BATCHES}, event_id) as k from g),
+  p as (select run_id, url, part, count(*) as n, count(*) filter (where k = 1) as fresh from r group by all)
+  select run_id, url, 1 as vehicles_found, cast(fresh as int) as vehicles_new, cast(n - fresh as int) as vehicles_updated from p qualify part = min(part) over (partition by run_id, url)""")
+def t3b(spark, sf):
+    return _worked(spark, sf).ledger.read().select("run_id", "url", "vehicles_found", "vehicles_new", "vehicles_updated")
+
+
 @query("t4_incremental_rollup", GOOD + ", r as (select run_id as id, count(distinct url) as n from g group by run_id) select id, 40 as total_urls, cast(n as int) as urls_ok, cast(n as int) as total_vehicles, case when n >= 40 then 'finished' else 'running' end as status from r")
 def t4(spark, sf):
     return _worked(spark, sf).runs.read().select("id", "total_urls", "urls_ok", "total_vehicles", "status")

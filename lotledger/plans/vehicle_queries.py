@@ -14,6 +14,7 @@ from ..operators import jsonmine as JM
 from ..operators import normalize as N
 from ..operators import reports as R
 from ..operators.rows import settle
+from ..session import work_folder
 from . import inventory_run as IR
 from . import rendering as R8
 from .page_queries import FINGER, marked
@@ -109,6 +110,14 @@ def x8(spark, sf):
     )
 
 
+@query("x8_nested_cards", FV + f""" select dealer_url, {VIN5} as vin, make, model, yr as year, miles as mileage, {PRICE} as price, dealer_url || '/car/' || cast(id as varchar) as url, dealer_url || '/n/' || cast(id as varchar) || '.jpg' as image_url from f""")
+def x8b(spark, sf):
+    cards = CA.generic_cards(R8.listing_pages(spark, sf, "nested"))
+    return CA.cards_to_vehicles(cards).select(
+        "dealer_url", "vin", "make", "model", "year", "mileage", "price", "url", "image_url"
+    )
+
+
 @query("x9_wide_cards", FV + f""" select dealer_url, {VIN5} as vin, make, model, yr as year, miles as mileage, {PRICE} as price, dealer_url || '/car/' || cast(id as varchar) as url from f""")
 def x9(spark, sf):
     cards = CA.wide_cards(R8.stored(R8.listing_pages(spark, sf, "generic")))
@@ -123,6 +132,12 @@ def x9b(spark, sf):
     return CA.cards_to_vehicles(cards).select("dealer_url", "vin", "make", "model", "year", "url")
 
 
+@query("x9_attribute_vins", FV + " select dealer_url, vin, make, model, yr as year, dealer_url || '/car/' || cast(id as varchar) as url from f")
+def x9c(spark, sf):
+    cards = CA.wide_cards(R8.stored(R8.listing_pages(spark, sf, "attribute")))
+    return CA.cards_to_vehicles(cards).select("dealer_url", "vin", "make", "model", "year", "url")
+
+
 def _twice(pages: DataFrame) -> DataFrame:
     """The listing restarts: every page shows up again 100 pages later."""
     again = pages.withColumns({
@@ -470,27 +485,84 @@ def r5(spark, sf):
 
 
 # --- a whole run ----------------------------------------------------------------------------
+# Twelve kinds of dealer, by dealer number: one per platform, JSON answers, JSON-LD, free cards,
+# pages without any vehicle, and no capture at all.
+LABELS = ["DealerSync", "Dealr.cloud", "OverFuel", "DealerCenter", "CarsForSale.com", "DealerInspire", "Dealer.com"]
+
+
+def _kind() -> F.Column:
+    return F.regexp_extract("dealer_url", r"d(\d+)\.", 1).cast("int") % 12
+
+
 def _mixed_captures(spark, sf):
-    """Five kinds of dealer, by dealer number: platform cards, JSON answers, JSON-LD, free
-    cards, and pages without any vehicle."""
-    kind = F.regexp_extract("dealer_url", r"d(\d+)\.", 1).cast("int") % 5
+    nothing = R8.listing_pages(spark, sf, "generic").withColumn("body", F.repeat(F.lit("<p>nothing here</p>"), 100))
     pages = [
-        R8.listing_pages(spark, sf, "dealersync"), R8.json_pages(spark, sf), R8.ld_pages(spark, sf),
-        R8.listing_pages(spark, sf, "generic"),
-        R8.listing_pages(spark, sf, "generic").withColumn("body", F.repeat(F.lit("<p>nothing here</p>"), 100)),
+        *[R8.listing_pages(spark, sf, kind) for kind in ("dealersync", "dealr", "overfuel", "dws", "carsforsale")],
+        R8.cars_commerce_pages(spark, sf), R8.dealercom_pages(spark, sf), R8.json_pages(spark, sf),
+        R8.ld_pages(spark, sf), R8.listing_pages(spark, sf, "generic"), nothing,
     ]
-    parts = [
-        p.filter(kind == i).withColumn("platform", F.lit("DealerSync" if i == 0 else None).cast("string"))
-        for i, p in enumerate(pages)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    parts = [p.filter(_kind() == i) for i, p in enumerate(pages)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _all_seeds(spark, sf):
+    """Every dealer, twice, with its label; and a line of every nation that is no URL."""
+    dealers = R8.vehicles(spark, sf).select("dealer_url").distinct()
+    label = F.get(F.array(*[F.lit(x) for x in LABELS]), _kind())
+    good = dealers.select(F.col("dealer_url").alias("url"), label.alias("platform"))
+    bad = table(spark, sf, "nation").select(F.concat(F.lit("nowhere/"), "n_name").alias("url"), F.lit(None).cast("string").alias("platform"))
+    once = good.unionByName(bad)
+    return once.withColumn("ord", F.lit(1)).unionByName(once.withColumns({"ord": F.lit(2), "platform": F.lit("later")}))
+
+
+def _entry(strategy: str, ok: str, reason: str, attempts: str) -> str:
+    return f"""'{{"strategy":"' || {strategy} || '","ok":{ok},"reason":"' || {reason} || '","attempts":' || {attempts} || '}}'"""
+
+
+# Kinds 5, 6 and 7 answer in JSON, 8 in pages at the same address, the others in listing pages.
+_URL = "case when kind between 5 and 8 then dealer_url || '/api/inventory' else dealer_url || '/inventory' end"
+_SHOWN = "'[' || array_to_string(list_transform(range(cast(least(pages, 15) as int)), lambda i: '\"' || " + _URL + " || ' -> HTTP 200\"'), ',') || ']'"
+RUN_SQL = FV + f""", n as (select *, cast(substr(dealer_url, 10, position('.' in dealer_url) - 10) as int) % 12 as kind from f),
+  runs as (select 'run-1' as run_id, 1000000 as last union all select 'run-2', 0),
+  c as (select run_id, dealer_url, kind, count(distinct page_ord) as pages,
+    count(*) filter (where case when kind between 7 and 8 then page_ord = 0 when kind = 5 then page_ord <= 1 else true end) as found
+    from n, runs where page_ord <= last group by all),
+  x as (select *, {_URL} as url, {_SHOWN} as shown,
+    case when kind <= 6 then list_value('{"','".join(LABELS)}')[kind + 1] when kind = 7 then 'api' when kind = 8 then 'embedded' when kind = 9 then 'navigate' else 'none' end as used from c),
+  y as (select *, case when kind = 11 then 'no captures' else 'no vehicles' end as lost, case when kind = 11 then '[]' else shown end as seen, cast(found as varchar) as n from x)
+  select run_id, dealer_url as url, used as strategy_used, case when kind >= 10 then 'failed' else 'ok' end as status,
+    cast(case when kind >= 10 then 0 else found end as int) as vehicles_found,
+    cast(case when kind >= 10 or run_id = 'run-2' then 0 else found end as int) as vehicles_new,
+    cast(case when kind >= 10 or run_id = 'run-1' then 0 else found end as int) as vehicles_updated,
+    case when kind <= 6 then 'platform:' || used || ': ' || n when kind <= 9 then used || ': ' || n
+      else '[api] no captures || [embedded] ' || lost || ' || [navigate] ' || lost || ' || [unlocked] ' || lost end as reason,
+    '[' || case when kind <= 6 then {_entry("'platform:' || used", "true", "'platform:' || used || ': ' || n", "shown")}
+      when kind = 7 then {_entry("'api'", "true", "'api: ' || n", "shown")}
+      else {_entry("'api'", "false", "'no captures'", "'[]'")} || ',' ||
+        case when kind = 8 then {_entry("'embedded'", "true", "'embedded: ' || n", "shown")}
+        else {_entry("'embedded'", "false", "lost", "seen")} || ',' ||
+          case when kind = 9 then {_entry("'navigate'", "true", "'navigate: ' || n", "shown")}
+          else {_entry("'navigate'", "false", "lost", "seen")} || ',' || {_entry("'unlocked'", "false", "lost", "seen")} end
+        end end || ']' as strategies_tried from y
+  union all select run_id, 'nowhere/' || n_name, 'none', 'failed', 0, 0, 0, 'URL inválida: nowhere/' || n_name,
+    {_entry("'setup'", "false", "'URL inválida: nowhere/' || n_name", "'[]'")} || ']' from nation, runs"""
+RUN_SQL = RUN_SQL.replace("""'{"strategy":"' || 'setup'""", """'[{"strategy":"' || 'setup'""")
+
+
+def _run_twice(spark, sf):
+    """Two runs over all seeds: the second one captured first pages only."""
+    root = work_folder(spark, "tables")
+    seeds = _all_seeds(spark, sf)
+    captures = R8.stored(_mixed_captures(spark, sf))
+    again = captures.filter("page_ord = 0").withColumn("run_id", F.lit("run-2"))
+    for number, pages in ((1, captures), (2, again)):
+        now = F.to_timestamp(F.lit(f"2024-01-0{number} 00:00:00"))
+        IR.run_inventory(spark, seeds, pages, root, f"run-{number}", now)
+    return IR.read_tables(spark, root)
 
 
-@query("e2e_inventory_run", FV + """, n as (select *, cast(substr(dealer_url, 10, position('.' in dealer_url) - 10) as int) % 5 as kind from f),
-  c as (select dealer_url, kind, count(*) filter (where kind in (0, 3) or page_ord = 0) as n from n group by all)
-  select dealer_url as url, case kind when 0 then 'DealerSync' when 1 then 'api' when 2 then 'embedded' when 3 then 'navigate' else 'none' end as strategy_used,
-   case when kind = 4 then 'failed' else 'ok' end as status, cast(case when kind = 4 then 0 else n end as int) as vehicles_found from c""")
+@query("e2e_inventory_run", RUN_SQL)
 def e2e(spark, sf):
-    captures = R8.stored(_mixed_captures(spark, sf))
-    vehicles = IR.run_layers(spark, captures)
-    return IR.ledger_rows(vehicles, captures).select("url", "strategy_used", "status", "vehicles_found")
+    return _run_twice(spark, sf)["results"].select(
+        "run_id", "url", "strategy_used", "status", "vehicles_found", "vehicles_new", "vehicles_updated", "reason", "strategies_tried",
+    )

@@ -12,7 +12,7 @@ CAPTURE_SCHEMA = T.StructType([
     T.StructField("content_type", T.StringType()),
     T.StructField("body", T.StringType()),
     T.StructField("error", T.StringType()),  # null | dns | timeout | other
-    T.StructField("attempt", T.IntegerType()),
+    T.StructField("attempt", T.IntegerType()),  # 1 plain, 2 browser, 3 unlocked, 4 remote browser
     T.StructField("cname", T.StringType()),
     T.StructField("captured_at", T.TimestampType()),
 ])
@@ -35,9 +35,3 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("platform", T.StringType()),
     T.StructField("totalUrls", T.IntegerType()),
 ])
-
-RESULT_COLUMNS = [
-    "run_id", "dealer_id", "url", "strategy_used", "strategies_tried", "status",
-    "vehicles_found", "vehicles_new", "vehicles_updated", "reason", "duration_ms",
-    "worker_id",
-]

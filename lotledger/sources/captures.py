@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as V
+from ..operators.keyed import sized
 from ..schemas import CAPTURE_SCHEMA
 
 
@@ -13,6 +14,32 @@ def read_captures(spark: SparkSession, path: str, streaming: bool = False) -> Da
     return reader.schema(CAPTURE_SCHEMA).parquet(path)
 
 
+def dealer_part(url: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(parts)).cast("int")
+
+
+def write_by_dealer(captures: DataFrame, path: str, parts: int = 256) -> None:
+    """Write captures in folders by dealer, for jobs that read a few dealers at a time.
+
+    Rows of a folder may come from many tasks, so a dealer with a third of all pages is
+    many files.
+    """
+    captures.withColumn("dealer_part", dealer_part(F.col("dealer_url"), parts)).write.partitionBy(
+        "dealer_part"
+    ).parquet(path)
+
+
+def of_dealers(spark: SparkSession, path: str, dealers: DataFrame, parts: int = 256) -> DataFrame:
+    """The captures of ``run_id, dealer_url`` rows: only their folders are read.
+
+    At most ``parts`` numbers reach the driver.
+    """
+    keys = dealers.select("run_id", "dealer_url").distinct()
+    numbers = [r[0] for r in keys.select(dealer_part(F.col("dealer_url"), parts)).distinct().collect()]
+    rows = spark.read.parquet(path).filter(F.col("dealer_part").isin(numbers)).drop("dealer_part")
+    return rows.join(sized(keys), ["run_id", "dealer_url"], "left_semi")
+
+
 def captures_from_pages(pages: DataFrame, run_id: str = "run-0") -> DataFrame:
     """``page_id, url, html`` as captures of status 200, one page per dealer URL."""
     return pages.select(

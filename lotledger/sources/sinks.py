@@ -60,6 +60,25 @@ def read_snapshot(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.parquet(f"{root}/v={version or versions[-1]}")
 
 
+class BatchTable:
+    """A small table, written whole by each batch: ``batch=<id>``.
+
+    A batch reads the newest version before its own number, however many there are.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: str):
+        self.spark, self.root, self.schema = spark, root, schema
+
+    def read(self, before: int | None = None) -> DataFrame:
+        done = [n for n in committed(self.spark, self.root, "batch") if before is None or n < before]
+        if not done:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/batch={done[-1]}")
+
+    def write(self, df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/batch={batch}")
+
+
 # --- per-batch log ---------------------------------------------------------------------
 
 class BatchLog:
@@ -93,6 +112,11 @@ class BatchLog:
             rows = rows.filter(F.col("bucket").isin(buckets))
         return first_by(rows, self.keys, [F.desc("batch")]).drop("batch", "bucket")
 
+    def read_batch(self, batch: int) -> DataFrame:
+        """The rows one batch wrote."""
+        rows = self.spark.read.schema(self.schema + ", bucket int").parquet(f"{self.root}/batch={batch}")
+        return rows.drop("bucket")
+
     def write(self, df: DataFrame, batch: int) -> None:
         df.withColumn("bucket", self.bucket()).write.mode("overwrite").partitionBy("bucket").parquet(
             f"{self.root}/batch={batch}"
