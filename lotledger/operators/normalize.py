@@ -17,10 +17,10 @@ from .keyed import first_by, top_per_group
 from .rows import settle
 
 _ENTRY = "struct<text:string,kind:string>"
-_MEMBER_LEVELS = 5
+MEMBER_LEVELS = 5
 
 
-def flat_leaves(raw: Column, levels: int | None = _MEMBER_LEVELS) -> Column:
+def flat_leaves(raw: Column, levels: int | None = MEMBER_LEVELS) -> Column:
     """All non-object members down to ``levels`` levels, in document order; all without a number."""
     shape = f"struct<open:array<{J.NODE}>,leaves:array<{J.NODE}>>"
     top = J.object_members(raw, J.root_path(), F.lit(None).cast("string"), True)
@@ -119,12 +119,12 @@ def _readable(pair: Column) -> Column:
     )
 
 
-def with_alias_maps(df: DataFrame, raw: str) -> DataFrame:
+def with_alias_maps(df: DataFrame, raw: str, levels: int | None = MEMBER_LEVELS) -> DataFrame:
     """Adds ``_exact`` (key -> filled value) and ``_suffix`` (alias -> filled value of
     the first key that equals it or ends in ``_alias``)."""
     aliases = sorted({a for names in V.FIELD_ALIASES.values() for a in names})
     last_words = sorted({a.rsplit("_", 1)[-1] for a in aliases})
-    df = df.withColumn("_flat", first_writers(flat_leaves(F.col(raw))))
+    df = df.withColumn("_flat", first_writers(flat_leaves(F.col(raw), levels)))
     zipped = F.arrays_zip(F.col("_flat.keys").alias("k"), F.col("_flat.entries").alias("e"))
     df = df.withColumn(
         "_pairs", F.transform(F.filter(
@@ -200,15 +200,16 @@ _FLOAT_FIELDS = ("price", "msrp")
 
 def normalize_vehicles(
     df: DataFrame, raw: str = "raw", base: str = "origin", run_year: int = 2024,
-    text_chars: int | None = None, raw_chars: int | None = None,
+    text_chars: int | None = None, raw_chars: int | None = None, levels: int | None = MEMBER_LEVELS,
 ) -> DataFrame:
     """Replace the raw JSON column by the 23 vehicle columns. No row is dropped.
 
-    ``text_chars`` and ``raw_chars`` bound text fields and ``raw_json``, where given.
+    ``text_chars`` and ``raw_chars`` bound text fields and ``raw_json``, where given. Members
+    are read down to ``levels`` levels, as the rules say, or all of them (None).
     """
     keep = [c for c in df.columns if c != raw]
     picked = settle(
-        with_alias_maps(df, raw), [*keep, raw],
+        with_alias_maps(df, raw, levels), [*keep, raw],
         {"_picked": picked_values(F.col("_exact"), F.col("_suffix"))},
     )
     values = {}
@@ -269,8 +270,9 @@ def normalize_many(
     raw: str = "raw",
     base: str = "origin",
     run_year: int = 2024,
+    levels: int | None = MEMBER_LEVELS,
 ) -> DataFrame:
-    return dedupe_vehicles(normalize_vehicles(df, raw, base, run_year), owner, order)
+    return dedupe_vehicles(normalize_vehicles(df, raw, base, run_year, levels=levels), owner, order)
 
 
 def cap_vehicles(

@@ -39,11 +39,6 @@ def _up_to(captures: DataFrame, attempt: int, beyond: int = 0) -> DataFrame:
     return captures.filter((F.col("attempt") <= attempt) & (F.col("attempt") > beyond))
 
 
-def _mined(records: DataFrame, run_year: int) -> DataFrame:
-    df = records.withColumnRenamed("ord", "card_ord").withColumn("origin", U.origin(F.col("dealer_url")))
-    return N.normalize_vehicles(df, run_year=run_year)
-
-
 def _generic(vehicles: DataFrame, most: int | None) -> DataFrame:
     """Dedupe, keep the first page that has vehicles, at most ``most`` per dealer."""
     unique = N.dedupe_vehicles(vehicles, [*K.OWNER, "page_ord"], _PLACE)
@@ -63,15 +58,24 @@ class Layers:
     (``dealer_url, text``), if there are any.
     """
 
-    def __init__(self, run_year: int, most: int | None, depth: int | None, levels: int | None, answers: DataFrame | None):
+    def __init__(self, run_year: int, most: int | None, depth: int | None, levels: int | None,
+                 answers: DataFrame | None, fetched: set[int]):
         self.run_year, self.most, self.depth, self.levels, self.answers = run_year, most, depth, levels, answers
+        self.fetched = fetched  # the attempts there are: steps over others are left out of the plan
         self.keep = [*K.OWNER, "page_ord"]
 
+    def _any(self, attempt: int, beyond: int) -> bool:
+        return any(beyond < a <= attempt for a in self.fetched)
+
+    def _mined(self, records: DataFrame) -> DataFrame:
+        df = records.withColumnRenamed("ord", "card_ord").withColumn("origin", U.origin(F.col("dealer_url")))
+        return N.normalize_vehicles(df, run_year=self.run_year, levels=self.levels)
+
     def _responses(self, caps: DataFrame) -> DataFrame:
-        return _mined(JM.response_records(json_responses(caps), self.keep, self.depth), self.run_year)
+        return self._mined(JM.response_records(json_responses(caps), self.keep, self.depth))
 
     def _embedded(self, caps: DataFrame) -> DataFrame:
-        return _mined(JM.embedded_records(html_pages(caps), self.keep, self.depth), self.run_year)
+        return self._mined(JM.embedded_records(html_pages(caps), self.keep, self.depth))
 
     def _wide(self, caps: DataFrame) -> DataFrame:
         return CA.cards_to_vehicles(CA.wide_cards(html_pages(caps)), self.run_year)
@@ -89,15 +93,16 @@ class Layers:
 
     def navigate(self, caps: DataFrame) -> DataFrame:
         """What the browser received, else what its pages embed, else the cards they show."""
-        rendered = _up_to(caps, BROWSER, PLAIN)
-        cards = CA.cards_to_vehicles(CA.generic_cards(html_pages(_up_to(caps, BROWSER))), self.run_year)
         columns = [*K.OWNER, *_PLACE, *VEHICLE_COLUMNS]
-        steps = [self._responses(rendered), self._embedded(rendered), cards]
+        steps = [CA.cards_to_vehicles(CA.generic_cards(html_pages(_up_to(caps, BROWSER))), self.run_year)]
+        if self._any(BROWSER, PLAIN):
+            rendered = _up_to(caps, BROWSER, PLAIN)
+            steps = [self._responses(rendered), self._embedded(rendered), *steps]
         every = reduce(DataFrame.unionByName, [
             N.dedupe_vehicles(step, K.OWNER, _PLACE).select(columns).withColumn("_step", F.lit(i))
             for i, step in enumerate(steps)
         ])
-        kept = K.first_hit(every, "_step", _PLACE)
+        kept = K.first_hit(every, "_step", _PLACE) if len(steps) > 1 else every
         return _named(N.cap_vehicles(kept, K.OWNER, _PLACE, self.most), F.lit("navigate"))
 
     def unlocked(self, caps: DataFrame) -> DataFrame:
@@ -105,20 +110,26 @@ class Layers:
         look like an application, what its rendered pages received and show."""
         columns = [*K.OWNER, *_PLACE, *VEHICLE_COLUMNS]
         pages = _up_to(caps, UNLOCKED)
-        first = CA.merge_wide_path(self._embedded(_up_to(pages, UNLOCKED, PLAIN)).select(columns), self._wide(pages).select(columns))
-        spa = C.spa_likelihood(html_pages(pages)).filter("spa_likely").select("dealer_url")
-        late = _up_to(caps, REMOTE, UNLOCKED).join(spa, "dealer_url", "left_semi")
-        merged = CA.merge_rendered(*[
-            _with_base(found.select(columns), late) for found in (self._responses(late), self._wide(late))
-        ]).select(columns)
-        both = first.select(columns).withColumn("_step", F.lit(0)).unionByName(merged.withColumn("_step", F.lit(1)))
-        return _named(N.dedupe_vehicles(K.first_hit(both, "_step", _PLACE), K.OWNER, _PLACE), F.lit("unlocked"))
+        found = self._wide(pages).select(columns)
+        if self._any(UNLOCKED, PLAIN):
+            found = CA.merge_wide_path(self._embedded(_up_to(pages, UNLOCKED, PLAIN)).select(columns), found)
+        if self._any(REMOTE, UNLOCKED):
+            spa = C.spa_likelihood(html_pages(pages)).filter("spa_likely").select("dealer_url")
+            late = _up_to(caps, REMOTE, UNLOCKED).join(spa, "dealer_url", "left_semi")
+            merged = CA.merge_rendered(*[
+                _with_base(part.select(columns), late) for part in (self._responses(late), self._wide(late))
+            ])
+            both = found.select(columns).withColumn("_step", F.lit(0)).unionByName(
+                merged.select(columns).withColumn("_step", F.lit(1))
+            )
+            found = K.first_hit(both, "_step", _PLACE)
+        return _named(N.dedupe_vehicles(found.select(columns), K.OWNER, _PLACE), F.lit("unlocked"))
 
     def ai(self, caps: DataFrame) -> DataFrame:
         """Vehicles of the model's replies."""
         owners = caps.select(*K.OWNER).distinct()
         records = JM.answer_records(self.answers).join(owners, "dealer_url").withColumn("page_ord", F.lit(0))
-        found = _mined(records, self.run_year)
+        found = self._mined(records)
         return _named(N.dedupe_vehicles(found, K.OWNER, _PLACE), F.lit("ai"))
 
     def steps(self) -> list[tuple[str, Callable[[DataFrame], DataFrame]]]:
@@ -169,7 +180,7 @@ def _tried(layer: str, still_open: DataFrame, captures: DataFrame, found: DataFr
 
 def run_cascade(
     spark: SparkSession, targets: DataFrame, captures: DataFrame, answers: DataFrame | None = None,
-    run_year: int = 2024, most: int | None = None, depth: int | None = None, levels: int | None = None,
+    run_year: int = 2024, most: int | None = None, depth: int | None = None, levels: int | None = N.MEMBER_LEVELS,
     attempts: int = V.LEDGER_ATTEMPTS,
 ) -> tuple[DataFrame, DataFrame]:
     """``(vehicles, layers)``: vehicles of each dealer's winning layer, and a row per dealer
@@ -181,9 +192,10 @@ def run_cascade(
     root = work_folder(spark, "layers")
     targets = targets.select(*K.OWNER, "platform")
     captures = captures.drop("platform").join(sized(targets), K.OWNER)
+    fetched = {r[0] for r in captures.select("attempt").distinct().collect()}  # a handful of numbers
     vehicles: list[DataFrame] = []
     layers: list[DataFrame] = []
-    for name, layer in Layers(run_year, most, depth, levels, answers).steps():
+    for name, layer in Layers(run_year, most, depth, levels, answers, fetched).steps():
         left, still_open = captures, targets
         if vehicles:
             solved = reduce(DataFrame.unionByName, vehicles).select(K.OWNER).distinct()
@@ -242,7 +254,7 @@ def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def run_inventory(
     spark: SparkSession, seeds: DataFrame, captures: DataFrame, root: str, run_id: str, now: Column,
-    answers: DataFrame | None = None, run_year: int = 2024, **limits,
+    answers: DataFrame | None = None, run_year: int = 2024, **limits: int | None,
 ) -> DataFrame:
     """A run over ``seeds`` (``ord, url, platform``): the four tables of ``root`` get their next
     version, the ledger rows of the run come back.

@@ -475,12 +475,13 @@ BATCHES = 3
 
 
 def _worked(spark: SparkSession, sf: str, replay: bool = False) -> W.InventoryWorker:
-    """The events delivered in three batches, by event number."""
+    """The events delivered in three batches, in order."""
     root = work_folder(spark, "stream")
     worker = W.InventoryWorker(spark, root, _job, F.to_timestamp(F.lit("2024-02-01 00:00:00")))
+    events = table(spark, sf, "events")
+    place = F.floor(F.col("event_id") * BATCHES / F.lit(events.count()))
     for number in range(BATCHES):
-        part = table(spark, sf, "events").filter(F.col("event_id") % BATCHES == number)
-        part.write.mode("append").parquet(f"{root}/source")
+        events.filter(place == number).write.mode("append").parquet(f"{root}/source")
         worker.run_available(_message_stream(spark, sf, f"{root}/source"), f"{root}/checkpoint")
     if replay:  # the same messages delivered again, as a second stream of batches
         again = W.InventoryWorker(spark, root, _job, worker.now)
@@ -526,7 +527,7 @@ def t3(spark, sf):
     ).select("url", "vin", "first_seen_run", "last_seen_run")
 
 
-@query("t3_counts_per_run", GOOD + f""", r as (select run_id, url, event_id % {BATCHES} as part, row_number() over (partition by url, cast(round(value*100) as bigint) order by event_id % {BATCHES}, event_id) as k from g),
+@query("t3_counts_per_run", GOOD + f""", r as (select run_id, url, event_id * {BATCHES} // (select count(*) from events) as part, row_number() over (partition by url, cast(round(value*100) as bigint) order by event_id) as k from g),
   p as (select run_id, url, part, count(*) as n, count(*) filter (where k = 1) as fresh from r group by all)
   select run_id, url, 1 as vehicles_found, cast(fresh as int) as vehicles_new, cast(n - fresh as int) as vehicles_updated from p qualify part = min(part) over (partition by run_id, url)""")
 def t3b(spark, sf):

@@ -196,7 +196,7 @@ def x13(spark, sf):
 
 
 @query("x13_routed_platforms", FV + f""" select dealer_url || '/' || p as dealer_url, p as platform, count(*) as vehicles from f, (values ('DealerSync'),('Dealr.cloud'),('OverFuel'),('DealerCenter'),('CarsForSale.com'),('DealerInspire'),('Dealer.com')) t(p)
-  where p <> 'Dealr.cloud' and p <> 'OverFuel' and p <> 'CarsForSale.com' or page_ord <= coalesce((select min(page_ord) from (select dealer_url as d, page_ord, count(*) as n from f group by all) q where q.d = f.dealer_url and n < case p when 'Dealr.cloud' then 50 when 'OverFuel' then 25 else 24 end), 1000)
+  where p in ('DealerSync', 'DealerCenter', 'Dealer.com') or p = 'DealerInspire' and page_ord <= 1 or p in ('Dealr.cloud', 'OverFuel', 'CarsForSale.com') and page_ord <= coalesce((select min(page_ord) from (select dealer_url as d, page_ord, count(*) as n from f group by all) q where q.d = f.dealer_url and n < case p when 'Dealr.cloud' then 50 when 'OverFuel' then 25 else 24 end), 1000)
   group by all""")
 def x13b(spark, sf):
     kinds = {"DealerSync": "dealersync", "Dealr.cloud": "dealr", "OverFuel": "overfuel",
@@ -520,7 +520,9 @@ def _entry(strategy: str, ok: str, reason: str, attempts: str) -> str:
 
 
 # Kinds 5, 6 and 7 answer in JSON, 8 in pages at the same address, the others in listing pages.
-_URL = "case when kind between 5 and 8 then dealer_url || '/api/inventory' else dealer_url || '/inventory' end"
+_URL = ("case when kind = 5 then 'https://x.carscommerce.inc/api/v1/listings/12/search'"
+        " when kind = 6 then dealer_url || '/api/widget/ws-inv-data/getInventory'"
+        " when kind between 7 and 8 then dealer_url || '/api/inventory' else dealer_url || '/inventory' end")
 _SHOWN = "'[' || array_to_string(list_transform(range(cast(least(pages, 15) as int)), lambda i: '\"' || " + _URL + " || ' -> HTTP 200\"'), ',') || ']'"
 RUN_SQL = FV + f""", n as (select *, cast(substr(dealer_url, 10, position('.' in dealer_url) - 10) as int) % 12 as kind from f),
   runs as (select 'run-1' as run_id, 1000000 as last union all select 'run-2', 0),

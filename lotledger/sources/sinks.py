@@ -118,6 +118,7 @@ class BatchLog:
         return rows.drop("bucket")
 
     def write(self, df: DataFrame, batch: int) -> None:
-        df.withColumn("bucket", self.bucket()).write.mode("overwrite").partitionBy("bucket").parquet(
+        # Rows of a bucket meet in one file, or in several where a bucket is large.
+        df.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
             f"{self.root}/batch={batch}"
         )
