@@ -262,6 +262,8 @@ def traverse(x: Tree, y: Tree, itself: bool) -> tuple[np.ndarray, np.ndarray]:
     at = lambda t, level: t.levels[min(level, len(t.levels) - 1)]
     i = j = np.zeros(1, dtype=np.int64)
     for level in range(top, -1, -1):
+        if not len(i):
+            return i, j
         a, b = at(x, level), at(y, level)
         kept_i, kept_j = [], []
         for s in range(0, len(i), 1 << 14):

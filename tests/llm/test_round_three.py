@@ -332,3 +332,19 @@ def test_merges():
         target = rng.randint(0, 60)
         want = next((k for k in range(at, len(a)) if a[k] >= target), len(a))
         assert filter_audit.gallop(a, at, target) == want
+
+
+# --- mended: two slices without any link -------------------------------------------------
+
+def test_two_unrelated_slices_give_no_pair():
+    from lotledger.llm import jaccard_join
+
+    def tree(sizes, seed):
+        rng = np.random.default_rng(seed)
+        sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.int64).astype(np.uint64)) for n in sizes]
+        bits = np.stack([np.frombuffer(jaccard_join.signature(s).tobytes(), dtype=np.uint64) for s in sets])
+        return jaccard_join.Tree(np.array([len(s) for s in sets]), bits, np.arange(len(sets)) + 1000 * seed)
+
+    for a, b in (([30] * 20, [300] * 20), ([300] * 20, [30] * 3), ([30], [300])):
+        i, j = jaccard_join.traverse(tree(a, 1), tree(b, 2), False)
+        assert len(i) == len(j) == 0
