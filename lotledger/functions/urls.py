@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from .text import bind, first_match
@@ -76,17 +78,26 @@ def _squash_dots(path: Column) -> Column:
     return F.when(path.contains("/."), squashed(path)).otherwise(path)
 
 
-def _escaped(text: Column) -> Column:
-    for char, code in ((" ", "%20"), ('"', "%22"), ("<", "%3C"), (">", "%3E")):
-        text = F.replace(text, F.lit(char), F.lit(code))
-    return text
+# Characters a URL spells as percent codes, besides blanks, control characters and all beyond ASCII.
+_IN_PATH, _IN_QUERY, _IN_FRAGMENT = '"<>`{}', "\"<>'", '"<>`'
+
+
+def _escaped(text: Column, also: str) -> Column:
+    """UTF-8 percent codes for what a URL part cannot hold as it is."""
+    unsafe = r"[^!-~" + "]|[" + re.escape(also) + "]"
+
+    def code(char: Column) -> Column:
+        return F.when(char.rlike(unsafe), F.regexp_replace(F.hex(F.encode(char, "UTF-8")), "(..)", "%$1")).otherwise(char)
+
+    return F.when(text.rlike(unsafe), F.array_join(F.transform(F.split(text, ""), code), "")).otherwise(text)
 
 
 def resolve(url: Column, base: Column) -> Column:
     """``url`` made absolute against an origin.
 
-    Text outside ASCII is left as it is (a browser would percent-encode it). A web
-    URL without a usable host cannot be resolved: NULL, so the caller keeps its text.
+    Path, query and fragment are percent-encoded as UTF-8; host names outside ASCII are left as
+    they are. A web URL without a usable host cannot be resolved: NULL, so the caller keeps
+    its text.
     """
     scheme = first_match(base, r"^([A-Za-z]+:)")
 
@@ -104,9 +115,12 @@ def resolve(url: Column, base: Column) -> Column:
 
     def tidy(tail: Column) -> Column:
         path = F.regexp_extract(tail, r"^([^?#]*)", 1)
-        rest = F.regexp_extract(tail, r"^[^?#]*(.*)$", 1)
+        query = F.regexp_extract(tail, r"^[^?#]*(\?[^#]*)", 1)
+        fragment = F.regexp_extract(tail, r"^[^#]*(#.*)$", 1)
         rooted = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
-        return F.concat(_escaped(bind(rooted, _squash_dots)), _escaped(rest))
+        return F.concat(
+            _escaped(bind(rooted, _squash_dots), _IN_PATH), _escaped(query, _IN_QUERY), _escaped(fragment, _IN_FRAGMENT)
+        )
 
     def finished(full: Column) -> Column:
         plain = full.rlike(r"^https?://[a-z0-9.-]+/[A-Za-z0-9_/=&?,;+%#-]*$")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as V
 from ..functions import urls as U
-from .keyed import join_on_hot_keys, sized
+from .keyed import beside, join_on_hot_keys
 
 OWNER = ["run_id", "dealer_url"]
 
@@ -37,13 +37,13 @@ def winning_vehicles(vehicles: DataFrame, won: DataFrame, spread: list[str]) ->
     return join_on_hot_keys(vehicles, short, [*OWNER, "prio"], spread, "left_semi")
 
 
-def unsolved(captures: DataFrame, solved: DataFrame) -> DataFrame:
+def unsolved(captures: DataFrame, solved: DataFrame, most: int = 1_000_000) -> DataFrame:
     """Captures of dealers no cheaper layer has solved: what a costly layer still reads.
 
-    The keys are marked for broadcast while they are few, so that bodies stay where they lie.
+    Up to ``most`` keys are broadcast. More are hashed by bucket; captures stored by
+    ``stored_by_owner`` then stay where they lie, unsorted.
     """
-    keys = sized(solved.select(*OWNER).distinct())
-    return captures.join(keys, OWNER, "left_anti")
+    return captures.join(beside(solved.select(*OWNER).distinct(), most), OWNER, "left_anti")
 
 
 def first_hit(vehicles: DataFrame, place: str, spread: list[str], owner: list[str] = OWNER) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as V
 from ..functions import text as X
 from ..functions import urls as U
 from .keyed import first_by
+from .rows import settle
 
 
 def valid_seeds(seeds: DataFrame) -> DataFrame:
@@ -81,56 +84,74 @@ def candidate_endpoints(captures: DataFrame, quoted_paths: int | None = None) ->
     return rows.select("dealer_url", F.posexplode("_urls").alias("endpoint_ord", "endpoint_url"))
 
 
+def page_links(captures: DataFrame) -> DataFrame:
+    """``dealer_url, page_url, links``: the links of each page in order, as structs of ``pos``,
+    ``href`` (absolute) and ``text``."""
+    tags = F.regexp_extract_all("body", F.lit(r"(?is)<a\b([^>]*)>(.*?)</a\s*>"), F.lit(0))
+
+    def link(tag: Column, pos: Column) -> Column:
+        href = F.regexp_extract(tag, r"""(?is)^<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", 0)
+        value = F.regexp_replace(href, r"""(?is)^.*?\bhref\s*=\s*["']?|["']$""", "")
+        label = F.trim(X.spaced(F.regexp_replace(F.regexp_replace(tag, r"(?is)^<a\b[^>]*>", ""), r"<[^>]*>", "")))
+        raw = F.when(href != "", value)
+        return F.struct(pos.cast("int").alias("pos"), X.bind(raw, lambda r: F.coalesce(
+            U.resolve(r, F.col("_base")), r)).alias("href"), label.alias("text"))
+
+    rows = captures.select("dealer_url", "page_url", "body", U.origin(F.col("page_url")).alias("_base"))
+    linked = settle(rows, ["dealer_url", "page_url"], {
+        "links": F.filter(F.transform(tags, link), lambda l: l["href"].isNotNull())
+    })
+    return linked.withColumn("links", F.coalesce("links", F.array().cast("array<struct<pos:int,href:string,text:string>>")))
+
+
 def anchors(captures: DataFrame) -> DataFrame:
     """``pos, href, text`` of every link, in page order; href is absolute."""
-    tags = F.regexp_extract_all("body", F.lit(r"(?is)<a\b([^>]*)>(.*?)</a\s*>"), F.lit(0))
-    base = U.origin(F.col("page_url"))
-    rows = captures.withColumn("_base", base).select(
-        "dealer_url", "page_url", "_base", F.posexplode(tags).alias("pos", "_tag")
-    )
-    href = F.regexp_extract("_tag", r"""(?is)^<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", 0)
-    value = F.regexp_replace(href, r"""(?is)^.*?\bhref\s*=\s*["']?|["']$""", "")
-    rows = rows.withColumn("_raw", F.when(href != "", value)).filter("_raw is not null")
-    label = F.trim(X.spaced(F.regexp_replace(F.regexp_replace("_tag", r"(?is)^<a\b[^>]*>", ""), r"<[^>]*>", "")))
-    return rows.select(
-        "dealer_url", "page_url", "pos",
-        F.coalesce(U.resolve(F.col("_raw"), F.col("_base")), F.col("_raw")).alias("href"),
-        label.alias("text"),
+    return page_links(captures).select("dealer_url", "page_url", F.explode("links").alias("_l")).select(
+        "dealer_url", "page_url", "_l.pos", "_l.href", "_l.text"
     )
 
 
-def _best(links: DataFrame, score: Column, least: int) -> DataFrame:
-    """The best-scored link per page; of equal scores the first."""
-    return (
-        links.withColumn("score", score).filter(F.col("score") >= least)
-        .groupBy("dealer_url", "page_url")
-        .agg(F.max_by(F.struct("href", "score"), F.struct("score", -F.col("pos"))).alias("_b"))
-        .select("dealer_url", "page_url", "_b.href", "_b.score")
+def _best(pages: DataFrame, score: Callable[[Column], Column], least: int) -> DataFrame:
+    """The best-scored link of each page; of equal scores the first. Chosen inside the row."""
+    scored = F.transform("links", lambda l: F.struct(
+        score(l).alias("score"), (-l["pos"]).alias("place"), l["href"].alias("href")
+    ))
+    best = F.array_max(F.filter(scored, lambda s: s["score"] >= least))
+    return settle(pages, ["dealer_url", "page_url"], {"_b": best}).filter("_b is not null").select(
+        "dealer_url", "page_url", "_b.href", "_b.score"
     )
 
 
-def best_inventory_link(links: DataFrame) -> DataFrame:
-    """Same-origin link scored by inventory words: text counts 2, href 1; needs 2."""
-    text, href = F.lower("text"), F.lower("href")
-    score = F.lit(0)
-    for word in V.LINK_WORDS:
-        score = score + F.when(text.contains(word), 2).otherwise(0)
-        score = score + F.when(href.contains(word.replace(" ", "-")), 1).otherwise(0)
-    same = links.filter(F.col("href").startswith(U.origin(F.col("page_url"))))
-    return _best(same, score, 2)
+def best_inventory_link(pages: DataFrame) -> DataFrame:
+    """Same-origin link scored by inventory words: text counts 2, href 1; needs 2.
+
+    ``pages`` is ``page_links``, here and below.
+    """
+    words = F.array(*[F.struct(F.lit(w).alias("text"), F.lit(w.replace(" ", "-")).alias("href")) for w in V.LINK_WORDS])
+
+    def score(link: Column) -> Column:
+        low = F.struct(F.lower(link["text"]).alias("text"), F.lower(link["href"]).alias("href"))
+        points = X.bind(low, lambda l: F.aggregate(words, F.lit(0), lambda acc, w: (
+            acc + F.when(F.contains(l["text"], w["text"]), 2).otherwise(0) + F.when(F.contains(l["href"], w["href"]), 1).otherwise(0)
+        )))
+        return F.when(F.startswith(link["href"], F.col("_base")), points)
+
+    return _best(pages.withColumn("_base", U.origin(F.col("page_url"))), score, 2)
+
 
+def best_wide_link(pages: DataFrame) -> DataFrame:
+    def score(link: Column) -> Column:
+        points = F.when(link["href"].rlike("(?i)" + V.WIDE_LINK_HREF), 2).otherwise(0) + F.when(
+            F.lower(link["text"]).rlike(V.WIDE_LINK_TEXT), 1
+        ).otherwise(0)
+        return F.when(link["href"].startswith("http"), points)
 
-def best_wide_link(links: DataFrame) -> DataFrame:
-    score = F.when(F.col("href").rlike("(?i)" + V.WIDE_LINK_HREF), 2).otherwise(0) + F.when(
-        F.lower("text").rlike(V.WIDE_LINK_TEXT), 1
-    ).otherwise(0)
-    return _best(links.filter(F.col("href").startswith("http")), score, 1)
+    return _best(pages, score, 1)
 
 
-def first_link_by_text(links: DataFrame, platform: str) -> DataFrame:
-    """The first link whose text starts like an inventory link."""
-    hits = links.filter(F.col("text").rlike("(?i)" + V.ANCHOR_TEXT[platform]))
-    return hits.groupBy("dealer_url", "page_url").agg(F.min_by("href", "pos").alias("href"))
+def first_link_by_text(pages: DataFrame, platform: str) -> DataFrame:
+    """The first link of a page whose text starts like an inventory link."""
+    return _best(pages, lambda l: F.when(l["text"].rlike("(?i)" + V.ANCHOR_TEXT[platform]), 1), 1).drop("score")
 
 
 def pagination_frontier(listings: DataFrame, platform: str, last: int) -> DataFrame:

@@ -41,6 +41,16 @@ def sized(keys: DataFrame, most: int = 1_000_000) -> DataFrame:
     return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys
 
 
+def beside(keys: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A table of short keys to be joined to a wide one: broadcast if it has at most ``most``
+    rows, else hashed where the wide rows lie.
+
+    The wide side is never sorted, and if it is bucketed by the keys it is not moved.
+    """
+    few = sized(keys, most)
+    return few if few is not keys else keys.hint("shuffle_hash")
+
+
 def join_on_hot_keys(
     big: DataFrame,
     small: DataFrame,

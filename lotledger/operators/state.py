@@ -7,13 +7,20 @@ neither side of the join ever holds a key twice.
 
 from __future__ import annotations
 
-from functools import reduce
+import sys
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import urls as U
 from ..schemas import VEHICLE_COLUMNS
-from .keyed import first_by, join_on_hot_keys
+from ..session import work_folder
+from .keyed import first_by
+
+# Executors get the replay with the job and need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _KEY = ["dealer_id", "vehicle_key"]
 _SEEN = ["first_seen_run", "last_seen_run", "first_seen_at", "last_seen_at"]
@@ -148,70 +155,115 @@ def fold_batch(batch: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _model_key() -> Column:
-    """make|model|year|url, where make, model and year are all there."""
-    full = (
-        (F.coalesce(F.col("make"), F.lit("")) != "") & (F.coalesce(F.col("model"), F.lit("")) != "")
-        & (F.coalesce(F.col("year"), F.lit(0)) != 0)
-    )
-    return F.when(full, F.concat_ws("|", "make", "model", "year", F.coalesce("url", F.lit(""))))
-
-
-def _last_known(column: str) -> Column:
-    return F.expr(f"max_by({column}, ord) FILTER (WHERE {column} IS NOT NULL)").alias(column)
-
-
 def resolve_without_vin(state: DataFrame, batch: DataFrame) -> DataFrame:
-    """Give each row without VIN its ``vehicle_key``.
+    """Give each row without VIN its ``vehicle_key``, as if the rows came one after the other.
 
-    A row belongs to the known vehicle with its stock number, else to the one with its
-    make, model, year and URL, else it is new; new rows meet by the same two keys. The
-    decision is made once per stock number and once per model key, on small tables, and
-    joined back to the rows by salted key. Rows meet in one pass: those that only meet
-    through a chain of changing stock numbers may end up apart.
+    A row belongs to the vehicle that has its stock number at that moment, else to the one
+    with its make, model, year and URL, else it is a new one; a vehicle takes over what its
+    rows say, so both keys of it can change on the way. Rows that cannot meet through any
+    chain of keys lie in different components; a component is replayed in order, its rows
+    streamed past the vehicles they made.
     """
-    old = state.filter("vin is null").withColumn("_model", _model_key())
-    by_stock = old.filter("stock_number is not null").groupBy("dealer_id", "stock_number").agg(
-        F.min("vehicle_key").alias("_target")
-    )
-    has_stock = F.coalesce(F.col("stock_number"), F.lit("")) != ""
-    stocked = batch.filter(has_stock)
-    bare = batch.filter(~has_stock).withColumn("_model", _model_key())
-    groups = (
-        stocked.groupBy("dealer_id", "stock_number").agg(
-            *[_last_known(c) for c in ("make", "model", "year", "url")],
-            F.min_by("run_id", "ord").alias("_run"),
-        )
-        .withColumn("_model", _model_key())
-        .join(by_stock, ["dealer_id", "stock_number"], "left")
-        .select("dealer_id", "stock_number", "_model", "_run", "_target")
-    )
-    no_key, no_run = F.lit(None).cast("string").alias("_key"), F.lit(None).cast("string").alias("_run")
-    by_model = (
-        old.select("dealer_id", "_model", F.col("vehicle_key").alias("_key"), no_run)
-        .unionByName(groups.select("dealer_id", "_model", F.col("_target").alias("_key"), "_run"))
-        .unionByName(bare.select("dealer_id", "_model", no_key, F.col("run_id").alias("_run")))
-        .filter("_model is not null")
-        .groupBy("dealer_id", "_model").agg(F.min("_key").alias("_key"), F.min("_run").alias("_run"))
-        .select("dealer_id", "_model", F.coalesce(
-            "_key", F.concat_ws(":", F.lit("new"), "_run", F.lit("m"), "_model")).alias("_by_model"))
+    owners = batch.select("dealer_id").distinct()
+    known = state.filter("vin is null").join(owners, "dealer_id", "left_semi")
+    nodes = [
+        F.when(F.coalesce(F.col(c), F.lit("")) != "", F.xxhash64(F.lit(c), "dealer_id", c)).alias(f"_{c}")
+        for c in ("stock_number", "model")
+    ]
+    columns = [f.name for f in batch.schema]
+    rows = batch.select("*", F.lit(None).cast("string").alias("vehicle_key"), F.lit(1).alias("_late"), *nodes)
+    old = known.select(
+        *[F.col(c) if c in known.columns else F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in columns],
+        "vehicle_key", F.lit(0).alias("_late"), *nodes,
     )
-    stock_keys = groups.join(by_model, ["dealer_id", "_model"], "left").select(
-        "dealer_id", "stock_number",
-        F.coalesce("_target", "_by_model", F.concat_ws(":", F.lit("new"), "_run", F.lit("s"), "stock_number"))
-        .alias("vehicle_key"),
+    every = rows.unionByName(old)
+    linked = every.filter("_stock_number is not null and _model is not null").select("_stock_number", "_model").distinct()
+    labels = key_components(linked)
+    node = F.coalesce("_stock_number", "_model")
+    # Most keys meet no other: their own hash is their component.
+    placed = every.withColumn("_node", node).join(
+        labels, F.col("_node") == F.col("node"), "left"
+    ).withColumn("_component", F.coalesce("component", "_node", F.xxhash64("dealer_id", "ord", "run_id")))
+    placed = placed.drop("node", "component", "_node", "_stock_number", "_model")
+    keys = ["_component", "_late", "ord", "vehicle_key"]
+    replayed = placed.repartition("_component").sortWithinPartitions(*keys).mapInArrow(
+        replay, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema)
     )
-    alone = F.concat_ws(":", F.lit("new"), "run_id", F.lit("r"), F.col("ord").cast("string"))
-    columns = [*batch.columns, "vehicle_key"]
-    parts = [
-        join_on_hot_keys(stocked, stock_keys, ["dealer_id", "stock_number"], ["ord"]),
-        join_on_hot_keys(
-            bare.filter("_model is not null"), by_model.withColumnRenamed("_by_model", "vehicle_key"),
-            ["dealer_id", "_model"], ["ord"],
-        ),
-        bare.filter("_model is null").withColumn("vehicle_key", alone),
-    ]
-    return reduce(DataFrame.unionByName, [p.select(columns) for p in parts])
+    return replayed.filter("_late = 1").select(*columns, "vehicle_key")
+
+
+def key_components(pairs: DataFrame) -> DataFrame:
+    """``node, component`` for pairs of keys: every key's smallest key within reach.
+
+    In rounds, each key takes the smallest label of its neighbours and then its label's own
+    label; a round is a written table, and the last one changes nothing.
+    """
+    pairs = pairs.toDF("a", "b")
+    both = _round(pairs.unionAll(pairs.select("b", "a")))
+    now = _round(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    while True:
+        near = both.join(now, F.col("b") == F.col("node")).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
+        least = now.join(near, "node").select("node", F.least("component", "near").alias("low"), "component")
+        onward = now.select(F.col("node").alias("low"), F.col("component").alias("onward"))
+        after = _round(least.join(onward, "low", "left").select(
+            "node", F.least("low", F.coalesce("onward", "low")).alias("new"), "component"
+        ))
+        now = after.select("node", F.col("new").alias("component"))
+        if after.filter("new <> component").isEmpty():
+            return now
+
+
+def _round(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    path = work_folder(spark, "keys")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by component and order, with the ``vehicle_key`` each one falls to.
+
+    Of a component the vehicles are held, each with its present stock number, make, model,
+    year and URL; of several that fit, the first one counts.
+    """
+    component, vehicles, by_stock, by_model = None, [], {}, {}
+
+    def model_key(v: list) -> tuple | None:
+        _, _, make, model, year, url = v
+        return (make, model, year, url or "") if make and model and year else None
+
+    def place(at: int, add: bool) -> None:
+        for shelf, key in ((by_stock, vehicles[at][1] or None), (by_model, model_key(vehicles[at]))):
+            if key is not None:
+                held = shelf.setdefault(key, set())
+                held.add(at) if add else held.discard(at)
+
+    for batch in batches:
+        names = batch.schema.names
+        own = {c: batch.column(c).to_pylist() for c in (
+            "_component", "_late", "vehicle_key", "dealer_id", "run_id", "ord", "stock_number", "make", "model", "year", "url")}
+        keys = []
+        for i in range(batch.num_rows):
+            if own["_component"][i] != component:
+                component, vehicles, by_stock, by_model = own["_component"][i], [], {}, {}
+            said = [own[c][i] for c in ("stock_number", "make", "model", "year", "url")]
+            key = own["vehicle_key"][i]
+            if own["_late"][i]:
+                fits = by_stock.get(said[0]) if said[0] else None
+                fits = fits or by_model.get(model_key([None, *said]))
+                if fits:
+                    at = min(fits)
+                    place(at, False)
+                    vehicles[at][1:] = [old if new is None else new for old, new in zip(vehicles[at][1:], said)]
+                    place(at, True)
+                    keys.append(vehicles[at][0])
+                    continue
+                key = f"new:{own['run_id'][i]}:{own['ord'][i]}"
+            vehicles.append([key, *said])
+            place(len(vehicles) - 1, True)
+            keys.append(key)
+        columns = [pa.array(keys, pa.string()) if n == "vehicle_key" else batch.column(n) for n in names]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def run_tally(keyed: DataFrame) -> DataFrame:

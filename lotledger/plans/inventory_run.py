@@ -22,7 +22,7 @@ from ..operators import frontier as FR
 from ..operators import jsonmine as JM
 from ..operators import normalize as N
 from ..operators import state as ST
-from ..operators.keyed import first_by, sized, top_per_group
+from ..operators.keyed import beside, first_by, top_per_group
 from ..schemas import VEHICLE_COLUMNS
 from ..session import work_folder
 from ..sources.captures import html_pages, json_responses, of_dealers
@@ -191,7 +191,7 @@ def run_cascade(
     """
     root = work_folder(spark, "layers")
     targets = targets.select(*K.OWNER, "platform")
-    captures = captures.drop("platform").join(sized(targets), K.OWNER)
+    captures = captures.drop("platform").join(beside(targets), K.OWNER)
     fetched = {r[0] for r in captures.select("attempt").distinct().collect()}  # a handful of numbers
     vehicles: list[DataFrame] = []
     layers: list[DataFrame] = []

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as V
@@ -83,6 +85,18 @@ def s3(spark, sf):
     return SS.platform_map_from_lines(lines).select("url", "platform")
 
 
+@query("s3_platform_map_if_named", SEEDS + """ select kind, url, platform from seeds, (select unnest(['named', 'bare']) as kind)""")
+def s3b(spark, sf):
+    """A first line is a header only where it says so."""
+    seeds = SS.seeds_from_lines(seed_lines(spark, sf))
+    lines = seeds.select("ord", F.concat_ws(",", "url", F.coalesce("platform", F.lit("")), F.lit("html"), F.lit("")).alias("line"))
+    header = spark.createDataFrame([(-1, "URL,Platform,via,cname")], "ord int, line string")
+    header = header.select(F.col("ord").cast(lines.schema["ord"].dataType), "line")
+    named = SS.platform_map_from_lines(header.unionByName(lines), "if_named").withColumn("kind", F.lit("named"))
+    bare = SS.platform_map_from_lines(lines, "if_named").withColumn("kind", F.lit("bare"))
+    return named.unionByName(bare).select("kind", "url", "platform")
+
+
 @query("s4_captured_html", "select page_id as capture_id, length(html) as n_chars from pages where page_id % 7 <> 0")
 def s4(spark, sf):
     caps = SC.captures_from_pages(table(spark, sf, "pages")).withColumn(
@@ -207,20 +221,20 @@ def _page_id():
 @query("u8_best_inventory_link", ANCHORS + f""", s as (select *, {_SCORE} as score from links where starts_with(href, origin))
   select page_id, href, score from (select *, row_number() over (partition by page_id order by score desc, pos) r from s where score >= 2) where r = 1""")
 def u8(spark, sf):
-    links = FR.anchors(link_pages(spark, sf))
+    links = FR.page_links(link_pages(spark, sf))
     return FR.best_inventory_link(links).select(_page_id(), "href", "score")
 
 
 @query("u9_best_wide_link", ANCHORS + f""", s as (select *, (case when regexp_matches(href,'(?i){V.WIDE_LINK_HREF}') then 2 else 0 end) + (case when regexp_matches(lower(text),'{V.WIDE_LINK_TEXT}') then 1 else 0 end) as score from links where href like 'http%')
   select page_id, href, score from (select *, row_number() over (partition by page_id order by score desc, pos) r from s where score > 0) where r = 1""")
 def u9(spark, sf):
-    return FR.best_wide_link(FR.anchors(link_pages(spark, sf))).select(_page_id(), "href", "score")
+    return FR.best_wide_link(FR.page_links(link_pages(spark, sf))).select(_page_id(), "href", "score")
 
 
 @query("u10_first_link_by_text", ANCHORS + """ select page_id, arg_min(href, pos) as href from links
   where regexp_matches(text,'(?i)^(inventory|view inventory|pre-?owned|used|vehicles)') group by page_id""")
 def u10(spark, sf):
-    return FR.first_link_by_text(FR.anchors(link_pages(spark, sf)), "dealersync").select(_page_id(), "href")
+    return FR.first_link_by_text(FR.page_links(link_pages(spark, sf)), "dealersync").select(_page_id(), "href")
 
 
 @query("u11_pagination_frontier", """select page_id, cast(n as int) as page, case when n = 1 then url when contains(url,'?') then url || '&page=' || cast(n as varchar) else url || '?page=' || cast(n as varchar) end as page_url
@@ -230,6 +244,26 @@ def u11(spark, sf):
     return FR.pagination_frontier(pages, "dealr", V.MAX_PAGES).select("page_id", "page", "page_url")
 
 
+@query("u11_pagination_rules", """select page_id, p as platform, cast(n as int) as page, case when n = 1 then url when p = 'dws' then url || '?page_no=' || cast(n as varchar)
+    when p = 'dealercom' then url || '?start=' || cast((n - 1) * 24 as varchar) when contains(url,'?') then url || '&page=' || cast(n as varchar) else url || '?page=' || cast(n as varchar) end as page_url
+  from pages, range(1,6) t(n), (select unnest(['dws', 'dealercom', 'dealersync', 'overfuel', 'carsforsale']) as p)""")
+def u11b(spark, sf):
+    """Every platform's way to write the page number."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    return reduce(DataFrame.unionByName, [
+        FR.pagination_frontier(pages, platform, 5).select("page_id", F.lit(platform).alias("platform"), "page", "page_url")
+        for platform in ("dws", "dealercom", "dealersync", "overfuel", "carsforsale")
+    ])
+
+
+@query("u12_text_beyond_ascii", """select p_partkey as id, case p_partkey % 6 when 0 then 'https://d.com/caf%C3%A9/' || p_partkey when 1 then 'https://d.com/%E6%BC%A2/x%20y' || p_partkey
+  when 2 then 'https://d.com/a?q=%C3%BC%20' || p_partkey when 3 then 'https://d.com/%F0%9F%9A%97' || p_partkey when 4 then 'https://d.com/%7Ba%7D/%60' || p_partkey || '?b={}%27' else 'https://d.com/a#%C3%BC%60' || p_partkey end as url from part""")
+def u12b(spark, sf):
+    rel = F.expr("""case p_partkey % 6 when 0 then '/café/' || p_partkey when 1 then '漢/x y' || p_partkey when 2 then '/a?q=ü ' || p_partkey
+      when 3 then '/🚗' || p_partkey when 4 then '/{a}/`' || p_partkey || "?b={}'" else '/a#ü`' || p_partkey end""")
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), U.resolve(rel, F.lit("https://d.com")).alias("url"))
+
+
 @query("u12_resolve_url", """select p_partkey as id, case p_partkey % 5 when 0 then 'https://d.com/a/b' || p_partkey when 1 then 'https://d.com/x/' || p_partkey || '?q=1'
   when 2 then 'https://cdn.com/i' || p_partkey when 3 then 'https://d.com/a/' || p_partkey else 'https://e.com/p%20q' || p_partkey end as url from part""")
 def u12(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as V
-from ..operators.keyed import sized
+from ..operators.keyed import beside
 from ..schemas import CAPTURE_SCHEMA
 
 
@@ -37,7 +37,17 @@ def of_dealers(spark: SparkSession, path: str, dealers: DataFrame, parts: int =
     keys = dealers.select("run_id", "dealer_url").distinct()
     numbers = [r[0] for r in keys.select(dealer_part(F.col("dealer_url"), parts)).distinct().collect()]
     rows = spark.read.parquet(path).filter(F.col("dealer_part").isin(numbers)).drop("dealer_part")
-    return rows.join(sized(keys), ["run_id", "dealer_url"], "left_semi")
+    return rows.join(beside(keys), ["run_id", "dealer_url"], "left_semi")
+
+
+def stored_by_owner(captures: DataFrame, path: str, name: str, buckets: int = 200) -> DataFrame:
+    """Captures as a table ``name`` at ``path``, bucketed by run and dealer.
+
+    Joins with keys bucketed alike move no body. All pages of a dealer are one bucket; where
+    one dealer holds a large share of them, ``write_by_dealer`` spreads it over files.
+    """
+    captures.write.bucketBy(buckets, "run_id", "dealer_url").option("path", path).saveAsTable(name)
+    return captures.sparkSession.table(name)
 
 
 def captures_from_pages(pages: DataFrame, run_id: str = "run-0") -> DataFrame:
