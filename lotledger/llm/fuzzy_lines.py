@@ -1,8 +1,17 @@
-"""Near-duplicate lines by MinHash over character shingles, in DataFrame operations only."""
+"""Near-duplicate lines by MinHash over character shingles.
+
+Lines are cut, folded, posted, grouped and taken out by DataFrame operations. Signatures and
+the exact comparison of lines that share a bucket run over arrays in the tasks: a hash per
+window by native functions alone costs more than the whole job may.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import by_size, free_name, settled
 from .components import star_components
@@ -11,7 +20,11 @@ SHINGLE = 8
 ROWS, BANDS = 3, 8
 PLACES = 1 << 31
 LAST = (1 << 63) - 1
-CROWD = 64
+# Lines of a bucket, and their bytes, that one task compares with each other.
+SLICE, SLICE_BYTES = 2048, 4 << 20
+# Bands whose buckets are compared first; the others only where they still join components.
+FIRST_BANDS = 2
+CHUNK = 1 << 20  # bytes of lines that become arrays at once
 # Up to so many documents' dropped line numbers may be broadcast; more are joined by shuffle.
 BROADCAST_DOCS = 200_000
 
@@ -61,71 +74,272 @@ def line_keys(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), F.reverse(line)).alias("h2")]
 
 
-def shingle_starts(size: Column) -> Column:
-    """1, 2, ... for every window of ``SHINGLE`` bytes; a shorter line is one window."""
-    return F.sequence(F.lit(1), F.greatest(size - (SHINGLE - 1), F.lit(1)))
+def window_words(raw: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Every window of ``SHINGLE`` bytes as one number, and the line it belongs to.
+
+    A line of fewer bytes has no window: it resembles no other line.
+    """
+    offsets = np.frombuffer(raw.buffers()[1], dtype=np.int32)[raw.offset: raw.offset + len(raw) + 1].astype(np.int64)
+    sizes = np.diff(offsets)
+    counts = np.maximum(sizes - (SHINGLE - 1), 0)
+    total = int(counts.sum())
+    if not total:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    low, high = int(offsets[0]), int(offsets[-1])
+    data = memoryview(raw.buffers()[2])[low:high]
+    words = np.empty(high - low - SHINGLE + 1, dtype=np.uint64)
+    for shift in range(min(SHINGLE, len(words))):
+        part = words[shift::SHINGLE]
+        part[:] = np.frombuffer(data, dtype="<u8", offset=shift, count=len(part))
+    line = np.repeat(np.arange(len(raw)), counts)
+    first = np.cumsum(counts) - counts
+    return words[np.arange(total) - first[line] + (offsets[:-1] - low)[line]], line
+
+
+def mixed(words: np.ndarray) -> np.ndarray:
+    h = words * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def band_keys(raw: pa.Array) -> list[list[int]]:
+    """The buckets of each line, by band; a band without any window is left out.
+
+    One permutation: the windows' hashes are dealt to ``ROWS * BANDS`` classes, and the
+    smallest of each class is kept.
+    """
+    words, line = window_words(raw)
+    classes = ROWS * BANDS
+    none = np.uint64(0xFFFFFFFFFFFFFFFF)
+    least = np.full(len(raw) * classes, none)
+    h = mixed(words)
+    np.minimum.at(least, line * classes + ((h >> np.uint64(1)) % np.uint64(classes)).astype(np.int64), h)
+    least = least.reshape(len(raw), BANDS, ROWS)
+    keys = np.full((len(raw), BANDS), 0, dtype=np.uint64)
+    for k in range(ROWS):
+        keys = mixed(keys ^ least[:, :, k])
+    keys = (keys & ~np.uint64(BANDS - 1)) | np.arange(BANDS, dtype=np.uint64)  # a key tells its band
+    there = (least != none).any(axis=2)
+    return [row[on].tolist() for row, on in zip(keys.view(np.int64), there)]
+
+
+def slices(raw: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of lines of about ``CHUNK`` bytes, at least one line each."""
+    offsets = np.frombuffer(raw.buffers()[1], dtype=np.int32)[raw.offset: raw.offset + len(raw) + 1]
+    at = 0
+    while at < len(raw):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, side="right")) - 1)
+        yield at, end
+        at = end
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """One row per distinct line: h1, h2, seat (its first), n (times it stands), m0, m1, ...
+    """One row per distinct line: h1, h2, seat (its first), n (times it stands), bands.
 
-    Equal lines are folded before they are shuffled. The windows of a line are then
-    spread and folded again where the line lies: one hash per window, and the smallest
-    hash of each of ``ROWS * BANDS`` hash classes.
+    Equal lines are folded before they are shuffled.
     """
     distinct = lines.select(*line_keys(F.col("line")), "line", "seat").groupBy("h1", "h2").agg(
         F.max("line").alias("line"), F.min("seat").alias("seat"), F.count("*").alias("n")
+    ).select("h1", "h2", F.col("seat").cast("string").alias("seat"), "n", F.col("line").cast("binary").alias("raw"))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, end in slices(batch.column(4)):
+                part = batch.slice(at, end - at)
+                keys = pa.array(band_keys(part.column(4)), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], keys], ["h1", "h2", "seat", "n", "bands"])
+
+    return distinct.mapInArrow(sign, "h1 long, h2 long, seat string, n long, bands array<long>").withColumn(
+        "seat", F.col("seat").cast("decimal(31,0)")
     )
-    # The seat travels as two numbers, which are far cheaper to fold than a decimal.
-    keyed = distinct.select(
-        "h1", "h2", "n", F.expr(f"cast(pmod(seat, {PLACES}) as int)").alias("place"),
-        F.expr(f"cast((seat - pmod(seat, {PLACES})) div {PLACES} as bigint)").alias("key"),
-        F.col("line").cast("binary").alias("raw"),
-    )
-    windows = keyed.select(
-        "h1", "h2", "n", "place", "key", "raw", F.explode(shingle_starts(F.octet_length("raw"))).alias("start")
-    ).select("h1", "h2", "n", "place", "key", F.xxhash64(F.substring("raw", F.col("start"), F.lit(SHINGLE))).alias("h"))
-    windows = windows.withColumn("part", F.shiftrightunsigned("h", 1) % (ROWS * BANDS))
-    return windows.groupBy("h1", "h2").agg(
-        F.max("n").alias("n"), F.max("place").alias("place"), F.max("key").alias("key"),
-        *[F.min(F.when(F.col("part") == i, F.col("h"))).alias(f"m{i}") for i in range(ROWS * BANDS)],
-    ).withColumn("seat", seat_of(F.col("key"), F.col("place"))).drop("key", "place")
 
 
 def bands(signed: DataFrame) -> DataFrame:
-    """``band, line``: the buckets of each line; a band without any window is left out."""
-    keys = []
-    for b in range(BANDS):
-        own = [F.col(f"m{ROWS * b + i}") for i in range(ROWS)]
-        keys.append(F.when(F.coalesce(*own).isNotNull(), F.xxhash64(
-            F.lit(b), *[F.coalesce(m, F.lit(0)) for m in own]
-        )))
-    return signed.select("line", F.explode(F.array_compact(F.array(*keys))).alias("band"))
-
-
-def shingles(raw: Column) -> Column:
-    starts = shingle_starts(F.octet_length(raw))
-    return F.array_distinct(F.transform(
-        starts, lambda i: F.xxhash64(F.substring(raw, i, F.lit(SHINGLE)))
-    ))
-
-
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of lines whose exact Jaccard similarity reaches ``similarity``."""
-    one = lambda x, y: texts.select(F.col("line").alias(x), F.col("raw").alias(y))
-    both = pairs.join(one("a", "x"), "a").join(one("b", "y"), "b")
-    # Behind a generator, so that the arrays are made once.
-    sets = both.select("a", "b", F.explode(F.array(
-        F.struct(shingles(F.col("x")).alias("x"), shingles(F.col("y")).alias("y"))
-    )).alias("s"))
-    counted = sets.select("a", "b", F.explode(F.array(F.struct(
-        F.size("s.x").alias("x"), F.size("s.y").alias("y"), F.size(F.array_intersect("s.x", "s.y")).alias("both")
-    ))).alias("c"))
-    return counted.filter(F.col("c.both") >= similarity * (F.col("c.x") + F.col("c.y") - F.col("c.both"))).select("a", "b")
+    """``band, line``: the buckets of each line."""
+    return signed.select("line", F.explode("bands").alias("band"))
+
+
+class Bucket:
+    """Lines of one bucket as sets of window numbers, small integers of the bucket's own."""
+
+    def __init__(self, raw: pa.Array, component: np.ndarray):
+        words, line = window_words(raw)
+        order = np.lexsort((words, line))
+        words, line = words[order], line[order]
+        fresh = np.append(True, (words[1:] != words[:-1]) | (line[1:] != line[:-1])) if len(words) else np.zeros(0, bool)
+        words, self.line = words[fresh], line[fresh]
+        values, self.token = np.unique(words, return_inverse=True)
+        self.sizes = np.bincount(self.line, minlength=len(raw))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flags = np.zeros(len(values), dtype=bool)
+        self.root = np.unique(component, return_inverse=True)[1]
+        self.links: list[tuple[int, int]] = []
+        self.tried: set[tuple[int, int]] = set()
+
+    def tokens(self, i: int) -> np.ndarray:
+        return self.token[self.starts[i]: self.starts[i] + self.sizes[i]]
+
+    def common(self, head: int, others: np.ndarray) -> np.ndarray:
+        """How many windows of ``head`` each of the others has."""
+        own = self.tokens(head)
+        self.flags[own] = True
+        counts = self.sizes[others]
+        ends = np.cumsum(counts)
+        at = np.arange(int(ends[-1])) - np.repeat(ends - counts, counts) + np.repeat(self.starts[others], counts)
+        found = np.add.reduceat(self.flags[self.token[at]].astype(np.int64), ends - counts)
+        self.flags[own] = False
+        return found
+
+    def compare(self, head: int, others: np.ndarray, num: int, den: int) -> None:
+        """Link ``head`` to those of ``others`` in other components that reach the similarity."""
+        others = others[self.root[others] != self.root[head]]
+        small, large = np.minimum(self.sizes[others], self.sizes[head]), np.maximum(self.sizes[others], self.sizes[head])
+        others = others[(small > 0) & (den * small >= num * large)]
+        others = np.array([o for o in others.tolist() if (head, o) not in self.tried], dtype=np.int64)
+        if not len(others):
+            return
+        both = self.common(head, others)
+        self.tried.update((head, o) for o in others.tolist())
+        for o in others[den * both >= num * (self.sizes[others] + self.sizes[head] - both)].tolist():
+            if self.root[o] != self.root[head]:
+                self.links.append((head, o))
+                self.root[self.root == self.root[o]] = self.root[head]
+
+    def prefixes(self, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+        """(token, line) of the rarest windows of each line, by token.
+
+        Two lines that reach the similarity share one of their n - ceil(n num / den) + 1
+        rarest windows, in any order all lines agree on.
+        """
+        rarity = np.bincount(self.token)[self.token]
+        order = np.lexsort((self.token, rarity, self.line))
+        token, line = self.token[order], self.line[order]
+        place = np.arange(len(line)) - self.starts[line]
+        kept = place < (self.sizes - -(-num * self.sizes // den) + 1)[line]
+        token, line = token[kept], line[kept]
+        by = np.argsort(token, kind="stable")
+        return token[by], line[by]
+
+    def find(self, num: int, den: int) -> list[tuple[int, int]]:
+        """Links that join all lines of the bucket that some chain of links joins."""
+        if len(self.sizes) == 2:
+            self.compare(0, np.array([1]), num, den)
+            return self.links
+        token, line = self.prefixes(num, den)
+        cuts = np.flatnonzero(np.diff(token)) + 1
+        for start, end in zip(np.append(0, cuts).tolist(), np.append(cuts, len(token)).tolist()):
+            group = line[start:end]
+            while len(group) > 1 and (self.root[group] != self.root[group[0]]).any():
+                self.compare(int(group[0]), group[1:], num, den)
+                group = group[1:]
+        return self.links
+
+
+def ratio(similarity: float) -> tuple[int, int]:
+    """The threshold in whole numbers, as given to three digits."""
+    return round(1000 * similarity), 1000
+
+
+def bucket_links(rows: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join what is similar within buckets; ``rows``: band, slices, line,
+    component, raw.
+
+    A bucket of several slices is dealt to them; a task has two at a time. Lines go through a
+    task bucket by bucket; what it returns is at most one link per line.
+    """
+    num, den = ratio(similarity)
+    cut = rows.withColumn(
+        "own", F.pmod(F.xxhash64("line"), F.col("slices")).cast("int")
+    )
+    dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).select(
+        "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "line", "component", "raw"
+    )
+    keys = ["band", "i", "j"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.Table] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            waiting.append(pa.Table.from_batches([batch]))
+            key = np.stack([batch.column(k).to_numpy() for k in range(3)])
+            change = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+            before = waiting[0].slice(0, 1)
+            if len(waiting) > 1 and any(before.column(k)[0] != batch.column(k)[0] for k in range(3)):
+                change = np.append(0, change)
+            if not len(change):
+                continue
+            held = sum(t.num_rows for t in waiting[:-1])
+            table = pa.concat_tables(waiting).combine_chunks()
+            ends = change + held
+            yield from found(table.slice(0, ends[-1]), ends[:-1])
+            waiting = [table.slice(ends[-1])]
+        if waiting:
+            yield from found(pa.concat_tables(waiting).combine_chunks(), np.zeros(0, dtype=np.int64))
+
+    def found(table: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        line, component = table.column("line").to_numpy(), table.column("component").to_numpy()
+        raw = table.column("raw").chunk(0)
+        a, b = [], []
+        for start, end in zip(np.append(0, cuts).tolist(), np.append(cuts, len(line)).tolist()):
+            if end - start > 1:
+                links = Bucket(raw.slice(start, end - start), component[start:end]).find(num, den)
+                a += [line[start + x] for x, _ in links]
+                b += [line[start + y] for _, y in links]
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "line").mapInArrow(run, "a long, b long").distinct()
+
+
+def leader_links(rows: DataFrame, similarity: float) -> DataFrame:
+    """Links (leader, line) of crowded buckets; ``rows``: band, leader, line, raw.
+
+    A bucket's leader goes to each of its slices of about ``SLICE`` lines and comes first;
+    the others stream past it.
+    """
+    num, den = ratio(similarity)
+    part = F.pmod(F.xxhash64("line"), F.ceil(F.col("members") / SLICE)).cast("int")
+    heads = rows.filter("line = leader").select(
+        "band", F.explode(F.sequence(F.lit(0), F.ceil(F.col("members") / SLICE).cast("int") - 1)).alias("part"),
+        F.lit(0).alias("late"), "line", "raw",
+    )
+    dealt = heads.unionAll(rows.filter("line <> leader").select("band", part.alias("part"), F.lit(1).alias("late"), "line", "raw"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, own = None, None
+        for batch in batches:
+            a, b = [], []
+            late = batch.column(2).to_numpy()
+            heads_at = np.flatnonzero(late == 0)
+            for start, end in zip(np.append(0, heads_at).tolist(), np.append(heads_at, len(late)).tolist()):
+                if end == start:
+                    continue
+                if late[start] == 0:
+                    head, own = batch.column(3)[start].as_py(), np.unique(window_words(batch.column(4).slice(start, 1))[0])
+                    start += 1
+                lines, raw = batch.column(3).to_numpy()[start:end], batch.column(4).slice(start, end - start)
+                for low, high in slices(raw):
+                    words, line = window_words(raw.slice(low, high - low))
+                    order = np.lexsort((words, line))
+                    words, line = words[order], line[order]
+                    fresh = np.append(True, (words[1:] != words[:-1]) | (line[1:] != line[:-1])) if len(words) else np.zeros(0, bool)
+                    words, line = words[fresh], line[fresh]
+                    sizes = np.bincount(line, minlength=high - low)
+                    both = np.bincount(line, np.isin(words, own), minlength=high - low).astype(np.int64)
+                    ok = (sizes > 0) & (den * both >= num * (sizes + len(own) - both))
+                    b += lines[low:high][ok].tolist()
+                    a += [head] * int(ok.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return dealt.repartition("band", "part").sortWithinPartitions("band", "part", "late").mapInArrow(
+        run, "a long, b long"
+    ).distinct()
 
 
 def texts_of(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """``line, raw`` of the wanted lines (line, seat), read where each first stands.
+    """``line, raw, size`` of the wanted lines (line, seat), read where each first stands.
 
     The seats of one document are put together first, so documents are not repeated.
     """
@@ -143,7 +357,7 @@ def texts_of(docs: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
         F.btrim(F.get("lines", F.col("w.place")), F.lit(" \t\r")).cast("binary").alias("raw"),
     ).filter("raw is not null")
     # Rows that repeat an id and a text would repeat the line.
-    return found.groupBy("line").agg(F.max("raw").alias("raw"))
+    return found.groupBy("line").agg(F.max("raw").alias("raw")).withColumn("size", F.octet_length("raw"))
 
 
 def grouped(posted: DataFrame, named: DataFrame | None) -> DataFrame:
@@ -167,65 +381,47 @@ def open_buckets(now: DataFrame, turn: int) -> DataFrame:
 def link_lines(docs: DataFrame, key: str, posted: DataFrame, signed: DataFrame, similarity: float) -> DataFrame | None:
     """``node, component`` of the linked lines; None without a link.
 
-    In rounds, every line of a bucket that is not yet one component is compared with the
-    bucket's leader, so a bucket of many copies gives one pair per line and round. After the
-    first round, only buckets of over ``CROWD`` lines take part; rounds end when fewer than
-    a quarter of their pairs link. Then all pairs left across components of a bucket are
-    compared.
+    Only buckets of several lines, not all in one component, are looked at. Crowded ones
+    (over ``SLICE`` lines) are compared with a leader in rounds first, while a quarter of their
+    lines link, so that a large group of copies becomes one component. Then the lines of
+    each bucket are compared with each other: first the buckets of two bands, then those
+    of the other bands that components still share.
     """
-    crowded = posted.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    posted = settled(posted.join(crowded, "band", "left_semi"), "line-posted")
+    shared = posted.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    posted = settled(posted.join(shared, "band", "left_semi"), "line-posted")
     wanted = posted.select("line").distinct().join(signed.select("line", "seat"), "line")
     texts = settled(texts_of(docs, key, wanted), "line-texts")
     edges = named = None
+
+    def open_now(some: DataFrame, turn: int) -> DataFrame:
+        return settled(open_buckets(grouped(some, named), turn), "line-mixed")
+
+    def linked(found: DataFrame) -> int:
+        nonlocal edges, named
+        found = settled(found, "line-links")
+        many = found.count()
+        if many:
+            edges = found if edges is None else settled(edges.unionAll(found), "line-edges")
+            named = settled(star_components(edges, "line-rounds"), "line-named")
+        return many
+
     turn = 0
     while True:
-        mixed = settled(open_buckets(grouped(posted, named), turn), "line-mixed")
-        # After the first round only crowded buckets are worth a round of their own.
-        tried = mixed.filter("line <> leader") if turn == 0 else mixed.filter(f"line <> leader and members > {CROWD}")
-        pairs = tried.select(F.col("leader").alias("a"), F.col("line").alias("b"), "component").distinct()
-        if named is not None:
-            own = named.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
-            pairs = pairs.join(own, "a", "left").filter(F.coalesce("of_a", "a") != F.col("component"))
-        chosen = settled(pairs.select("a", "b"), "line-chosen")
-        asked = chosen.count()
+        crowded = open_now(posted, turn).filter(f"members > {SLICE}")
+        asked = crowded.filter("line <> leader").count()
         if asked == 0:
             break
-        found = settled(verified(chosen, texts, similarity), "line-links")
-        linked = found.count()
-        if linked:
-            edges = found if edges is None else settled(edges.unionAll(found), "line-edges")
-            named = settled(star_components(edges, "line-rounds"), "line-named")
         turn += 1
-        if linked < asked / 4:
-            mixed = settled(open_buckets(grouped(posted, named), turn), "line-mixed") if linked else mixed
+        if linked(leader_links(crowded.join(texts, "line").select("band", "members", "leader", "line", "raw"), similarity)) < asked / 4:
             break
-    side = lambda x: mixed.select("band", F.col("line").alias(x), F.col("component").alias(f"of_{x}"))
-    both = side("a").join(side("b"), "band").filter("a < b and of_a <> of_b")
-    rest = settled(both.groupBy("a", "b").agg(F.count("*").alias("shared")), "line-rest")
-    # The pair with the most buckets in common speaks for its two components first; the
-    # others are compared only if their components are still apart.
-    for first in (True, False):
-        apart = rest.select("a", "b", "shared")
-        for x in ("a", "b"):
-            if named is None:
-                apart = apart.withColumn(f"of_{x}", F.col(x))
-            else:
-                own = named.select(F.col("node").alias(x), F.col("component").alias("c"))
-                apart = apart.join(own, x, "left").withColumn(f"of_{x}", F.coalesce("c", x)).drop("c")
-        apart = apart.filter("of_a <> of_b")
-        if first:
-            best = Window.partitionBy(F.least("of_a", "of_b"), F.greatest("of_a", "of_b")).orderBy(F.desc("shared"), "a", "b")
-            asked_first = settled(
-                apart.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("a", "b"), "line-first"
-            )
-            pairs = asked_first
-        else:
-            pairs = apart.select("a", "b").join(asked_first, ["a", "b"], "left_anti")
-        found = settled(verified(pairs, texts, similarity), "line-last")
-        if not found.isEmpty():
-            edges = found if edges is None else settled(edges.unionAll(found), "line-edges")
-            named = settled(star_components(edges, "line-last-round"), "line-named")
+    band = F.pmod(F.col("band"), F.lit(BANDS))
+    for some in (posted.filter(band < FIRST_BANDS), posted.filter(band >= FIRST_BANDS)):
+        rows = open_now(some, turn)
+        sizes = rows.join(texts.select("line", "size"), "line").groupBy("band").agg(
+            F.ceil(F.greatest(F.count("*") / SLICE, F.sum("size") / SLICE_BYTES)).cast("int").alias("slices")
+        )
+        full = rows.join(sizes, "band").join(texts, "line").select("band", "slices", "line", "component", "raw")
+        linked(bucket_links(full, similarity))
     return named
 
 

@@ -29,6 +29,17 @@ def one_per_id(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     )
 
 
+def scaled(vec: np.ndarray) -> np.ndarray:
+    """Rows brought to a largest component of 0.5 to 1 by powers of two: no cosine changes, not
+    in its last bit, and no square overflows."""
+    return np.ldexp(vec, -np.frexp(np.abs(vec).max(axis=1, keepdims=True))[1])
+
+
+def units(vec: np.ndarray) -> np.ndarray:
+    vec = scaled(vec)
+    return vec / np.linalg.norm(vec, axis=1, keepdims=True)
+
+
 def ordered_pivots(unit: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
     """Per vector its ``length`` nearest pivots, nearest first, ties to the smaller number."""
     return np.argsort(-(unit @ pivots.T), axis=1, kind="stable")[:, :length]
@@ -45,7 +56,7 @@ def choose_pivots(vectors: DataFrame, count: int, length: int, seed: int) -> Piv
     rows = vectors.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(count).collect()
     found = np.array([r["vec"] for r in rows], dtype=float).reshape(len(rows), -1)
     if len(rows):
-        found = found / np.linalg.norm(found, axis=1, keepdims=True)
+        found = units(found)
     return Pivots(found, min(length, len(rows)))
 
 
@@ -62,9 +73,8 @@ def build_index(vectors: DataFrame, pivots: Pivots, blocks: int) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), BLOCK):
                 part = batch.iloc[at: at + BLOCK]
-                vec = np.array(part["vec"].tolist(), dtype=float)
-                unit = vec / np.linalg.norm(vec, axis=1, keepdims=True)
-                order = ordered_pivots(unit, pivots.vectors, pivots.length)
+                vec = scaled(np.array(part["vec"].tolist(), dtype=float))
+                order = ordered_pivots(units(vec), pivots.vectors, pivots.length)
                 pivot = order.ravel()
                 sort = np.argsort(pivot, kind="stable")
                 starts = np.searchsorted(pivot[sort], np.arange(n_pivots + 1))
@@ -92,8 +102,9 @@ def search_blocks(
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        norms = np.linalg.norm(vecs, axis=1)
-        orders = ordered_pivots(vecs / norms[:, None], pivots.vectors, pivots.length)
+        near_one = scaled(vecs)
+        norms = np.linalg.norm(near_one, axis=1)
+        orders = ordered_pivots(near_one / norms[:, None], pivots.vectors, pivots.length)
         best: list[list[tuple[float, int]]] = [[] for _ in ids]
         for batch in batches:
             for row in batch.itertuples(index=False):
@@ -111,7 +122,7 @@ def search_blocks(
                         gain[members[a:b]] += pivots.length - np.maximum(places[a:b], place)
                     near = np.argpartition(-gain, take - 1)[:take] if take < len(own) else np.arange(len(own))
                     near = near[own[near] != ids[q]]
-                    score = (mat[near] @ vecs[q]) / (own_norms[near] * norms[q])
+                    score = (mat[near] @ near_one[q]) / (own_norms[near] * norms[q])
                     top = np.lexsort((own[near], -score))[:k]
                     best[q] = sorted(best[q] + [(-float(score[i]), int(own[near[i]])) for i in top])[:k]
         rows = [(int(ids[q]), v, -s) for q, found in enumerate(best) for s, v in found]
@@ -135,33 +146,32 @@ def nearest(
     index; the written index is read again for the next chunk. Only the ``k`` best of a
     task per query are shuffled.
 
-    Null, zero, empty or non-finite vectors, and null ids, take no part. Vectors whose
-    length is not the most frequent one take no part. Rows that repeat an id are one
-    vector, the smallest array. Ties go to the smaller id. Fewer than ``k`` candidates give
-    fewer rows; no vectors give none.
+    Null, zero, empty or non-finite vectors, and null ids, take no part. Vectors of different
+    length have no cosine: each length has an index of its own and is searched by itself.
+    Rows that repeat an id are one vector, the smallest array. Ties go to the smaller id.
+    Fewer than ``k`` candidates give fewer rows; no vectors give none.
     """
     spark = vectors.sparkSession
     clean = settled(one_per_id(vectors, vec_id, embedding), "ann-vectors")
-    width = clean.groupBy(F.size("vec").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    shape = "query_id long, rank int, vec_id long, score double"
-    if width is None:
-        return spark.createDataFrame([], shape)
-    clean = clean.filter(F.size("vec") == width["d"])
-    chosen = choose_pivots(clean, pivots, length, seed)
-    index = settled(build_index(clean, chosen, -(-width["n"] // BLOCK)), "ann-index")
-    queries = clean.filter(is_query)
-    rounds = max(1, -(-queries.count() // chunk))
+    widths = clean.groupBy(F.size("vec").alias("d")).agg(
+        F.count("*").alias("n"), F.count_if(is_query).alias("queries")
+    ).filter("queries > 0").orderBy("d").collect()
     folder, found = shared_folder(spark, "ann-found"), None
-    for i in range(rounds):
-        part = queries.filter(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(rounds)) == i)
-        part = part.orderBy("vec_id").collect()
-        if part:
-            ids = np.array([r["vec_id"] for r in part], dtype=np.int64)
-            vecs = np.array([r["vec"] for r in part], dtype=float)
-            hits = search_blocks(index, ids, vecs, chosen, k, share)
-            hits.write.mode("append").parquet(folder)
-            found = spark.read.schema(hits.schema).parquet(folder)
+    for width in widths:
+        own = clean.filter(F.size("vec") == width["d"])
+        chosen = choose_pivots(own, pivots, length, seed)
+        index = settled(build_index(own, chosen, -(-width["n"] // BLOCK)), "ann-index")
+        rounds = max(1, -(-width["queries"] // chunk))
+        for i in range(rounds):
+            part = own.filter(is_query).filter(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(rounds)) == i)
+            part = part.orderBy("vec_id").collect()
+            if part:
+                ids = np.array([r["vec_id"] for r in part], dtype=np.int64)
+                vecs = np.array([r["vec"] for r in part], dtype=float)
+                hits = search_blocks(index, ids, vecs, chosen, k, share)
+                hits.write.mode("append").parquet(folder)
+                found = spark.read.schema(hits.schema).parquet(folder)
     if found is None:
-        return spark.createDataFrame([], shape)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

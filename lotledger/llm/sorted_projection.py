@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import settled
 from .components import star_components
-from .permutation_index import one_per_id
+from .permutation_index import one_per_id, units
 
 BITS = 62
 BLOCK = 512
@@ -49,8 +49,7 @@ def sorted_codes(vectors: DataFrame, passes: int, seed: int) -> DataFrame:
     def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for width, part in batch.groupby(batch["vec"].map(len)):
-                vec = np.array(part["vec"].tolist(), dtype=float)
-                unit = vec / np.linalg.norm(vec, axis=1, keepdims=True)
+                unit = units(np.array(part["vec"].tolist(), dtype=float))
                 for p in range(passes):
                     yield pd.DataFrame({
                         "lot": width * passes + p, "code": hash_codes(unit, seed + p), "node": part["node"],
@@ -98,7 +97,7 @@ def window_pairs(codes: DataFrame, vectors: DataFrame, window: int, cosine: floa
         tail = None
         for batch in batches:
             for at, part in batch.groupby(["piece", "lot"], sort=True):
-                part = part[["piece", "lot", "node"]].assign(unit=[(v / np.linalg.norm(v)).tobytes() for v in part["vec"]])
+                part = part[["piece", "lot", "node"]].assign(unit=[u.tobytes() for u in units(np.array(part["vec"].tolist(), dtype=float))])
                 old = 0
                 if tail is not None and (tail["piece"].iloc[0], tail["lot"].iloc[0]) == at:
                     old, part = len(tail), pd.concat([tail, part], ignore_index=True)
@@ -156,8 +155,7 @@ def crowded_pairs(
     full = dealt.join(vectors.select("node", "vec"), "node").select(*key, "i", "j", "no", "node", "component", "vec")
 
     def close(part: pd.DataFrame) -> pd.DataFrame:
-        vec = np.array(part["vec"].tolist(), dtype=float)
-        unit = vec / np.linalg.norm(vec, axis=1, keepdims=True)
+        unit = units(np.array(part["vec"].tolist(), dtype=float))
         node, of, no = (part[c].to_numpy() for c in ("node", "component", "no"))
         left, right = np.flatnonzero(no == part["i"].iloc[0]), np.flatnonzero(no == part["j"].iloc[0])
         apart = of[left][:, None] != of[right][None, :]
@@ -190,14 +188,13 @@ def count_links(members: DataFrame, cosine: float) -> DataFrame:
     def linked(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return (x @ y.T) >= cosine
 
-    def units(rows: pd.DataFrame) -> np.ndarray:
-        vec = np.array(rows["vec"].tolist(), dtype=float).reshape(len(rows), -1)
-        return vec / np.linalg.norm(vec, axis=1, keepdims=True)
+    def unit_rows(rows: pd.DataFrame) -> np.ndarray:
+        return units(np.array(rows["vec"].tolist(), dtype=float).reshape(len(rows), -1))
 
     def lot(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, part in rows.groupby("component"):
-            unit, copies = units(part), part["copies"].to_numpy()
+            unit, copies = unit_rows(part), part["copies"].to_numpy()
             close = linked(unit, unit)
             np.fill_diagonal(close, False)
             out.append(pd.DataFrame({"node": part["node"], "links": close @ copies}))
@@ -208,7 +205,7 @@ def count_links(members: DataFrame, cosine: float) -> DataFrame:
         left, right = rows[rows["block"] == i], rows[rows["block"] == j]
         if not len(left) or not len(right):
             return pd.DataFrame({"node": [], "links": []})
-        close = linked(units(left), units(right))
+        close = linked(unit_rows(left), unit_rows(right))
         if i == j:
             np.fill_diagonal(close, False)
             return pd.DataFrame({"node": left["node"], "links": close @ left["copies"].to_numpy()})

@@ -348,3 +348,102 @@ def test_two_unrelated_slices_give_no_pair():
     for a, b in (([30] * 20, [300] * 20), ([300] * 20, [30] * 3), ([30], [300])):
         i, j = jaccard_join.traverse(tree(a, 1), tree(b, 2), False)
         assert len(i) == len(j) == 0
+
+
+# --- mended: vectors of several lengths, and components whose squares overflow --------------
+
+VECTORS = "vec_id long, embedding array<double>"
+
+
+def test_nearest_keeps_lengths_apart(spark):
+    from lotledger.llm import permutation_index
+
+    rows = [(1, [1.0, 0.0, 0.0]), (2, [0.9, 0.1, 0.0]), (3, [0.0, 0.0, 1.0]), (50, [1.0, 1.0]), (7, [1.0, 0.9]), (8, [-1.0, 0.0]),
+            (100, [1e200, 1e200, 0.0]), (9, [1.0, 1e-3, 1e-3, 0.0])]
+    got = permutation_index.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 50 == 0).collect()
+    found = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in got}
+    assert [found[50, k][0] for k in (1, 2)] == [7, 8] and (50, 3) not in found
+    assert found[100, 1][0] == 2 and abs(found[100, 2][1] - 2 ** -0.5) < 1e-12 and found[100, 2][0] == 1
+    assert found[100, 3] == (3, 0.0) and (100, 4) not in found
+
+
+def test_near_vectors_of_any_size(spark):
+    from lotledger.llm import sorted_projection
+
+    rows = [(1, [1e200, 1e200, 0.0]), (2, [1.0, 1.0, 0.01]), (3, [1e-310, 1e-310, 0.0]), (4, [1.0, 1.0]), (5, [1e300, 1e300]), (6, [0.0, 0.0, 1.0])]
+    got = sorted_projection.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {
+        1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
+
+
+# --- lines: buckets against all pairs ------------------------------------------------------
+
+def line_sets(lines):
+    return [{x[i: i + 8] for i in range(len(x) - 7)} for x in lines]
+
+
+def joined(pairs, n):
+    up = list(range(n))
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in pairs:
+        up[max(find(a), find(b))] = min(find(a), find(b))
+    return [find(i) for i in range(n)]
+
+
+def test_bucket_links_join_what_all_pairs_join():
+    import pyarrow as pa
+
+    from lotledger.llm import fuzzy_lines
+
+    rng = random.Random(11)
+    words = [b"alpha", b"beta", b"gamma", b"delta", b"eps", b"zeta ", b"x"]
+    for size in (2, 3, 60):
+        base = [b" ".join(rng.choices(words, k=rng.randint(0, 30))) for _ in range(size)]
+        lines = base + [x[:-3] + b"yyy" for x in base if len(x) > 40] + [b"abc", b"abcdefgh", b"aaaaaaaa", b"aaaaaaaaaaaa", b""]
+        sets = line_sets(lines)
+        true = [
+            (i, j) for i, j in itertools.combinations(range(len(lines)), 2)
+            if sets[i] and sets[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+        ]
+        links = fuzzy_lines.Bucket(pa.array(lines, pa.binary()), np.arange(len(lines))).find(4, 5)
+        assert joined(links, len(lines)) == joined(true, len(lines))
+        assert all((min(x), max(x)) in set(true) for x in links) and len(links) <= len(lines)
+
+
+def test_line_windows_do_not_cross_lines():
+    import pyarrow as pa
+
+    from lotledger.llm import fuzzy_lines
+
+    lines = [b"0123456789", b"", b"short", b"\xc3\xa9\xc3\xa9\xc3\xa9\xc3\xa9z", b"12345678"]
+    raw = pa.array([b"before", *lines], pa.binary()).slice(1)
+    words, of = fuzzy_lines.window_words(raw)
+    want = [(int.from_bytes(x[i: i + 8], "little"), k) for k, x in enumerate(lines) for i in range(len(x) - 7)]
+    assert list(zip(words.tolist(), of.tolist())) == want
+    assert [s for s in fuzzy_lines.slices(raw)] == [(0, 5)]
+
+
+@pytest.mark.parametrize("size", [2048, 40])
+def test_a_crowded_template(spark, monkeypatch, size):
+    """Hundreds of lines of one template: near copies of a few, and lines that only share a beginning."""
+    from lotledger.llm import fuzzy_lines
+
+    monkeypatch.setattr(fuzzy_lines, "SLICE", size)
+    rng = random.Random(12)
+    head = "this notice stands in front of every single line of the table and says nothing at all: "
+    tails = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=120)) for _ in range(300)]
+    lines = [head + t for t in tails] + [head + t[:-4] + "wxyz" for t in tails[:150]]
+    rng.shuffle(lines)
+    rows = [(i, "\n".join(lines[3 * i: 3 * i + 3])) for i in range(len(lines) // 3)]
+    out = {r["doc_id"]: r["text"] for r in fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    kept = [x for i in range(len(rows)) for x in out[i].split("\n") if x]
+    raw = [x.encode() for x in lines]
+    sets = line_sets(raw)
+    true = [(i, j) for i, j in itertools.combinations(range(len(raw)), 2) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    root = joined(true, len(raw))
+    assert kept == [x for i, x in enumerate(lines) if root[i] == i]

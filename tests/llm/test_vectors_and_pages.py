@@ -248,7 +248,7 @@ def plain(value):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "labels"):
         con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
