@@ -17,7 +17,7 @@ from .common import free_name
 
 MARK = "▁"
 UNITS = re.compile(r" *[^ ]+| +$")
-CACHE = 400_000
+CACHE = 1_200_000  # units a task keeps, some 100 MB
 SEED = 0xCBF29CE484222325
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -122,18 +122,23 @@ class Encoder:
         self.vocabulary, self.n = vocabulary, n
         self.cache: dict[str, tuple[float, float, tuple[int, ...]]] = {}
         self.lists: dict[str, list[Segmentation]] = {}
+        self.known = Known(self)
         names = list(vocabulary.pieces)
         keys = np.array([self._key(name) for name in names], dtype=np.uint64)
         order = np.argsort(keys)
         self.keys = keys[order]
         self.ids_of = np.array([vocabulary.pieces[names[i]][0] for i in order], dtype=np.int64)
         self.scores = np.array([vocabulary.pieces[names[i]][1] for i in order])
-        self.known = np.zeros(1 << 20, dtype=bool)
-        self.known[self.keys >> np.uint64(44)] = True
-        # Whether a longer piece may begin so.
-        self.begun = np.zeros(1 << 20, dtype=bool)
+        # By the first 20 bits of a hash: whether a piece may have it (1), whether a longer
+        # piece may begin so (2), and where the pieces' hashes of this beginning are.
+        self.says = np.zeros(1 << 20, dtype=np.uint8)
+        slots = (self.keys >> np.uint64(44)).astype(np.int64)
+        self.says[slots] |= 1
         heads = {name[:k] for name in names for k in range(1, len(name))}
-        self.begun[np.array([self._key(head) for head in heads], dtype=np.uint64) >> np.uint64(44)] = True
+        self.says[(np.array([self._key(head) for head in heads], dtype=np.uint64) >> np.uint64(44)).astype(np.int64)] |= 2
+        self.first = np.searchsorted(slots, np.arange(1 << 20)).astype(np.int32)
+        self.most = int(np.bincount(slots).max())
+        self.keys = np.append(self.keys, np.zeros(self.most, dtype=np.uint64))
 
     @staticmethod
     def _key(name: str) -> int:
@@ -173,14 +178,17 @@ class Encoder:
             alive, h = every, np.full(many, SEED, dtype=np.uint64)
             for end in range(start + 1, min(size, start + self.vocabulary.longest) + 1):
                 h = (h ^ codes[end - 1][alive]) * np.uint64(MULTIPLIER)
-                slot = h >> np.uint64(44)
-                near = np.flatnonzero(self.known[slot])
-                place = np.searchsorted(self.keys, h[near])
-                place[place == len(self.keys)] = 0
-                ok = self.keys[place] == h[near]
+                slot = (h >> np.uint64(44)).view(np.int64)
+                says = self.says[slot]
+                near = np.flatnonzero(says & 1)
+                mine, place = h[near], self.first[slot[near]]
+                ok = self.keys[place] == mine
+                for _ in range(1, self.most):  # few slots hold more than one piece
+                    place += ~ok
+                    ok = self.keys[place] == mine
                 at, place = alive[near[ok]], place[ok]
                 piece, score = self.ids_of[place], self.scores[place]
-                more = self.begun[slot]
+                more = np.flatnonzero(says & 2)
                 alive, h = alive[more], h[more]
                 if end == start + 1 and len(at) < many:
                     other = np.delete(every, at)
@@ -261,6 +269,116 @@ class Encoder:
                 count += 1
         return ids, choices
 
+    def choices(self, top: float, lists: list[list[Segmentation]]) -> list[tuple[float, list[int]]]:
+        """The ``n`` best choices of a rank per list, as (score of the text, ranks).
+
+        ``top`` is the score with the first of every list.
+        """
+        found, agenda, count = [], [(-top, 0, [])], 1
+        while agenda and len(found) < self.n:
+            score, _, ranks = heapq.heappop(agenda)
+            if len(ranks) == len(lists):
+                found.append((-score, ranks))
+                continue
+            here = lists[len(ranks)]
+            for rank, (s, _) in enumerate(here):
+                heapq.heappush(agenda, (score + here[0][0] - s, count, [*ranks, rank]))
+                count += 1
+        return found
+
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_ODD2 = np.uint64(0xD1B54A32D192ED03)
+
+
+class Units:
+    """Units of many texts: blank-led words, a blank being put before every text.
+
+    ``number`` per unit tells equal units, ``key`` and ``shown`` are the hash and one place of
+    each distinct one, ``bounds`` where each text's units begin. A unit begins where a run
+    of blanks does. Units are told apart by length and a 64-bit hash made of two, taken from
+    sums over all texts at once, so that only new ones ever become strings.
+    """
+
+    def __init__(self, texts: list[str]):
+        self.whole = "".join(" " + t for t in texts)
+        codes = np.frombuffer(self.whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        first = np.zeros(len(texts) + 1, dtype=np.int64)
+        np.cumsum([len(t) + 1 for t in texts], out=first[1:])
+        blank = codes == 32
+        begins = blank.copy()
+        begins[1:] &= ~blank[:-1]
+        begins[first[:-1]] = True  # also where the text before ends in a blank
+        self.starts = np.flatnonzero(begins)
+        self.sizes = np.diff(np.append(self.starts, len(codes)))
+        # A code times a power of its place in the unit: a hash does not depend on where it stands.
+        within = np.arange(len(codes)) - np.repeat(self.starts, self.sizes)
+        wide, longest = codes.astype(np.uint64) + np.uint64(1), int(self.sizes.max())
+        a, b = (
+            np.add.reduceat(wide * np.cumprod(np.full(longest, odd, dtype=np.uint64), dtype=np.uint64)[within], self.starts)
+            for odd in (_ODD, _ODD2)
+        )
+        b ^= b >> np.uint64(32)
+        key = a ^ (b * _ODD) ^ (self.sizes.astype(np.uint64) * _ODD2)
+        self.key, self.shown, self.number = np.unique(key, return_index=True, return_inverse=True)
+        self.bounds = np.searchsorted(self.starts, first)
+
+    def text(self, place: int) -> str:
+        start = int(self.starts[place])
+        return self.whole[start: start + int(self.sizes[place])]
+
+
+class Known:
+    """Best segmentations of the units met so far, as columns that grow."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[int, int] = {}
+        self.columns = {
+            "score": np.zeros(1024), "gap": np.zeros(1024), "begin": np.zeros(1024, dtype=np.int64),
+            "size": np.zeros(1024, dtype=np.int64), "exact": np.zeros(1024, dtype=bool),
+        }
+        self.pool, self.used = np.zeros(4096, dtype=np.int32), 0
+
+    @staticmethod
+    def _grown(column: np.ndarray, size: int) -> np.ndarray:
+        return column if size <= len(column) else np.concatenate([column, np.zeros(max(size, len(column)), column.dtype)])
+
+    def rows(self, units: Units) -> np.ndarray:
+        """The row of each distinct unit; new ones are segmented."""
+        if len(self.place) + len(units.key) > CACHE:
+            self.clear()
+        keys = units.key.tolist()
+        rows = np.fromiter((self.place.get(k, -1) for k in keys), dtype=np.int64, count=len(keys))
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            names = [units.text(units.shown[i]) for i in new.tolist()]
+            self.encoder.prepare(set(names))
+            made = [self.encoder.cache.pop(n) for n in names]
+            rows[new] = np.arange(len(self.place), len(self.place) + len(new))
+            self.add([keys[i] for i in new.tolist()], names, made)
+        return rows
+
+    def add(self, keys: list[int], names: list[str], made: list[tuple[float, float, tuple[int, ...]]]) -> None:
+        first, end = len(self.place), len(self.place) + len(keys)
+        self.place.update(zip(keys, range(first, end)))
+        self.columns = {n: self._grown(c, end) for n, c in self.columns.items()}
+        scores, gaps, ids = zip(*made)
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        total = int(sizes.sum())
+        self.pool = self._grown(self.pool, self.used + total)
+        self.pool[self.used: self.used + total] = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=total)
+        spelled = list(map(self.encoder.vocabulary.bytes_of.__getitem__, chain.from_iterable(ids)))
+        joined, at, ends = b"".join(spelled), np.append(0, np.cumsum(list(map(len, spelled)))), np.cumsum(sizes)
+        begins, stops = at[ends - sizes].tolist(), at[ends].tolist()
+        exact = [joined[a:b] == n.encode("utf-8", "surrogatepass") for a, b, n in zip(begins, stops, names)]
+        for name, values in (("score", scores), ("gap", gaps), ("begin", self.used + ends - sizes), ("size", sizes), ("exact", exact)):
+            self.columns[name][first:end] = values
+        self.used += total
+
 
 def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
     """The text of ids; the blank before the first word is not part of it."""
@@ -272,13 +390,14 @@ def encode(
     docs: DataFrame, vocabulary: Vocabulary, n: int = 4, text: str = "text",
     keep: list[str] | None = None, all_ids: bool = False,
 ) -> DataFrame:
-    """``keep...`` (default doc_id) and ids, nbest_scores, nbest_pieces, round_trip per row.
+    """``keep...`` (default doc_id) and ids, nbest_scores, nbest_pieces, nbest_changes,
+    round_trip per row.
 
     ``ids`` is the best segmentation of the whole text, ``nbest_scores`` and
     ``nbest_pieces`` the scores and lengths of the ``n`` best (fewer where the text has
-    fewer), best first; ``round_trip`` says that decoding gives the text back. With
-    ``all_ids`` a column nbest_ids holds the segmentations themselves. Scores are sums of
-    the vocabulary's piece scores.
+    fewer), best first. ``nbest_changes`` says what each of them changes: ``length`` ids from
+    ``at`` on become others; with ``all_ids`` a column nbest_ids has them put in. ``round_trip`` says that the ids'
+    bytes are the text's. Scores are sums of the vocabulary's piece scores.
 
     Null text gives nulls, empty text no ids and one segmentation of score 0. A word mark
     in the text is spelled in bytes, so the round trip is exact for any text. Ties are
@@ -288,49 +407,114 @@ def encode(
     keep = ["doc_id"] if keep is None else keep
     source = free_name(docs, "encoded_text")
     rows = docs.select(*keep, docs[text].alias(source))
+    change = pa.struct([("at", pa.int32()), ("length", pa.int32()), ("ids", pa.list_(pa.int32()))])
     types = pa.schema([
         ("ids", pa.list_(pa.int32())), ("nbest_scores", pa.list_(pa.float64())),
-        ("nbest_pieces", pa.list_(pa.int32())), ("round_trip", pa.bool_()),
-        *([("nbest_ids", pa.list_(pa.list_(pa.int32())))] if all_ids else []),
+        ("nbest_pieces", pa.list_(pa.int32())), ("nbest_changes", pa.list_(pa.list_(change))),
+        ("round_trip", pa.bool_()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, n)
-
-        def one(value: str | None, units: list[str]):
-            if value is None:
-                return [None] * len(types)
-            best, choices = encoder.nbest(units)
-            ids = list(chain.from_iterable(best))
-            sizes = [
-                len(ids) + sum(len(other) - len(best[i]) for i, other in taken.items())
-                for _, taken in choices
-            ]
-            out = [ids, [s for s, _ in choices], sizes, decode_ids(ids, vocabulary) == value]
-            return [*out, [
-                list(chain.from_iterable(taken.get(i, x) for i, x in enumerate(best))) for _, taken in choices
-            ]] if all_ids else out
-
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                texts = part.column(len(keep)).to_pylist()
-                units = [UNITS.findall(" " + t) if t else [] for t in texts]
-                encoder.prepare(set(chain.from_iterable(units)))
-                made = list(zip(*map(one, texts, units)))
-                arrays = [pa.array(c, f.type) for c, f in zip(made, types)]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[: len(keep)], *arrays], [*keep, *types.names]
-                )
+                made = encode_texts(encoder, part.column(len(keep)).to_pylist(), types)
+                names = [*keep, *types.names]
+                if all_ids:
+                    names.append("nbest_ids")
+                    made.append(pa.array([
+                        None if x is None else nbest_ids(x, c) for x, c in zip(made[0].to_pylist(), made[3].to_pylist())
+                    ], pa.list_(pa.list_(pa.int32()))))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *made], names)
 
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
-        + ["ids array<int>", "nbest_scores array<double>", "nbest_pieces array<int>", "round_trip boolean"]
+        + ["ids array<int>", "nbest_scores array<double>", "nbest_pieces array<int>",
+           "nbest_changes array<array<struct<at: int, length: int, ids: array<int>>>>", "round_trip boolean"]
         + (["nbest_ids array<array<int>>"] if all_ids else [])
     )
     return rows.mapInArrow(run, schema)
 
 
+def encode_texts(encoder: Encoder, texts: list[str | None], types: pa.Schema) -> list[pa.Array]:
+    """The columns of ``encode`` for some texts.
+
+    Each distinct unit is looked up once; ids, sums and offsets of the texts are put together
+    from the units' numbers as arrays. Only the few units of a text that can vary are looked
+    at one by one.
+    """
+    there = [t for t in texts if t]
+    results: list = [None if t is None else ([0.0], [0], [[]], True) for t in texts]
+    offsets = np.zeros(len(texts) + 1, dtype=np.int32)
+    flat = np.zeros(0, dtype=np.int32)
+    if there:
+        units, known, few = Units(there), encoder.known, encoder.n - 1
+        rows = known.rows(units)[units.number]
+        gaps, bounds = known.columns["gap"][rows], units.bounds
+        varying: list[np.ndarray] = []
+        for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            own = gaps[begin:end]
+            if few and len(own) > few:
+                near = np.partition(own, few - 1)[few - 1]
+                below = np.flatnonzero(own < near)
+                level = np.flatnonzero(own == near)[: few - len(below)] if np.isfinite(near) else below[:0]
+                places = np.sort(np.concatenate([below, level]))
+            else:
+                places = np.flatnonzero(np.isfinite(own))[: few]
+            varying.append(places + begin)
+        lists = {p: encoder.unit_nbest(units.text(p)) for p in np.concatenate(varying).tolist()}
+        begins, lengths = known.columns["begin"][rows], known.columns["size"][rows]
+        # Where a unit can vary it shows the first of its own list, which may tie with the
+        # path over arrays: then these ids stand behind the pool, for this place only.
+        pool, behind = known.pool, []
+        for p, segs in lists.items():
+            first = segs[0][1]
+            if len(first) != lengths[p] or (pool[begins[p]: begins[p] + lengths[p]] != first).any():
+                begins[p], lengths[p] = len(pool) + len(behind), len(first)
+                behind += first
+        pool = np.append(pool, np.array(behind, dtype=np.int32)) if behind else pool
+        ends = np.cumsum(lengths)
+        unit_at = ends - lengths
+        flat = pool[np.repeat(begins - unit_at, lengths) + np.arange(int(ends[-1]))]
+        sums = np.add.reduceat(known.columns["score"][rows], bounds[:-1])
+        exact = np.logical_and.reduceat(known.columns["exact"][rows], bounds[:-1])
+        text_ends = ends[bounds[1:] - 1]
+        row = -1
+        for i, text in enumerate(texts):
+            offsets[i + 1] = offsets[i]
+            if not text:
+                continue
+            row += 1
+            first = int(unit_at[bounds[row]])
+            total = int(text_ends[row]) - first
+            offsets[i + 1] += total
+            places = varying[row].tolist()
+            own = [lists[p] for p in places]
+            best = encoder.choices(float(sums[row]), own)
+            changes = [[
+                {"at": int(unit_at[p]) - first, "length": int(lengths[p]), "ids": segs[r][1]}
+                for p, segs, r in zip(places, own, ranks) if r
+            ] for _, ranks in best]
+            pieces = [total + sum(len(c["ids"]) - c["length"] for c in change) for change in changes]
+            results[i] = [s for s, _ in best], pieces, changes, bool(exact[row])
+    none = np.array([t is None for t in texts])
+    listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat), mask=pa.array(none) if none.any() else None)
+    columns = list(zip(*(r if r is not None else (None,) * 4 for r in results))) if texts else [[]] * 4
+    return [listed, *[pa.array(list(c), f.type) for c, f in zip(columns, list(types)[1:])]]
+
+
+def nbest_ids(ids: list[int], changes: list[list]) -> list[list[int]]:
+    """The segmentations themselves: ``ids`` with the changes of each of the n best."""
+    out = []
+    for change in changes:
+        made = list(ids)
+        for c in sorted(change, key=lambda c: -c["at"]):
+            made[c["at"]: c["at"] + c["length"]] = c["ids"]
+        out.append(made)
+    return out
+
+
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """``keep...`` (default doc_id) and ``text``: the inverse of ``encode``; null ids give null."""
     keep = ["doc_id"] if keep is None else keep

@@ -447,3 +447,41 @@ def test_a_crowded_template(spark, monkeypatch, size):
     true = [(i, j) for i, j in itertools.combinations(range(len(raw)), 2) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
     root = joined(true, len(raw))
     assert kept == [x for i, x in enumerate(lines) if root[i] == i]
+
+
+# --- pieces: units by number -----------------------------------------------------------
+
+def test_units_are_numbered_as_they_are_cut(vocabulary):
+    from lotledger.llm import nbest_pieces as NP
+
+    rng = random.Random(13)
+    texts = ["a", " a", "  a b  ", " ", "   ", "x\ny  z", "the the The", "\U0001f600 é ▁", "tail ", "a" * 300]
+    texts += ["".join(rng.choices(" ab", k=rng.randint(1, 40))) for _ in range(200)]
+    units = NP.Units(texts)
+    cut = [NP.UNITS.findall(" " + t) for t in texts]
+    for k, want in enumerate(cut):
+        places = range(units.bounds[k], units.bounds[k + 1])
+        assert [units.text(p) for p in places] == want
+        assert [units.text(units.shown[units.number[p]]) for p in places] == want
+    assert len(units.key) == len({u for c in cut for u in c})
+
+
+def test_changes_give_the_segmentations(spark, vocabulary, monkeypatch):
+    from lotledger.llm import nbest_pieces as NP
+
+    monkeypatch.setattr(NP, "CACHE", 50)  # known units are forgotten on the way
+    texts = ["the inning of the thing", "üben wir es", "", "a  b", "the inning of the thing", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = NP.encode(df, vocabulary, n=4).orderBy("doc_id").collect()
+    assert rows[0][1:] == rows[4][1:] and rows[5]["nbest_changes"] is None
+    encoder = NP.Encoder(vocabulary, 4)
+    for r, text in zip(rows, texts):
+        if not text:
+            continue
+        found = NP.nbest_ids(r["ids"], [[c.asDict() for c in change] for change in r["nbest_changes"]])
+        assert found[0] == r["ids"] and len({tuple(x) for x in found}) == len(found)
+        assert all(NP.decode_ids(x, vocabulary) == text for x in found)
+        assert [len(x) for x in found] == r["nbest_pieces"]
+        cut = NP.UNITS.findall(" " + text)
+        encoder.prepare(set(cut))
+        assert [round(s, 9) for s, _ in encoder.nbest(cut)[1]] == [round(s, 9) for s in r["nbest_scores"]]
