@@ -22,7 +22,7 @@ WORDS = 5
 NUM, DEN = 4, 5
 SKETCH_BITS = 18
 SLICES = 64
-SIGNATURE = 1024
+SIGNATURE, WIDEST = 1024, 1 << 15
 FAN = 8
 BLOCK = 1024
 CROWD = FAN
@@ -80,11 +80,43 @@ def prefix_length(n: int) -> int:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    bits = np.zeros(SIGNATURE, dtype=bool)
-    bits[(shingles >> np.uint64(40)) % np.uint64(SIGNATURE)] = True
+    """A bitmap of four bits or more a shingle, within ``SIGNATURE`` and ``WIDEST`` bits."""
+    size = min(WIDEST, max(SIGNATURE, 1 << (4 * len(shingles) - 1).bit_length()))
+    bits = np.zeros(size, dtype=bool)
+    bits[(shingles >> np.uint64(40)) % np.uint64(size)] = True
     return np.packbits(bits)
 
 
+def folded(bitmaps: list[bytes], size: int) -> np.ndarray:
+    """Bitmaps of ``size`` bits or more as rows of exactly so many, in 64-bit words.
+
+    A place of a wide bitmap is the place in a narrower one times a power of two apart, so
+    folding a bitmap over itself gives the narrow bitmap of the same set.
+    """
+    out = np.empty((len(bitmaps), size // 64), dtype=np.uint64)
+    for i, raw in enumerate(bitmaps):
+        words = np.frombuffer(raw, dtype=np.uint64).reshape(-1, size // 64)
+        out[i] = words[0] if len(words) == 1 else np.bitwise_or.reduce(words, axis=0)
+    return out
+
+
+def wide_enough(n: np.ndarray, bitmaps: list[bytes], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs (x, y) of sets their whole bitmaps leave room for a link."""
+    sizes = np.array([8 * len(b) for b in bitmaps])
+    ok = np.ones(len(x), dtype=bool)
+    narrow = np.minimum(sizes[x], sizes[y])
+    for size in np.unique(narrow[narrow > SIGNATURE]).tolist():
+        here = np.flatnonzero(narrow == size)
+        for at in range(0, len(here), 4096):
+            part = here[at: at + 4096]
+            used, place = np.unique(np.concatenate([x[part], y[part]]), return_inverse=True)
+            bits = folded([bitmaps[i] for i in used.tolist()], size)
+            slack = n[used] - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+            node = (n[used], n[used], slack, bits, np.full(len(used), -1))
+            ok[part] = may_link(node, place[: len(part)], node, place[len(part):])
+    return ok
+
+
 def shingle_counts(docs: DataFrame) -> np.ndarray:
     """How many shingles of all texts fall into each of 2^18 slots.
 
@@ -299,13 +331,14 @@ def signed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             count = batch.num_rows
             if not count:
                 continue
-            nodes = []
-            for n, bits in (("n_a", "bits_a"), ("n_b", "bits_b")):
-                n = batch.column(n).to_numpy()
-                bits = np.frombuffer(b"".join(batch.column(bits).to_pylist()), dtype=np.uint64).reshape(count, -1)
-                slack = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
-                nodes.append((n, n, slack, bits, np.full(count, -1)))
-            ok = may_link(nodes[0], np.arange(count), nodes[1], np.arange(count))
+            n = np.concatenate([batch.column(c).to_numpy() for c in ("n_a", "n_b")])
+            bitmaps = [b for c in ("bits_a", "bits_b") for b in batch.column(c).to_pylist()]
+            bits, every = folded(bitmaps, SIGNATURE), np.arange(count)
+            slack = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+            node = (n, n, slack, bits, np.full(2 * count, -1))
+            ok = may_link(node, every, node, every + count)
+            left = np.flatnonzero(ok)
+            ok[left] = wide_enough(n, bitmaps, left, left + count)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(batch.column(c).to_numpy()[ok]) for c in ("a", "b")], ["a", "b"]
             )
@@ -357,7 +390,8 @@ def tree_pairs(members: DataFrame) -> DataFrame:
     def pairs_of(table: pa.Table, change: np.ndarray) -> np.ndarray:
         fp, n, own, group = (table.column(c).to_numpy() for c in ("fp", "n", "own", "component"))
         i_, j_ = table.column("i").to_numpy(), table.column("j").to_numpy()
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), dtype=np.uint64).reshape(len(fp), -1)
+        bitmaps = table.column("bits").to_pylist()
+        bits = folded(bitmaps, SIGNATURE)
         starts, ends = np.append(0, change).astype(np.int64), np.append(change, len(fp)).astype(np.int64)
         leaf = (ends - starts <= FAN) & (i_[starts] == j_[starts])
         slack = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
@@ -367,7 +401,7 @@ def tree_pairs(members: DataFrame) -> DataFrame:
             first = starts[leaf & (ends - starts == size)][:, None]
             x, y = (first + x).ravel(), (first + y).ravel()
             ok = may_link(level, x, level, y)
-            found.append(np.stack([fp[x[ok]], fp[y[ok]]], axis=1))
+            found.append(np.stack([x[ok], y[ok]], axis=1))
         for start, end in zip(starts[~leaf], ends[~leaf]):
             rows = np.arange(start, end)
             itself = i_[start] == j_[start]
@@ -377,8 +411,9 @@ def tree_pairs(members: DataFrame) -> DataFrame:
                 continue
             trees = [Tree(n[s], bits[s], group[s]) for s in sides]
             x, y = traverse(trees[0], trees[-1], itself)
-            found.append(np.stack([fp[sides[0][x]], fp[sides[-1][y]]], axis=1))
+            found.append(np.stack([sides[0][x], sides[-1][y]], axis=1))
         pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+        pairs = fp[pairs[wide_enough(n, bitmaps, pairs[:, 0], pairs[:, 1])]]
         return np.unique(np.sort(pairs, axis=1), axis=0)
 
     return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(

@@ -342,7 +342,7 @@ def test_two_unrelated_slices_give_no_pair():
     def tree(sizes, seed):
         rng = np.random.default_rng(seed)
         sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.int64).astype(np.uint64)) for n in sizes]
-        bits = np.stack([np.frombuffer(jaccard_join.signature(s).tobytes(), dtype=np.uint64) for s in sets])
+        bits = jaccard_join.folded([jaccard_join.signature(s).tobytes() for s in sets], jaccard_join.SIGNATURE)
         return jaccard_join.Tree(np.array([len(s) for s in sets]), bits, np.arange(len(sets)) + 1000 * seed)
 
     for a, b in (([30] * 20, [300] * 20), ([300] * 20, [30] * 3), ([30], [300])):
@@ -350,6 +350,32 @@ def test_two_unrelated_slices_give_no_pair():
         assert len(i) == len(j) == 0
 
 
+def test_wide_bitmaps_lose_no_link_and_fold():
+    from lotledger.llm import jaccard_join
+
+    rng = np.random.default_rng(3)
+    sets = []
+    for n in (5, 200, 300, 600, 1100, 3000, 9000, 20_000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.int64).astype(np.uint64)
+        for keep in (1.0, 0.97, 0.95, 0.9, 0.5, 0.1):
+            more = rng.integers(0, 1 << 63, n - int(keep * n), dtype=np.int64).astype(np.uint64)
+            sets.append(np.unique(np.concatenate([base[: int(keep * n)], more])))
+    n, bitmaps = np.array([len(s) for s in sets]), [jaccard_join.signature(s).tobytes() for s in sets]
+    for size in (1024, 2048):
+        for s, raw in zip(sets, bitmaps):
+            if 8 * len(raw) >= size:
+                want = np.zeros(size, dtype=bool)
+                want[(s >> np.uint64(40)) % np.uint64(size)] = True
+                assert jaccard_join.folded([raw], size).tobytes() == np.packbits(want).tobytes()
+    x, y = np.triu_indices(len(sets), 1)
+    ok = jaccard_join.wide_enough(n, bitmaps, x, y)
+    both = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(x, y)])
+    links = 5 * both >= 4 * (n[x] + n[y] - both)
+    assert ok[links].all() and links.sum() > 20
+    unlike = (10 * both < 6 * np.minimum(n[x], n[y])) & (np.minimum(n[x], n[y]) > 500)
+    assert not ok[unlike].any() and unlike.sum() > 50
+
+
 # --- mended: vectors of several lengths, and components whose squares overflow --------------
 
 VECTORS = "vec_id long, embedding array<double>"
