@@ -298,16 +298,19 @@ def run_inventory(
 
 # --- the worker's job -----------------------------------------------------------------
 
-def captured_job(spark: SparkSession, captures: str, now: Column, run_year: int = 2024) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
+def captured_job(
+    spark: SparkSession, captures: str, now: Column, run_year: int = 2024, parts: int = 256
+) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
     """The job of a message worker: the cascade over the captures of a batch's dealers.
 
-    ``captures`` is a folder of ``write_by_dealer``: a batch reads the parts of its dealers.
+    ``captures`` is a folder of ``write_by_dealer`` with so many ``parts``: a batch reads those
+    of its dealers.
     """
 
     def job(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
         targets = messages.groupBy("run_id", "url").agg(F.max("platform").alias("platform"))
         good = FR.valid_seeds(targets).withColumnRenamed("url", "dealer_url")
-        vehicles, layers = run_cascade(spark, good, of_dealers(spark, captures, good), run_year=run_year)
+        vehicles, layers = run_cascade(spark, good, of_dealers(spark, captures, good, parts), run_year=run_year)
         results = K.result_rows(layers).unionByName(K.invalid_seed_rows(targets))
         return results.withColumn("ord", F.lit(0)), as_batch(vehicles, now)
 

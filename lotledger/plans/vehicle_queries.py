@@ -15,6 +15,8 @@ from ..operators import normalize as N
 from ..operators import reports as R
 from ..operators.rows import settle
 from ..session import work_folder
+from ..sources import captures as SC
+from ..streaming import worker as W
 from . import inventory_run as IR
 from . import rendering as R8
 from .page_queries import FINGER, marked
@@ -568,3 +570,40 @@ def e2e(spark, sf):
     return _run_twice(spark, sf)["results"].select(
         "run_id", "url", "strategy_used", "status", "vehicles_found", "vehicles_new", "vehicles_updated", "reason", "strategies_tried",
     )
+
+
+# --- the message worker over captures ---------------------------------------------------
+WORKED_SQL = FV + """, n as (select *, cast(substr(dealer_url, 10, position('.' in dealer_url) - 10) as int) % 12 as kind from f),
+  v as (select dealer_url, kind, case when kind = 4 or kind in (0, 1, 9) and id % 5 = 0 then null else vin end as vin, id from n
+    where case when kind between 7 and 8 then page_ord = 0 when kind = 5 then page_ord <= 1 else kind < 10 end)"""
+_USED = f"list_value('{"','".join(LABELS)}', 'api', 'embedded', 'navigate')[kind + 1]"
+
+
+@query("t3_captured_vehicles", WORKED_SQL + f""" select dealer_url, {_USED} as source_strategy, count(*) as vehicles, count(vin) as with_vin,
+  cast(count(*) as int) as vehicles_new, 0 as vehicles_updated, 'finished' as run_status from v group by dealer_url, kind""")
+def t3c(spark, sf):
+    """Messages of all dealers in three batches; a batch reads the captures of its dealers,
+    and what it finds goes to the worker's tables."""
+    root = work_folder(spark, "worked")
+    SC.write_by_dealer(R8.stored(_mixed_captures(spark, sf)), f"{root}/captures", 16)
+    now = F.to_timestamp(F.lit("2024-02-01 00:00:00"))
+    worker = W.InventoryWorker(spark, f"{root}/tables", IR.captured_job(spark, f"{root}/captures", now, parts=16), now)
+    dealers = R8.vehicles(spark, sf).select("dealer_url").distinct()
+    label = F.get(F.array(*[F.lit(x) for x in LABELS]), _kind())
+    total = dealers.count()
+    number = F.regexp_extract("dealer_url", r"d(\d+)\.", 1).cast("int")
+    for part in range(3):
+        messages = dealers.filter(number % 3 == part).select(F.to_json(F.struct(
+            F.lit("run-1").alias("runId"), F.col("dealer_url").alias("url"), label.alias("platform"), F.lit(total).alias("totalUrls"),
+        )).alias("value"))
+        messages.write.mode("append").text(f"{root}/messages")
+        worker.run_available(spark.readStream.text(f"{root}/messages"), f"{root}/checkpoint")
+    ledger = worker.ledger.read().select("dealer_id", "vehicles_new", "vehicles_updated", "run_id")
+    run = worker.runs.read().select(F.col("id").alias("run_id"), F.col("status").alias("run_status"))
+    found = worker.vehicles.read().groupBy("dealer_id", "source_strategy").agg(
+        F.count("*").alias("vehicles"), F.count("vin").alias("with_vin")
+    )
+    named = worker.dealers.read().select(F.col("id").alias("dealer_id"), F.col("base_url").alias("dealer_url"))
+    return found.join(ledger, "dealer_id").join(run, "run_id").join(named, "dealer_id").select(
+        "dealer_url", "source_strategy", "vehicles", "with_vin", "vehicles_new", "vehicles_updated", "run_status"
+    )

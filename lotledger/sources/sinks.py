@@ -31,8 +31,8 @@ def write_vendor_tally(df: DataFrame, path: str) -> None:
 
 # --- versioned snapshots -------------------------------------------------------------
 
-def committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
-    """Numbers of the committed ``<prefix>=<n>`` folders."""
+def committed(spark: SparkSession, root: str, prefix: str, begun: bool = False) -> list[int]:
+    """Numbers of the committed ``<prefix>=<n>`` folders, or of all that were ``begun``."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
@@ -41,15 +41,15 @@ def committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
     done = spark._jvm.org.apache.hadoop.fs.Path
     return sorted(
         int(n.split("=")[1]) for n in names
-        if n.startswith(prefix + "=") and fs.exists(done(f"{root}/{n}/_SUCCESS"))
+        if n.startswith(prefix + "=") and (begun or fs.exists(done(f"{root}/{n}/_SUCCESS")))
     )
 
 
 def write_snapshot(df: DataFrame, root: str) -> int:
-    """Write the next version. A version counts once its commit marker is there, and
-    no path that is being read is ever overwritten."""
-    version = max(committed(df.sparkSession, root, "v"), default=0) + 1
-    df.write.mode("overwrite").parquet(f"{root}/v={version}")
+    """Write the next version. A version counts once its commit marker is there. No folder is
+    ever overwritten: of two writers that take the same number, the later one fails."""
+    version = max(committed(df.sparkSession, root, "v", begun=True), default=0) + 1
+    df.write.mode("errorifexists").parquet(f"{root}/v={version}")
     return version
 
 

@@ -170,3 +170,13 @@ def test_a_run_tells_what_was_tried(spark, tmp_path):
     run = tables["runs"].first()
     assert (run["total_urls"], run["urls_ok"], run["urls_failed"], run["status"]) == (4, 3, 1, "finished")
     assert {r["base_url"]: r["platform"] for r in tables["dealers"].collect()}["https://xhr.com"] == "OverFuel"
+
+
+def test_a_version_is_written_once(spark, tmp_path):
+    from lotledger.sources import sinks as SK
+
+    root = str(tmp_path / "table")
+    assert SK.write_snapshot(spark.range(3), root) == 1
+    (tmp_path / "table" / "v=2").mkdir()  # another writer has begun
+    assert SK.write_snapshot(spark.range(4), root) == 3
+    assert SK.read_snapshot(spark, root).count() == 4
