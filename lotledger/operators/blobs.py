@@ -32,23 +32,28 @@ def _is_json(text: str) -> bool:
         return False
 
 
-def _balanced(text: str, start: int) -> str | None:
-    opening = text[start]
-    closing = "}" if opening == "{" else "]"
-    depth, quoted = 0, False
-    for token in _TOKEN.finditer(text, start):
-        mark = token.group()
-        if mark == '"':
-            quoted = not quoted
-        elif quoted or len(mark) > 1:
-            continue
-        elif mark == opening:
-            depth += 1
-        elif mark == closing:
-            depth -= 1
-            if depth == 0:
-                return text[start:token.end()]
-    return None
+def _closings(text: str) -> dict[int, int]:
+    """Where the literal of every opening bracket ends; brackets that never close are left out.
+
+    Two passes over the text: one for the brackets outside of strings as they are counted from
+    the start, one for those the count takes to be inside, since a literal begins outside.
+    """
+    ends: dict[int, int] = {}
+    for inside in (False, True):
+        quoted = inside
+        opened: dict[str, list[int]] = {"}": [], "]": []}
+        for token in _TOKEN.finditer(text):
+            mark = token.group()
+            if mark == '"':
+                quoted = not quoted
+            elif quoted or len(mark) > 1:
+                continue
+            elif mark in opened:
+                if opened[mark]:
+                    ends[opened[mark].pop()] = token.end()
+            else:
+                opened["}" if mark == "{" else "]"].append(token.start())
+    return ends
 
 
 def json_literals(text: str | None, most: int | None = None) -> list[str]:
@@ -59,16 +64,19 @@ def json_literals(text: str | None, most: int | None = None) -> list[str]:
     if whole[:1] in "{[" and _is_json(whole):
         return [whole]
     found: list[str] = []
+    ends: dict[int, int] | None = None
     closed = 0  # what lies inside a literal that is taken is not looked at again
     for match in _ASSIGNED.finditer(text):
         if most is not None and len(found) >= most:
             break
         if match.end() <= closed:
             continue
-        literal = _balanced(text, match.end() - 1)
-        if literal and _is_json(literal):
-            found.append(literal)
-            closed = match.end() - 1 + len(literal)
+        if ends is None:
+            ends = _closings(text)
+        start = match.end() - 1
+        if start in ends and _is_json(text[start: ends[start]]):
+            found.append(text[start: ends[start]])
+            closed = ends[start]
     return found
 
 

@@ -470,6 +470,24 @@ def n10(spark, sf):
     return N.normalize_many(twice, ["dealer_url"], ["ord"]).select("dealer_url", "id")
 
 
+@query("j7_any_depth", FV + " select dealer_url, vin, stock from f")
+def j7b(spark, sf):
+    """Arrays ten levels further down than the rules look, found without a depth."""
+    deep = F.concat(F.repeat(F.lit('{"in":'), 10), "body", F.repeat(F.lit("}"), 10))
+    pages = R8.json_pages(spark, sf).withColumn("body", deep)
+    raw = JM.response_records(pages, ["dealer_url"], None).select("dealer_url", F.try_parse_json("raw").alias("v"))
+    return raw.select("dealer_url", F.try_variant_get("v", "$.vin", "string").alias("vin"), F.try_variant_get("v", "$.stockNumber", "string").alias("stock"))
+
+
+@query("n8_any_level", FV + " select id, vin, make, model, yr as year, cast(null as varchar) as by_rule from f")
+def n8b(spark, sf):
+    """Members eight levels down: read without a number of levels, out of the rules' reach."""
+    deep = F.expr("""repeat('{"in":', 7) || to_json(named_struct('vin', vin, 'make', make, 'model', model, 'year', yr)) || repeat('}', 7)""")
+    rows = R8.vehicles(spark, sf).select("id", F.col("dealer_url").alias("origin"), deep.alias("raw"))
+    all_ = N.normalize_vehicles(rows, levels=None).select("id", "vin", "make", "model", "year")
+    return all_.join(N.normalize_vehicles(rows).select("id", F.col("vin").alias("by_rule")), "id")
+
+
 @query("n11_vehicle_cap", "select o_orderstatus as dealer, o_orderkey as id from (select *, row_number() over (partition by o_orderstatus order by o_orderkey) r from orders) where r <= 2000")
 def n11(spark, sf):
     rows = table(spark, sf, "orders").select(

@@ -112,3 +112,14 @@ def test_model_answers(spark):
     out = JM.answer_records(spark.createDataFrame(rows, "dealer_url string, text string")).collect()
     assert sorted((r["dealer_url"], r["ord"], json.loads(r["raw"])["vin"]) for r in out) == [
         ("https://a.com", 0, "1"), ("https://a.com", 1, "2"), ("https://b.com", 0, "3")]
+
+
+def test_a_broken_script_is_read_once():
+    import time
+
+    start = time.perf_counter()
+    assert json_literals("a = {" * 20_000) == []
+    assert json_literals('a = "' + "b = {" * 20_000) == []
+    assert time.perf_counter() - start < 2
+    assert json_literals('x = "a = {"; y = {"b": 1}; z = {"c": [2]} }') == ['{"b": 1}', '{"c": [2]}']
+    assert json_literals("it's = [1]; \"q = [2]") == ["[1]", "[2]"]
