@@ -15,14 +15,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import WORD, by_size, free_name, settled
+from .common import WORD, by_size, forget, free_name, settled
 from .components import star_components
 
 WORDS = 5
 NUM, DEN = 4, 5
 SKETCH_BITS = 18
 SLICES = 64
-SIGNATURE, WIDEST = 1024, 1 << 15
+SIGNATURE = 1024
 FAN = 8
 BLOCK = 1024
 CROWD = FAN
@@ -79,9 +79,9 @@ def prefix_length(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """A bitmap of four bits or more a shingle, within ``SIGNATURE`` and ``WIDEST`` bits."""
-    size = min(WIDEST, max(SIGNATURE, 1 << (4 * len(shingles) - 1).bit_length()))
+def signature(shingles: np.ndarray, widest: int = 1 << 15) -> np.ndarray:
+    """A bitmap of four bits or more a shingle, within ``SIGNATURE`` and ``widest`` bits."""
+    size = min(widest, max(SIGNATURE, 1 << (4 * len(shingles) - 1).bit_length()))
     bits = np.zeros(size, dtype=bool)
     bits[(shingles >> np.uint64(40)) % np.uint64(size)] = True
     return np.packbits(bits)
@@ -177,7 +177,7 @@ def shingle_sets(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                     rare = np.argsort(counts[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
                     fp.append(fingerprint(s))
                     prefix.append(s[rare[: prefix_length(len(s))]].view(np.int64))
-                    bits.append(signature(s).tobytes())
+                    bits.append(signature(s, SIGNATURE).tobytes())
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(fp, pa.int64()),
                     pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary()),
@@ -331,14 +331,13 @@ def signed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             count = batch.num_rows
             if not count:
                 continue
-            n = np.concatenate([batch.column(c).to_numpy() for c in ("n_a", "n_b")])
-            bitmaps = [b for c in ("bits_a", "bits_b") for b in batch.column(c).to_pylist()]
-            bits, every = folded(bitmaps, SIGNATURE), np.arange(count)
-            slack = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
-            node = (n, n, slack, bits, np.full(2 * count, -1))
-            ok = may_link(node, every, node, every + count)
-            left = np.flatnonzero(ok)
-            ok[left] = wide_enough(n, bitmaps, left, left + count)
+            nodes = []
+            for n, bits in (("n_a", "bits_a"), ("n_b", "bits_b")):
+                n = batch.column(n).to_numpy()
+                bits = folded(batch.column(bits).to_pylist(), SIGNATURE)
+                slack = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+                nodes.append((n, n, slack, bits, np.full(count, -1)))
+            ok = may_link(nodes[0], np.arange(count), nodes[1], np.arange(count))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(batch.column(c).to_numpy()[ok]) for c in ("a", "b")], ["a", "b"]
             )
@@ -346,6 +345,21 @@ def signed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
+def wide_bitmaps(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``fp, n, bits`` of the wanted sets (fp), with bitmaps that grow with the set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            sets = [shingler.shingles(text.as_buffer().to_pybytes()) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([signature(s).tobytes() for s in sets], pa.binary()),
+            ], ["fp", "n", "bits"])
+
+    return texts.join(wanted, "fp", "left_semi").select("fp", "text").mapInArrow(run, "fp long, n long, bits binary")
+
+
 def tree_pairs(members: DataFrame) -> DataFrame:
     """Distinct pairs (a, b) that may link across components; ``members``: token, members (of the block), fp, n, bits, component.
 
@@ -521,16 +535,23 @@ def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if asked == 0:
             break
         found = settled(verified(chosen, texts), "jaccard-links")
+        forget(chosen)
         linked = found.count()
         if linked:
             edges = found if edges is None else settled(edges.unionAll(found), "jaccard-edges")
             named = settled(star_components(edges, "jaccard-rounds"), "jaccard-named")
         turn += 1
-        if linked < asked / 4:
-            mixed = settled(open_blocks(grouped(postings, named), turn), "jaccard-open") if linked else mixed
+        last = linked < asked / 4
+        if last and not linked:
+            break
+        forget(mixed)  # what is still open is smaller, and written anew
+        if last:
+            mixed = settled(open_blocks(grouped(postings, named), turn), "jaccard-open")
             break
-    rest = mixed.select("token", "members", "fp", "component").join(one.select("fp", "n", "bits"), "fp")
+    wide = settled(wide_bitmaps(texts, mixed.select("fp").distinct()), "jaccard-wide")
+    rest = mixed.select("token", "members", "fp", "component").join(wide, "fp")
     pairs = settled(tree_pairs(rest), "jaccard-pairs")
+    forget(wide)
     # One pair speaks for its two components first; the others are verified only if their
     # components are still apart.
     spoken = None
