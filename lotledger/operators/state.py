@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import urls as U
 from ..schemas import VEHICLE_COLUMNS
 from ..session import work_folder
-from .keyed import first_by
+from .keyed import first_by, sized
 
 # Executors get the replay with the job and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -155,6 +155,25 @@ def fold_batch(batch: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def fold_repeats(keyed: DataFrame) -> DataFrame:
+    """``fold_batch`` by ``dealer_id, vehicle_key``, of the keys that repeat alone.
+
+    Keys are counted first. Rows whose key stands once are their own fold and pass straight
+    through; while the repeated keys are few enough to be broadcast, no wide row is sorted
+    or moved for it. Where they are not, most rows repeat, and all are folded.
+    """
+    often = _round(keyed.groupBy(*_KEY).agg(F.count("*").alias("n")).filter("n > 1").select(*_KEY))
+    few = sized(often)
+    if few is often:
+        return fold_batch(keyed, _KEY)
+    folded = fold_batch(keyed.join(few, _KEY, "left_semi"), _KEY)
+    own = {"first_run": "run_id", "last_run": "run_id", "first_at": "seen_at", "last_at": "seen_at"}
+    alone = keyed.join(few, _KEY, "left_anti").select(
+        *[F.col(own.get(c, c)).cast(folded.schema[c].dataType).alias(c) for c in folded.columns]
+    )
+    return alone.unionByName(folded)
+
+
 def resolve_without_vin(state: DataFrame, batch: DataFrame) -> DataFrame:
     """Give each row without VIN its ``vehicle_key``, as if the rows came one after the other.
 
@@ -290,7 +309,7 @@ def merge_vehicles(state: DataFrame, batch: DataFrame, tally: bool = False) -> D
     without = resolve_without_vin(state, batch.filter(~has_vin))
     columns = [*_KEY, *VEHICLE_COLUMNS, "source_strategy", "run_id", "seen_at", "rows", "ord"]
     keyed = with_vin.select(columns).unionByName(without.select(columns))
-    fold = fold_batch(keyed, _KEY)
+    fold = fold_repeats(keyed)
     if tally:
         fold = fold.join(run_tally(keyed), _KEY)
     fold = fold.select(*_KEY, *[F.col(c).alias(f"n_{c}") for c in fold.columns if c not in _KEY])

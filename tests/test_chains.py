@@ -118,3 +118,17 @@ def test_bodies_are_neither_moved_nor_sorted(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("drop table lotledger_test_captures")
+
+
+def test_only_repeated_keys_are_folded(spark, monkeypatch):
+    rows = [(1, f"1FTFW1E50NFA{i % 90:05}", None if i % 4 else float(i), "r1" if i < 60 else "r2", i) for i in range(120)]
+    df = spark.createDataFrame(rows, "dealer_id long, vin string, price double, run_id string, ord long")
+    batch_ = _as_batch(df.withColumn("source_strategy", F.lit("api"))).withColumn("rows", F.lit(1).cast("bigint")).withColumn("vehicle_key", F.col("vin"))
+    want = ST.fold_batch(batch_, ["dealer_id", "vehicle_key"])
+    got = ST.fold_repeats(batch_)
+    key = lambda df: sorted(map(repr, df.select(want.columns).collect()))
+    assert key(got) == key(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    monkeypatch.setattr(ST, "sized", lambda keys: keys)  # too many repeated keys: all rows are folded
+    assert key(ST.fold_repeats(batch_)) == key(want)
