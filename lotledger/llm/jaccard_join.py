@@ -25,6 +25,7 @@ SLICES = 64
 SIGNATURE = 1024
 FAN = 8
 BLOCK = 1024
+LINKED, WIDE = 512, 4096  # sets of a component in a slice, shingles in a matrix
 CROWD = FAN
 PIECE = 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -465,13 +466,93 @@ def open_blocks(blocks: DataFrame, turn: int) -> DataFrame:
     return blocks.join(mixed, "token")
 
 
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``left`` has in common with each of ``right``.
+
+    A product of incidence matrices over the shingles that stand in both lists, a few
+    thousand columns at a time.
+    """
+    sizes = [len(s) for s in (*left, *right)]
+    values, token = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    first = row < len(left)
+    both = (np.bincount(token[first], minlength=len(values)) > 0) & (np.bincount(token[~first], minlength=len(values)) > 0)
+    column = np.cumsum(both) - 1
+    kept = both[token]
+    row, column = row[kept], column[token[kept]]
+    out = np.zeros((len(left), len(right)), dtype=np.float64)
+    for at in range(0, int(both.sum()), WIDE):
+        here = (column >= at) & (column < at + WIDE)
+        matrix = np.zeros((len(sizes), min(WIDE, int(both.sum()) - at)), dtype=np.float32)
+        matrix[row[here], column[here] - at] = 1.0
+        out += matrix[: len(left)] @ matrix[len(left):].T  # sums below 2^24 are exact
+    return out.astype(np.int64)
+
+
+def link_counts(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``fp, links``: with how many documents each set links; ``members``: fp, component, copies.
+
+    All links lie within components. A component is dealt to slices of about ``LINKED`` sets;
+    a task gets two slices at a time, counts what they have in common and returns a sum
+    per set, never pairs. A set counts with its copies, itself left out.
+    """
+    sizes = members.groupBy("component").agg(F.count("*").alias("size")).filter("size > 1").select(
+        "component", F.ceil(F.col("size") / LINKED).cast("int").alias("slices")
+    )
+    cut = members.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("slices")).cast("int"))
+    dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).select(
+        "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "fp", "copies"
+    ).join(texts, "fp").select("component", "i", "j", "own", "fp", "copies", "text")
+    keys = ["component", "i", "j"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, key, held = Shingler(), None, []
+        for batch in batches:
+            part = [batch.column(c).to_numpy() for c in range(6)]
+            fp, links = [], []
+            for r, text in enumerate(batch.column(6)):
+                now = part[0][r], part[1][r], part[2][r]
+                if now != key:
+                    counted(key, held, fp, links)
+                    key, held = now, []
+                held.append((part[3][r], part[4][r], part[5][r], shingler.shingles(text.as_buffer().to_pybytes())))
+            yield pa.RecordBatch.from_arrays([pa.array(fp, pa.int64()), pa.array(links, pa.int64())], ["fp", "links"])
+        fp, links = [], []
+        counted(key, held, fp, links)
+        yield pa.RecordBatch.from_arrays([pa.array(fp, pa.int64()), pa.array(links, pa.int64())], ["fp", "links"])
+
+    def counted(key: tuple | None, held: list[tuple], fp: list[int], links: list[int]) -> None:
+        if not held:
+            return
+        itself = key[1] == key[2]
+        left = [h for h in held if h[0] == key[1]]
+        right = left if itself else [h for h in held if h[0] == key[2]]
+        if not left or not right:
+            return
+        n, m = (np.array([len(h[3]) for h in side]) for side in (left, right))
+        both = common_counts([h[3] for h in left], [h[3] for h in right])
+        ok = DEN * both >= NUM * (n[:, None] + m[None, :] - both)
+        if itself:
+            np.fill_diagonal(ok, False)
+        for side, sums in ((left, ok @ np.array([h[2] for h in right])), (right, ok.T @ np.array([h[2] for h in left]))):
+            fp += [int(h[1]) for h in side]
+            links += sums.tolist()
+            if itself:
+                break
+
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "fp long, links long").groupBy(
+        "fp"
+    ).agg(F.sum("links").alias("links"))
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs`` (doc_id, text).
+    """``doc_id, n_shingles, component_id, n_links`` for every row of ``docs`` (doc_id, text).
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; a document's set are
     its distinct shingles of five words, or its whole word sequence if shorter. Documents
     link when the Jaccard similarity is 0.8 or more. ``component_id`` is the smallest
-    doc_id reachable by links. Null, empty and blank texts have no shingle, link with
+    doc_id reachable by links, ``n_links`` the number of other rows linked directly, copies
+    counted one by one. Null, empty and blank texts have no shingle, link with
     nothing and are their own component. Repeated rows and exact copies are one set and
     share its component; a null doc_id names no component unless all its ids are null.
     Other columns are not read. Empty input gives no rows. Sets and shingles are told apart
@@ -486,19 +567,26 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     trees give all pairs left across components, and they are verified. Blocks within one component are
     done and never expanded.
     """
-    sets, classes = set_components(docs)
+    sets, classes, texts = set_components(docs)
+    copies = sets.filter("n > 0").groupBy("fp").agg(F.count("*").alias("copies"))
     if "component" not in classes.columns:
-        smallest = classes.select("fp", F.col("first").alias("smallest"))
+        known = classes.join(copies, "fp").select("fp", F.col("first").alias("smallest"), (F.col("copies") - 1).alias("links"))
     else:
-        ids = classes.groupBy("component").agg(F.min("first").alias("smallest"))
-        smallest = classes.join(ids, "component").select("fp", "smallest")
-    return sets.select("doc_id", "n", "fp").join(smallest, "fp", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id")
+        ids = classes.groupBy("component").agg(F.min("first").alias("smallest"), F.count("*").alias("members"))
+        named = settled(classes.join(ids, "component").join(copies, "fp"), "jaccard-classes")
+        links = link_counts(named.filter("members > 1").select("fp", "component", "copies"), texts)
+        known = named.join(links.withColumnRenamed("links", "linked"), "fp", "left").select(
+            "fp", "smallest", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links")
+        )
+    return sets.select("doc_id", "n", "fp").join(known, "fp", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"),
+        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
     )
 
 
-def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows' sets, and ``fp, first`` per set, with ``component`` if any two sets link."""
+def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows' sets; ``fp, first`` per set, with ``component`` if any two sets link; and
+    ``fp, text`` of the sets that share a posting."""
     counts = shingle_counts(docs)
     sets = settled(shingle_sets(docs, counts), "jaccard-sets")
     firsts = settled(
@@ -569,7 +657,7 @@ def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = firsts.select("fp", "first") if named is None else firsts.join(
         named.withColumnRenamed("node", "fp"), "fp", "left"
     ).select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    return sets, classes
+    return sets, classes, texts
 
 
 def texts_of(docs: DataFrame, one: DataFrame, postings: DataFrame, repeated: bool) -> DataFrame:
@@ -592,7 +680,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     null id, each goes only with its own component. Of rows that repeat both id and text one
     stays. Documents without a shingle stay; with a null id, each of them.
     """
-    sets, classes = set_components(docs)
+    sets, classes, _ = set_components(docs)
     rows = sets.select("doc_id", "row", "n", "fp")
     known = rows.filter("n > 0")
     if "component" in classes.columns:

@@ -511,3 +511,47 @@ def test_changes_give_the_segmentations(spark, vocabulary, monkeypatch):
         cut = NP.UNITS.findall(" " + text)
         encoder.prepare(set(cut))
         assert [round(s, 9) for s, _ in encoder.nbest(cut)[1]] == [round(s, 9) for s in r["nbest_scores"]]
+
+
+# --- links of the n-gram join ---------------------------------------------------------------
+
+def plain_links(rows):
+    """(doc_id, text) to the number of other rows that link directly."""
+    sets = []
+    for _, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        sets.append({tuple(words[i: i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    out = []
+    for k, (i, _) in enumerate(rows):
+        n = sum(
+            1 for j, s in enumerate(sets) if j != k and s and sets[k]
+            and 5 * len(s & sets[k]) >= 4 * len(s | sets[k])
+        )
+        out.append((i, len(sets[k]), n))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("size", [512, 7])
+def test_links_are_counted_with_copies(spark, monkeypatch, size):
+    from lotledger.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "LINKED", size)
+    monkeypatch.setattr(jaccard_join, "WIDE", 50)
+    rng = random.Random(21)
+    words = [f"w{k}" for k in range(400)]
+    base = [rng.choices(words, k=60) for _ in range(4)]
+    rows = []
+    for i in range(120):
+        text = list(base[0 if i % 3 == 0 else rng.randint(1, 3)])
+        for _ in range(rng.randint(0, 2)):
+            text[rng.randint(0, 59)] = rng.choice(words)
+        rows.append((i, " ".join(text)))
+    rows += [(200 + i, rows[3 * i][1]) for i in range(20)] + [(300, None), (301, ""), (302, "two words"), (303, "Two words"), (None, rows[0][1])]
+    got = jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(((r["doc_id"], r["n_shingles"], r["n_links"]) for r in got.collect()), key=repr) == plain_links(rows)
+
+
+def test_op2_links_against_all_pairs(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = QUERIES["op2_jaccard_join"](spark, SF).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["n_links"]) for r in got), key=repr) == plain_links(rows)
