@@ -220,6 +220,8 @@ def key_components(pairs: DataFrame) -> DataFrame:
     pairs = pairs.toDF("a", "b")
     both = _round(pairs.unionAll(pairs.select("b", "a")))
     now = _round(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    if now.isEmpty():
+        return now
     while True:
         near = both.join(now, F.col("b") == F.col("node")).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         least = now.join(near, "node").select("node", F.least("component", "near").alias("low"), "component")
@@ -306,9 +308,10 @@ def merge_vehicles(state: DataFrame, batch: DataFrame, tally: bool = False) -> D
     batch = batch.withColumn("rows", F.lit(1).cast("bigint"))
     has_vin = F.coalesce(F.col("vin"), F.lit("")) != ""
     with_vin = batch.filter(has_vin).withColumn("vehicle_key", F.concat(F.lit("vin:"), F.col("vin")))
-    without = resolve_without_vin(state, batch.filter(~has_vin))
     columns = [*_KEY, *VEHICLE_COLUMNS, "source_strategy", "run_id", "seen_at", "rows", "ord"]
-    keyed = with_vin.select(columns).unionByName(without.select(columns))
+    keyed, bare = with_vin.select(columns), batch.filter(~has_vin)
+    if not bare.isEmpty():
+        keyed = keyed.unionByName(resolve_without_vin(state, bare).select(columns))
     fold = fold_repeats(keyed)
     if tally:
         fold = fold.join(run_tally(keyed), _KEY)
