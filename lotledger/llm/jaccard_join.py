@@ -28,6 +28,7 @@ BLOCK = 1024
 LINKED, WIDE = 512, 4096  # sets of a component in a slice, shingles in a matrix
 CROWD = FAN
 PIECE = 1 << 20
+KEPT_WORDS = 100_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -48,7 +49,7 @@ class Shingler:
             for word in text[at:end].lower().split():
                 h = seen.get(word)
                 if h is None:
-                    if len(seen) > 500_000:
+                    if len(seen) > KEPT_WORDS:
                         seen.clear()
                     h = seen[word] = xxhash.xxh64_intdigest(word)
                 out.append(h)
