@@ -268,6 +268,36 @@ IMPLIED_END_TAGS = {
     )},
 }
 
+# --- fixed values: how the platforms' listings are written --------------------------
+PLATFORM_YEAR = r"\b((?:19|20)\d{2})\b"
+PLATFORM_PRICE = r"\$\s?([\d,]{3,})"
+PLATFORM_MILES = r"(?i)([\d,]{3,})\s*(?:mi\b|miles)"
+PLATFORM_PAGE_END = r"(?is)(?:<footer\b|</main>|</body>|</html>).*$"
+PLATFORM_DATA_VIN = r"<[a-zA-Z][a-zA-Z0-9]*\s[^>]*data-vin="
+CARSFORSALE_LINK = r"(?i)/details/(?:[a-z]+-)?(\d{4})-([a-z0-9]+)-([a-z0-9-]+?)/(\d+)"
+DWS_CARD = "dws-vehicle-listing-item-title"
+DWS_LABEL = r"^[A-Za-z /]+?\s"
+DWS_PRICE = r"(\$[\d,]{3,})"
+DEALERSYNC_MILES = r"(?i)([\d,]{2,})\s+\d{1,2}\s*MPG"
+DEALERSYNC_LINK = "detail|/inventory/"
+DEALR_CARD = r"(?<![\w-])dealr-inventory-vehicle(?![\w-])"
+DEALR_LINK = "inventory/|/vehicle"
+DEALR_SLUG = r"^(19|20)\d{2}-"
+DEALR_STOCK = r"(?i)Stock\s+([A-Za-z0-9-]+)"
+DEALR_MILES = r"(?i)Mileage\s+([\d,]+)"
+DEALR_EXTERIOR_STOP = r"Interior|Engine|Mileage|Stock|MPG|\$"
+DEALR_INTERIOR_STOP = r"Engine|Exterior|Mileage|Stock|MPG|\$"
+DEALR_ENGINE_STOP = r"MPG|Mileage|Stock|Exterior|Interior|\$"
+OVERFUEL_PRICE = r"(?i)(?:No-haggle price|Sale Price|Our Price|Internet Price|Price)\s*\$\s?([\d,]{3,})"
+OVERFUEL_STOCK = r"(?i)Stock\s*#?\s*([A-Za-z0-9-]+)"
+OVERFUEL_MAKE = r"(?i)make_([a-z0-9]+)"
+OVERFUEL_MILES = r"(?i)([\d,]+)\s*miles"
+CARSFORSALE_TRANSMISSION = r"(?i)Transmission\s+([A-Za-z0-9 -]+?)(?=\s+(?:Drivetrain|Engine|Exterior|Fuel|VIN|$))"
+DETAIL_VIN = r"(?i)VIN[:\s]{1,4}([A-HJ-NPR-Z0-9]{17})"
+DETAIL_STOCK = r"(?i)Stock\s*#?[:\s]{1,4}([A-Za-z0-9-]{2,})"
+LABELLED_DRIVETRAIN = r"(?i)Drivetrain\s+([A-Za-z0-9]+)"
+SLUG_YEAR = r"^(19|20)\d{2}$"
+
 # --- fixed values: cascade layers and coverage -------------------------------------
 STRATEGY_PRIORITY = {
     "platform": 0, "api": 1, "embedded": 2, "navigate": 3, "unlocked": 4, "ai": 5,

@@ -29,9 +29,6 @@ from .keyed import first_by, join_on_hot_keys
 from .rows import explode_rows, settle
 
 PAGE_KEYS = ["capture_id", "run_id", "dealer_url", "page_ord"]
-_YEAR = r"\b((?:19|20)\d{2})\b"
-_PRICE3 = r"\$\s?([\d,]{3,})"
-_MILES3 = r"(?i)([\d,]{3,})\s*(?:mi\b|miles)"
 
 
 # --- segments and pieces -----------------------------------------------------------
@@ -41,17 +38,11 @@ def attr(markup: Column, name: str) -> Column:
     return X.first_match(markup, rf"""(?is)\s{name}\s*=\s*["']([^"']*)["']""")
 
 
-_PAGE_END = r"(?is)(?:<footer\b|</main>|</body>|</html>).*$"
-
-
 def class_tag(pattern: str) -> str:
     """Opening tag with a class attribute that matches ``pattern``."""
     return rf"""<[a-zA-Z][a-zA-Z0-9]*\b[^>]*\bclass\s*=\s*["'][^"'>]*{pattern}[^"'>]*["']"""
 
 
-_DATA_VIN = r"<[a-zA-Z][a-zA-Z0-9]*\s[^>]*data-vin="
-
-
 def _anchor_href(seg: Column, part: str) -> Column:
     """href of the first link whose href matches ``part``."""
     return X.first_match(seg, rf"""(?is)<a\b[^>]*\bhref\s*=\s*["']([^"']*(?:{part})[^"']*)["']""")
@@ -80,7 +71,7 @@ def _pieces(opening: str) -> Column:
     """The segments of a page from each opening tag to the next or the footer."""
     parts = F.filter(F.split("body", f"(?={opening})"), lambda s: s.rlike("^" + opening))
     none = F.lit(None).cast("string")
-    return F.transform(parts, lambda part: X.bind(F.regexp_replace(part, _PAGE_END, ""), lambda seg: F.struct(
+    return F.transform(parts, lambda part: X.bind(F.regexp_replace(part, V.PLATFORM_PAGE_END, ""), lambda seg: F.struct(
         none.alias("id"), seg.alias("seg"), F.regexp_extract(seg, "^<[^>]*>", 0).alias("tag"),
         X.visible_text(seg).alias("text"), none.alias("price"),
     ))).cast(_PIECE)
@@ -110,26 +101,26 @@ def _dws_fields() -> dict[str, Column]:
             "seg", rf"(?is)dws-vehicle-field-{name}(?![\w-])[^>]*>(.*?)(?:</(?:div|li|td|p)\b|<[^>]*dws-vehicle-field-|$)", 1
         )
         # only the first word counts as the label; a missing element is NULL, not empty
-        value = F.trim(F.regexp_replace(X.visible_text(inner), r"^[A-Za-z /]+?\s", ""))
+        value = F.trim(F.regexp_replace(X.visible_text(inner), V.DWS_LABEL, ""))
         return F.when(F.col("seg").rlike(rf"dws-vehicle-field-{name}(?![\w-])"), value)
 
     return {
         "vin": field("vin"),
         "stock_number": F.coalesce(F.nullif(field("stock-number"), F.lit("")), F.get("words", 3)),
         "make": from_href(1), "model": from_href(2),
-        "year": _group(F.col("title"), _YEAR),
+        "year": _group(F.col("title"), V.PLATFORM_YEAR),
         "mileage": field("mileage"), "drivetrain": field("drivetrain"),
         "transmission": field("transmission"), "engine": field("engine"), "doors": field("door"),
-        "price": _group(F.col("text"), r"(\$[\d,]{3,})"),
+        "price": _group(F.col("text"), V.DWS_PRICE),
         "condition": F.lit("used"), "url": F.col("href"), "image_url": _image(F.col("seg")),
     }
 
 
 def _dealersync_values() -> Column:
     def of(title: Column) -> Column:
-        parts = rf"(?s)^(.*?){_YEAR}(.*)$"
+        parts = rf"(?s)^(.*?){V.PLATFORM_YEAR}(.*)$"
         rest = F.concat(F.regexp_extract(title, parts, 1), F.regexp_extract(title, parts, 3))
-        return _values(title, words=F.split(F.trim(F.when(title.rlike(_YEAR), rest).otherwise(title)), r"\s+"))
+        return _values(title, words=F.split(F.trim(F.when(title.rlike(V.PLATFORM_YEAR), rest).otherwise(title)), r"\s+"))
 
     return X.bind(F.coalesce(attr(F.col("tag"), "data-vehicle-title"), F.lit("")), of)
 
@@ -141,20 +132,20 @@ def _dealersync_fields() -> dict[str, Column]:
         "stock_number": attr(F.col("tag"), "data-stock-no"),
         "make": F.get("words", 0), "model": F.get("words", 1),
         "trim": F.nullif(F.array_join(F.slice("words", 3, 1000), " "), F.lit("")),
-        "year": _group(F.col("title"), _YEAR),
-        "price": _group(text, _PRICE3),
-        "mileage": F.coalesce(_group(text, r"(?i)([\d,]{2,})\s+\d{1,2}\s*MPG"), _group(text, _MILES3)),
+        "year": _group(F.col("title"), V.PLATFORM_YEAR),
+        "price": _group(text, V.PLATFORM_PRICE),
+        "mileage": F.coalesce(_group(text, V.DEALERSYNC_MILES), _group(text, V.PLATFORM_MILES)),
         "location": attr(F.col("tag"), "data-city"), "condition": F.lit("used"),
-        "url": _anchor_href(F.col("seg"), "detail|/inventory/"), "image_url": _image(F.col("seg")),
+        "url": _anchor_href(F.col("seg"), V.DEALERSYNC_LINK), "image_url": _image(F.col("seg")),
     }
 
 
 def _dealr_values() -> Column:
     def of(href: Column) -> Column:
-        slug = F.get(F.filter(F.split(href, "/"), lambda s: s.rlike(r"^(19|20)\d{2}-")), 0)
+        slug = F.get(F.filter(F.split(href, "/"), lambda s: s.rlike(V.DEALR_SLUG)), 0)
         return _values(href=href, words=F.split(F.coalesce(slug, F.lit("")), "-"))
 
-    return X.bind(_anchor_href(F.col("seg"), "inventory/|/vehicle"), of)
+    return X.bind(_anchor_href(F.col("seg"), V.DEALR_LINK), of)
 
 
 def _dealr_fields() -> dict[str, Column]:
@@ -163,19 +154,19 @@ def _dealr_fields() -> dict[str, Column]:
     def labelled(label: str, stop: str) -> Column:
         return F.trim(_group(text, rf"(?i){label}\s+(.+?)\s+(?={stop})"))
 
-    slug_year = F.when(F.get("words", 0).rlike(r"^(19|20)\d{2}$"), F.get("words", 0))
+    slug_year = F.when(F.get("words", 0).rlike(V.SLUG_YEAR), F.get("words", 0))
     return {
         "vin": attr(F.col("seg"), "data-cg-vin"),
-        "stock_number": _group(text, r"(?i)Stock\s+([A-Za-z0-9-]+)"),
+        "stock_number": _group(text, V.DEALR_STOCK),
         "make": F.nullif(F.get("words", 1), F.lit("")), "model": F.nullif(F.get("words", 2), F.lit("")),
         "trim": F.nullif(F.array_join(F.slice("words", 4, 1000), " "), F.lit("")),
-        "year": F.coalesce(slug_year, _group(text, _YEAR)),
-        "mileage": _group(text, r"(?i)Mileage\s+([\d,]+)"),
-        "drivetrain": _group(text, r"(?i)Drivetrain\s+([A-Za-z0-9]+)"),
-        "exterior_color": labelled("Exterior", r"Interior|Engine|Mileage|Stock|MPG|\$"),
-        "interior_color": labelled("Interior", r"Engine|Exterior|Mileage|Stock|MPG|\$"),
-        "engine": labelled("Engine", r"MPG|Mileage|Stock|Exterior|Interior|\$"),
-        "price": _group(text, _PRICE3), "condition": F.lit("used"),
+        "year": F.coalesce(slug_year, _group(text, V.PLATFORM_YEAR)),
+        "mileage": _group(text, V.DEALR_MILES),
+        "drivetrain": _group(text, V.LABELLED_DRIVETRAIN),
+        "exterior_color": labelled("Exterior", V.DEALR_EXTERIOR_STOP),
+        "interior_color": labelled("Interior", V.DEALR_INTERIOR_STOP),
+        "engine": labelled("Engine", V.DEALR_ENGINE_STOP),
+        "price": _group(text, V.PLATFORM_PRICE), "condition": F.lit("used"),
         "url": F.col("href"), "image_url": _image(F.col("seg")),
     }
 
@@ -192,26 +183,23 @@ def _overfuel_values() -> Column:
 
 def _overfuel_fields() -> dict[str, Column]:
     text = F.col("text")
-    named = r"(?i)(?:No-haggle price|Sale Price|Our Price|Internet Price|Price)\s*\$\s?([\d,]{3,})"
+    named = V.OVERFUEL_PRICE
     return {
         "vin": attr(F.col("tag"), "data-vin"),
-        "stock_number": _group(text, r"(?i)Stock\s*#?\s*([A-Za-z0-9-]+)"),
+        "stock_number": _group(text, V.OVERFUEL_STOCK),
         "make": F.coalesce(
             F.nullif(F.get("words", 1), F.lit("")),
-            _group(attr(F.col("tag"), "class"), r"(?i)make_([a-z0-9]+)"),
+            _group(attr(F.col("tag"), "class"), V.OVERFUEL_MAKE),
         ),
         "model": F.nullif(F.get("words", 2), F.lit("")),
         "trim": F.nullif(F.array_join(F.slice("words", 4, 1000), " "), F.lit("")),
-        "year": F.when(F.get("words", 0).rlike(r"^(19|20)\d{2}$"), F.get("words", 0)),
-        "mileage": _group(text, r"(?i)([\d,]+)\s*miles"),
+        "year": F.when(F.get("words", 0).rlike(V.SLUG_YEAR), F.get("words", 0)),
+        "mileage": _group(text, V.OVERFUEL_MILES),
         "price": F.coalesce(_group(text, named), _group(text, V.CARD_PRICE)),
         "condition": F.lit("used"), "url": F.col("href"), "image_url": _image(F.col("seg")),
     }
 
 
-_CFS_LINK = r"(?i)/details/(?:[a-z]+-)?(\d{4})-([a-z0-9]+)-([a-z0-9-]+?)/(\d+)"
-
-
 def _carsforsale_pieces() -> Column:
     """One piece per listing id: the text between its links and the next listing's.
 
@@ -220,8 +208,8 @@ def _carsforsale_pieces() -> Column:
     opening = r"""<a\b[^>]*\bhref\s*=\s*["'][^"'>]*/details/"""
     parts = F.filter(F.split("body", f"(?={opening})"), lambda s: s.rlike("^" + opening))
     parts = F.transform(parts, lambda s: F.struct(
-        F.regexp_extract(F.regexp_extract(s, "^<a[^>]*>", 0), _CFS_LINK, 4).alias("id"),
-        F.regexp_replace(s, _PAGE_END, "").alias("seg"),
+        F.regexp_extract(F.regexp_extract(s, "^<a[^>]*>", 0), V.CARSFORSALE_LINK, 4).alias("id"),
+        F.regexp_replace(s, V.PLATFORM_PAGE_END, "").alias("seg"),
     ))
     # a link to something else than a listing belongs to no card
     parts = F.filter(parts, lambda p: p["id"] != "")
@@ -248,7 +236,7 @@ def _carsforsale_values() -> Column:
         "seg", r"""(?is)<(h[1-4]|[a-z0-9]+(?=[^>]*\bclass\s*=\s*["'][^"'>]*title))\b[^>]*>.*?</\1\s*>""", 0
     ))
     return X.bind(_anchor_href(F.col("seg"), "/details/"), lambda href: _values(
-        title, href, F.array(*[X.first_match(href, _CFS_LINK, i) for i in (1, 2, 3)])
+        title, href, F.array(*[X.first_match(href, V.CARSFORSALE_LINK, i) for i in (1, 2, 3)])
     ))
 
 
@@ -265,23 +253,23 @@ def _carsforsale_fields() -> dict[str, Column]:
         "make": F.replace(mk, F.lit("-"), F.lit(" ")),
         "model": F.replace(md, F.lit("-"), F.lit(" ")),
         "trim": F.nullif(trim, F.lit("")),
-        "price": F.coalesce(_group(text, _PRICE3), "piece_price"),
-        "mileage": _group(text, _MILES3),
+        "price": F.coalesce(_group(text, V.PLATFORM_PRICE), "piece_price"),
+        "mileage": _group(text, V.PLATFORM_MILES),
         "transmission": _group(
-            text, r"(?i)Transmission\s+([A-Za-z0-9 -]+?)(?=\s+(?:Drivetrain|Engine|Exterior|Fuel|VIN|$))"
+            text, V.CARSFORSALE_TRANSMISSION
         ),
-        "drivetrain": _group(text, r"(?i)Drivetrain\s+([A-Za-z0-9]+)"),
+        "drivetrain": _group(text, V.LABELLED_DRIVETRAIN),
         "condition": F.lit("used"), "url": F.col("href"), "image_url": _image(F.col("seg")),
     }
 
 
 MARKUP = {
-    "dws": (lambda: _pieces(class_tag("dws-vehicle-listing-item-title")), _dws_values, _dws_fields),
-    "dealersync": (lambda: _pieces(_DATA_VIN), _dealersync_values, _dealersync_fields),
+    "dws": (lambda: _pieces(class_tag(V.DWS_CARD)), _dws_values, _dws_fields),
+    "dealersync": (lambda: _pieces(V.PLATFORM_DATA_VIN), _dealersync_values, _dealersync_fields),
     "dealr": (
-        lambda: _pieces(class_tag(r"(?<![\w-])dealr-inventory-vehicle(?![\w-])")), _dealr_values, _dealr_fields,
+        lambda: _pieces(class_tag(V.DEALR_CARD)), _dealr_values, _dealr_fields,
     ),
-    "overfuel": (lambda: _pieces(_DATA_VIN), _overfuel_values, _overfuel_fields),
+    "overfuel": (lambda: _pieces(V.PLATFORM_DATA_VIN), _overfuel_values, _overfuel_fields),
     "carsforsale": (_carsforsale_pieces, _carsforsale_values, _carsforsale_fields),
 }
 
@@ -362,13 +350,13 @@ def detail_fields(details: DataFrame) -> DataFrame:
     """``page_url, d_vin, d_stock, d_mileage`` of detail pages."""
     df = details.withColumn("text", X.visible_text(F.col("body")))
     vin = F.coalesce(
-        _group(F.col("text"), r"(?i)VIN[:\s]{1,4}([A-HJ-NPR-Z0-9]{17})"),
+        _group(F.col("text"), V.DETAIL_VIN),
         _group(F.col("body"), r"""(?i)vehicleIdentificationNumber["\s:]+([A-HJ-NPR-Z0-9]{17})"""),
     )
     return df.select(
         "page_url", F.upper(vin).alias("d_vin"),
-        _group(F.col("text"), r"(?i)Stock\s*#?[:\s]{1,4}([A-Za-z0-9-]{2,})").alias("d_stock"),
-        _group(F.col("text"), _MILES3).alias("d_mileage"),
+        _group(F.col("text"), V.DETAIL_STOCK).alias("d_stock"),
+        _group(F.col("text"), V.PLATFORM_MILES).alias("d_mileage"),
     )
 
 
@@ -589,7 +577,7 @@ def markup_vehicles(routed: DataFrame, run_year: int) -> DataFrame:
     pages work on the written cards.
     """
     names = list(MARKUP)
-    detail = (F.col("extractor") == "carsforsale") & F.coalesce(F.col("page_url").rlike(_CFS_LINK), F.lit(False))
+    detail = (F.col("extractor") == "carsforsale") & F.coalesce(F.col("page_url").rlike(V.CARSFORSALE_LINK), F.lit(False))
     listing = routed.filter(~detail)
     key = _by_platform(list(LISTING_KEY), listing_key)
     cards = _written(marked_cards(listing, names).withColumn("_key", key), "platform-cards")

@@ -140,11 +140,14 @@ PLAIN_ITEM = "to_json(named_struct('vin', vin, 'stockNumber', stock, 'make', mak
 
 
 def raw_records(spark: SparkSession, sf: str) -> DataFrame:
-    """One raw JSON record per part, written with four sets of key names."""
+    """One raw JSON record per part, written with four sets of key names.
+
+    The records are few bytes but much work: they are dealt to all cores.
+    """
     return vehicles(spark, sf).select(
         "id", "dealer_url", F.col("dealer_url").alias("origin"), F.lit("run-1").alias("run_id"),
         F.col("rn").alias("ord"), F.expr(ALIAS_ITEM).alias("raw"),
-    )
+    ).repartition(spark.sparkContext.defaultParallelism, "id")
 
 
 def _document_pages(spark: SparkSession, sf: str, item: str, before: str, after: str, content: str) -> DataFrame:
