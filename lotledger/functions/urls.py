@@ -92,12 +92,105 @@ def _escaped(text: Column, also: str) -> Column:
     return F.when(text.rlike(unsafe), F.array_join(F.transform(F.split(text, ""), code), "")).otherwise(text)
 
 
+# Parameters of the ASCII form of host labels: fixed values of the encoding.
+_BASE, _LEAST, _MOST, _SKEW, _DAMP, _FIRST_BIAS, _FIRST_CODE = 36, 1, 26, 38, 700, 72, 128
+_DIGITS = "abcdefghijklmnopqrstuvwxyz0123456789"
+# A number of more digits than this does not come up in a label of 63 characters.
+_ROUNDS = 10
+
+
+def _number(value: Column, bias: Column) -> Column:
+    """A number in digits whose weights depend on their place and the bias."""
+    def step(acc: Column, k: Column) -> Column:
+        return bind(F.greatest(F.lit(_LEAST), F.least(F.lit(_MOST), k - bias)).cast("bigint"), lambda t: F.when(
+            acc["done"], acc
+        ).otherwise(F.struct(
+            F.floor((acc["q"] - t) / (_BASE - t)).cast("bigint").alias("q"),
+            F.concat(acc["text"], F.substring(F.lit(_DIGITS), F.when(acc["q"] < t, acc["q"]).otherwise(
+                t + F.pmod(acc["q"] - t, _BASE - t)).cast("int") + 1, F.lit(1))).alias("text"),
+            (acc["q"] < t).alias("done"),
+        )))
+
+    start = F.struct(value.cast("bigint").alias("q"), F.lit("").alias("text"), F.lit(False).alias("done"))
+    weights = F.sequence(F.lit(_BASE), F.lit(_BASE * _ROUNDS), F.lit(_BASE))
+    return F.aggregate(weights, start.cast("struct<q:bigint,text:string,done:boolean>"), step, lambda acc: acc["text"])
+
+
+def _next_bias(delta: Column, points: Column, first: Column) -> Column:
+    scaled = F.floor(delta / F.when(first, _DAMP).otherwise(2))
+    limit = (_BASE - _LEAST) * _MOST // 2
+
+    def step(acc: Column, _: Column) -> Column:
+        return F.when(acc["d"] > limit, F.struct(
+            F.floor(acc["d"] / (_BASE - _LEAST)).cast("bigint").alias("d"), (acc["k"] + _BASE).alias("k")
+        )).otherwise(acc)
+
+    start = bind(scaled, lambda d: F.struct((d + F.floor(d / points)).cast("bigint").alias("d"), F.lit(0).cast("bigint").alias("k")))
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(_ROUNDS)), start.cast("struct<d:bigint,k:bigint>"), step,
+        lambda acc: acc["k"] + F.floor(_BASE * acc["d"] / (acc["d"] + _SKEW)).cast("bigint"),
+    )
+
+
+def ascii_label(label: Column) -> Column:
+    """A host label beyond ASCII in its ASCII form, without the ``xn--`` before it.
+
+    The label's ASCII characters come first; then, code point by code point in rising order,
+    the distance to each place where one has to be put in.
+    """
+    shape = "struct<n:bigint,delta:bigint,bias:bigint,h:bigint,text:string>"
+
+    def encoded(codes: Column) -> Column:
+        plain = F.filter(codes, lambda c: c < _FIRST_CODE)
+        plain_text = F.array_join(F.transform(plain, lambda c: F.char(c)), "")
+        known = F.size(plain).cast("bigint")
+
+        def place(acc: Column, code: Column) -> Column:
+            put = F.struct(
+                acc["n"].alias("n"), F.lit(0).cast("bigint").alias("delta"),
+                _next_bias(acc["delta"], acc["h"] + 1, acc["h"] == known).alias("bias"),
+                (acc["h"] + 1).alias("h"), F.concat(acc["text"], _number(acc["delta"], acc["bias"])).alias("text"),
+            )
+            more = F.struct(acc["n"], (acc["delta"] + 1).alias("delta"), acc["bias"], acc["h"], acc["text"])
+            return F.when(code < acc["n"], more.cast(shape)).when(code == acc["n"], put.cast(shape)).otherwise(acc)
+
+        def point(acc: Column, code: Column) -> Column:
+            ready = F.struct(
+                code.alias("n"), (acc["delta"] + (code - acc["n"]) * (acc["h"] + 1)).alias("delta"),
+                acc["bias"], acc["h"], acc["text"],
+            ).cast(shape)
+            after = F.aggregate(codes, ready, place)
+            return bind(after, lambda a: F.struct(
+                (a["n"] + 1).alias("n"), (a["delta"] + 1).alias("delta"), a["bias"], a["h"], a["text"]
+            ).cast(shape))
+
+        start = F.struct(
+            F.lit(_FIRST_CODE).alias("n"), F.lit(0).alias("delta"), F.lit(_FIRST_BIAS).alias("bias"), known.alias("h"),
+            F.when(known > 0, F.concat(plain_text, F.lit("-"))).otherwise("").alias("text"),
+        ).cast(shape)
+        beyond = F.array_sort(F.array_distinct(F.filter(codes, lambda c: c >= _FIRST_CODE)))
+        return F.aggregate(beyond, start, point, lambda acc: acc["text"])
+
+    return bind(F.transform(F.split(label, ""), lambda c: F.ascii(c).cast("bigint")), encoded)
+
+
+def _ascii_host(origin_: Column) -> Column:
+    """The origin with host labels beyond ASCII in their ASCII form."""
+    scheme = F.regexp_extract(origin_, "^([a-z]+://)", 1)
+    name = F.regexp_extract(origin_, "^[a-z]+://([^:]*)", 1)
+    labels = F.transform(F.split(F.lower(name), r"\."), lambda x: F.when(
+        x.rlike(r"[^\x00-\x7F]"), F.concat(F.lit("xn--"), ascii_label(x))
+    ).otherwise(x))
+    port = F.regexp_extract(origin_, "^[a-z]+://[^:]*(:.*)$", 1)
+    return F.when(origin_.rlike(r"[^\x00-\x7F]"), F.concat(scheme, F.array_join(labels, "."), port)).otherwise(origin_)
+
+
 def resolve(url: Column, base: Column) -> Column:
     """``url`` made absolute against an origin.
 
-    Path, query and fragment are percent-encoded as UTF-8; host names outside ASCII are left as
-    they are. A web URL without a usable host cannot be resolved: NULL, so the caller keeps
-    its text.
+    Path, query and fragment are percent-encoded as UTF-8, host labels beyond ASCII get their
+    ASCII form. A web URL without a usable host cannot be resolved: NULL, so the caller
+    keeps its text.
     """
     scheme = first_match(base, r"^([A-Za-z]+:)")
 
@@ -111,7 +204,7 @@ def resolve(url: Column, base: Column) -> Column:
 
     def web(full: Column) -> Column:
         tail = F.regexp_extract(full, _AUTHORITY + r"[^/?#\\\s]*(.*)$", 1)
-        return F.concat(origin(full), bind(tail, tidy))
+        return F.concat(bind(origin(full), _ascii_host), bind(tail, tidy))
 
     def tidy(tail: Column) -> Column:
         path = F.regexp_extract(tail, r"^([^?#]*)", 1)

@@ -256,10 +256,10 @@ def u11b(spark, sf):
     ])
 
 
-@query("u12_text_beyond_ascii", """select p_partkey as id, case p_partkey % 6 when 0 then 'https://d.com/caf%C3%A9/' || p_partkey when 1 then 'https://d.com/%E6%BC%A2/x%20y' || p_partkey
+@query("u12_text_beyond_ascii", """select p_partkey as id, case p_partkey % 7 when 6 then 'https://xn--bcher-kva.example/' || p_partkey when 0 then 'https://d.com/caf%C3%A9/' || p_partkey when 1 then 'https://d.com/%E6%BC%A2/x%20y' || p_partkey
   when 2 then 'https://d.com/a?q=%C3%BC%20' || p_partkey when 3 then 'https://d.com/%F0%9F%9A%97' || p_partkey when 4 then 'https://d.com/%7Ba%7D/%60' || p_partkey || '?b={}%27' else 'https://d.com/a#%C3%BC%60' || p_partkey end as url from part""")
 def u12b(spark, sf):
-    rel = F.expr("""case p_partkey % 6 when 0 then '/café/' || p_partkey when 1 then '漢/x y' || p_partkey when 2 then '/a?q=ü ' || p_partkey
+    rel = F.expr("""case p_partkey % 7 when 6 then '//Bücher.example/' || p_partkey when 0 then '/café/' || p_partkey when 1 then '漢/x y' || p_partkey when 2 then '/a?q=ü ' || p_partkey
       when 3 then '/🚗' || p_partkey when 4 then '/{a}/`' || p_partkey || "?b={}'" else '/a#ü`' || p_partkey end""")
     return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), U.resolve(rel, F.lit("https://d.com")).alias("url"))
 

@@ -85,3 +85,17 @@ def test_signatures_stop_at_200000_characters(spark):
 def test_clean_html_keeps_links_only(spark):
     html = "<p>a  b</p><a href='/x'>y</a><script>1<2</script><svg>z</svg><!-- n -->"
     assert value(spark, C.clean_html(F.lit(html))) == "a b <a href='/x'>y</a>"
+
+
+def test_host_labels_beyond_ascii(spark):
+    from lotledger.functions import urls as U
+
+    labels = ["bücher", "münchen-ost", "例え", "テスト", "ñandú", "a1ü", "üü", "правда", "faß", "他们为什么不说中文", "x\U0001f697y"]
+    df = spark.createDataFrame([(x,) for x in labels], "x string")
+    got = [r[0] for r in df.select(U.ascii_label(F.col("x"))).collect()]
+    assert got == [x.encode("punycode").decode() for x in labels]
+    urls = [("//Bücher.example/ä", "https://xn--bcher-kva.example/%C3%A4"), ("https://例え.テスト:8443/x?q=1", "https://xn--r8jz45g.xn--zckzah:8443/x?q=1"), ("/é", "https://xn--and-6ma2c.es/%C3%A9")]
+    df = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)], "i int, u string")
+    got = {r["i"]: r["v"] for r in df.select("i", U.resolve(F.col("u"), F.lit("https://ñandú.es")).alias("v")).collect()}
+    assert [got[i] for i in range(2)] == [v for _, v in urls[:2]]
+    assert got[2] == "https://xn--" + "ñandú".encode("punycode").decode() + ".es/%C3%A9"
