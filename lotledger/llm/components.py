@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from .common import forget, settled
 
 
+# Up to so many edges, a few megabytes, a round is the work of one task and needs no shuffle.
+FEW_EDGES = 200_000
+
+
 def _pull(edges: DataFrame, keep: str) -> DataFrame:
     """Hang the neighbours of each node below the smallest node of its neighbourhood.
 
@@ -24,7 +28,8 @@ def star_components(edges: DataFrame, name: str = "components") -> DataFrame:
     do not matter, rows with a null end are skipped. No edges give no rows. Each round
     links the larger neighbours of a node to the smallest (large star), then the smaller
     ones (small star), until every component is a star; that takes a logarithmic number of
-    rounds. Each round is a written table, so a lost executor costs one round at most.
+    rounds. A round over at most ``FEW_EDGES`` edges runs in one task. Each round is a written
+    table, so a lost executor costs one round at most.
     """
     both = edges.filter("a is not null and b is not null and a <> b")
     now = settled(
@@ -37,6 +42,8 @@ def star_components(edges: DataFrame, name: str = "components") -> DataFrame:
     seen = state(now)
     while True:
         facing = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        if seen[0] <= FEW_EDGES:
+            facing = facing.coalesce(1)
         large = _pull(facing, "b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.filter("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
