@@ -17,7 +17,8 @@ from .common import free_name
 
 MARK = "▁"
 UNITS = re.compile(r" *[^ ]+| +$")
-CACHE = 1_200_000  # units a task keeps, some 100 MB
+CACHE = 400_000  # units a task keeps, some 60 MB
+CHARS = 1 << 20  # characters of texts that become arrays at once, but for one longer text
 SEED = 0xCBF29CE484222325
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -417,9 +418,15 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, n)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                made = encode_texts(encoder, part.column(len(keep)).to_pylist(), types)
+            at = 0
+            while at < batch.num_rows:
+                texts, chars = [], 0
+                while at + len(texts) < batch.num_rows and len(texts) < 1000 and chars < CHARS:
+                    texts.append(batch.column(len(keep))[at + len(texts)].as_py())
+                    chars += len(texts[-1] or "")
+                part = batch.slice(at, len(texts))
+                at += len(texts)
+                made = encode_texts(encoder, texts, types)
                 names = [*keep, *types.names]
                 if all_ids:
                     names.append("nbest_ids")
