@@ -33,14 +33,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 BATCH_BYTES = 16 << 20
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From here on the session's Arrow batches are at most ``BATCH_BYTES`` large."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, written to the shared folder and read back.
 
     Cuts the lineage: what follows survives lost executors and never computes ``df`` again.
-    From here on the session's Arrow batches are at most ``BATCH_BYTES`` large.
     """
     spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    bounded_batches(spark)
     folder = shared_folder(spark, name)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

@@ -21,7 +21,7 @@ ROWS, BANDS = 3, 8
 PLACES = 1 << 31
 LAST = (1 << 63) - 1
 # Lines of a bucket, and their bytes, that one task compares with each other.
-SLICE, SLICE_BYTES = 2048, 4 << 20
+SLICE, SLICE_BYTES = 2048, 1 << 20
 # Bands whose buckets are compared first; the others only where they still join components.
 FIRST_BANDS = 2
 CHUNK = 1 << 20  # bytes of lines that become arrays at once
