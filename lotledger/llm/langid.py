@@ -172,7 +172,7 @@ def train(
     the number of languages and the number of buckets; weights of 0 are not shipped.
     No labelled row gives a model without languages, which answers ``und``.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(labelled.sparkSession)
     rows = labelled.select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")
     ).filter("text is not null and lang is not null")
