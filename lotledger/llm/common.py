@@ -30,7 +30,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 # Arrow batches between the JVM and Python are held on both sides, by every task at once.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -24,7 +24,7 @@ LAST = (1 << 63) - 1
 SLICE, SLICE_BYTES = 2048, 1 << 20
 # Bands whose buckets are compared first; the others only where they still join components.
 FIRST_BANDS = 2
-CHUNK = 1 << 20  # bytes of lines that become arrays at once
+CHUNK = 1 << 18  # bytes of lines that become arrays at once
 # Up to so many documents' dropped line numbers may be broadcast; more are joined by shuffle.
 BROADCAST_DOCS = 200_000
 

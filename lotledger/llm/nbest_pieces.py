@@ -17,8 +17,8 @@ from .common import free_name
 
 MARK = "▁"
 UNITS = re.compile(r" *[^ ]+| +$")
-CACHE = 400_000  # units a task keeps, some 60 MB
-CHARS = 1 << 20  # characters of texts that become arrays at once, but for one longer text
+CACHE = 250_000  # units a task keeps, some 40 MB
+CHARS = 1 << 19  # characters of texts that become arrays at once, but for one longer text
 SEED = 0xCBF29CE484222325
 MULTIPLIER = 0x9E3779B97F4A7C15
 
