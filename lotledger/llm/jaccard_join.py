@@ -22,7 +22,7 @@ WORDS = 5
 NUM, DEN = 4, 5
 SKETCH_BITS = 18
 SLICES = 64
-SIGNATURE = 1024
+SIGNATURE, WIDEST = 1024, 1 << 15  # bits of a narrow and of the widest bitmap
 FAN = 8
 BLOCK = 1024
 LINKED, WIDE = 512, 4096  # sets of a component in a slice, shingles in a matrix
@@ -81,7 +81,7 @@ def prefix_length(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1
 
 
-def signature(shingles: np.ndarray, widest: int = 1 << 15) -> np.ndarray:
+def signature(shingles: np.ndarray, widest: int = SIGNATURE) -> np.ndarray:
     """A bitmap of four bits or more a shingle, within ``SIGNATURE`` and ``widest`` bits."""
     size = min(widest, max(SIGNATURE, 1 << (4 * len(shingles) - 1).bit_length()))
     bits = np.zeros(size, dtype=bool)
@@ -179,7 +179,7 @@ def shingle_sets(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                     rare = np.argsort(counts[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
                     fp.append(fingerprint(s))
                     prefix.append(s[rare[: prefix_length(len(s))]].view(np.int64))
-                    bits.append(signature(s, SIGNATURE).tobytes())
+                    bits.append(signature(s).tobytes())
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(fp, pa.int64()),
                     pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary()),
@@ -356,7 +356,7 @@ def wide_bitmaps(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             sets = [shingler.shingles(text.as_buffer().to_pybytes()) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([signature(s).tobytes() for s in sets], pa.binary()),
+                pa.array([signature(s, WIDEST).tobytes() for s in sets], pa.binary()),
             ], ["fp", "n", "bits"])
 
     return texts.join(wanted, "fp", "left_semi").select("fp", "text").mapInArrow(run, "fp long, n long, bits binary")

@@ -360,7 +360,7 @@ def test_wide_bitmaps_lose_no_link_and_fold():
         for keep in (1.0, 0.97, 0.95, 0.9, 0.5, 0.1):
             more = rng.integers(0, 1 << 63, n - int(keep * n), dtype=np.int64).astype(np.uint64)
             sets.append(np.unique(np.concatenate([base[: int(keep * n)], more])))
-    n, bitmaps = np.array([len(s) for s in sets]), [jaccard_join.signature(s).tobytes() for s in sets]
+    n, bitmaps = np.array([len(s) for s in sets]), [jaccard_join.signature(s, jaccard_join.WIDEST).tobytes() for s in sets]
     for size in (1024, 2048):
         for s, raw in zip(sets, bitmaps):
             if 8 * len(raw) >= size:
