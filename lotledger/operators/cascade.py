@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as V
 from ..functions import urls as U
-from .keyed import beside, join_on_hot_keys
+from .keyed import BROADCAST_KEYS, beside, join_on_hot_keys
 
 OWNER = ["run_id", "dealer_url"]
 
@@ -37,7 +37,7 @@ def winning_vehicles(vehicles: DataFrame, won: DataFrame, spread: list[str]) ->
     return join_on_hot_keys(vehicles, short, [*OWNER, "prio"], spread, "left_semi")
 
 
-def unsolved(captures: DataFrame, solved: DataFrame, most: int = 1_000_000) -> DataFrame:
+def unsolved(captures: DataFrame, solved: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
     """Captures of dealers no cheaper layer has solved: what a costly layer still reads.
 
     Up to ``most`` keys are broadcast. More are hashed by bucket; captures stored by
