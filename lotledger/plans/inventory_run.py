@@ -39,9 +39,17 @@ def _up_to(captures: DataFrame, attempt: int, beyond: int = 0) -> DataFrame:
     return captures.filter((F.col("attempt") <= attempt) & (F.col("attempt") > beyond))
 
 
+def _parsed_once(vehicles: DataFrame) -> DataFrame:
+    """Vehicles as a written table: ``cascade.first_hit`` reads them twice, and would parse
+    all pages as often."""
+    path = work_folder(vehicles.sparkSession, "parsed")
+    vehicles.write.parquet(path)
+    return vehicles.sparkSession.read.schema(vehicles.schema).parquet(path)
+
+
 def _generic(vehicles: DataFrame, most: int | None) -> DataFrame:
     """Dedupe, keep the first page that has vehicles, at most ``most`` per dealer."""
-    unique = N.dedupe_vehicles(vehicles, [*K.OWNER, "page_ord"], _PLACE)
+    unique = _parsed_once(N.dedupe_vehicles(vehicles, [*K.OWNER, "page_ord"], _PLACE))
     return N.cap_vehicles(K.first_hit(unique, "page_ord", ["card_ord"]), K.OWNER, _PLACE, most)
 
 
@@ -102,7 +110,7 @@ class Layers:
             N.dedupe_vehicles(step, K.OWNER, _PLACE).select(columns).withColumn("_step", F.lit(i))
             for i, step in enumerate(steps)
         ])
-        kept = K.first_hit(every, "_step", _PLACE) if len(steps) > 1 else every
+        kept = K.first_hit(_parsed_once(every), "_step", _PLACE) if len(steps) > 1 else every
         return _named(N.cap_vehicles(kept, K.OWNER, _PLACE, self.most), F.lit("navigate"))
 
     def unlocked(self, caps: DataFrame) -> DataFrame:
@@ -122,7 +130,7 @@ class Layers:
             both = found.select(columns).withColumn("_step", F.lit(0)).unionByName(
                 merged.select(columns).withColumn("_step", F.lit(1))
             )
-            found = K.first_hit(both, "_step", _PLACE)
+            found = K.first_hit(_parsed_once(both), "_step", _PLACE)
         return _named(N.dedupe_vehicles(found.select(columns), K.OWNER, _PLACE), F.lit("unlocked"))
 
     def ai(self, caps: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lotledger.operators import cards as CA
 from lotledger.operators.keyed import dealt
+from lotledger.plans import inventory_run as IR
 
 RECORD = '{"vin":"FX1GB000000000%03d","stockNumber":"S1","make":"A","model":"B","year":2001,"mileage":5,"price":9}'
 
@@ -22,3 +23,9 @@ def test_answered_records_are_dealt_to_all_cores_before_they_are_normalised(spar
     assert {r["vin"] for r in found.collect()} == {"FX1GB000000000%03d" % i for i in range(3)}
     rows = spark.range(1000).withColumn("none", F.lit(None).cast("long"))
     assert dealt(rows, ["id", "none"], 2).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+
+
+def test_a_layer_parses_its_pages_once(spark):
+    found = IR.Layers(2024, None, None, 5, None, {1}).api(_answers(spark, "/x", 2))
+    assert "posexplode" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r["page_ord"], r["strategy"]) for r in found.collect()] == [(0, "api")] * 3
