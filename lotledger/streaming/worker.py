@@ -94,7 +94,9 @@ class InventoryWorker:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch_id += self.base
-        parsed = parse_messages(batch).persist()
+        # A large file of messages is read by one task; all that follows would be, too.
+        dealt = batch.repartition(self.spark.sparkContext.defaultParallelism)
+        parsed = parse_messages(dealt).persist()
         try:
             parsed.filter("not good").select("value").write.mode("overwrite").text(
                 f"{self.root}/bad/batch={batch_id}"

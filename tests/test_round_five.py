@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lotledger.operators import cards as CA
 from lotledger.operators.keyed import dealt
 from lotledger.plans import inventory_run as IR
+from lotledger.streaming import worker as W
 
 RECORD = '{"vin":"FX1GB000000000%03d","stockNumber":"S1","make":"A","model":"B","year":2001,"mileage":5,"price":9}'
 
@@ -29,3 +30,20 @@ def test_a_layer_parses_its_pages_once(spark):
     found = IR.Layers(2024, None, None, 5, None, {1}).api(_answers(spark, "/x", 2))
     assert "posexplode" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert [(r["page_ord"], r["strategy"]) for r in found.collect()] == [(0, "api")] * 3
+
+
+def test_a_file_of_messages_is_dealt_to_all_cores(spark, tmp_path):
+    parts = []
+
+    def job(messages):
+        parts.append(messages.rdd.getNumPartitions())
+        results = messages.select("run_id", F.xxhash64("url").alias("dealer_id"), "url", F.lit("ok").alias("status"),
+                                  F.lit(1).alias("vehicles_found"), F.lit(0).alias("ord"))
+        return results, None
+
+    made = spark.range(0, 50, 1, 1).selectExpr("""'{"runId":"r","url":"https://d' || id || '.com","totalUrls":50}' as value""")
+    made.write.text(f"{tmp_path}/messages")
+    worker = W.InventoryWorker(spark, f"{tmp_path}/tables", job)
+    worker.run_available(spark.readStream.text(f"{tmp_path}/messages"), f"{tmp_path}/checkpoint")
+    assert parts == [spark.sparkContext.defaultParallelism]
+    assert worker.ledger.read().count() == 50
