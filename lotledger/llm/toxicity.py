@@ -273,7 +273,11 @@ def _packed(weights: list[np.ndarray], n: int) -> pd.DataFrame:
 
 def _trained(rows: DataFrame, known: np.ndarray, weights: list[np.ndarray], shares: tuple[float, float], seed: int) -> list[np.ndarray]:
     """The weights after one pass over ``rows``: every task goes on from ``weights`` with its
-    own rows, and the mean of the tasks counts, by their number of rows."""
+    own rows, and the mean of the tasks counts, by their number of rows. One task takes the
+    mean, a task's weights at a time; the driver gets the mean alone."""
+    total = rows.count()
+    if not total:
+        return weights
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, n = [w.copy() for w in weights], 0
@@ -285,17 +289,19 @@ def _trained(rows: DataFrame, known: np.ndarray, weights: list[np.ndarray], shar
         if n:
             yield _packed(own, n)
 
+    def averaged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mean = [np.zeros(w.shape, dtype=np.float64) for w in weights]
+        for batch in batches:
+            for n, packed in zip(batch["n"], batch["weights"]):
+                for m, w in zip(mean, pickle.loads(packed)):
+                    m += w * (int(n) / total)
+        yield _packed([m.astype(w.dtype) for m, w in zip(mean, weights)], total)
+
     spark = rows.sparkSession
     dealt = rows.repartition(spark.sparkContext.defaultParallelism, "draw").sortWithinPartitions("draw", "doc_id", "words")
-    made = dealt.mapInPandas(run, "n long, weights binary").collect()
-    total = sum(r["n"] for r in made)
-    if not total:
-        return weights
-    mean = [np.zeros(w.shape, dtype=np.float64) for w in weights]
-    for r in sorted(made, key=lambda r: (r["n"], bytes(r["weights"]))):
-        for m, w in zip(mean, pickle.loads(r["weights"])):
-            m += w * (r["n"] / total)
-    return [m.astype(w.dtype) for m, w in zip(mean, weights)]
+    made = dealt.mapInPandas(run, "n long, weights binary")
+    mean = made.repartition(1).sortWithinPartitions("n", "weights").mapInPandas(averaged, "n long, weights binary")
+    return pickle.loads(mean.collect()[0]["weights"])
 
 
 def train(
