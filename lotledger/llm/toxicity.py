@@ -271,10 +271,33 @@ def _packed(weights: list[np.ndarray], n: int) -> pd.DataFrame:
     return pd.DataFrame({"n": [n], "weights": [pickle.dumps(weights)]})
 
 
+def changed_rows(weights: list[np.ndarray], own: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per array, which rows ``own`` has other than ``weights``, and those rows.
+
+    A task changes the table only where its own texts' words are, so with few texts a task
+    little of the table is written.
+    """
+    out = []
+    for w, o in zip(weights, own):
+        w, o = np.atleast_1d(w), np.atleast_1d(o)
+        other = np.flatnonzero((w != o).reshape(len(w), -1).any(axis=1)).astype(np.int32)
+        out.append((other, o[other]))
+    return out
+
+
+def add_changed(total: list[np.ndarray], weights: list[np.ndarray], made: list[tuple[np.ndarray, np.ndarray]], share: float) -> None:
+    """Add to ``total``, in place, a share of ``weights`` with the rows of ``changed_rows`` put in."""
+    for t, w, (at, rows) in zip(total, weights, made):
+        whole = np.atleast_1d(w).copy()
+        whole[at] = rows
+        t += whole.reshape(w.shape) * share
+
+
 def _trained(rows: DataFrame, known: np.ndarray, weights: list[np.ndarray], shares: tuple[float, float], seed: int) -> list[np.ndarray]:
     """The weights after one pass over ``rows``: every task goes on from ``weights`` with its
-    own rows, and the mean of the tasks counts, by their number of rows. One task takes the
-    mean, a task's weights at a time; the driver gets the mean alone."""
+    own rows, and the mean of the tasks counts, by their number of rows. A task writes the
+    rows of the weights that it changed; one task takes the mean, a task's rows at a time;
+    the driver gets the mean alone."""
     total = rows.count()
     if not total:
         return weights
@@ -287,14 +310,13 @@ def _trained(rows: DataFrame, known: np.ndarray, weights: list[np.ndarray], shar
             descend(own, texts, batch["toxic"].to_numpy(dtype=np.float32), rng, shares=shares)
             n += len(texts)
         if n:
-            yield _packed(own, n)
+            yield _packed(changed_rows(weights, own), n)
 
     def averaged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mean = [np.zeros(w.shape, dtype=np.float64) for w in weights]
         for batch in batches:
             for n, packed in zip(batch["n"], batch["weights"]):
-                for m, w in zip(mean, pickle.loads(packed)):
-                    m += w * (int(n) / total)
+                add_changed(mean, weights, pickle.loads(packed), int(n) / total)
         yield _packed([m.astype(w.dtype) for m, w in zip(mean, weights)], total)
 
     spark = rows.sparkSession
