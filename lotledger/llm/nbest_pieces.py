@@ -17,8 +17,9 @@ from .common import free_name
 
 MARK = "▁"
 UNITS = re.compile(r" *[^ ]+| +$")
-CACHE = 250_000  # units a task keeps, some 40 MB
+CACHE = 500_000  # units a task keeps, some 40 MB
 CHARS = 1 << 19  # characters of texts that become arrays at once, but for one longer text
+PAD = np.uint32(0xFFFFFFFF)
 SEED = 0xCBF29CE484222325
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -140,6 +141,10 @@ class Encoder:
         self.first = np.searchsorted(slots, np.arange(1 << 20)).astype(np.int32)
         self.most = int(np.bincount(slots).max())
         self.keys = np.append(self.keys, np.zeros(self.most, dtype=np.uint64))
+        # The bytes of every id, one after another.
+        self.spelling = np.frombuffer(b"".join(vocabulary.bytes_of), dtype=np.uint8)
+        self.spelling_sizes = np.array(list(map(len, vocabulary.bytes_of)), dtype=np.int64)
+        self.spelling_starts = np.cumsum(self.spelling_sizes) - self.spelling_sizes
 
     @staticmethod
     def _key(name: str) -> int:
@@ -152,31 +157,57 @@ class Encoder:
         """Put all units into the cache."""
         if len(self.cache) + len(units) > CACHE:
             self.cache.clear()
-        by_size: dict[int, list[str]] = {}
-        for u in units:
-            if u not in self.cache:
-                by_size.setdefault(len(u), []).append(u)
-        for size, group in by_size.items():
-            if size > self.WIDE or len(group) < self.FEW:
-                for u in group:
-                    best = lattice_nbest(u, self.vocabulary, 2)
-                    gap = best[0][0] - best[1][0] if len(best) > 1 else np.inf
-                    self.cache[u] = best[0][0], gap, best[0][1]
-                continue
-            for at in range(0, len(group), 4096):
-                self._viterbi(group[at: at + 4096], size)
-
-    def _viterbi(self, units: list[str], size: int) -> None:
-        many = len(units)
-        codes = np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32)
-        codes = np.ascontiguousarray(codes.reshape(many, size).T.astype(np.uint64))
+        names = [u for u in units if u not in self.cache]
+        if not names:
+            return
+        sizes = np.fromiter(map(len, names), dtype=np.int64, count=len(names))
+        codes = np.frombuffer("".join(names).encode("utf-32-le"), dtype=np.uint32)
+        best, gaps, used, flat = self.segmented(codes, np.cumsum(sizes) - sizes, sizes)
+        ends, ids = np.cumsum(used).tolist(), flat.tolist()
+        for name, score, gap, n, end in zip(names, best.tolist(), gaps.tolist(), used.tolist(), ends):
+            self.cache[name] = score, gap, tuple(ids[end - n: end])
+
+    def segmented(self, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Best score, gap and number of ids per unit, and all ids in the units' order.
+
+        A unit is ``size`` code points from its start. Units of about one length go through
+        the arrays together, the shorter ones padded.
+        """
+        best, gaps, used = np.zeros(len(sizes)), np.zeros(len(sizes)), np.zeros(len(sizes), dtype=np.int64)
+        made: list[tuple[np.ndarray, np.ndarray]] = []  # places of units, and their ids one after another
+        alone = (sizes > self.WIDE) | (np.bincount(sizes)[sizes] < self.FEW)
+        for i in np.flatnonzero(alone).tolist():
+            unit = codes[starts[i]: starts[i] + sizes[i]].tobytes().decode("utf-32-le")
+            found = lattice_nbest(unit, self.vocabulary, 2)
+            best[i], used[i] = found[0][0], len(found[0][1])
+            gaps[i] = found[0][0] - found[1][0] if len(found) > 1 else np.inf
+            made.append((np.array([i]), np.array(found[0][1], dtype=np.int64)))
+        many = np.flatnonzero(~alone)
+        many = many[np.argsort(sizes[many], kind="stable")]
+        for at in range(0, len(many), 4096):
+            part = many[at: at + 4096]
+            best[part], gaps[part], used[part], ids = self._viterbi(codes, starts[part], sizes[part])
+            made.append((part, ids))
+        flat, ends = np.zeros(int(used.sum()), dtype=np.int64), np.cumsum(used)
+        for part, ids in made:
+            within = np.arange(len(ids)) - np.repeat(np.cumsum(used[part]) - used[part], used[part])
+            flat[np.repeat(ends[part] - used[part], used[part]) + within] = ids
+        return best, gaps, used, flat
+
+    def _viterbi(self, text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``segmented`` for units in ascending order of their sizes."""
+        many, size = len(sizes), int(sizes[-1])
+        place = np.arange(size)[:, None]
+        # Behind a unit's end stands what no text holds, so no piece goes on there.
+        codes = np.where(place < sizes, text[np.minimum(starts + place, len(text) - 1)], PAD).astype(np.uint64)
         forward = np.full((size + 1, many), -np.inf)
         forward[0] = 0.0
         last = np.zeros((size + 1, many), dtype=np.int8)
         arcs, every = [], np.arange(many)
         for start in range(size):
             # The units of which a piece may still begin at this place, and their hashes.
-            alive, h = every, np.full(many, SEED, dtype=np.uint64)
+            here = every[np.searchsorted(sizes, start, "right"):]
+            alive, h = here, np.full(len(here), SEED, dtype=np.uint64)
             for end in range(start + 1, min(size, start + self.vocabulary.longest) + 1):
                 h = (h ^ codes[end - 1][alive]) * np.uint64(MULTIPLIER)
                 slot = (h >> np.uint64(44)).view(np.int64)
@@ -191,8 +222,8 @@ class Encoder:
                 piece, score = self.ids_of[place], self.scores[place]
                 more = np.flatnonzero(says & 2)
                 alive, h = alive[more], h[more]
-                if end == start + 1 and len(at) < many:
-                    other = np.delete(every, at)
+                if end == start + 1 and len(at) < len(here):
+                    other = np.delete(here, at - here[0])
                     at = np.append(at, other)
                     piece = np.append(piece, np.full(len(other), -1))
                     score = np.append(score, np.full(len(other), self.vocabulary.unknown))
@@ -205,37 +236,35 @@ class Encoder:
                 if not len(alive):
                     break
         backward = np.full((size + 1, many), -np.inf)
-        backward[size] = 0.0
+        backward[sizes, every] = 0.0
         for start, end, at, _, score in reversed(arcs):
             backward[start, at] = np.maximum(backward[start, at], score + backward[end, at])
         # Where the best path begins a piece, and how long it is.
         step = np.zeros((size + 1, many), dtype=np.int8)
-        here = np.full(many, size)
+        here = sizes.copy()
         while (here > 0).any():
             length = np.where(here > 0, last[here, every], 0)
             here = here - length
             step[here, every] = np.where(length > 0, length, step[here, every])
-        second = np.full(many, -np.inf)
+        best, second = forward[sizes, every], np.full(many, -np.inf)
         taken = np.full((many, size), -2, dtype=np.int64)
         for start, end, at, piece, score in arcs:
             on = step[start, at] == end - start
             taken[at[on], start] = piece[on]
             off = at[~on]
             second[off] = np.maximum(second[off], forward[start, off] + score[~on] + backward[end, off])
-        flat, used = taken[taken != -2].tolist(), (taken != -2).sum(axis=1)
-        ends = np.cumsum(used).tolist()
-        spelled = (taken == -1).any(axis=1).tolist()
-        best, gaps = forward[size].tolist(), (forward[size] - second).tolist()
-        begin = 0
-        for i, unit in enumerate(units):
-            ids = tuple(flat[begin: ends[i]])
-            begin = ends[i]
-            if spelled[i]:
-                chars = iter(unit[k] for k in np.flatnonzero(taken[i] == -1).tolist())
-                ids = tuple(chain.from_iterable(
-                    [x] if x >= 0 else [self.vocabulary.byte_ids[b] for b in next(chars).encode()] for x in ids
-                ))
-            self.cache[unit] = best[i], gaps[i], ids
+        # A place holds one id, or those of the bytes that spell its character.
+        unit, spot = np.nonzero(taken != -2)
+        flat = taken[unit, spot]
+        odd = np.flatnonzero(flat == -1)
+        wide = np.ones(len(flat), dtype=np.int64)
+        spelled = [
+            [self.vocabulary.byte_ids[b] for b in chr(c).encode()] for c in codes[spot[odd], unit[odd]].tolist()
+        ]
+        wide[odd] = list(map(len, spelled))
+        ids = np.repeat(flat, wide)
+        ids[ids == -1] = list(chain.from_iterable(spelled))
+        return best, best - second, np.bincount(unit, weights=wide, minlength=many).astype(np.int64), ids
 
     def unit_nbest(self, unit: str) -> list[Segmentation]:
         found = self.lists.get(unit)
@@ -303,7 +332,7 @@ class Units:
 
     def __init__(self, texts: list[str]):
         self.whole = "".join(" " + t for t in texts)
-        codes = np.frombuffer(self.whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        codes = self.codes = np.frombuffer(self.whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         first = np.zeros(len(texts) + 1, dtype=np.int64)
         np.cumsum([len(t) + 1 for t in texts], out=first[1:])
         blank = codes == 32
@@ -329,15 +358,24 @@ class Units:
         return self.whole[start: start + int(self.sizes[place])]
 
 
+def pieces_of(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` that begin at ``starts``, one after another."""
+    ends = np.cumsum(sizes)
+    return values[np.repeat(starts - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
 class Known:
-    """Best segmentations of the units met so far, as columns that grow."""
+    """Best segmentations of the units met so far, as columns that grow.
+
+    ``keys`` are the units' hashes in ascending order, ``place`` the row of each.
+    """
 
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[int, int] = {}
+        self.keys, self.place = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         self.columns = {
             "score": np.zeros(1024), "gap": np.zeros(1024), "begin": np.zeros(1024, dtype=np.int64),
             "size": np.zeros(1024, dtype=np.int64), "exact": np.zeros(1024, dtype=bool),
@@ -350,32 +388,44 @@ class Known:
 
     def rows(self, units: Units) -> np.ndarray:
         """The row of each distinct unit; new ones are segmented."""
-        if len(self.place) + len(units.key) > CACHE:
+        if len(self.keys) + len(units.key) > CACHE:
             self.clear()
-        keys = units.key.tolist()
-        rows = np.fromiter((self.place.get(k, -1) for k in keys), dtype=np.int64, count=len(keys))
+        at = np.searchsorted(self.keys, units.key)
+        rows = np.full(len(units.key), -1, dtype=np.int64)
+        there = np.flatnonzero(at < len(self.keys))
+        there = there[self.keys[at[there]] == units.key[there]]
+        rows[there] = self.place[at[there]]
         new = np.flatnonzero(rows < 0)
         if len(new):
-            names = [units.text(units.shown[i]) for i in new.tolist()]
-            self.encoder.prepare(set(names))
-            made = [self.encoder.cache.pop(n) for n in names]
-            rows[new] = np.arange(len(self.place), len(self.place) + len(new))
-            self.add([keys[i] for i in new.tolist()], names, made)
+            first = len(self.keys)
+            self.add(units.codes, units.starts[units.shown[new]], units.sizes[units.shown[new]])
+            rows[new] = np.arange(first, first + len(new))
+            self.keys = np.insert(self.keys, at[new], units.key[new])
+            self.place = np.insert(self.place, at[new], rows[new])
         return rows
 
-    def add(self, keys: list[int], names: list[str], made: list[tuple[float, float, tuple[int, ...]]]) -> None:
-        first, end = len(self.place), len(self.place) + len(keys)
-        self.place.update(zip(keys, range(first, end)))
+    def add(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+        """Rows for the units of ``lengths`` code points from ``starts``, in this order."""
+        first, end = len(self.keys), len(self.keys) + len(starts)
+        scores, gaps, sizes, ids = self.encoder.segmented(codes, starts, lengths)
         self.columns = {n: self._grown(c, end) for n, c in self.columns.items()}
-        scores, gaps, ids = zip(*made)
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        total = int(sizes.sum())
+        ends, total = np.cumsum(sizes), len(ids)
         self.pool = self._grown(self.pool, self.used + total)
-        self.pool[self.used: self.used + total] = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=total)
-        spelled = list(map(self.encoder.vocabulary.bytes_of.__getitem__, chain.from_iterable(ids)))
-        joined, at, ends = b"".join(spelled), np.append(0, np.cumsum(list(map(len, spelled)))), np.cumsum(sizes)
-        begins, stops = at[ends - sizes].tolist(), at[ends].tolist()
-        exact = [joined[a:b] == n.encode("utf-8", "surrogatepass") for a, b, n in zip(begins, stops, names)]
+        self.pool[self.used: self.used + total] = ids
+        # What the ids spell, against the units' own bytes.
+        e = self.encoder
+        spelled = pieces_of(e.spelling, e.spelling_starts[ids], e.spelling_sizes[ids])
+        whole = pieces_of(codes, starts, lengths)
+        wide = 1 + (whole >= 0x80).astype(np.int64) + (whole >= 0x800) + (whole >= 0x10000)
+        own = np.frombuffer(whole.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+        got, want = np.add.reduceat(e.spelling_sizes[ids], ends - sizes), np.add.reduceat(wide, np.cumsum(lengths) - lengths)
+        exact = got == want
+        if exact.all():
+            exact = np.logical_and.reduceat(spelled == own, np.cumsum(want) - want)
+        else:
+            a, b = np.cumsum(got) - got, np.cumsum(want) - want
+            for i in np.flatnonzero(exact).tolist():
+                exact[i] = (spelled[a[i]: a[i] + got[i]] == own[b[i]: b[i] + want[i]]).all()
         for name, values in (("score", scores), ("gap", gaps), ("begin", self.used + ends - sizes), ("size", sizes), ("exact", exact)):
             self.columns[name][first:end] = values
         self.used += total
@@ -483,7 +533,7 @@ def encode_texts(encoder: Encoder, texts: list[str | None], types: pa.Schema) ->
         pool = np.append(pool, np.array(behind, dtype=np.int32)) if behind else pool
         ends = np.cumsum(lengths)
         unit_at = ends - lengths
-        flat = pool[np.repeat(begins - unit_at, lengths) + np.arange(int(ends[-1]))]
+        flat = pieces_of(pool, begins, lengths)
         sums = np.add.reduceat(known.columns["score"][rows], bounds[:-1])
         exact = np.logical_and.reduceat(known.columns["exact"][rows], bounds[:-1])
         text_ends = ends[bounds[1:] - 1]
