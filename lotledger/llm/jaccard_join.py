@@ -27,6 +27,7 @@ FAN = 8
 BLOCK = 1024
 LINKED, WIDE = 512, 4096  # sets of a component in a slice, shingles in a matrix
 CROWD = FAN
+LISTED = 16  # crowded blocks a set knows by name
 PIECE = 1 << 20
 KEPT_WORDS = 100_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -367,13 +368,18 @@ def tree_pairs(members: DataFrame) -> DataFrame:
 
     A block is the sets of one token. Blocks of over ``BLOCK`` sets are cut into slices; a
     task gets two slices, builds a tree on each and traverses both. Blocks of up to ``FAN``
-    sets are one leaf node; all leaf nodes of a batch are looked through at once.
+    sets are one leaf node; all leaf nodes of a batch are looked through at once. A pair is
+    given by the largest block of both: sets bring the names of their ``LISTED`` largest.
     """
+    large = members.filter(f"members > {CROWD}").groupBy("fp").agg(
+        F.slice(F.sort_array(F.collect_list(F.struct("members", "token")), asc=False), 1, LISTED)["token"].alias("large")
+    )
+    members = members.join(large, "fp", "left").withColumn("large", F.coalesce("large", F.array().cast("array<long>")))
     slices = F.ceil(F.col("members") / BLOCK).cast("int")
     cut = members.withColumn("slices", slices).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("slices")).cast("int"))
     dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).select(
         "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "own", "fp", "n", "bits", "component",
+        "own", "fp", "n", "bits", "component", "large",
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -429,9 +435,26 @@ def tree_pairs(members: DataFrame) -> DataFrame:
             x, y = traverse(trees[0], trees[-1], itself)
             found.append(np.stack([sides[0][x], sides[-1][y]], axis=1))
         pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+        pairs = pairs[own_pairs(table, pairs)]
         pairs = fp[pairs[wide_enough(n, bitmaps, pairs[:, 0], pairs[:, 1])]]
         return np.unique(np.sort(pairs, axis=1), axis=0)
 
+    def own_pairs(table: pa.Table, pairs: np.ndarray) -> np.ndarray:
+        large = table.column("large").combine_chunks()
+        size = np.diff(large.offsets.to_numpy())
+        listed = np.zeros((len(large), LISTED), dtype=np.int64)
+        known = np.arange(LISTED) < size[:, None]
+        listed[known] = large.flatten().to_numpy()
+        token, ok = table.column("token").to_numpy(), np.ones(len(pairs), dtype=bool)
+        for at in range(0, len(pairs), 4096):
+            x, y = pairs[at: at + 4096].T
+            # Of the first set's blocks, in order: which the second one knows, and which is this one.
+            both = ((listed[x][:, :, None] == listed[y][:, None, :]) & known[y][:, None, :]).any(axis=2) & known[x]
+            here = (listed[x] == token[x][:, None]) & known[x]
+            first = np.where(both.any(axis=1), both.argmax(axis=1), LISTED)
+            ok[at: at + 4096] = first >= np.where(here.any(axis=1), here.argmax(axis=1), LISTED)
+        return ok
+
     return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(
         run, "a long, b long"
     ).distinct()
@@ -467,6 +490,26 @@ def open_blocks(blocks: DataFrame, turn: int) -> DataFrame:
     return blocks.join(mixed, "token")
 
 
+def uncovered_blocks(mixed: DataFrame) -> DataFrame:
+    """The postings of ``mixed`` (token, fp, members) without blocks that another one covers.
+
+    Sets that resemble each other share most of their tokens, so most blocks repeat each other.
+    Of blocks with the same members one stays. Every set names its largest block; a block whose
+    sets all name the same other one lies within it and goes. The named one stays, as a set
+    that names it would not name the block that covers it: no pair of a block is lost.
+    """
+    alike = mixed.groupBy("token").agg(
+        F.max("members").alias("members"), F.bit_xor(F.xxhash64("fp")).alias("seal"),
+        F.sum(F.hash("fp").cast("long")).alias("sum"),
+    ).groupBy("members", "seal", "sum").agg(F.min("token").alias("token")).select("token")
+    once = settled(mixed.join(alike, "token", "left_semi"), "jaccard-blocks")
+    named = once.groupBy("fp").agg(F.max(F.struct("members", "token")).alias("named"))
+    covered = once.select("token", "fp").join(named, "fp").groupBy("token").agg(
+        F.min("named").alias("low"), F.max("named").alias("high")
+    ).filter("low = high and low.token <> token")
+    return once.join(covered.select("token"), "token", "left_anti")
+
+
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """How many shingles each set of ``left`` has in common with each of ``right``.
 
@@ -564,9 +607,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     that are not yet in one component choose the block leader they share most postings
     with, and the pair is verified: groups of copies, however large, become one component
     with one pair per set and round; after the first round, only blocks of over ``CROWD`` sets
-    take part, and rounds end when fewer than a quarter of their pairs link. 4. Signature
-    trees give all pairs left across components, and they are verified. Blocks within one component are
-    done and never expanded.
+    take part, and rounds end when fewer than a quarter of their pairs link, or when one brings
+    less than a tenth of the best round's links. 4. Blocks that lie within another one go, and
+    signature trees give all pairs left across components, which are verified. Blocks within
+    one component are done and never expanded.
     """
     sets, classes, texts = set_components(docs)
     copies = sets.filter("n > 0").groupBy("fp").agg(F.count("*").alias("copies"))
@@ -605,7 +649,7 @@ def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     texts = settled(texts_of(docs, one, postings, repeated), "jaccard-texts")
 
     edges = named = None
-    turn = 0
+    turn = most = 0
     while True:
         mixed = settled(open_blocks(grouped(postings, named), turn), "jaccard-open")
         # After the first round only crowded blocks are worth a round of their own.
@@ -630,13 +674,16 @@ def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             edges = found if edges is None else settled(edges.unionAll(found), "jaccard-edges")
             named = settled(star_components(edges, "jaccard-rounds"), "jaccard-named")
         turn += 1
-        last = linked < asked / 4
+        # The trees do it as well: a round has to bring links worth its jobs.
+        most = max(most, linked)
+        last = linked < asked / 4 or linked < most / 10
         if last and not linked:
             break
         forget(mixed)  # what is still open is smaller, and written anew
         if last:
             mixed = settled(open_blocks(grouped(postings, named), turn), "jaccard-open")
             break
+    mixed = uncovered_blocks(mixed)
     wide = settled(wide_bitmaps(texts, mixed.select("fp").distinct()), "jaccard-wide")
     rest = mixed.select("token", "members", "fp", "component").join(wide, "fp")
     pairs = settled(tree_pairs(rest), "jaccard-pairs")
