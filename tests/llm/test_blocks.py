@@ -15,13 +15,13 @@ def shingles(text):
 
 
 def test_blocks_that_repeat_each_other_are_compared_once(spark, monkeypatch):
-    # Versions of one text, some 0.7 alike: nearly all share nearly all of their tokens.
-    rng, base, rows = random.Random(23), [f"w{i}" for i in range(150)], []
+    # Texts of one long passage, 0.75 alike, have the same tokens; ten have a copy with a new last word.
+    base, rows = [f"w{i}" for i in range(150)], []
     for i in range(60):
-        words = base + [f"own{i}x{k}" for k in range(20)]
-        for k in rng.sample(range(150), 1 + i % 4):
-            words[k] = f"new{i}x{k}"
+        words = base + [f"own{i}x{k}" for k in range(24)]
         rows.append((i, " ".join(words)))
+        if i < 10:
+            rows.append((100 + i, " ".join(words[:-1] + ["new"])))
     got = {}
     whole = jaccard_join.tree_pairs
 
@@ -34,7 +34,7 @@ def test_blocks_that_repeat_each_other_are_compared_once(spark, monkeypatch):
     out = jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"))
     sets = [shingles(t) for _, t in rows]
     links = {
-        i: sum(5 * len(s & t) >= 4 * len(s | t) for j, t in enumerate(sets) if j != i) for i, s in enumerate(sets)
+        rows[i][0]: sum(5 * len(s & t) >= 4 * len(s | t) for j, t in enumerate(sets) if j != i) for i, s in enumerate(sets)
     }
     assert {r["doc_id"]: r["n_links"] for r in out.collect()} == links
     assert got["postings"] < 4 * len(rows)
