@@ -71,6 +71,9 @@ def blocks(words: DataFrame, parts: list[str]) -> DataFrame:
 
     A block is the letters of the kept parts, sorted. A block of more than ``SLICE`` words
     is dealt to slices, and each pair of slices (i, j) is a task's work of its own.
+
+    The sizes are joined by a merge, whatever Spark takes a side for: it sizes the ten rows
+    of a word as one and would send them all through the driver.
     """
     whole = "".join(parts)
     sides = []
@@ -83,7 +86,7 @@ def blocks(words: DataFrame, parts: list[str]) -> DataFrame:
     large = F.ceil(F.col("members") / SLICE).cast("int")
     own = F.pmod(F.xxhash64("word"), F.col("slices")).cast("int")
     return (
-        dealt.join(sizes.select("dropped", "kept", large.alias("slices")), ["dropped", "kept"])
+        dealt.hint("merge").join(sizes.select("dropped", "kept", large.alias("slices")), ["dropped", "kept"])
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
         .select("dropped", "kept", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "word", "n")
@@ -242,12 +245,13 @@ def roots(forms: DataFrame) -> DataFrame:
     """``word, root`` of rows (word, form): forms followed to the last.
 
     Each round replaces a form by the form's form, so chains of any length end after a
-    logarithmic number of rounds; each round is a written table.
+    logarithmic number of rounds; each round is a written table. Packed files say little of
+    the rows' size in memory, so no side is broadcast.
     """
     now = settled(forms.select("word", F.col("form").alias("root")).filter("root is not null"), "roots")
     while True:
         onward = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        joined = now.join(onward, "root", "left")
+        joined = now.join(onward.hint("merge"), "root", "left")
         after = settled(joined.select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         moved = after.filter("moved").limit(1).count()
         forget(now)
@@ -270,13 +274,13 @@ def variants(docs: DataFrame, shortest: int = 5, fewest: int = 3) -> DataFrame:
     near = near_words(words, letter_parts(words)).groupBy("word").agg(
         F.sum("links").alias("n_near"), F.min("best").alias("best")
     )
-    joined = words.join(near, "word", "left")
+    joined = words.join(near.hint("merge"), "word", "left")
     strong = -F.col("best.less") >= 2 * F.col("n")
     formed = settled(joined.select(
         "word", F.when(strong, F.col("best.word")).alias("form"), "n",
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(strong, -F.col("best.less")).alias("form_n"),
     ), "forms")
-    return formed.join(roots(formed), "word", "left").select(
+    return formed.join(roots(formed).hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )

@@ -232,6 +232,26 @@ def test_op12_chains_of_forms(spark):
     assert {tuple(r) for r in got} == {(w, "e") for w in "abcdx"}
 
 
+def test_op12_sends_no_table_through_the_driver(spark, monkeypatch):
+    """Tables that grow with the words are merged, however small Spark takes them to be."""
+    plans = []
+
+    def settled(df, name):
+        plans.append(df)
+        return written(df, name)
+
+    written = spelling_variants.settled
+    monkeypatch.setattr(spelling_variants, "settled", settled)
+    text = "paris " * 9 + "pariss " * 4 + "parisss berlin berlin berlim "
+    rows = [(i, text, "en", "a") for i in range(4)]
+    got = spelling_variants.variants(documents(spark, rows))
+    want = plain_variants(plain_words([(i, t) for i, t, *_ in rows]))
+    assert got_variants(got) == want and ("parisss", "pariss", "paris") in {w[:3] for w in want}
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in [*plans, got]]
+    assert sum("SortMergeJoin" in plan for plan in plans) >= 3
+    assert not any("Broadcast" in plan for plan in plans)
+
+
 # --- filter audit -----------------------------------------------------------------------
 
 def plain_audit(docs, labels):
